@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quadrille.llm.decontaminate import LEAST_SHARE, find_overlaps
 from quadrille.llm.exact_dedup import mark_exact_duplicates
 from quadrille.llm.secret_scan import BASE_RULES, scan_secrets, span_text
 from quadrille.llm.source_mix import mix_sources
@@ -35,6 +36,64 @@ FROM d
 """
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    part, whole = LEAST_SHARE
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        ((F.col("n_hit") > 0) & (F.col("n_hit") * whole >= F.col("n_words") * part)).alias("contaminated"),
+    )
+
+
+OP7_SQL = r"""
+WITH
+d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+),
+i AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+),
+iw AS (
+  SELECT item_id, w, least(13, len(w)) AS size, unnest(range(1, greatest(1, len(w) - 12) + 1)) AS p FROM i WHERE len(w) > 0
+),
+item_windows AS (
+  SELECT DISTINCT item_id, size, array_to_string(list_slice(w, p, p + size - 1), ' ') AS words FROM iw
+),
+sizes AS (SELECT DISTINCT size FROM item_windows),
+dw AS (
+  SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS p FROM d, sizes WHERE len(w) >= size
+),
+doc_windows AS (
+  SELECT doc_id, p, size, array_to_string(list_slice(w, p, p + size - 1), ' ') AS words FROM dw
+),
+found AS (
+  SELECT doc_id, p, size, item_id FROM doc_windows JOIN item_windows USING (size, words)
+),
+hits AS (
+  SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + size)) AS q FROM found) GROUP BY doc_id
+),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id
+)
+SELECT d.doc_id,
+       CAST(len(w) AS BIGINT) AS n_words,
+       CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hits ON d.doc_id = hits.doc_id LEFT JOIN items ON d.doc_id = items.doc_id
+"""
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(_table(spark, sf_dir, "pages"))
 
@@ -60,10 +119,12 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
+    "op7_decontaminate": op7_decontaminate,
     "op8_url_filter": op8_url_filter,
     "op9_source_mix": op9_source_mix,
     "op10_secret_scan": op10_secret_scan,
 }
 ORACLE_SQL: dict[str, str] = {
     "op3_exact_dedup": OP3_SQL,
+    "op7_decontaminate": OP7_SQL,
 }
