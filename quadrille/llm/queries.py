@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quadrille.llm.decontaminate import LEAST_SHARE, find_overlaps
 from quadrille.llm.exact_dedup import mark_exact_duplicates
+from quadrille.llm.ngram_join import link_components
 from quadrille.llm.secret_scan import BASE_RULES, scan_secrets, span_text
 from quadrille.llm.source_mix import mix_sources
 from quadrille.llm.url_filter import filter_urls
@@ -18,6 +19,38 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_components(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+OP1_SQL = r"""
+WITH RECURSIVE
+w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+),
+p AS (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS p FROM w WHERE len(w) > 0),
+s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, p, least(p + 4, len(w))), ' ') AS s FROM p),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+met AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS m FROM s AS a JOIN s AS b USING (s) GROUP BY ALL
+),
+link AS (
+  SELECT x, y FROM met JOIN n AS nx ON nx.doc_id = x JOIN n AS ny ON ny.doc_id = y
+  WHERE x <> y AND 100 * m >= 75 * (nx.n + ny.n - m)
+),
+reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM documents
+  UNION
+  SELECT reach.x, link.y FROM reach JOIN link ON reach.y = link.x
+)
+SELECT d.doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(reach.y) AS component_id
+FROM documents AS d JOIN reach ON reach.x = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+GROUP BY d.doc_id
+"""
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mark_exact_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -118,6 +151,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_join": op1_ngram_join,
     "op3_exact_dedup": op3_exact_dedup,
     "op7_decontaminate": op7_decontaminate,
     "op8_url_filter": op8_url_filter,
@@ -125,6 +159,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_secret_scan": op10_secret_scan,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op1_ngram_join": OP1_SQL,
     "op3_exact_dedup": OP3_SQL,
     "op7_decontaminate": OP7_SQL,
 }
