@@ -49,8 +49,8 @@ class Words(NamedTuple):
     bounds: np.ndarray
 
 
-def texts(column: pa.Array, limit: int = 4 << 20, lower: bool = True) -> Iterator[Texts]:
-    """Whole texts of a column in pieces of about ``limit`` bytes; null counts as empty."""
+def texts(column: pa.Array, limit: int = 1 << 20, table: np.ndarray = ASCII_LOWER) -> Iterator[Texts]:
+    """Whole texts of a column in pieces of about ``limit`` bytes, each byte by way of ``table``; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if column.null_count:
@@ -67,10 +67,7 @@ def texts(column: pa.Array, limit: int = 4 << 20, lower: bool = True) -> Iterato
         stop = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1)
         part = values[offsets[at] : offsets[stop]]
         data = np.zeros(len(part) + PAD, np.uint8)
-        if lower:
-            np.take(ASCII_LOWER, part, out=data[: len(part)])
-        else:
-            data[: len(part)] = part
+        np.take(table, part, out=data[: len(part)])
         yield Texts(at, data, offsets[at : stop + 1] - offsets[at])
         at = stop
 

@@ -7,11 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quadrille.llm import language_id, toxicity
+from quadrille.llm._sampling import in_fold
+from quadrille.llm._store import Scratch
 from quadrille.llm.decontaminate import LEAST_SHARE, find_overlaps
 from quadrille.llm.exact_dedup import mark_exact_duplicates
 from quadrille.llm.ngram_join import link_components
 from quadrille.llm.secret_scan import BASE_RULES, scan_secrets, span_text
 from quadrille.llm.source_mix import mix_sources
+from quadrille.llm.token_files import ID_DIGITS, count_tokens, told_id, write_word_ids
 from quadrille.llm.url_filter import filter_urls
 
 
@@ -51,6 +55,13 @@ GROUP BY d.doc_id
 """
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = language_id.fit_on(docs.where(F.col("doc_id").isNotNull() & ~in_fold(F.col("doc_id"), 4, 2)))
+    found = language_id.identify(docs, model)
+    return found.select("doc_id", in_fold(F.col("doc_id"), 4, 2).alias("held_out"), "lang_pred", "score")
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mark_exact_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -69,6 +80,30 @@ FROM d
 """
 
 
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+    """Fitted on the labelled documents outside the held-out fold."""
+    labels = _table(spark, sf_dir, "labels").where(F.col("doc_id").isNotNull() & ~in_fold(F.col("doc_id"), 5, 0))
+    return toxicity.fit_on(_table(spark, sf_dir, "documents"), labels)
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.score_toxicity(_table(spark, sf_dir, "documents"), toxicity_model(spark, sf_dir))
+    return found.select("doc_id", in_fold(F.col("doc_id"), 5, 0).alias("held_out"), "score", "predicted")
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = Scratch(spark, "tokens").path("ids")
+    write_word_ids(_table(spark, sf_dir, "documents"), folder)
+    found = count_tokens(spark, folder, header=ID_DIGITS, one_stream=True)
+    return found.select(told_id().alias("doc_id"), (F.col("n_tokens") - ID_DIGITS).alias("n_tokens"))
+
+
+OP6_SQL = r"""
+SELECT doc_id, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS n_tokens
+FROM documents
+"""
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     part, whole = LEAST_SHARE
@@ -152,7 +187,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
+    "op2_language_id": op2_language_id,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_toxicity": op4_toxicity,
+    "op6_token_counts": op6_token_counts,
     "op7_decontaminate": op7_decontaminate,
     "op8_url_filter": op8_url_filter,
     "op9_source_mix": op9_source_mix,
@@ -161,5 +199,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op1_ngram_join": OP1_SQL,
     "op3_exact_dedup": OP3_SQL,
+    "op6_token_counts": OP6_SQL,
     "op7_decontaminate": OP7_SQL,
 }
