@@ -12,6 +12,7 @@ from quadrille.llm._sampling import in_fold
 from quadrille.llm._store import Scratch
 from quadrille.llm.decontaminate import LEAST_SHARE, find_overlaps
 from quadrille.llm.exact_dedup import mark_exact_duplicates
+from quadrille.llm.katz import score_katz
 from quadrille.llm.ngram_join import link_components
 from quadrille.llm.secret_scan import BASE_RULES, scan_secrets, span_text
 from quadrille.llm.source_mix import mix_sources
@@ -91,6 +92,12 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", in_fold(F.col("doc_id"), 5, 0).alias("held_out"), "score", "predicted")
 
 
+def op5_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = in_fold(F.col("doc_id"), 7, 2)
+    found = score_katz(_table(spark, sf_dir, "documents"), ~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = Scratch(spark, "tokens").path("ids")
     write_word_ids(_table(spark, sf_dir, "documents"), folder)
@@ -190,6 +197,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_toxicity": op4_toxicity,
+    "op5_katz": op5_katz,
     "op6_token_counts": op6_token_counts,
     "op7_decontaminate": op7_decontaminate,
     "op8_url_filter": op8_url_filter,
