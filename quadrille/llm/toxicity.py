@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from quadrille.llm._bytes import ASCII_LOWER, PAD, Texts, eights, texts
 from quadrille.llm._sampling import sample_by
+from quadrille.llm._store import Scratch
 
 SIZES = (4, 5, 6)
 #: Bounds of the fitting sample, for each label, and of the model.
@@ -201,8 +202,13 @@ def fit_on(docs: DataFrame, labels: DataFrame, *, rows: int = SAMPLE_ROWS, size:
     prior alone.
     """
     marks = labels.where(F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    known = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(marks, "doc_id")
-    sample, totals = sample_by(known, "toxic", rows, size)
+    totals = {r["toxic"]: r["n"] for r in marks.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    share = F.coalesce(*[F.when(F.col("toxic") == k, F.lit(int(min(1.0, rows / n) * 2**31))) for k, n in totals.items()], F.lit(0))
+    # About ``rows`` ids for each label: a broadcast of fixed size.
+    marks = marks.where(F.pmod(F.xxhash64("doc_id", F.lit(29)), F.lit(2**31)) < share)
+    known = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(marks), "doc_id")
+    known = Scratch(docs.sparkSession, "toxicity").save(known, "sample")
+    sample, _ = sample_by(known, "toxic", rows, size)
     picked = sample.select(F.xxhash64("doc_id", F.lit(17)).alias("h"), "text", "toxic").collect()
     picked = sorted(picked, key=lambda r: (r["h"], r["text"]))
     marked = np.array([r["toxic"] for r in picked], np.int64)
