@@ -81,14 +81,15 @@ FROM d
 """
 
 
-def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
-    """Fitted on the labelled documents outside the held-out fold."""
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
+    """Fitted on the labelled ones of ``docs`` outside the held-out fold."""
     labels = _table(spark, sf_dir, "labels").where(F.col("doc_id").isNotNull() & ~in_fold(F.col("doc_id"), 5, 0))
-    return toxicity.fit_on(_table(spark, sf_dir, "documents"), labels)
+    return toxicity.fit_on(docs, labels)
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = toxicity.score_toxicity(_table(spark, sf_dir, "documents"), toxicity_model(spark, sf_dir))
+    docs = _table(spark, sf_dir, "documents")
+    found = toxicity.score_toxicity(docs, toxicity_model(spark, docs, sf_dir))
     return found.select("doc_id", in_fold(F.col("doc_id"), 5, 0).alias("held_out"), "score", "predicted")
 
 
