@@ -1,30 +1,57 @@
-"""The corpus pipeline: stages that each apply one operator of ``quadrille.llm``."""
+"""The corpus pipeline: stages that each apply one operator of ``quadrille.llm``.
+
+Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept,
+and returns the kept rows with the columns of ``documents``; the last returns
+how often the mix takes each document.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quadrille.llm import toxicity
 from quadrille.llm._store import Scratch
+from quadrille.llm.decontaminate import drop_contaminated
 from quadrille.llm.exact_dedup import drop_exact_duplicates
+from quadrille.llm.ngram_join import drop_near_duplicates
+from quadrille.llm.queries import toxicity_model
 from quadrille.llm.source_mix import mix_sources
 
 
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier scores at 0.5 or more go."""
+    return toxicity.drop_toxic(docs, toxicity_model(spark, docs, sf_dir))
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the row with the smallest id stays."""
     return drop_exact_duplicates(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component of near duplicates, the row with the smallest id stays."""
+    return drop_near_duplicates(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with enough words in benchmark windows go."""
+    return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """How often the mix takes each document that is left."""
     return mix_sources(docs)
 
 
 STAGES = [
+    ("reject_toxic", reject_toxic),
     ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
+    ("decontaminate", decontaminate),
     ("mix", mix),
 ]
 
-#: Rounding draws its random numbers from a hash that SQL engines don't share.
+#: A fitted classifier and rounding by a hash of Spark's are no SQL.
 ORACLE_SQL = None
 
 
