@@ -110,7 +110,7 @@ def fit(samples: dict[str, list[str]]) -> Model:
             pair = pairs[a : a + 4096]
             none = np.broadcast_to(zero, (len(pair), size))
             bits[len(known) + a : len(known) + a + len(pair), :, at] = _blend([second[pair], first[pair % size], none])
-    return Model(langs, code, size, state, bits.reshape(-1, len(langs)))
+    return Model(langs, code, size, state, bits.reshape(len(bits) * size, len(langs)))
 
 
 def code_lengths(column: pa.Array, model: Model) -> Iterator[tuple[int, np.ndarray]]:
