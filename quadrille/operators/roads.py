@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quadrille import constants as C
-from quadrille.functions.coords import miles_south, miles_west
-from quadrille.functions.names import band_roads, base_road_name, named, name_and_label, pretty_road_name
-from quadrille.functions.coords import ordinate
+from quadrille.functions.coords import miles_south, miles_west, ordinate
+from quadrille.functions.names import band_roads, base_road_name, name_and_label, named, pretty_road_name
 
 AVENUE, STREET = "avenue", "street"
 CANONICAL, BROAD = 0, 1
@@ -41,25 +40,35 @@ def road_spans(vertices: DataFrame) -> DataFrame:
     )
 
 
-def upper_medians(vertices: DataFrame) -> DataFrame:
-    """(base, med_lon, med_lat): of an even number, the upper of the middle two.
+def road_summary(vertices: DataFrame) -> DataFrame:
+    """:func:`road_spans` with med_lon and med_lat: of an even number, the upper of the middle two.
 
-    Sorts within each road by windows, which spill, instead of holding a road's
-    vertices in an array.
+    One shuffle by road.  Medians come from sorts within each road, which spill,
+    and not from arrays of a road's vertices.
     """
-    whole = Window.partitionBy("base")
-    out = None
-    for c in ("lon", "lat"):
-        ranked = vertices.select(
-            "base", c, F.row_number().over(whole.orderBy(c)).alias("at"), F.count("*").over(whole).alias("n")
-        ).where("at = n div 2 + 1")
-        med = ranked.select("base", F.col(c).alias(f"med_{c}"))
-        out = med if out is None else out.join(med, "base")
-    return out
+    road = Window.partitionBy("base")
+    ranked = vertices.select(
+        "*",
+        F.count("*").over(road).alias("__n"),
+        F.row_number().over(road.orderBy("lon")).alias("__lon"),
+        F.row_number().over(road.orderBy("lat")).alias("__lat"),
+    )
+    middle = F.expr("__n div 2 + 1")
+    return ranked.groupBy("base").agg(
+        F.min("seq").alias("seq"),
+        F.count("*").alias("n"),
+        F.min("lat").alias("lat_lo"),
+        F.max("lat").alias("lat_hi"),
+        F.min("lon").alias("lon_lo"),
+        F.max("lon").alias("lon_hi"),
+        F.max(F.when(F.col("__lon") == middle, F.col("lon"))).alias("med_lon"),
+        F.max(F.when(F.col("__lat") == middle, F.col("lat"))).alias("med_lat"),
+    )
 
 
-def _names(spark: SparkSession, names, column: str) -> DataFrame:
-    return spark.createDataFrame([(n,) for n in sorted(set(names))], f"{column} string")
+def upper_medians(vertices: DataFrame) -> DataFrame:
+    """(base, med_lon, med_lat)."""
+    return road_summary(vertices).select("base", "med_lon", "med_lat")
 
 
 def canonical_names(spark: SparkSession) -> DataFrame:
@@ -83,7 +92,7 @@ def road_records(vertices: DataFrame, broad_miles: float = C.BROAD_MILES) -> Dat
     street's the other way round.  A road can be a candidate on both axes.
     """
     spark = vertices.sparkSession
-    roads = road_spans(vertices).join(upper_medians(vertices), "base")
+    roads = road_summary(vertices)
     lat_span = (F.col("lat_hi") - F.col("lat_lo")) / F.lit(C.MILE_LAT)
     lon_span = (F.col("lon_hi") - F.col("lon_lo")) / F.lit(C.MILE_LON)
     roads = roads.withColumn("lat_span", lat_span).withColumn("lon_span", lon_span).withColumn("name", pretty_road_name(F.col("base")))
@@ -117,28 +126,34 @@ def nearest_roads(
     equi-join on the mile rows or columns that a road spans.
     """
     reach = max(name_miles, wide_miles)
-    found = None
-    for axis, across, along, unit_x, unit_a, row in (
-        (AVENUE, "lon", "lat", C.MILE_LON, C.MILE_LAT, miles_south),
-        (STREET, "lat", "lon", C.MILE_LAT, C.MILE_LON, miles_west),
-    ):
-        span = F.lit(span_miles * unit_a)
-        own = records.where(F.col("axis") == axis)
-        filed = own.withColumn(
-            "row",
-            F.explode(F.sequence(F.floor(row(F.col("hi") + span) - F.lit(1e-6)), F.floor(row(F.col("lo") - span) + F.lit(1e-6)))),
-        ).select("row", "tier", "seq", "name", "med", "lo", "hi")
-        met = cells.select(key, F.col(across).alias("x"), F.col(along).alias("a"), F.floor(row(F.col(along))).alias("row")).join(filed, "row")
-        dist = F.abs(F.col("med") - F.col("x"))
-        met = met.where((F.col("lo") - span <= F.col("a")) & (F.col("a") <= F.col("hi") + span))
-        met = met.withColumn("dist", dist).where(F.col("dist") < F.lit(reach * unit_x))
-        near = F.col("dist") < F.lit(name_miles * unit_x)
-        wide = F.col("dist") < F.lit(wide_miles * unit_x)
-        met = met.withColumn("rank", F.when(near, F.col("tier")).when(wide, F.lit(2))).where("rank is not null")
-        best = met.groupBy(key).agg(F.min_by("name", F.struct("rank", "dist", "tier", "seq")).alias(axis))
-        found = best if found is None else found.join(best, key, "full")
-    usable = records.where(F.col("tier") == CANONICAL).agg(F.count_distinct("axis").alias("axes")).where("axes = 2")
-    return found.join(usable.select(F.lit(True).alias("usable")), F.lit(True)).select(key, AVENUE, STREET)
+    avenue = F.col("axis") == AVENUE
+    # One row per road: whether both axes have a canonical one is a property of them all.
+    everything = Window.partitionBy()
+    has = [F.max((F.col("tier") == CANONICAL) & (F.col("axis") == a)).over(everything) for a in (AVENUE, STREET)]
+    lo, hi = (F.col(c) + F.lit(sign * span_miles) * F.when(avenue, F.lit(C.MILE_LAT)).otherwise(F.lit(C.MILE_LON)) for c, sign in (("lo", -1), ("hi", 1)))
+    row = lambda x: F.when(avenue, miles_south(x)).otherwise(miles_west(x))
+    filed = (
+        records.withColumn("usable", has[0] & has[1])
+        .where("usable")
+        .withColumn("lo", lo)
+        .withColumn("hi", hi)
+        .withColumn("row", F.explode(F.sequence(F.floor(row(F.col("hi")) - F.lit(1e-6)), F.floor(row(F.col("lo")) + F.lit(1e-6)))))
+    )
+    sides = F.array(
+        F.struct(F.lit(AVENUE).alias("axis"), F.col("lon").alias("x"), F.col("lat").alias("a"), F.floor(miles_south(F.col("lat"))).alias("row")),
+        F.struct(F.lit(STREET).alias("axis"), F.col("lat").alias("x"), F.col("lon").alias("a"), F.floor(miles_west(F.col("lon"))).alias("row")),
+    )
+    unit = F.when(avenue, F.lit(C.MILE_LON)).otherwise(F.lit(C.MILE_LAT))
+    met = cells.select(key, F.inline(sides)).join(filed, ["axis", "row"]).where("lo <= a and a <= hi")
+    met = met.withColumn("dist", F.abs(F.col("med") - F.col("x"))).where(F.col("dist") < F.lit(reach) * unit)
+    near, wide = (F.col("dist") < F.lit(m) * unit for m in (name_miles, wide_miles))
+    met = met.withColumn("rank", F.when(near, F.col("tier")).when(wide, F.lit(2))).where("rank is not null")
+    place = F.struct("rank", "dist", "tier", "seq")
+    best = met.groupBy(key).agg(
+        F.min_by(F.when(avenue, F.col("name")), F.when(avenue, place)).alias(AVENUE),
+        F.min_by(F.when(~avenue, F.col("name")), F.when(~avenue, place)).alias(STREET),
+    )
+    return best.select(key, AVENUE, STREET)
 
 
 def name_cells(cells: DataFrame, roads: DataFrame | None = None, dialect: str = "full") -> DataFrame:

@@ -46,7 +46,9 @@ def street_lines(centerlines: DataFrame, extend: int = EXTEND) -> DataFrame:
     spark = centerlines.sparkSession
     anchor = lines.anchors(spark)
     vertices = lines.anchor_vertices(roads.road_vertices(centerlines, skip_classes=False), anchor)
-    fitted = lines.complete_lines(lines.fit_lines(vertices, anchor))
+    # At most a line per anchor: fitted once, then carried as rows.
+    fits = lines.fit_lines(vertices, anchor)
+    fitted = lines.complete_lines(spark.createDataFrame(fits.collect(), fits.schema))
     lines.check_lines(fitted)
     return lines.extend_lines(fitted, extend)
 
