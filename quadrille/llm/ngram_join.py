@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quadrille.llm._bytes import NOT_SPACE, chain, digest, hashes, texts, words
@@ -40,7 +40,7 @@ LEAST = (75, 100)
 
 #: Shingles that the order puts last, and how many of them one task proposes.
 COMMON, COMMON_PER_TASK, COMMON_MIN = 1 << 18, 1 << 14, 8
-_FLUSH = 1 << 22
+_FLUSH = 1 << 20
 #: Bits of the filter by which rows without a candidate stay out of a shuffle.
 FILTER_BITS = 26
 
@@ -266,12 +266,12 @@ def link_components(
         star.unionByName(inner).select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct(), "pairs"
     )
 
-    # Any class that a later pair can name is in a shared posting's group or in a group of several.
     members = classes.join(shared.select("grp").unionByName(heads.where("width > 1").select("grp")).distinct(), "grp", "left_semi")
     members = scratch.save(members.select("cls", "grp"), "members")
-    wanted = scratch.save(_texts_of(given, members.select(F.col("cls").alias("doc_id"))), "texts")
 
     def verified(candidates: DataFrame, name: str) -> DataFrame:
+        ends = candidates.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+        wanted = scratch.save(_texts_of(given, scratch.save(ends, f"{name}-ids")), f"{name}-texts")
         left = wanted.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
         right = wanted.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
         both = candidates.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
@@ -293,14 +293,47 @@ def link_components(
         .where("lo <> hi")
         .select("token")
     )
-    still = scratch.save(shared.join(of_group, "grp").join(open_tokens, "token", "left_semi").drop("pivot", "near"), "open")
+    still = scratch.save(shared.join(of_group, "grp").join(open_tokens, "token", "left_semi").drop("pivot", "near"), "open-shingles")
+    beyond = F.expr("(3 * n + 3) div 4 - 1")
+    own = still.groupBy("grp").agg(
+        F.max("n").alias("n"),
+        F.collect_list("token").alias("tokens"),
+        *[F.bit_or(F.expr(f"if(token >> 6 & 3 = {k}, shiftleft(1L, cast(token & 63 as int)), 0L)")).alias(f"s{k}") for k in range(4)],
+    )
+    own = scratch.save(own.withColumn("beyond", beyond), "open-groups")
+    order = Window.partitionBy("grp").orderBy("pos")
+    still = (
+        still.join(own.select("grp", F.size("tokens").alias("held"), "beyond", "s0", "s1", "s2", "s3"), "grp")
+        .withColumn("nth", F.row_number().over(order) - 1)
+        .withColumn("before", F.lag("token").over(order))
+    )
+    still = scratch.save(still, "open")
     x, y = still.alias("x"), still.alias("y")
-    apart = "(x.lo <> x.hi or y.lo <> y.hi or x.lo <> y.lo)"
-    bound = "7 * least(x.n - x.pos, y.n - y.pos) >= 3 * (x.n + y.n)"
+    # Two sets meet in shingles that both prefixes hold, which are open, and beyond
+    # the prefix that ends first.  Each bit that one group's signature has alone is
+    # at least one open shingle that the other lacks.  No link follows if a bound
+    # fails at any common shingle; of neighbouring common shingles the first is
+    # enough to find the pair.
+
+    def held(a: str, b: str) -> str:
+        return f"{a}.held - " + " - ".join(f"bit_count({a}.s{k} & ~{b}.s{k})" for k in range(4))
+
+    near = (
+        "x.token = y.token and x.grp < y.grp and (x.lo <> x.hi or y.lo <> y.hi or x.lo <> y.lo)"
+        f" and 7 * (least({held('x', 'y')}, {held('y', 'x')}) + greatest(x.beyond, y.beyond)) >= 3 * (x.n + y.n)"
+        " and 7 * (least(x.nth, y.nth) + least(x.n - x.pos, y.n - y.pos)) >= 3 * (x.n + y.n)"
+        " and not coalesce(x.before = y.before, false)"
+    )
+    rest = x.join(y, F.expr(near)).select(F.col("x.grp").alias("p"), F.col("y.grp").alias("q")).distinct()
+    # The same bound with the shingles that the two really share.
+    p, q = (own.select(F.col("grp").alias(k), F.struct("n", "tokens", "beyond").alias(f"of_{k}")) for k in "pq")
     rest = (
-        x.join(y, F.expr(f"x.token = y.token and x.grp < y.grp and {apart} and {bound}"))
-        .select(F.col("x.grp").alias("p"), F.col("y.grp").alias("q"))
-        .distinct()
+        rest.join(p, "p")
+        .join(q, "q")
+        .where(
+            "7 * (size(array_intersect(of_p.tokens, of_q.tokens)) + greatest(of_p.beyond, of_q.beyond)) >= 3 * (of_p.n + of_q.n)"
+        )
+        .select("p", "q")
         .unionByName(of_group.where("lo <> hi").select(F.col("grp").alias("p"), F.col("grp").alias("q")))
     )
     one = of_class.select(F.col("grp").alias("p"), F.col("cls").alias("x"), F.col("comp").alias("cx"))

@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from corpus import SCHEMA, documents, rows, space_words
 
 from quadrille.llm import ngram_join
@@ -71,6 +72,29 @@ def test_the_order_does_not_change_the_rows(spark, monkeypatch):
     check(spark, rows(3))
 
 
+@pytest.mark.parametrize("least", [2, 6, 10**9])
+def test_families_of_copies_near_the_threshold(spark, monkeypatch, least):
+    monkeypatch.setattr(ngram_join, "COMMON_MIN", least)
+    draw = random.Random(least)
+    given = []
+    for family in range(6):
+        base = [f"f{family}w{i}" for i in range(draw.choice([40, 70, 90]))]
+        for _ in range(60):
+            w = list(base)
+            for _ in range(draw.choice([0, 1, 2, 2, 3, 3, 4])):
+                at = draw.randrange(len(w))
+                kind = draw.random()
+                if kind < 0.4:
+                    w[at] = f"n{draw.randrange(40)}"
+                elif kind < 0.7:
+                    del w[at : at + draw.choice([1, 1, 5])]
+                else:
+                    w[at:at] = [f"m{draw.randrange(9)}" for _ in range(draw.choice([1, 2, 8]))]
+            given.append((len(given), " ".join(w), *rows()[0][2:]))
+    draw.shuffle(given)
+    check(spark, given)
+
+
 def test_drop_leaves_the_smallest_id_of_each_component(spark):
     out = drop_near_duplicates(documents(spark))
     assert out.columns == documents(spark).columns
