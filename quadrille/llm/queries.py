@@ -14,10 +14,11 @@ from quadrille.llm.decontaminate import LEAST_SHARE, find_overlaps
 from quadrille.llm.exact_dedup import mark_exact_duplicates
 from quadrille.llm.katz import score_katz
 from quadrille.llm.ngram_join import link_components
-from quadrille.llm.secret_scan import BASE_RULES, scan_secrets, span_text
+from quadrille.llm.secret_scan import BASE_RULES, Rule, scan_secrets, span_text
+from quadrille.llm.secret_scan import RULES as ALL_RULES
 from quadrille.llm.source_mix import mix_sources
 from quadrille.llm.token_files import ID_DIGITS, count_tokens, told_id, write_word_ids
-from quadrille.llm.url_filter import filter_urls
+from quadrille.llm.url_filter import RULES, filter_urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -174,6 +175,45 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(_table(spark, sf_dir, "pages"))
 
 
+_PARTS = """CASE WHEN strpos({url}, '://') > 0 THEN substr({url}, strpos({url}, '://') + 3) ELSE '' END"""
+_HOST = "translate(regexp_extract({rest}, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_PATH = "regexp_extract({rest}, '^[^/?#]*([^?#]*)', 1)"
+_RULE_ROWS = ", ".join(f"('{verdict}', '{host}', '{path}')" for verdict, host, path in RULES)
+
+OP8_SQL = rf"""
+WITH RECURSIVE
+rules(verdict, site, under) AS (VALUES {_RULE_ROWS}),
+p AS (SELECT row_number() OVER () AS n, page_id, coalesce(url, '') AS url, coalesce(html, '') AS html, {_PARTS.format(url="coalesce(url, '')")} AS rest FROM pages),
+named AS (SELECT n, page_id, url, html, {_HOST.format(rest="rest")} AS host, {_PATH.format(rest="rest")} AS path FROM p),
+tags AS (SELECT host || path AS a, url, unnest(regexp_extract_all(html, '(?i)<(?:link|meta)\b[^>]*>')) AS t FROM named WHERE host <> ''),
+links AS (
+  SELECT a, url, CASE
+    WHEN regexp_matches(t, '(?i)^<link\b[^>]*\brel\s*=\s*["'']?canonical\b') THEN regexp_extract(t, '(?i)\bhref\s*=\s*["'']?\s*([^"''\s>]+)', 1)
+    WHEN regexp_matches(t, '(?i)^<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b') THEN regexp_extract(t, '(?i)\burl\s*=\s*["'']?\s*([^"''\s>]+)', 1)
+    ELSE '' END AS t FROM tags
+),
+absolute AS (
+  SELECT a, CASE WHEN starts_with(t, '//') THEN split_part(url, '://', 1) || ':' || t
+                 WHEN starts_with(t, '/') THEN regexp_extract(url, '^.*?://[^/?#]*') || t ELSE t END AS t
+  FROM links WHERE t <> ''
+),
+targets AS (SELECT a, {_PARTS.format(url="t")} AS rest FROM absolute),
+edges AS (SELECT a, {_HOST.format(rest="rest")} AS host, {_PATH.format(rest="rest")} AS path FROM targets WHERE {_HOST.format(rest="rest")} <> ''),
+both_ways AS (SELECT a, host || path AS b FROM edges UNION SELECT host || path, a FROM edges),
+addresses AS (SELECT host || path AS a, host, path FROM named UNION SELECT host || path, host, path FROM edges),
+decided AS (
+  SELECT a, arg_max(verdict, length(site || under)) AS verdict, arg_max(site || under, length(site || under)) AS rule
+  FROM addresses JOIN rules ON (host = site OR suffix(host, '.' || site)) AND starts_with(path, under) GROUP BY a, host, path
+),
+reach AS (SELECT a, a AS b FROM both_ways UNION SELECT reach.a, both_ways.b FROM reach JOIN both_ways ON reach.b = both_ways.a),
+spread AS (
+  SELECT reach.a FROM reach JOIN decided ON decided.a = reach.b GROUP BY reach.a HAVING bool_or(verdict = 'block') AND NOT bool_or(verdict = 'allow')
+)
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN host || path IN (SELECT a FROM spread) THEN 'block' ELSE 'allow' END) AS verdict
+FROM named LEFT JOIN decided ON decided.a = host || path
+"""
+
+
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents"))
 
@@ -193,6 +233,39 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _span_rows(number: int, rule: Rule) -> str:
+    """Spans of one rule: the pieces between matches and the matches before add up to each start."""
+    pattern = rule.pattern.replace("'", "''")
+    before = lambda of, upto: f"coalesce(list_sum(list_transform(list_slice({of}, 1, {upto}), lambda x: length(x))), 0)"
+    return f"""m{number} AS (
+  SELECT doc_id, regexp_split_to_array(t, '{pattern}') AS gaps, regexp_extract_all(t, '{pattern}') AS found,
+         regexp_extract_all(t, '{pattern}', {rule.group}) AS held
+  FROM d WHERE regexp_matches(t, '{pattern}')
+),
+i{number} AS (SELECT *, unnest(range(1, len(found) + 1)) AS i FROM m{number}),
+s{number} AS (
+  SELECT doc_id, {number} AS rank, '{rule.kind}' AS kind, CAST({before("gaps", "i")} + {before("found", "i - 1")} AS BIGINT) AS start,
+         CAST({before("gaps", "i")} + {before("found", "i")} AS BIGINT) AS stop
+  FROM i{number} WHERE length(held[i]) >= {rule.least}
+)"""
+
+
+_SPANS = "string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank)"
+OP10_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+{", ".join(_span_rows(n, r) for n, r in enumerate(ALL_RULES))},
+spans AS ({" UNION ALL ".join(f"SELECT * FROM s{n}" for n, _ in enumerate(ALL_RULES))}),
+grouped AS (
+  SELECT doc_id, {", ".join(f"count(*) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in BASE_RULES)},
+         {_SPANS} FILTER (rank < {len(BASE_RULES)}) AS base, {_SPANS} AS spans
+  FROM spans GROUP BY doc_id
+)
+SELECT d.doc_id, {", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in BASE_RULES)},
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN grouped ON grouped.doc_id = d.doc_id
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_language_id": op2_language_id,
@@ -210,4 +283,6 @@ ORACLE_SQL: dict[str, str] = {
     "op3_exact_dedup": OP3_SQL,
     "op6_token_counts": OP6_SQL,
     "op7_decontaminate": OP7_SQL,
+    "op8_url_filter": OP8_SQL,
+    "op10_secret_scan": OP10_SQL,
 }
