@@ -387,5 +387,10 @@ FROM (SELECT * FROM named_simple WHERE ks > -5) AS a FULL JOIN (SELECT * FROM na
 mixed AS (SELECT b.chi_id, coalesce(avenue, av) AS a, coalesce(street, st) AS s FROM banded AS b JOIN near USING (chi_id)),
 inside AS ({textwrap.dedent(LATTICE_POLYGON.replace(f"{CELLS}, ", ""))})
 SELECT chi_id, {_naming("a", "s", "chi_id", "full")} FROM mixed WHERE chi_id IN (SELECT chi_id FROM inside)""",
+    "geojson_lines": f"""WITH roads(r, street_name, class) AS ({_values(ROADS)})
+SELECT street_name, CAST(sum(CASE WHEN ({ROAD_SEQ}) % 3 = 1 THEN 2 ELSE 1 END) AS BIGINT) AS vertices
+FROM lineitem JOIN roads ON r = l_partkey % 40 WHERE ({ROAD_SEQ}) % 3 = 1 OR (({ROAD_SEQ}) % 3 = 0 AND ({ROAD_SEQ}) % 7 <> 0) GROUP BY street_name""",
+    "boundary_edges": f"""WITH {NATIONS} SELECT n_nationkey, count(*) * CASE WHEN n_nationkey % 2 = 0 THEN 2 ELSE 1 END AS edges, round(min(y1), 6) AS south
+FROM edges GROUP BY n_nationkey""",
     "dissolved_outline": "SELECT CAST(20 AS BIGINT) AS edges",
 }

@@ -18,7 +18,7 @@ from quadrille.operators.locate import cover_index, locate
 from quadrille.operators.places import assign_places, category_counts, featured_places, summarise_places
 from quadrille.operators.regions import airport_members, label_regions
 from quadrille.plans import grids
-from quadrille.sources.geojson import feature_collection, feature_json
+from quadrille.sources.geojson import feature_collection, feature_json, lines_of, polygon_edges, polygons_of
 from quadrille.sources.tables import flat_grid
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -396,8 +396,6 @@ def overlay_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dissolved_outline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from quadrille.sources.geojson import polygon_edges
-
     cells = _cells(spark).where("ks between 0 and 5 and kw between 0 and 3").select("chi_id", F.col("geometry").alias("polygon"))
     kept = overlay.dissolve(polygon_edges(cells, "chi_id"))
     return kept.agg(F.count("*").alias("edges"))
@@ -412,3 +410,25 @@ def geojson_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 def geojson_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = feature_json(grids.regular_grid(spark, dialect=SIMPLE), ["chi_id", "chi_ordinate", "name", "label", "center"])
     return feature_collection(cells, {"system": "square mile grid", "cell_miles": 1})
+
+
+@query
+def geojson_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every kind, malformed ones and others, back from their GeoJSON text."""
+    given = inputs.centerlines(spark, sf_dir)
+    kind = F.element_at(F.array(*[F.lit(k) for k in ("LineString", "MultiLineString", "Point")]), (F.col("seq") % 3 + 1).cast("int"))
+    text = F.when(F.col("seq") % 3 == 1, F.to_json(F.array("points", "points"))).when(F.col("seq") % 7 == 0, F.lit("[[")).otherwise(F.to_json("points"))
+    shape = F.struct(kind.alias("type"), text.alias("coordinates"))
+    found = given.select("street_name", F.size(lines_of(shape)).alias("n")).where("n > 0")
+    return found.groupBy("street_name").agg(F.sum("n").alias("vertices"))
+
+
+@query
+def boundary_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edges of polygons and multipolygons back from their GeoJSON text."""
+    given = inputs.nation_polygons(spark, sf_dir)
+    many = F.col("n_nationkey") % 2 == 0
+    text = F.when(many, F.to_json(F.array("geometry", "geometry"))).otherwise(F.to_json("geometry"))
+    shape = F.struct(F.when(many, "MultiPolygon").otherwise("Polygon").alias("type"), text.alias("coordinates"))
+    parts = given.select("n_nationkey", F.explode(polygons_of(shape)).alias("polygon"))
+    return polygon_edges(parts, "n_nationkey").groupBy("n_nationkey").agg(F.count("*").alias("edges"), F.round(F.min("y1"), 6).alias("south"))

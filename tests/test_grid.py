@@ -228,3 +228,28 @@ def test_stream_of_points(spark, tmp_path):
     run = windowed_counts(stream, "t", "1 minute", "5 minutes").writeStream.format("memory").queryName("counts").outputMode("complete").trigger(availableNow=True).start()
     run.awaitTermination()
     assert sorted((r["chi_id"], r["n"]) for r in spark.table("counts").collect()) == [("5S3W", 3)] * 3
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from quadrille.__main__ import main
+
+    main(["regular"], spark)
+    out = capsys.readouterr()
+    assert json.loads(out.out)["properties"]["count"] == 952 and out.err.strip().endswith("wrote 952 cells")
+    ring = [list(p) for p in [*inputs.CITY, inputs.CITY[0]]]
+    city = write(tmp_path / "city.json", {"type": "Polygon", "coordinates": [ring]})
+    main(["regular", "--boundary", city], spark)
+    assert 200 < json.loads(capsys.readouterr().out)["properties"]["count"] < 400
+    road = lambda name, a, b: {
+        "type": "Feature",
+        "properties": {"STREET_NAME": name, "CLASS": "2"},
+        "geometry": {"type": "LineString", "coordinates": [[a[0] + (b[0] - a[0]) * k / 9, a[1] + (b[1] - a[1]) * k / 9] for k in range(10)]},
+    }
+    features = [road(b, (C.ORIGIN_LON - i * C.MILE_LON, 41.6), (C.ORIGIN_LON - i * C.MILE_LON, 42.1)) for i, b in C.ANCHORS_NS.items()]
+    features += [road(b, (-87.84, C.ORIGIN_LAT - i * C.MILE_LAT), (-87.5, C.ORIGIN_LAT - i * C.MILE_LAT)) for i, b in C.ANCHORS_EW.items()]
+    roads_file = write(tmp_path / "roads.json", {"data": {"type": "FeatureCollection", "features": features}})
+    main(["streets", "--boundary", city, "--centerlines", roads_file], spark)
+    found = json.loads(capsys.readouterr().out)
+    inner = [f["properties"] for f in found["features"] if not f["properties"]["edge"]]
+    assert len(inner) > 30 and all(abs(p["area_sqmi"] - 1) < 0.01 and not p["flag"] for p in inner)
+    assert {p["chi_id"]: p["label_canon"] for p in inner}["5S3W"] == "Dam43"
