@@ -35,11 +35,12 @@ def cover_index(cells: DataFrame, order: str, keep: Sequence[str], geometry: str
     return filed.groupBy("s", "w").agg(F.array_sort(F.collect_list(entry)).alias("cells"))
 
 
-def locate(points: DataFrame, index: DataFrame, lat: str = "lat", lon: str = "lon", squares: bool = False) -> DataFrame:
+def locate(points: DataFrame, index: DataFrame, lat: str = "lat", lon: str = "lon", squares: bool = False, inside_only: bool = False) -> DataFrame:
     """``points`` with ``cell``: the struct of the first cell that covers the point, or null.
 
     Borders count.  ``squares`` says that cells are boxes, whose bounds decide.
-    Points without coordinates have no cell.
+    Points without coordinates have no cell.  ``inside_only`` leaves out points
+    without a cell.
     """
     x, y = F.col(lon), F.col(lat)
 
@@ -50,8 +51,8 @@ def locate(points: DataFrame, index: DataFrame, lat: str = "lat", lon: str = "lo
     # -0.0 and nulls: a floor gives whole numbers, and null keys meet nothing.
     placed = points.withColumn("__s", F.floor(miles_south(y))).withColumn("__w", F.floor(miles_west(x)))
     filed = index.select(F.col("s").alias("__s"), F.col("w").alias("__w"), F.col("cells").alias("__cells"))
-    return (
-        placed.join(filed, ["__s", "__w"], "left")
-        .withColumn("cell", F.get(F.filter("__cells", inside), F.lit(0))["cell"])
-        .drop("__s", "__w", "__cells")
-    )
+    first = F.transform(F.slice(F.filter("__cells", inside), 1, 1), lambda c: c["cell"])
+    met = placed.join(filed, ["__s", "__w"], "inner" if inside_only else "left")
+    # A generator, unlike a filter on the result, searches each array once.
+    found = met.withColumn("cell", F.explode(first)) if inside_only else met.withColumn("cell", F.get(first, F.lit(0)))
+    return found.drop("__s", "__w", "__cells")

@@ -12,8 +12,8 @@ from quadrille.operators.locate import cover_index, locate
 def assign_places(places: DataFrame, cells: DataFrame, squares: bool = False, lat: str = "lat", lon: str = "lng") -> DataFrame:
     """Places inside a cell, with ``chi_id``: the first cell, by id, that covers them."""
     index = cover_index(cells, "chi_id", ["chi_id"])
-    found = locate(places.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()), index, lat, lon, squares)
-    return found.where(F.col("cell").isNotNull()).withColumn("chi_id", F.col("cell.chi_id")).drop("cell")
+    found = locate(places.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()), index, lat, lon, squares, inside_only=True)
+    return found.withColumn("chi_id", F.col("cell.chi_id")).drop("cell")
 
 
 def ranked_places(assigned: DataFrame) -> DataFrame:

@@ -128,8 +128,8 @@ def chi_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def region_pip(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = cover_index(inputs.nation_polygons(spark, sf_dir), "n_nationkey", ["n_nationkey"])
-    found = locate(inputs.points(spark, sf_dir), index)
-    return found.select("event_id", F.col("cell.n_nationkey").alias("n_nationkey")).where("n_nationkey is not null")
+    found = locate(inputs.points(spark, sf_dir), index, inside_only=True)
+    return found.select("event_id", F.col("cell.n_nationkey").alias("n_nationkey"))
 
 
 @query
