@@ -22,8 +22,8 @@ from quadrille.llm._store import Scratch
 
 SIZES = (4, 5, 6)
 #: Bounds of the fitting sample, for each label, and of the model.
-SAMPLE_ROWS, SAMPLE_BYTES, FEATURES = 4000, 12 << 20, 1024
-_BUCKETS = 21
+SAMPLE_ROWS, SAMPLE_BYTES, FEATURES = 2500, 8 << 20, 1024
+_BUCKETS = 20
 _KEY = np.uint64(0x9E3779B97F4A7C15)
 
 #: A-Z in lower case and every white space as one kind.
@@ -55,9 +55,9 @@ def _grams(t: Texts, size: int) -> tuple[np.ndarray, np.ndarray]:
     return keys[places] | np.uint64(size << 56), places
 
 
-def _sets(held: list[str], pick) -> Iterator[tuple[int, np.ndarray]]:
+def _sets(held: pa.Array, pick) -> Iterator[tuple[int, np.ndarray]]:
     """(text, its distinct n-grams that ``pick`` lets through)."""
-    for t in texts(pa.array(held, pa.string()), 1 << 20, TABLE):
+    for t in texts(held, 1 << 17, TABLE):
         found = []
         for size in SIZES:
             keys, places = _grams(t, size)
@@ -76,14 +76,14 @@ def _logistic(x: np.ndarray, labels: np.ndarray, weight: np.ndarray, ridge: floa
     sign = 1 - 2 * labels
 
     def loss(b: np.ndarray) -> float:
-        return float(weight @ np.logaddexp(0, sign * (x @ b)) + penalty @ (b * b) / 2)
+        return float(weight @ np.logaddexp(0, sign * (x @ b.astype(np.float32))) + penalty @ (b * b) / 2)
 
     beta = np.zeros(x.shape[1])
     beta[-1] = bias
     now = loss(beta)
     for _ in range(40):
-        mu = 1 / (1 + np.exp(-np.clip(x @ beta, -500, 500)))
-        slope = x.T @ (weight * (mu - labels)) + penalty * beta
+        mu = 1 / (1 + np.exp(-np.clip((x @ beta.astype(np.float32)).astype(float), -500, 500)))
+        slope = x.T @ (weight * (mu - labels)).astype(np.float32) + penalty * beta
         curve = (x * (weight * mu * (1 - mu)).astype(np.float32)[:, None]).T @ x
         move, step = np.linalg.solve(curve + np.diag(penalty), slope), 1.0
         while (after := loss(beta - step * move)) > now and step > 1e-6:
@@ -94,7 +94,7 @@ def _logistic(x: np.ndarray, labels: np.ndarray, weight: np.ndarray, ridge: floa
     return beta
 
 
-def fit(held: list[str], labels: np.ndarray, weight: np.ndarray, features: int = FEATURES, ridge: float = 2.0) -> Model:
+def fit(held: pa.Array, labels: np.ndarray, weight: np.ndarray, features: int = FEATURES, ridge: float = 2.0) -> Model:
     """Model of sample texts with labels 0 and 1; ``weight`` undoes unequal sampling."""
     weight = weight / weight.mean() if len(weight) else weight
     ones = float(weight[labels == 1].sum())
@@ -130,11 +130,14 @@ def fit(held: list[str], labels: np.ndarray, weight: np.ndarray, features: int =
         place[keep] = np.arange(len(keep))
         ok = place[column] >= 0
         keys, column, of = keys[keep], place[column[ok]], of[ok]
-    x = np.zeros((len(held), len(keys)), np.float32)
+    x = np.zeros((len(held), len(keys) + 1), np.float32)
     x[of, column] = 1
-    p, q = 1 + weight[labels == 1] @ x[labels == 1], 1 + weight[labels == 0] @ x[labels == 0]
+    p, q = (1 + np.where(labels == k, weight, 0).astype(np.float32) @ x for k in (1, 0))
+    p, q = p[:-1], q[:-1]
     ratio = np.log((p / (ones + 2)) / (q / (zeros + 2)))
-    beta = _logistic(np.concatenate([x * ratio.astype(np.float32), np.ones((len(held), 1), np.float32)], 1), labels, weight, ridge, none.bias)
+    x[:, :-1] *= ratio.astype(np.float32)
+    x[:, -1] = 1
+    beta = _logistic(x, labels, weight, ridge, none.bias)
     maybe = np.zeros(1 << 20, bool)
     maybe[_bucket(keys, 20)] = True
     return Model(keys, beta[:-1] * ratio, float(beta[-1]), maybe)
@@ -209,9 +212,9 @@ def fit_on(docs: DataFrame, labels: DataFrame, *, rows: int = SAMPLE_ROWS, size:
     known = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(marks), "doc_id")
     known = Scratch(docs.sparkSession, "toxicity").save(known, "sample")
     sample, _ = sample_by(known, "toxic", rows, size)
-    picked = sample.select(F.xxhash64("doc_id", F.lit(17)).alias("h"), "text", "toxic").collect()
-    picked = sorted(picked, key=lambda r: (r["h"], r["text"]))
-    marked = np.array([r["toxic"] for r in picked], np.int64)
+    picked = sample.select(F.xxhash64("doc_id", F.lit(17)).alias("h"), "text", "toxic").toArrow()
+    picked = picked.sort_by([("h", "ascending"), ("text", "ascending")]).combine_chunks()
+    marked = picked["toxic"].to_numpy().astype(np.int64)
     got = {k: max(1, int((marked == k).sum())) for k in (0, 1)}
     weight = np.array([totals[k] / got[k] for k in marked.tolist()])
-    return fit([r["text"] for r in picked], marked, weight)
+    return fit(picked["text"], marked, weight)
