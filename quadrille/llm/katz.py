@@ -28,19 +28,19 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quadrille.llm._bytes import NOT_SPACE, U64, hashes, mix, texts, words
-from quadrille.llm._sampling import in_fold
 from quadrille.llm._store import Scratch
 
 #: Counts up to K are discounted by Good-Turing, greater ones by this factor.
 K, LARGE = 5, 0.995
 #: Greatest sizes of the tables of frequent words and pairs.
 HOT_WORDS, HOT_PAIRS = 1 << 16, 1 << 16
-PART_TOKENS = 1 << 20
-_CHUNK, _ROWS = 4 << 20, 50_000
+_STRIDE = 1 << 16
+PART_TOKENS = 700_000
+_CHUNK, _ROWS = 2 << 20, 50_000
 _MUL = U64(0x9E3779B97F4A7C15)
 END, START = U64(0xE0D), U64(0x57A27)
 
@@ -104,12 +104,15 @@ def _rows(kind: int, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
     )
 
 
-def _common_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    top = _Top(HOT_WORDS)
-    for batch in batches:
-        for t in _tokens(batch.column(1)):
-            top.add(t.word.view(np.int64))
-    yield _rows(0, *top.result())
+def _common_words(most: int):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        top = _Top(most)
+        for batch in batches:
+            for t in _tokens(batch.column(1)):
+                top.add(t.word.view(np.int64))
+        yield _rows(0, *top.result())
+
+    return count
 
 
 class Hot(NamedTuple):
@@ -139,12 +142,12 @@ def _codes(hot: Hot, t: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     h[1:] = w[:-1]
     opens = np.cumsum(t.sizes) - t.sizes
     h[opens] = hot.place(np.array([START]))[0]
-    return w, h, np.where((w >= 0) & (h >= 0), h * HOT_WORDS + w, -1)
+    return w, h, np.where((w >= 0) & (h >= 0), h * _STRIDE + w, -1)
 
 
-def _count_words(shared):
+def _count_words(shared, most: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot, top = shared.value, _Top(HOT_PAIRS)
+        hot, top = shared.value, _Top(most)
         sums = np.zeros(len(hot.words), np.int64)
         docs = tokens = every = 0
         for batch in batches:
@@ -383,7 +386,14 @@ class Discounts(NamedTuple):
 
 
 def score_katz(
-    docs: DataFrame, train: F.Column | None = None, *, id_col: str = "doc_id", text_col: str = "text", part_tokens: int = PART_TOKENS
+    docs: DataFrame,
+    train: Column | None = None,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    part_tokens: int = PART_TOKENS,
+    hot_words: int = HOT_WORDS,
+    hot_pairs: int = HOT_PAIRS,
 ) -> DataFrame:
     """One row per document: doc_id, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -401,15 +411,17 @@ def score_katz(
     every = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.coalesce(train if train is not None else F.lit(True), F.lit(False)).alias("train")
     )
+    if hot_words > _STRIDE:
+        raise ValueError(f"at most {_STRIDE} frequent words")
     given = every.where("doc_id is not null")
     share = lambda x: spark.sparkContext.broadcast(x)
 
     # Frequent words, then their counts and the frequent pairs, then the counts of those.
     none = np.zeros(0, np.int64)
-    found = given.mapInArrow(_common_words, _KEYS).groupBy("id").agg(F.sum("n").alias("n"))
-    found = found.orderBy(F.desc("n"), "id").limit(HOT_WORDS - 2).select("id").toArrow().column(0).to_numpy().view(U64)
+    found = given.mapInArrow(_common_words(hot_words), _KEYS).groupBy("id").agg(F.sum("n").alias("n"))
+    found = found.orderBy(F.desc("n"), "id").limit(hot_words - 2).select("id").toArrow().column(0).to_numpy().view(U64)
     hot = Hot(np.unique(np.concatenate([found, [END, START]])).astype(U64), none, none, none)
-    counts = scratch.save(given.mapInArrow(_count_words(share(hot)), _KEYS).groupBy("kind", "id").agg(F.sum("n").alias("n")), "word-counts")
+    counts = scratch.save(given.mapInArrow(_count_words(share(hot), hot_pairs), _KEYS).groupBy("kind", "id").agg(F.sum("n").alias("n")), "word-counts")
 
     def table(df: DataFrame, size: int) -> np.ndarray:
         got = df.select("id", "n").toArrow()
@@ -419,7 +431,7 @@ def score_katz(
 
     trained, n_tokens, all_tokens = table(counts.where("kind = 2"), 3).tolist()
     word_n = table(counts.where("kind = 0"), len(hot.words))
-    pairs = counts.where("kind = 1").orderBy(F.desc("n"), "id").limit(HOT_PAIRS).select("id").toArrow().column(0).to_numpy()
+    pairs = counts.where("kind = 1").orderBy(F.desc("n"), "id").limit(hot_pairs).select("id").toArrow().column(0).to_numpy()
     hot = hot._replace(word_n=word_n, pairs=np.sort(pairs))
     pair_n = table(given.mapInArrow(_count_pairs(share(hot)), _KEYS).groupBy("id").agg(F.sum("n").alias("n")), len(pairs))
     hot = hot._replace(pair_n=pair_n)
@@ -453,10 +465,10 @@ def _finish(every: DataFrame, solved: DataFrame, hot: Hot, model: Discounts, scr
     taken = sum(F.col(f"u{r}") * number(r * model.word[r - 1] / n) for r in range(1, K + 1)) + F.col("u6") * number(LARGE / n)
     known = hot.pair_n > 0
     r, pairs = hot.pair_n[known], hot.pairs[known]
-    c = hot.word_n[pairs % HOT_WORDS]
+    c = hot.word_n[pairs % _STRIDE]
     own = pa.table(
         {
-            "id": hot.words[pairs // HOT_WORDS].view(np.int64),
+            "id": hot.words[pairs // _STRIDE].view(np.int64),
             "mass": r * (1 - model.pair[np.minimum(r, K + 1) - 1]),
             "taken": c * model.word[np.minimum(c, K + 1) - 1] / n,
         }
