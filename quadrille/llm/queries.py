@@ -215,7 +215,8 @@ FROM named LEFT JOIN decided ON decided.a = host || path
 
 
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix_sources(_table(spark, sf_dir, "documents"))
+    found = mix_sources(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
 def _of_kinds(kinds: list[str]) -> Column:

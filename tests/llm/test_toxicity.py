@@ -5,7 +5,6 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from corpus import SCHEMA, documents, rows
-from pyspark.sql import functions as F
 
 from quadrille.llm.toxicity import SIZES, drop_toxic, fit, fit_on, score_toxicity, scores
 
