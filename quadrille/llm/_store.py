@@ -14,6 +14,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Rows that Spark hands to Python at once: texts are long, and default batches of them are large.
+ARROW_ROWS = 2000
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share."""
     found = spark.conf.get("spark.checkpoint.dir", None)
@@ -27,10 +31,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 class Scratch:
-    """Tables of one run of an operator, under one folder of their own."""
+    """Tables of one run of an operator, under one folder of their own.
+
+    Also holds the session to small Arrow batches.
+    """
 
     def __init__(self, spark: SparkSession, label: str) -> None:
         self.spark = spark
+        if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) not in range(1, ARROW_ROWS + 1):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
         self.root = f"{shared_dir(spark)}/quadrille-{label}-{uuid.uuid4().hex}"
 
     def path(self, name: str) -> str:
