@@ -23,6 +23,8 @@ from quadrille.operators.lines import EW, NS
 EDGE_DEGREES = 1e-5
 #: Pieces thinner than this are what rounding leaves of an exact cut.
 SLIVER = 1e-16
+#: Pairs of a point and an edge that are measured at once.
+_BLOCK = 1 << 18
 
 
 def split_ring(ring: np.ndarray, side: np.ndarray, along: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -99,15 +101,27 @@ def _near(points: np.ndarray, ring: np.ndarray) -> float:
     """Least distance of points to the edges of a ring."""
     a, d = ring, np.roll(ring, -1, 0) - ring
     length = np.maximum((d * d).sum(1), 1e-300)
-    best = np.inf
-    for p in points:
-        t = np.clip(((p - a) * d).sum(1) / length, 0, 1)
-        best = min(best, float(np.sqrt((((a + t[:, None] * d) - p) ** 2).sum(1).min())))
+    best, step = np.inf, max(1, _BLOCK // len(ring))
+    for first in range(0, len(points), step):
+        p = points[first : first + step, None]
+        t = np.clip(((p - a) * d).sum(2) / length, 0, 1)
+        best = min(best, float(np.sqrt((((a + t[..., None] * d) - p) ** 2).sum(2).min())))
         if best == 0:
             break
     return best
 
 
+def boundary_distance(face: np.ndarray, outline: np.ndarray) -> float:
+    """Least distance between the edges of a face and those of the outline that it was cut from."""
+    best = _near(face, outline)
+    if best > 0:
+        # A vertex of the outline can only be nearer if it is as near to the face's box.
+        reach = best + 1e-9
+        close = ((outline >= face.min(0) - reach) & (outline <= face.max(0) + reach)).all(1)
+        best = min(best, _near(outline[close], face))
+    return best
+
+
 FACE = "part int, strip int, lon double, lat double, area double, near double, ring array<array<double>>"
 
 
@@ -129,8 +143,7 @@ def _strip_faces(ns: list[tuple[float, float]], ew: list[tuple[float, float]]):
                     if len(p) < 3 or area(p) <= SLIVER:
                         continue
                     lon, lat = inner_point([p])
-                    near = min(_near(p, outline), _near(outline, p)) if len(outline) < 100_000 else _near(p, outline)
-                    out.append((row.part, row.strip, lon, lat, area(p), near, [*p.tolist(), p[0].tolist()]))
+                    out.append((row.part, row.strip, lon, lat, area(p), boundary_distance(p, outline), [*p.tolist(), p[0].tolist()]))
                 yield pd.DataFrame(out, columns=[f.split()[0] for f in FACE.split(", ")])
 
     return faces

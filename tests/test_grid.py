@@ -2,6 +2,7 @@ import json
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -163,6 +164,23 @@ def test_street_grid_tiles_the_city(spark, sf_dir):
     assert all(r["flag"] == (not r["edge"] and not 0.9 <= r["area_sqmi"] <= 1.1) for r in rows)
 
 
+@pytest.mark.parametrize("gap", [0.0, 5e-6, 0.5])
+def test_distance_of_faces_is_that_of_a_small_outline(gap):
+    # A notch ends on, just short of or well above the middle face, which has no vertex at the outline.
+    notch = [(4, 4), (2.1, 4), (2, 2 + gap), (1.9, 4), (0, 4)]
+    small = np.array([(0, 0), (4, 0), *notch], float)
+    many = np.stack([np.linspace(0, 4, 100_001), np.zeros(100_001)], 1)
+    large = np.concatenate([many, np.array(notch, float)])
+    cut = overlay._strip_faces([(0.0, 1.0), (0.0, 3.0)], [(0.0, 1.0), (0.0, 2.0)])
+    near = []
+    for ring in (small, large):
+        frame = pd.DataFrame({"part": [0], "ring": [ring.tolist()], "strip": [1]})
+        faces = [(min(y for _, y in r), n) for r, n in next(cut(iter([frame])))[["ring", "near"]].itertuples(index=False)]
+        near.append([n for _, n in sorted(faces)])
+    assert near[1] == pytest.approx(near[0], abs=1e-12)
+    assert near[1] == pytest.approx([0, gap, 0], abs=1e-12)
+
+
 def test_dissolve_cancels_shared_edges(spark):
     cells = with_rings(lattice(spark)).where("ks between 0 and 2 and kw between 0 and 2").select("chi_id", F.col("geometry").alias("polygon"))
     assert overlay.dissolve(geojson.polygon_edges(cells, "chi_id")).count() == 12
