@@ -46,6 +46,19 @@ def rule_for(host: Column, path: Column, rules: Sequence[tuple[str, str, str]])
     return rule, verdict
 
 
+def _without_dots(path: Column) -> Column:
+    """A path that begins with a slash, its segments ``.`` and ``..`` worked off; ``..`` at the top goes."""
+    parts = F.split(path, "/", -1)
+
+    def step(kept: Column, part: Column) -> Column:
+        up = F.when(F.size(kept) > 1, F.slice(kept, 1, F.size(kept) - 1)).otherwise(kept)
+        return F.when(part == "..", up).when(part == ".", kept).otherwise(F.concat(kept, F.array(part)))
+
+    kept = F.aggregate(parts, F.array().cast("array<string>"), step)
+    ends = F.element_at(parts, -1).isin(".", "..")
+    return F.array_join(F.concat(kept, F.when(ends, F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))), "/")
+
+
 def _links(url: Column, html: Column) -> Column:
     """Absolute addresses that the page names as its canonical form or sends the reader to."""
     tags = F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(r"(?i)<(?:link|meta)\b[^>]*>"), F.lit(0))
@@ -57,11 +70,16 @@ def _links(url: Column, html: Column) -> Column:
     )
     scheme = F.regexp_extract(url, r"(?s)^(.*?)://", 1)
     site = F.regexp_extract(url, r"(?s)^.*?://[^/?#]*", 0)
+    _, path = url_parts(url)
+    # Up to the last slash; a page without a path lies in the site's root.
+    folder = F.when(path == "", F.lit("/")).otherwise(F.regexp_extract(path, r"(?s)^.*/", 0))
     return F.transform(
         F.filter(targets, lambda t: t != ""),
         lambda t: F.when(F.startswith(t, F.lit("//")), F.concat(scheme, F.lit(":"), t))
         .when(F.startswith(t, F.lit("/")), F.concat(site, t))
-        .otherwise(t),
+        .when(F.regexp_like(t, F.lit(r"^[A-Za-z][A-Za-z0-9+.-]*:")), t)
+        .when(F.regexp_like(t, F.lit(r"^[?#]")), F.concat(site, path, t))
+        .otherwise(F.concat(site, _without_dots(F.concat(folder, F.regexp_extract(t, r"^[^?#]*", 0))))),
     )
 
 
@@ -78,7 +96,9 @@ def filter_urls(
 
     ``redirects`` may add edges ``(from_url, to_url)``, as a crawl log has them;
     ``html_col=None`` leaves canonical links and refreshes out.  Addresses are
-    compared by host and path.  Pages with a null url, or one without ``://``,
+    compared by host and path.  Canonical links and refreshes relative to the
+    page's folder are resolved against its url (a ``base`` element isn't read).
+    Pages with a null url, or one without ``://``,
     have an empty host and path, no rule and no aliases, and are allowed.  Null
     html has no links.  Repeated rows each get their verdict.  Extra columns are
     ignored; an empty table gives an empty result.

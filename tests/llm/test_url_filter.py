@@ -71,3 +71,20 @@ def test_without_links_and_empty(spark):
     found = {r["page_id"]: r["verdict"] for r in filter_urls(pages, html_col=None).collect()}
     assert found[7] == "allow" and found[5] == "block"
     assert filter_urls(pages.limit(0)).collect() == []
+
+
+def test_targets_relative_to_the_page(spark):
+    cases = [
+        (1, "http://shop.xyz/a/home.html", canonical("http://a.example.com/en/5"), "block"),
+        (2, "http://shop.xyz/a/b/x?q=/z/", refresh("../home.html"), "block"),
+        (3, "HTTP://Shop.xyz", canonical("a/./home.html?to=http://b.org/x#f"), "block"),
+        (4, "http://shop.xyz/a/", refresh("home.html"), "block"),
+        (5, "http://shop.xyz/a/q#/r", refresh("../../b/../a/home.html"), "block"),
+        (6, "http://shop.xyz/a/home.html/y", canonical(".."), "block"),  # the folder, 4
+        (7, "http://shop.xyz/free", canonical("?x=home.html"), "allow"),
+        (8, "http://shop.xyz/a/mail", refresh("mailto:home.html"), "allow"),
+        (9, "http://shop.xyz/a/z", canonical("home.html/."), "allow"),
+        (10, "http://other.xyz/a/z", refresh("home.html"), "allow"),
+    ]
+    pages = spark.createDataFrame([(*r[:3], "n", "h", "o") for r in cases], SCHEMA)
+    assert {r["page_id"]: r["verdict"] for r in filter_urls(pages).collect()} == {r[0]: r[3] for r in cases}
