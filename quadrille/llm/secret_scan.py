@@ -47,10 +47,10 @@ BASE_RULES = (
 )
 MORE_RULES = (
     Rule("pem", 1, r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
-    Rule("forge", 1, r"\bgh[opsur]_[A-Za-z0-9]{36,}"),
+    Rule("forge", 2, r"\b(?:gh[opsur]_[A-Za-z0-9]{36,}|github_pat_[A-Za-z0-9_]{36,})"),
     Rule("jwt", 1, r"\beyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     Rule("bearer", 1, r"\b[Bb]earer\x20+[A-Za-z0-9._~+/-]{20,}=*"),
-    Rule("userinfo", 1, r"\b[a-z][a-z0-9+.-]{1,20}://[^\x00-\x20/:@]{1,64}:[^\x00-\x20/:@]{3,64}@"),
+    Rule("userinfo", 2, r"\b[a-z][a-z0-9+.-]{1,20}://[^\x00-\x20/:@]+:[^\x00-\x20/:@]{3,}@"),
 )
 RULES = BASE_RULES + MORE_RULES
 

@@ -65,3 +65,20 @@ def test_awkward_rows_and_empty_table(spark):
     assert found.count() == len(rows())
     none, ledger = scan_secrets(spark.createDataFrame([], SCHEMA))
     assert none.collect() == [] and ledger.collect() == []
+
+
+def test_long_credentials(spark):
+    token = "github_pat_" + "A1b2" * 5 + "C3_" + "d4E5" * 14 + "f6G"
+    assert len(token) == 93
+    given = [f"see https://me:{token}@host.org/x", f"http://{'u' * 70}:{'p' * 100_000}@h", "ftp://a:bc@h", f"x://u:{'p' * 300} @h", f"({token})", "github_pat_short"]
+    found, _ = scan_secrets(documents(spark, [(i, t, *rows()[0][2:]) for i, t in enumerate(given)]))
+    got = {r["doc_id"]: [(s["kind"], given[r["doc_id"]][s["start"] : s["end"]]) for s in r["spans"]] for r in found.collect()}
+    kinds = ("userinfo", "forge")
+    assert {i: [s for s in spans if s[0] in kinds] for i, spans in got.items()} == {
+        0: [("userinfo", f"https://me:{token}@"), ("forge", token)],
+        1: [("userinfo", given[1][:-1])],
+        2: [],
+        3: [],
+        4: [("forge", token)],
+        5: [],
+    }
