@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Texts of more bytes are scored like all others but not sampled for fitting.
+#: Texts of more bytes are scored like all others but not sampled whole for fitting.
 LONGEST_SAMPLED = 1 << 20
 
 

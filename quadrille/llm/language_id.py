@@ -21,11 +21,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quadrille.llm._bytes import PAD, Texts, texts
-from quadrille.llm._sampling import sample_by
+from quadrille.llm._sampling import LONGEST_SAMPLED, sample_by
 
 ORDER = 3
 #: Bounds of the fitting sample, for each language.
 SAMPLE_ROWS, SAMPLE_BYTES = 600, 3 << 20
+#: Long texts that lend a piece each where a language has no others.
+LONG_TEXTS = 6
 _BLOCK = 1 << 19
 
 
@@ -178,8 +180,8 @@ def fit_on(docs: DataFrame, *, rows: int = SAMPLE_ROWS, size: int = SAMPLE_BYTES
     """Fits on a bounded sample of ``docs`` (doc_id, text, lang), by the hash of the id.
 
     At most ``rows`` texts and ``size`` bytes are expected for each non-null
-    language; every language that has a text of at most LONGEST_SAMPLED bytes
-    is learned, from one text if need be.
+    language; every language is learned, from one text if need be, and where all
+    its texts have over LONGEST_SAMPLED bytes from the middles of LONG_TEXTS.
     """
     named = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "lang")
     sample, totals = sample_by(named, "lang", rows, size)
@@ -188,5 +190,12 @@ def fit_on(docs: DataFrame, *, rows: int = SAMPLE_ROWS, size: int = SAMPLE_BYTES
     for row in sorted(picked, key=lambda r: r["h"]):
         held.setdefault(row["lang"], []).append(row["text"])
     for lang in set(totals) - set(held):
-        held[lang] = [r["text"] for r in named.where((F.col("lang") == lang) & (F.octet_length("text") <= 1 << 20)).limit(1).collect()]
+        held[lang] = [r["text"] for r in named.where((F.col("lang") == lang) & (F.octet_length("text") <= LONGEST_SAMPLED)).limit(1).collect()]
+    every = {r["lang"] for r in named.where("lang is not null").select("lang").distinct().collect()}
+    # A character has four bytes at most.
+    piece = max(1, size // (4 * LONG_TEXTS))
+    middle = F.substring("text", F.greatest(F.lit(1), F.floor((F.char_length("text") - piece) / 2).cast("int")), F.lit(piece))
+    for lang in every - set(totals):
+        pieces = named.where(F.col("lang") == lang).select(F.xxhash64("doc_id", F.lit(17)).alias("h"), middle.alias("text"))
+        held[lang] = [r["text"] for r in pieces.orderBy("h", "text").limit(LONG_TEXTS).collect()]
     return fit(held)

@@ -79,3 +79,14 @@ def test_held_out_accuracy(spark, sf_dir):
     truth = spark.read.parquet(f"{sf_dir.replace('sf0.001', 'sf0.01')}/documents.parquet").select("doc_id", "lang")
     row = found.where("held_out").join(truth, "doc_id").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int")).alias("a")).first()
     assert row["a"] > 0.98
+
+
+def test_language_of_long_texts_alone(spark):
+    given = [(i, "the quick brown fox jumps over the lazy dog " * 3, "en") for i in range(5)]
+    given += [(9, "der schnelle braune fuchs springt über den faulen hund " * 22_000, "de")]
+    given += [(10, "über den faulen hund springt der fuchs", None), (11, "over the lazy dog jumps the fox", None)]
+    docs = spark.createDataFrame(given, "doc_id bigint, text string, lang string")
+    model = fit_on(docs)
+    assert model.langs == ["de", "en"]
+    found = {r["doc_id"]: r["lang_pred"] for r in identify(docs, model).collect()}
+    assert found == {**dict.fromkeys(range(5), "en"), 9: "de", 10: "de", 11: "en"}
