@@ -2,9 +2,9 @@
 
 A blob is a distinct text, addressed by its SHA-256.  The ledger holds, for
 every blob and rule version that were ever scanned together, the spans found.
-A scan addresses all rows, leaves out the pairs that the ledger has, reads the
-text of each remaining blob once (from one of its rows), and joins the ledger's
-spans back to every row.  A text shared by thousands of rows is scanned once; a
+A scan addresses all rows, leaves out the pairs that the ledger has, moves and
+reads the text of each remaining blob once (from one of its rows), and joins the
+ledger's spans back to every row.  A text shared by thousands of rows is scanned once; a
 new version of one rule rescans that rule alone.
 
 DataFrame functions only.  Positions come from splitting a text at the matches:
@@ -13,12 +13,13 @@ the code points of the pieces and of the matches add up to every start and end.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quadrille.llm._marks import marks, with_mark
 from quadrille.llm._store import Scratch
 
 
@@ -55,34 +56,53 @@ MORE_RULES = (
 RULES = BASE_RULES + MORE_RULES
 
 SPAN = "struct<start:bigint,rank:int,end:bigint,kind:string>"
+SPANS = "array<struct<start:bigint,end:bigint>>"
+#: Matches whose running sums are made together.
+_BLOCK = 128
 LEDGER = "blob string, kind string, version int, spans array<struct<start:bigint,end:bigint>>"
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is evaluated once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _spans(text: Column, rule: Rule) -> Column:
-    """Leftmost non-overlapping matches as array<struct<start,end>>, in code points, end exclusive."""
+    """Leftmost non-overlapping matches as array<struct<start,end>>, in code points, end exclusive.
+
+    The pieces between matches and the matches are taken from the text once.
+    Their running sums are made in blocks of _BLOCK matches, then over blocks, so
+    that a text of many matches takes time in proportion to them.
+    """
     pattern = F.lit(rule.pattern)
-    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
-    gaps = F.transform(F.split(text, rule.pattern, -1), lambda x: F.char_length(x))
-    found = F.regexp_extract_all(text, pattern, F.lit(0))
-    sizes = F.transform(found, lambda x: F.char_length(x))
-    held = F.transform(F.regexp_extract_all(text, pattern, F.lit(rule.group)), lambda x: F.char_length(x)) if rule.group else sizes
-    start = F.struct(F.lit(0).cast("long").alias("at"), none.alias("spans"))
-
-    def step(acc: Column, x: Column) -> Column:
-        begin = acc["at"] + x["gap"]
-        end = begin + x["size"]
-        span = F.array(F.struct(begin.alias("start"), end.alias("end")))
-        return F.struct(
-            end.alias("at"),
-            F.when(x["held"] >= rule.least, F.concat(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"),
+    sizes = lambda xs: F.transform(xs, lambda x: F.char_length(x).cast("long"))
+    found = sizes(F.regexp_extract_all(text, pattern, F.lit(0)))
+    held = sizes(F.regexp_extract_all(text, pattern, F.lit(rule.group))) if rule.group else found
+    # One more piece than matches: the last has no size.
+    pieces = F.arrays_zip(sizes(F.split(text, rule.pattern, -1)).alias("gap"), found.alias("size"), held.alias("held"))
+
+    def block(piece: Column, number: Column) -> Column:
+        start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(SPANS).alias("spans"))
+
+        def step(acc: Column, x: Column) -> Column:
+            begin = acc["at"] + x["gap"]
+            end = begin + F.coalesce(x["size"], F.lit(0).cast("long"))
+            span = F.array(F.struct(begin.alias("start"), end.alias("end")))
+            stays = F.coalesce(x["held"] >= rule.least, F.lit(False))
+            return F.struct(end.alias("at"), F.when(stays, F.concat(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"))
+
+        return F.aggregate(F.slice(piece, number * _BLOCK + 1, F.lit(_BLOCK)), start, step)
+
+    def shifted(blocks: Column) -> Column:
+        ends = F.aggregate(
+            blocks, F.array(F.lit(0).cast("long")), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x["at"]))
         )
+        move = lambda by: lambda s: F.struct((s["start"] + by).alias("start"), (s["end"] + by).alias("end"))
+        return _let(ends, lambda at: F.flatten(F.transform(blocks, lambda x, i: F.transform(x["spans"], move(F.get(at, i))))))
 
-    pieces = F.transform(
-        F.sequence(F.lit(1), F.size(found)),
-        lambda i: F.struct(F.element_at(gaps, i).alias("gap"), F.element_at(sizes, i).alias("size"), F.element_at(held, i).alias("held")),
-    )
-    walked = F.aggregate(pieces, start, step, lambda acc: acc["spans"])
-    return F.when(F.regexp_like(text, pattern), walked).otherwise(none)
+    walk = lambda p: F.transform(F.sequence(F.lit(0), F.floor((F.size(p) - 1) / _BLOCK).cast("int")), lambda i: block(p, i))
+    walked = _let(_let(pieces, walk), shifted)
+    return F.when(F.regexp_like(text, pattern), walked).otherwise(F.array().cast(SPANS))
 
 
 def scan_secrets(
@@ -100,7 +120,8 @@ def scan_secrets(
     in ``rules``.  ledger: every (blob, kind, version) scanned so far, old rows
     and new ones, with ``spans``; pass it to the next scan.  Null text counts as
     empty; rows without a match have an empty array.  Repeated rows and equal
-    texts share one blob.  Null ids are kept.  Other columns are ignored; an
+    texts share one blob.  Null ids are kept.  Texts of any length and number of
+    matches are scanned whole.  Other columns are ignored; an
     empty table gives no findings and adds nothing to the ledger.
     """
     spark = docs.sparkSession
@@ -118,13 +139,17 @@ def scan_secrets(
         .groupBy("blob")
         .agg(F.collect_set("kind").alias("seen"))
     )
+    reader = lambda of: F.concat_ws(":", F.col("blob"), F.col(of).cast("string"))
     todo = (
         blobs.join(seen, "blob", "left")
         .withColumn("todo", F.array_except(F.array(*[F.lit(r.kind) for r in rules]), F.coalesce("seen", F.array().cast("array<string>"))))
         .where(F.size("todo") > 0)
-        .select(F.col("blob").alias("__blob"), "reader", "todo")
+        .select(reader("reader").alias("__key"), "todo")
     )
-    unread = texts.join(todo, F.col("doc_id").eqNullSafe(F.col("reader")) & (F.col("blob") == F.col("__blob")))
+    todo = scratch.save(todo, "todo")
+    # Only texts that may be unread are moved, and of rows repeated in id and text one is scanned.
+    maybe = with_mark(texts.select(reader("doc_id").alias("key"), "blob", "text"), F.col("key"), marks(todo, F.col("__key")), "maybe").where("maybe")
+    unread = maybe.join(todo, F.col("key") == F.col("__key")).groupBy("key").agg(*[F.first(c).alias(c) for c in ("blob", "text", "todo")])
     scans = F.array(
         *[
             F.struct(
@@ -139,7 +164,6 @@ def scan_secrets(
         unread.select("blob", F.explode(scans).alias("s"))
         .select("blob", "s.kind", "s.version", "s.spans")
         .where("spans is not null")
-        .dropDuplicates(["blob", "kind", "version"])
     )
     fresh = scratch.save(fresh, "fresh")
     ledger_now = known.select("blob", "kind", "version", "spans").unionByName(fresh)

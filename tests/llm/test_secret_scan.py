@@ -1,5 +1,6 @@
 import random
 import re
+import time
 from dataclasses import replace
 
 from corpus import SCHEMA, documents, rows
@@ -82,3 +83,23 @@ def test_long_credentials(spark):
         4: [("forge", token)],
         5: [],
     }
+
+
+def test_a_text_of_many_matches(spark):
+    """100,000 matches of one rule, and of another, in a text; time in proportion to them."""
+    text = "".join(f"é token=abcdef{i % 7}{'x' * (i % 3)} {'0f' * 12}\n" for i in range(100_000))
+    given = [(1, text, *rows()[0][2:]), (2, text[: len(text) // 2], *rows()[0][2:])]
+    began = time.perf_counter()
+    found, _ = scan_secrets(documents(spark, given))
+    got = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["spans"]] for r in found.collect()}
+    took = time.perf_counter() - began
+    for i, t, *_ in given:
+        assert sorted(got[i]) == sorted(brute(t))
+    assert len(got[1]) == 200_000 and took < 60, took
+
+
+def test_rows_repeated_in_id_and_text_are_scanned_once(spark):
+    given = [(i, "token=abcdefgh", *rows()[0][2:]) for i in (None, None, 3, 3, 4)]
+    found, ledger = scan_secrets(documents(spark, given))
+    assert [len(r["spans"]) for r in found.collect()] == [1] * 5
+    assert ledger.count() == len(RULES)
