@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from quadrille.llm._bytes import NOT_SPACE, chain, digest, hashes, texts, words
 from quadrille.llm._components import connected_components
+from quadrille.llm._marks import marks, with_mark
 from quadrille.llm._store import Scratch
 
 #: Link when 100 * intersection >= 75 * union, that is 7 * intersection >= 3 * (sum of sizes).
@@ -375,4 +376,8 @@ def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: s
         .select(F.col("doc_id").alias("__gone"))
         .distinct()
     )
-    return docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")
+    gone = Scratch(docs.sparkSession, "near").save(gone, "gone")
+    # Rows whose id surely isn't among them pass without a shuffle.
+    flagged = with_mark(docs, F.col(f"`{id_col}`").cast("long"), marks(gone, F.col("__gone")), "__maybe")
+    rest = flagged.where("__maybe").join(gone, F.col(f"`{id_col}`") == F.col("__gone"), "left_anti")
+    return flagged.where("not __maybe").unionByName(rest).drop("__maybe")

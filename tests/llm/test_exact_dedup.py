@@ -3,6 +3,7 @@ import re
 from collections import defaultdict
 
 from corpus import SCHEMA, documents, rows
+from pyspark.sql import functions as F
 
 from quadrille.llm.exact_dedup import drop_exact_duplicates, mark_exact_duplicates
 
@@ -51,6 +52,26 @@ def test_drop_keeps_one_row_of_each_group(spark):
     assert {digest(r["text"]) for r in left} == set(groups)
 
 
+def test_drop_with_heavy_groups_and_repeated_rows(spark):
+    rest = rows()[0][2:]
+    given = rows() + [(2000 + i % 90, "very common", *rest) for i in range(300)] + [(None, "very common", *rest)] * 3
+    given += [(None, "only null ids", *rest)] * 4 + [(2000, "another text", *rest)] * 2
+    for heavy_min in (8, 10**9):
+        left = drop_exact_duplicates(documents(spark, given), heavy_min=heavy_min).collect()
+        groups = expected(given)
+        assert len(left) == len(groups) and {digest(r["text"]) for r in left} == set(groups)
+        for r in left:
+            known = [i for i in groups[digest(r["text"])] if i is not None]
+            assert r["doc_id"] == (min(known) if known else None)
+
+
+def test_drop_leaves_odd_column_names_alone(spark):
+    docs = documents(spark).withColumn("__sha", F.lit("own")).withColumn("a.b", F.lit(1)).withColumn("__digests", F.lit(2))
+    left = drop_exact_duplicates(docs)
+    assert left.columns == docs.columns
+    assert {r["__sha"] for r in left.collect()} == {"own"}
+
+
 def test_empty_table(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert mark_exact_duplicates(none).collect() == []
