@@ -11,8 +11,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 #: Rows that Spark hands to Python at once: texts are long, and default batches of them are large.
 ARROW_ROWS = 2000
@@ -54,3 +54,26 @@ class Scratch:
         """Delete a table that nothing will read again."""
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def running_sums(scratch: Scratch, rows: DataFrame, order: list[Column], value: Column, name: str) -> DataFrame:
+    """``rows`` with a column ``before``: the sum of ``value`` over all rows ahead of each in the order, which must be total.
+
+    The rows are dealt out by ranges and written; each range is summed by
+    itself, and only one total per range reaches the driver.
+    """
+    placed = rows.withColumn("__value", value).repartitionByRange(*order).withColumn("__range", F.spark_partition_id())
+    placed = scratch.save(placed, name)
+    totals = sorted((r["__range"], r["t"]) for r in placed.groupBy("__range").agg(F.sum("__value").alias("t")).collect())
+    ahead, so_far = [], 0
+    for at, total in totals:
+        ahead.append((at, so_far))
+        so_far += total
+    ahead = scratch.spark.createDataFrame(ahead, "__at int, __ahead bigint")
+    within = Window.partitionBy("__range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        placed.withColumn("before", F.coalesce(F.sum("__value").over(within), F.lit(0)))
+        .join(F.broadcast(ahead), F.col("__range") == F.col("__at"))
+        .withColumn("before", F.col("before") + F.col("__ahead"))
+        .drop("__value", "__range", "__at", "__ahead")
+    )

@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quadrille.llm._store import Scratch
+from quadrille.llm._store import Scratch, running_sums
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -35,27 +35,30 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, cap
 
     Sources in code-point order, null last, take ``weights`` in turn and share
     ``share`` times all words; no target exceeds ``cap`` times its source.  The
-    excess of capped sources is shared again by weight: with sources ordered by
-    ``cap * size / weight``, the capped ones are exactly those reached by the
-    level that the remaining words and weights give.
+    excess of capped sources is shared again by weight, round by round, until
+    none is above; a round is one aggregation over the sources, and each caps
+    one more at least.
     """
+    scratch = Scratch(sizes.sparkSession, "targets")
     per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
-    turn = (F.row_number().over(by_name) - 1) % len(weights)
-    per = per.withColumn("weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), turn + 1))
-    per = per.withColumn("top", F.col("source_size") * F.lit(float(cap)))
-    everything = Window.partitionBy()
-    by_level = Window.orderBy(F.col("top") / F.col("weight"), F.col("source").asc_nulls_last())
-    before = by_level.rowsBetween(Window.unboundedPreceding, -1)
-    left = F.sum("source_size").over(everything) * F.lit(float(share)) - F.coalesce(F.sum("top").over(before), F.lit(0.0))
-    open_weight = F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))
-    per = per.withColumn("level", left / open_weight)
-    capped = F.col("level") * F.col("weight") >= F.col("top")
-    # Later sources, taken as if the uncapped ones before them were capped, have lower levels.
-    level = F.max(F.when(~capped, F.col("level"))).over(everything)
-    return per.withColumn("target", F.when(capped, F.col("top")).otherwise(level * F.col("weight"))).select(
-        "source", "source_size", "n", "target"
-    )
+    numbered = running_sums(scratch, per, [F.col("source").isNull(), F.col("source")], F.lit(1).cast("long"), "by-name")
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("before") % len(weights) + 1).cast("int"))
+    per = numbered.withColumn("weight", weight).withColumn("top", F.col("source_size") * F.lit(float(cap))).drop("before")
+    per = scratch.save(per, "weighed")
+    level, before = 0.0, -1
+    while True:
+        # Whether a source is capped at the level of the round before.
+        capped = F.lit(level) * F.col("weight") >= F.col("top")
+        found = per.agg(
+            F.sum("source_size").alias("all"),
+            F.count_if(capped).alias("n"),
+            F.sum(F.when(capped, F.col("top"))).alias("top"),
+            F.sum(F.when(~capped, F.col("weight"))).alias("open"),
+        ).first()
+        if found["n"] == before or not found["open"]:
+            break
+        level, before = ((found["all"] or 0) * share - (found["top"] or 0.0)) / found["open"], found["n"]
+    return per.select("source", "source_size", "n", F.when(capped, F.col("top")).otherwise(F.lit(level) * F.col("weight")).alias("target"))
 
 
 def _uniform(*cols: Column) -> Column:
@@ -65,12 +68,12 @@ def _uniform(*cols: Column) -> Column:
 
 def _fold(units: Column, seed: int, level: int) -> Column:
     """Sorted units -> struct(carry, done): pairs them until one is left."""
-    unit = "struct<doc_id:bigint,size:bigint,base:bigint,mass:double>"
+    unit = "struct<doc_id:bigint,nth:bigint,size:bigint,base:bigint,mass:double>"
     done = "array<struct<doc_id:bigint,size:bigint,copies:bigint>>"
     start = F.struct(F.lit(None).cast(unit).alias("carry"), F.array().cast(done).alias("done"))
 
     def unit_of(x: Column, mass: Column) -> Column:
-        return F.struct(x["doc_id"].alias("doc_id"), x["size"].alias("size"), x["base"].alias("base"), mass.alias("mass"))
+        return F.struct(*[x[c].alias(c) for c in ("doc_id", "nth", "size", "base")], mass.alias("mass"))
 
     def close(acc: Column, x: Column, extra: int) -> Column:
         return F.concat(
@@ -82,7 +85,7 @@ def _fold(units: Column, seed: int, level: int) -> Column:
         a = acc["carry"]
         room_a, room_b = a["size"] - a["mass"], b["size"] - b["mass"]
         gain_a, gain_b = F.least(room_a, b["mass"]), F.least(a["mass"], room_b)
-        draw = _uniform(F.lit(seed), F.lit(level), a["doc_id"], b["doc_id"])
+        draw = _uniform(F.lit(seed), F.lit(level), *[x[c] for x in (a, b) for c in ("doc_id", "nth")])
         to_a = draw * (gain_a + gain_b) < gain_b
 
         def out(carry: Column, closed: Column) -> Column:
@@ -115,22 +118,21 @@ def mix_sources(
 
     ``copies`` is how often the mix takes the document and ``taken`` is
     ``copies * size``.  Null or empty texts have size 0 and are taken 0 times.
-    Null sources form one source, the last.  Rows repeated with one id are
-    units of their own.  Draws are hashes of ids and ``seed``, so reruns agree,
+    Null sources form one source, the last.  Texts of any length are counted
+    whole.  Rows repeated with one id are units of their own and fall into blocks
+    of their own; ties of size are broken by hashes.  Draws are hashes of ids and ``seed``, so reruns agree,
     whatever the partitioning.  Other columns are ignored; an empty table gives
     an empty result.  ``copies`` never exceeds the least whole number that is
     at least ``target / source_size``.
     """
     scratch = Scratch(docs.sparkSession, "mix")
-    sizes = scratch.save(
-        docs.select(
-            F.col(id_col).cast("long").alias("doc_id"),
-            F.col(source_col).alias("source"),
-            word_count(F.col(text_col)).alias("size"),
-        ),
-        "sizes",
+    sizes = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")
     )
-    targets = scratch.save(source_targets(sizes, weights, share, cap).coalesce(1), "targets")
+    # Rows alike in all of these are told apart by a number, however they are partitioned.
+    sizes = scratch.save(sizes.groupBy("source", "doc_id", "size").agg(F.count("*").alias("alike")), "sizes")
+    sizes = sizes.select("source", "doc_id", "size", F.explode(F.sequence(F.lit(1).cast("long"), "alike")).alias("nth"))
+    targets = scratch.save(source_targets(sizes, weights, share, cap), "targets")
     most = targets.agg(F.max("n")).first()[0] or 0
 
     t = targets.select(F.col("source").alias("__source"), "source_size", "target", "n")
@@ -142,12 +144,12 @@ def mix_sources(
     ready = units.where(whole).select("doc_id", "size", F.when(F.col("size") > 0, F.col("base")).otherwise(0).cast("long").alias("copies"), *keys)
 
     blocks = F.ceil(F.col("n") / fan_in)
-    fractional = units.where(~whole).withColumn("block", F.pmod(F.xxhash64("doc_id", F.lit(seed)), blocks))
+    fractional = units.where(~whole).withColumn("block", F.pmod(F.xxhash64("doc_id", "nth", "size", F.lit(seed)), blocks))
     width, level = -(-most // fan_in), 0
     while True:
         packed = fractional.groupBy(*keys, "block").agg(
             F.array_sort(
-                F.collect_list(F.struct((-F.col("size")).alias("o"), F.xxhash64("doc_id", F.lit(seed + 1)).alias("h"), "doc_id", "size", "base", "mass"))
+                F.collect_list(F.struct((-F.col("size")).alias("o"), F.xxhash64("doc_id", "nth", F.lit(seed + 1)).alias("h"), "doc_id", "nth", "size", "base", "mass"))
             ).alias("units")
         )
         folded = scratch.save(packed.select(*keys, "block", _fold(F.col("units"), seed, level).alias("f")), f"level-{level}")
@@ -158,7 +160,7 @@ def mix_sources(
         fractional = left.withColumn("block", F.expr(f"block div {fan_in}"))
         width, level = -(-width // fan_in), level + 1
 
-    last = _uniform(F.lit(seed), F.lit(-1), F.col("doc_id")) * F.col("size") < F.col("mass")
+    last = _uniform(F.lit(seed), F.lit(-1), F.col("doc_id"), F.col("nth")) * F.col("size") < F.col("mass")
     ready = ready.unionByName(left.select("doc_id", "size", (F.col("base") + last.cast("long")).alias("copies"), *keys))
     return ready.select(
         "doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
