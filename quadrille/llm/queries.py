@@ -180,37 +180,72 @@ _HOST = "translate(regexp_extract({rest}, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWX
 _PATH = "regexp_extract({rest}, '^[^/?#]*([^?#]*)', 1)"
 _RULE_ROWS = ", ".join(f"('{verdict}', '{host}', '{path}')" for verdict, host, path in RULES)
 
+
+
+def _address(url: str, rest: str) -> str:
+    """Host, path (the root if left out) and query."""
+    path = _PATH.format(rest=rest)
+    return f"{_HOST.format(rest=rest)} || CASE WHEN {path} = '' THEN '/' ELSE {path} END || regexp_extract({rest}, '^[^?#]*(\\?[^#]*)', 1)"
+
+
+def _undotted(path: str) -> str:
+    """A path that begins with a slash without its segments . and .. , which leave a slash at the end."""
+    parts = f"string_split({path}, '/')"
+    fold = f"""list_reduce({parts}, lambda kept, x : CASE WHEN x = '..' THEN regexp_replace(kept, '/[^/]*$', '') WHEN x = '.' THEN kept ELSE kept || '/' || x END)"""
+    return f"{fold} || CASE WHEN {parts}[-1] IN ('.', '..') THEN '/' ELSE '' END"
+
+
+def _resolved(base: str, to: str) -> str:
+    rest = _PARTS.format(url=base)
+    site, path = f"regexp_extract({base}, '^.*?://[^/?#]*')", _PATH.format(rest=f"({rest})")
+    place, after = f"regexp_extract({to}, '^[^?#]*')", f"regexp_extract({to}, '^[^?#]*(.*)$', 1)"
+    folder = f"CASE WHEN {path} = '' THEN '/' ELSE regexp_extract({path}, '^.*/') END"
+    return f"""(CASE
+    WHEN starts_with({to}, '//') THEN split_part({base}, '://', 1) || ':' || {to}
+    WHEN starts_with({to}, '/') THEN {site} || {_undotted(place)} || {after}
+    WHEN regexp_matches({to}, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN {to}
+    WHEN starts_with({to}, '?') THEN {site} || {path} || {to}
+    WHEN starts_with({to}, '#') THEN {site} || {path} || regexp_extract(({rest}), '^[^?#]*(\\?[^#]*)', 1) || {to}
+    ELSE {site} || {_undotted(f"({folder} || {place})")} || {after} END)"""
+
+
 OP8_SQL = rf"""
 WITH RECURSIVE
 rules(verdict, site, under) AS (VALUES {_RULE_ROWS}),
 p AS (SELECT row_number() OVER () AS n, page_id, coalesce(url, '') AS url, coalesce(html, '') AS html, {_PARTS.format(url="coalesce(url, '')")} AS rest FROM pages),
-named AS (SELECT n, page_id, url, html, {_HOST.format(rest="rest")} AS host, {_PATH.format(rest="rest")} AS path FROM p),
-tags AS (SELECT host || path AS a, url, unnest(regexp_extract_all(html, '(?i)<(?:link|meta)\b[^>]*>')) AS t FROM named WHERE host <> ''),
+named AS (SELECT n, page_id, url, html, rest, {_HOST.format(rest="rest")} AS host, {_PATH.format(rest="rest")} AS path FROM p),
+tags AS (SELECT url, html, unnest(regexp_extract_all(html, '(?i)<(?:link|meta)\b[^>]*>')) AS t FROM named WHERE host <> ''),
 links AS (
-  SELECT a, url, CASE
+  SELECT url, replace(regexp_extract(regexp_extract(html, '(?i)<base\b[^>]*\bhref\s*=\s*["'']?\s*[^"''\s>][^>]*>'), '(?i)\bhref\s*=\s*["'']?\s*([^"''\s>]+)', 1), '&amp;', '&') AS base,
+    replace(CASE
     WHEN regexp_matches(t, '(?i)^<link\b[^>]*\brel\s*=\s*["'']?canonical\b') THEN regexp_extract(t, '(?i)\bhref\s*=\s*["'']?\s*([^"''\s>]+)', 1)
     WHEN regexp_matches(t, '(?i)^<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b') THEN regexp_extract(t, '(?i)\burl\s*=\s*["'']?\s*([^"''\s>]+)', 1)
-    ELSE '' END AS t FROM tags
+    ELSE '' END, '&amp;', '&') AS t FROM tags
 ),
-absolute AS (
-  SELECT a, CASE WHEN starts_with(t, '//') THEN split_part(url, '://', 1) || ':' || t
-                 WHEN starts_with(t, '/') THEN regexp_extract(url, '^.*?://[^/?#]*') || t ELSE t END AS t
-  FROM links WHERE t <> ''
+based AS (SELECT url, CASE WHEN base = '' THEN url ELSE {_resolved("url", "base")} END AS base, t FROM links WHERE t <> ''),
+joined AS (SELECT url AS f, {_resolved("base", "t")} AS t FROM based),
+sides AS (SELECT f, t, {_PARTS.format(url="f")} AS f_rest, {_PARTS.format(url="t")} AS t_rest FROM joined),
+edges AS (
+  SELECT {_address("f", "f_rest")} AS a, {_address("t", "t_rest")} AS b, {_HOST.format(rest="f_rest")} AS a_host, {_PATH.format(rest="f_rest")} AS a_path,
+         {_HOST.format(rest="t_rest")} AS b_host, {_PATH.format(rest="t_rest")} AS b_path
+  FROM sides
+  WHERE {_HOST.format(rest="f_rest")} <> '' AND {_HOST.format(rest="t_rest")} <> ''
 ),
-targets AS (SELECT a, {_PARTS.format(url="t")} AS rest FROM absolute),
-edges AS (SELECT a, {_HOST.format(rest="rest")} AS host, {_PATH.format(rest="rest")} AS path FROM targets WHERE {_HOST.format(rest="rest")} <> ''),
-both_ways AS (SELECT a, host || path AS b FROM edges UNION SELECT host || path, a FROM edges),
-addresses AS (SELECT host || path AS a, host, path FROM named UNION SELECT host || path, host, path FROM edges),
+both_ways AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges),
+addresses AS (SELECT a, a_host AS host, a_path AS path FROM edges UNION SELECT b, b_host, b_path FROM edges),
 decided AS (
-  SELECT a, arg_max(verdict, length(site || under)) AS verdict, arg_max(site || under, length(site || under)) AS rule
-  FROM addresses JOIN rules ON (host = site OR suffix(host, '.' || site)) AND starts_with(path, under) GROUP BY a, host, path
+  SELECT host, path, arg_max(verdict, length(site || under)) AS verdict, arg_max(site || under, length(site || under)) AS rule
+  FROM (SELECT host, path FROM named UNION SELECT host, path FROM addresses)
+  JOIN rules ON (host = site OR suffix(host, '.' || site)) AND starts_with(path, under) GROUP BY host, path
 ),
 reach AS (SELECT a, a AS b FROM both_ways UNION SELECT reach.a, both_ways.b FROM reach JOIN both_ways ON reach.b = both_ways.a),
 spread AS (
-  SELECT reach.a FROM reach JOIN decided ON decided.a = reach.b GROUP BY reach.a HAVING bool_or(verdict = 'block') AND NOT bool_or(verdict = 'allow')
+  SELECT reach.a FROM reach JOIN addresses ON addresses.a = reach.b JOIN decided USING (host, path)
+  GROUP BY reach.a HAVING bool_or(verdict = 'block') AND NOT bool_or(verdict = 'allow')
 )
-SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN host || path IN (SELECT a FROM spread) THEN 'block' ELSE 'allow' END) AS verdict
-FROM named LEFT JOIN decided ON decided.a = host || path
+SELECT page_id, host, path, rule,
+       coalesce(verdict, CASE WHEN host <> '' AND {_address("url", "rest")} IN (SELECT a FROM spread) THEN 'block' ELSE 'allow' END) AS verdict
+FROM named LEFT JOIN decided USING (host, path)
 """
 
 

@@ -1,7 +1,7 @@
 """URL filters whose blocks reach the aliases of a page.
 
-A page's own rule decides first.  Pages and link targets that a redirect or a
-canonical link joins form components (distributed connected components); a
+A page's own rule decides first.  Addresses that a redirect or a canonical link
+joins form components (distributed connected components); a
 page without a rule of its own takes the block of a component in which some
 address is blocked and none is allowed.  An explicit allow therefore always
 takes precedence: on the page itself, and over blocks that would spread.
@@ -59,30 +59,47 @@ def _without_dots(path: Column) -> Column:
     return F.array_join(F.concat(kept, F.when(ends, F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))), "/")
 
 
-def _links(url: Column, html: Column) -> Column:
-    """Absolute addresses that the page names as its canonical form or sends the reader to."""
-    tags = F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(r"(?i)<(?:link|meta)\b[^>]*>"), F.lit(0))
-    canonical = F.filter(tags, lambda t: F.regexp_like(t, F.lit(r"""(?i)^<link\b[^>]*\brel\s*=\s*["']?canonical\b""")))
-    refresh = F.filter(tags, lambda t: F.regexp_like(t, F.lit(r"""(?i)^<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b""")))
-    targets = F.concat(
-        F.transform(canonical, lambda t: F.regexp_extract(t, r"""(?i)\bhref\s*=\s*["']?\s*([^"'\s>]+)""", 1)),
-        F.transform(refresh, lambda t: F.regexp_extract(t, r"""(?i)\burl\s*=\s*["']?\s*([^"'\s>]+)""", 1)),
-    )
-    scheme = F.regexp_extract(url, r"(?s)^(.*?)://", 1)
-    site = F.regexp_extract(url, r"(?s)^.*?://[^/?#]*", 0)
-    _, path = url_parts(url)
+def address(url: Column) -> Column:
+    """What a url is known by: host, path and query; a path left out is the root.  Empty without a host."""
+    host, path = url_parts(url)
+    query = F.regexp_extract(url, r"(?s)^.*?://[^?#]*(\?[^#]*)", 1)
+    return F.when(host != "", F.concat(host, F.when(path == "", F.lit("/")).otherwise(path), query)).otherwise(F.lit(""))
+
+
+def resolve(base: Column, target: Column) -> Column:
+    """An absolute url for a reference found in a document whose base is ``base``."""
+    scheme = F.regexp_extract(base, r"(?s)^(.*?)://", 1)
+    site = F.regexp_extract(base, r"(?s)^.*?://[^/?#]*", 0)
+    _, path = url_parts(base)
+    own_query = F.regexp_extract(base, r"(?s)^.*?://[^?#]*(\?[^#]*)", 1)
     # Up to the last slash; a page without a path lies in the site's root.
     folder = F.when(path == "", F.lit("/")).otherwise(F.regexp_extract(path, r"(?s)^.*/", 0))
-    return F.transform(
-        F.filter(targets, lambda t: t != ""),
-        lambda t: F.when(F.startswith(t, F.lit("//")), F.concat(scheme, F.lit(":"), t))
-        .when(F.startswith(t, F.lit("/")), F.concat(site, t))
-        .when(F.regexp_like(t, F.lit(r"^[A-Za-z][A-Za-z0-9+.-]*:")), t)
-        .when(F.regexp_like(t, F.lit(r"^[?#]")), F.concat(site, path, t))
-        .otherwise(F.concat(site, _without_dots(F.concat(folder, F.regexp_extract(t, r"^[^?#]*", 0))))),
+    place = F.regexp_extract(target, r"^[^?#]*", 0)
+    rest = F.regexp_extract(target, r"^[^?#]*(.*)$", 1)
+    return (
+        F.when(F.startswith(target, F.lit("//")), F.concat(scheme, F.lit(":"), target))
+        .when(F.startswith(target, F.lit("/")), F.concat(site, _without_dots(place), rest))
+        .when(F.regexp_like(target, F.lit(r"^[A-Za-z][A-Za-z0-9+.-]*:")), target)
+        .when(F.startswith(target, F.lit("?")), F.concat(site, path, target))
+        .when(F.startswith(target, F.lit("#")), F.concat(site, path, own_query, target))
+        .otherwise(F.concat(site, _without_dots(F.concat(folder, place)), rest))
     )
 
 
+def _links(html: Column) -> tuple[Column, Column]:
+    """(the href of the first base element or null, references that the page names as its canonical form or sends the reader to)."""
+    tags = F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(r"(?i)<(?:link|meta|base)\b[^>]*>"), F.lit(0))
+    of = lambda pattern: F.filter(tags, lambda t: F.regexp_like(t, F.lit(pattern)))
+    plain = lambda t: F.replace(t, F.lit("&amp;"), F.lit("&"))
+    href = lambda t: plain(F.regexp_extract(t, r"""(?i)\bhref\s*=\s*["']?\s*([^"'\s>]+)""", 1))
+    base = F.filter(F.transform(of(r"(?i)^<base\b"), href), lambda t: t != "")
+    canonical = of(r"""(?i)^<link\b[^>]*\brel\s*=\s*["']?canonical\b""")
+    refresh = of(r"""(?i)^<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b""")
+    target = lambda t: plain(F.regexp_extract(t, r"""(?i)\burl\s*=\s*["']?\s*([^"'\s>]+)""", 1))
+    found = F.concat(F.transform(canonical, href), F.transform(refresh, target))
+    return F.get(base, F.lit(0)), F.filter(found, lambda t: t != "")
+
+
 def filter_urls(
     pages: DataFrame,
     *,
@@ -95,46 +112,44 @@ def filter_urls(
     """One row per page: page_id, host, path, rule, verdict.
 
     ``redirects`` may add edges ``(from_url, to_url)``, as a crawl log has them;
-    ``html_col=None`` leaves canonical links and refreshes out.  Addresses are
-    compared by host and path.  Canonical links and refreshes relative to the
-    page's folder are resolved against its url (a ``base`` element isn't read).
-    Pages with a null url, or one without ``://``,
-    have an empty host and path, no rule and no aliases, and are allowed.  Null
-    html has no links.  Repeated rows each get their verdict.  Extra columns are
+    ``html_col=None`` leaves canonical links and refreshes out.  An address is
+    the url's host, path and query, so pages that differ in their queries are
+    different pages; rules read host and path alone.  References are resolved
+    against the page's url, or its first ``base`` element.  Pages with a null
+    url, or one without ``://``, have an empty host and path, no rule and no
+    aliases, and are allowed.  Null html has no links.  Urls and pages of any
+    length are read whole.  Repeated rows each get their verdict; of rules of
+    equal length the one last by host and path decides.  Extra columns are
     ignored; an empty table gives an empty result.
     """
     scratch = Scratch(pages.sparkSession, "urls")
     url = F.col(url_col)
-    html = F.col(html_col) if html_col else F.lit(None).cast("string")
     host, path = url_parts(url)
-    named = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"), _links(url, html).alias("links"))
     rule, verdict = rule_for(F.col("host"), F.col("path"), rules)
-    named = scratch.save(named.withColumn("rule", rule).withColumn("own", verdict), "named")
-
-    edges = named.where("host <> ''").select("host", "path", F.explode("links").alias("to"))
-    if redirects is not None:
-        a, b = url_parts(F.col("from_url"))
-        edges = edges.unionByName(redirects.select(a.alias("host"), b.alias("path"), F.col("to_url").alias("to")))
-    to_host, to_path = url_parts(F.col("to"))
-    edges = scratch.save(
-        edges.where("host <> ''")
-        .select(F.concat("host", "path").alias("a"), "host", "path", to_host.alias("to_host"), to_path.alias("to_path"))
-        .where("to_host <> ''")
-        .select("a", F.concat("to_host", "to_path").alias("b"), "host", "path", "to_host", "to_path"),
-        "edges",
-    )
+    named = pages.select(F.col(id_col).alias("page_id"), url.alias("url"), host.alias("host"), path.alias("path"), address(url).alias("node"))
+    named = named.withColumn("rule", rule).withColumn("own", verdict)
+
+    edges = redirects.select("from_url", "to_url") if redirects is not None else pages.sparkSession.createDataFrame([], "from_url string, to_url string")
+    if html_col:
+        base, links = _links(F.col(html_col))
+        found = pages.select(url.alias("url"), base.alias("base"), links.alias("links")).where("size(links) > 0")
+        found = found.withColumn("base", F.when(F.col("base").isNull(), F.col("url")).otherwise(resolve(F.col("url"), F.col("base"))))
+        found = found.select("url", "base", F.explode("links").alias("to"))
+        edges = edges.unionByName(found.select(F.col("url").alias("from_url"), resolve(F.col("base"), F.col("to")).alias("to_url")))
+    edges = edges.select("from_url", "to_url", address(F.col("from_url")).alias("a"), address(F.col("to_url")).alias("b"))
+    edges = scratch.save(edges.where("a <> '' and b <> ''"), "edges")
     members = connected_components(edges.select("a", "b"), scratch)
-    ends = edges.select(F.col("a").alias("node"), "host", "path").unionByName(
-        edges.select(F.col("b").alias("node"), F.col("to_host").alias("host"), F.col("to_path").alias("path"))
+    ends = edges.select(F.col("a").alias("node"), F.col("from_url").alias("url")).unionByName(
+        edges.select(F.col("b").alias("node"), F.col("to_url").alias("url"))
     )
-    _, of_end = rule_for(F.col("host"), F.col("path"), rules)
+    _, of_end = rule_for(*url_parts(F.col("url")), rules)
     decided = (
-        members.join(ends.withColumn("own", of_end).select("node", "own").distinct(), "node")
+        members.join(ends.select("node", of_end.alias("own")).distinct(), "node")
         .groupBy("component")
         .agg(F.bool_or(F.col("own") == "block").alias("blocked"), F.bool_or(F.col("own") == "allow").alias("allowed"))
         .where("blocked and not coalesce(allowed, false)")
     )
     spread = members.join(decided, "component", "left_semi").select(F.col("node").alias("__node"), F.lit("block").alias("spread"))
-    return named.join(spread, F.concat("host", "path") == F.col("__node"), "left").select(
+    return named.join(spread, F.col("node") == F.col("__node"), "left").select(
         "page_id", "host", "path", "rule", F.coalesce("own", "spread", F.lit("allow")).alias("verdict")
     )
