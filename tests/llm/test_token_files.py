@@ -42,6 +42,28 @@ def test_one_stream_over_many_files(spark, tmp_path):
     assert sorted(map(list, (r["head"] for r in found))) == sorted(ids[a : a + min(3, n)].tolist() for a, n in want)
 
 
+def test_documents_across_blocks_and_wide_ids(spark, tmp_path):
+    """Documents that run through three blocks and more, ends at the very edges of blocks, ids of 64 bits."""
+    ids = np.arange(1, 2001, dtype=np.uint64)
+    ids[0], ids[1] = 2**63, 2**64 - 1
+    ids[[7, 8, 15, 16, 63, 64, 71, 127, 400, 1999]] = 5
+    ids[4] = 6
+    (tmp_path / "wide").write_bytes(ids.tobytes())
+    want = brute(ids.tolist(), 5)
+    for one_stream in (False, True):
+        found = count_tokens(spark, str(tmp_path), width=8, end_id=5, header=3, one_stream=one_stream, block=8).collect()
+        assert sorted((r["start"], r["n_tokens"]) for r in found) == want
+        heads = {r["start"]: [x % 2**64 for x in r["head"]] for r in found}
+        assert heads == {a: ids[a : a + min(3, n)].tolist() for a, n in want}
+
+
+def test_one_stream_of_files_without_ends(spark, tmp_path):
+    for i, part in enumerate([[1, 2], [3], [], [4, 5, 6], [0], [7], [0, 0]]):
+        (tmp_path / f"f{i}").write_bytes(np.array(part, "<u2").tobytes())
+    found = count_tokens(spark, str(tmp_path), header=5, one_stream=True, block=2).collect()
+    assert sorted((r["n_tokens"], r["head"]) for r in found) == [(0, []), (1, [7]), (6, [1, 2, 3, 4, 5])]
+
+
 def test_half_ids_are_an_error(spark, tmp_path):
     (tmp_path / "x").write_bytes(b"abc")
     with pytest.raises(Exception, match="no whole number of ids"):
@@ -55,7 +77,8 @@ def test_round_trip_of_documents(spark, tmp_path):
     want = [(r[0], len(space_words(r[1]))) for r in rows()]
     key = lambda x: (x[0] is None, x)
     assert sorted(got, key=key) == sorted(want, key=key)
-    big = [(i, "a b", *rows()[0][2:]) for i in (0, -1, 2**40, -(2**40))]
+    some = (0, -1, 2**40, -(2**40), 2**63 - 1, -(2**63), 2**63 - 2, 9222900000000000000, -9222900000000000000, 8192, 8193, -8193)
+    big = [(i, "a b", *rows()[0][2:]) for i in some]
     write_word_ids(documents(spark, big), str(tmp_path / "big"))
     found = count_tokens(spark, str(tmp_path / "big"), header=ID_DIGITS, one_stream=True)
     assert sorted(r[0] for r in found.select(told_id()).collect()) == sorted(r[0] for r in big)
