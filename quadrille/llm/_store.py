@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -30,6 +31,15 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def in_turn(shared: list) -> Iterator:
+    """Values of broadcasts, one after the other; a worker holds one of them at a time."""
+    for b in shared:
+        yield b.value
+        if len(shared) > 1:
+            # Forgotten by the worker; the executor has the bytes and unpacks them again for the next.
+            vars(b).pop("_value", None)
+
+
 class Scratch:
     """Tables of one run of an operator, under one folder of their own.
 

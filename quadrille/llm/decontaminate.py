@@ -1,15 +1,17 @@
 """Benchmark decontamination with suffix arrays of the training text.
 
 Documents are cut into shards of whole texts.  A shard's words are indexed by a
-suffix array (prefix doubling, which sorts again only what is still tied).
-Every benchmark window, and with it every benchmark suffix of that many words,
-is found by binary search in each shard; each match is then extended to the
-longest verbatim run, with its place in the document.
+suffix array (prefix doubling, which sorts again only what is still tied), once,
+in the order of as many words as a window has.  Every benchmark window, and with
+it every benchmark suffix of that many words, is found by binary search in each
+shard; each match is then extended to the longest verbatim run, with its place
+in the document.
 
 Benchmark words, as hashes, go to all executors in slices of a fixed greatest
-size.  Each slice is one more pass over the rows in the same stage, so a
-benchmark of any size works and no slice is larger than the bound.  Documents
-are not shuffled, and a shard's memory does not depend on the corpus.
+size.  A shard is searched for the slices one after the other; a worker holds
+one of them at a time, and so does the driver, so a benchmark of any size works
+in the same memory.  Documents are not shuffled, and a shard's memory does not
+depend on the corpus.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quadrille.llm._bytes import ALNUM, hashes, texts, words
+from quadrille.llm._store import in_turn
 
 #: Words of benchmark text in one broadcast.
 SLICE_WORDS = 1_000_000
@@ -137,12 +140,11 @@ class Found(NamedTuple):
     length: np.ndarray
 
 
-def find(t: Tests, h: np.ndarray, ends: np.ndarray) -> Found:
+def find(t: Tests, h: np.ndarray, ends: np.ndarray, order: np.ndarray) -> Found:
+    """Matches of the windows in a shard with its suffix array, which is as deep as a window is long at least."""
     none = np.zeros(0, np.int64)
     if not len(t.starts) or not len(h):
         return Found(none, none, none)
-    depth = int((t.stops - t.starts).max())
-    order = suffix_array(h, ends, depth)
     _, pick = np.unique(t.group, return_index=True)  # one window of each group is searched
     low, high = _search(t, h, ends, order, pick, False), _search(t, h, ends, order, pick, True)
     count = (high - low)[t.group]
@@ -172,8 +174,8 @@ RESULT = pa.schema(
 )
 
 
-def judge(column: pa.Array, slices: list[Callable[[], Tests]], shard_bytes: int) -> Iterator[tuple[int, pa.Table]]:
-    """(first row, results of the rows of a shard), shard by shard."""
+def judge(column: pa.Array, slices: Callable[[], Iterator[Tests]], window: int, shard_bytes: int) -> Iterator[tuple[int, pa.Table]]:
+    """(first row, results of the rows of a shard), shard by shard; ``slices`` starts the benchmark anew for each."""
     for t in texts(column, shard_bytes):
         w = words(t, ALNUM)
         h = hashes(t.data, w.starts, w.ends)
@@ -183,9 +185,9 @@ def judge(column: pa.Array, slices: list[Callable[[], Tests]], shard_bytes: int)
         edge = np.zeros(len(h) + 1, np.int64)
         items: list[set[str]] = [set() for _ in range(rows)]
         best, best_item, best_at = np.zeros(rows, np.int64), [None] * rows, np.full(rows, -1, np.int64)
-        for get in slices:
-            tests = get()
-            found = find(tests, h, ends)
+        order = suffix_array(h, ends, window)
+        for tests in slices():
+            found = find(tests, h, ends, order)
             if not len(found.window):
                 continue
             np.add.at(edge, found.at, 1)
@@ -195,9 +197,9 @@ def judge(column: pa.Array, slices: list[Callable[[], Tests]], shard_bytes: int)
             by = np.lexsort((found.at, -found.length, doc[found.at]))
             top, first = np.unique(doc[found.at][by], return_index=True)
             for d, k in zip(top.tolist(), by[first].tolist(), strict=True):
-                if found.length[k] > best[d]:
-                    best[d], best_item[d] = found.length[k], tests.ids[tests.item[found.window[k]]]
-                    best_at[d] = found.at[k] - w.bounds[d]
+                at = found.at[k] - w.bounds[d]
+                if (found.length[k], -at) > (best[d], -best_at[d]):
+                    best[d], best_item[d], best_at[d] = found.length[k], tests.ids[tests.item[found.window[k]]], at
         hit = np.zeros(len(h) + 1, np.int64)
         np.cumsum(np.cumsum(edge)[:-1] > 0, out=hit[1:])
         n_hit = hit[w.bounds[1:]] - hit[w.bounds[:-1]]
@@ -257,15 +259,16 @@ def find_overlaps(
     with its item and its word position (null and -1 without one).  Null and
     empty texts have no words and no hits.  Items without words have no
     windows; a null item id reads ``null``.  Items with equal texts all count.
+    Of equally long runs the one first in the document, then in the benchmark, is
+    given.  Texts of any length are read whole, a long one as a shard of its own.
     Repeated rows each get a row; other columns are ignored; empty tables give
     an empty result, or one without hits.
     """
     slices = _slices(benchmark, item_id_col, item_text_col, window, slice_words)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = [lambda b=b: b.value for b in slices]
         for batch in batches:
-            for first, found in judge(batch.column(1), get, shard_bytes):
+            for first, found in judge(batch.column(1), lambda: in_turn(slices), window, shard_bytes):
                 ids = batch.column(0).slice(first, found.num_rows)
                 yield from found.add_column(0, "doc_id", ids).combine_chunks().to_batches()
 
@@ -301,10 +304,9 @@ def drop_contaminated(
     part, whole = LEAST_SHARE
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = [lambda b=b: b.value for b in slices]
         for batch in batches:
             bad = np.zeros(batch.num_rows, bool)
-            for first, found in judge(batch.column(place), get, shard_bytes):
+            for first, found in judge(batch.column(place), lambda: in_turn(slices), window, shard_bytes):
                 n_words, n_hit = (found.column(k).to_numpy() for k in ("n_words", "n_hit"))
                 bad[first : first + found.num_rows] = (n_hit > 0) & (whole * n_hit >= part * n_words)
             yield batch.filter(pa.array(~bad))
