@@ -6,13 +6,17 @@ once on a bounded sample and then frozen, so the exact code length of a byte
 depends on the three bytes before it alone.  All of these lengths are tabled:
 contexts that some language has seen at order 3 have rows of their own, the
 others share the row of their two last bytes.  Scoring a text is then two table
-lookups per byte for all languages together, and a sum; the language with the
-shortest code wins.
+lookups per byte for all languages of a table together, and a sum; the language
+with the shortest code wins.
+
+A language's code lengths don't depend on the others, so languages are fitted
+and scored a few at a time: one table holds TOGETHER of them at most, and driver
+and workers hold one table at a time, however many languages there are.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -22,12 +26,15 @@ from pyspark.sql import functions as F
 
 from quadrille.llm._bytes import PAD, Texts, texts
 from quadrille.llm._sampling import LONGEST_SAMPLED, sample_by
+from quadrille.llm._store import in_turn
 
 ORDER = 3
 #: Bounds of the fitting sample, for each language.
 SAMPLE_ROWS, SAMPLE_BYTES = 600, 3 << 20
 #: Long texts that lend a piece each where a language has no others.
 LONG_TEXTS = 6
+#: Languages in one table.
+TOGETHER = 8
 _BLOCK = 1 << 19
 
 
@@ -130,41 +137,50 @@ def code_lengths(column: pa.Array, model: Model) -> Iterator[tuple[int, np.ndarr
         yield t.first, total
 
 
-def identify(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def identify(docs: DataFrame, models: Model | Iterable[Model], *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, lang_pred, score, bits_per_byte.
 
-    ``score`` is the winner's share of 2 to the minus code length.  A text that
-    is null or has no letter is ``und`` with score 0, and so is every text if
-    the model has no language.  Ties go to the language first in code-point
-    order.  Texts of any length are scored whole, in blocks.  Other columns are
-    ignored; repeated rows each get a row; an empty table gives an empty result.
+    ``models`` hold different languages.  ``score`` is the winner's share of 2 to
+    the minus code length.  A text that is null or has no letter is ``und`` with
+    score 0, and so is every text if there is no language.  Ties go to the
+    language first in code-point order.  Texts of any length are scored whole,
+    in blocks.  Other columns are ignored; repeated rows each get a row; an
+    empty table gives an empty result.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    spark = docs.sparkSession
+    shared, langs = [], []
+    for model in [models] if isinstance(models, Model) else models:
+        shared.append(spark.sparkContext.broadcast(model))
+        langs += model.langs
+    names = np.array([*langs, "und"], object)
+    by_name = np.argsort(np.array(langs, object), kind="stable") if langs else np.zeros(0, int)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        names = np.array([*m.langs, "und"], object)
         for batch in batches:
             lettered = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
             sizes = batch.column(3).to_numpy()
-            for first, bits in code_lengths(batch.column(1), m):
-                stop = first + len(bits)
-                known = lettered[first:stop] & bool(m.langs)
-                if m.langs:
-                    best = bits.argmin(1)
-                    least = bits.min(1)
-                    share = 1 / np.exp2(np.maximum(least[:, None] - bits, -1000)).sum(1)
-                else:
-                    best, least, share = np.zeros(len(bits), int), np.zeros(len(bits)), np.zeros(len(bits))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(first, len(bits)),
-                        pa.array(names[np.where(known, best, len(m.langs))], pa.string()),
-                        pa.array(np.where(known, share, 0.0)),
-                        pa.array(least / np.maximum(1, sizes[first:stop])),
-                    ],
-                    ["doc_id", "lang_pred", "score", "bits_per_byte"],
-                )
+            bits = np.zeros((batch.num_rows, len(langs)))
+            at = 0
+            for m in in_turn(shared):
+                for first, found in code_lengths(batch.column(1), m):
+                    bits[first : first + len(found), at : at + len(m.langs)] = found
+                at += len(m.langs)
+            known = lettered & bool(langs)
+            if langs:
+                best = by_name[bits[:, by_name].argmin(1)]
+                least = bits.min(1)
+                share = 1 / np.exp2(np.maximum(least[:, None] - bits, -1000)).sum(1)
+            else:
+                best, least, share = np.zeros(len(bits), int), np.zeros(len(bits)), np.zeros(len(bits))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    pa.array(names[np.where(known, best, len(langs))], pa.string()),
+                    pa.array(np.where(known, share, 0.0)),
+                    pa.array(least / np.maximum(1, sizes)),
+                ],
+                ["doc_id", "lang_pred", "score", "bits_per_byte"],
+            )
 
     given = docs.select(
         F.col(id_col).alias("doc_id"),
@@ -176,26 +192,30 @@ def identify(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col:
     return given.mapInArrow(score, f"doc_id {kind}, lang_pred string, score double, bits_per_byte double")
 
 
-def fit_on(docs: DataFrame, *, rows: int = SAMPLE_ROWS, size: int = SAMPLE_BYTES) -> Model:
-    """Fits on a bounded sample of ``docs`` (doc_id, text, lang), by the hash of the id.
+def fit_on(docs: DataFrame, *, rows: int = SAMPLE_ROWS, size: int = SAMPLE_BYTES, together: int = TOGETHER) -> Iterator[Model]:
+    """Models of at most ``together`` languages each, fitted on a bounded sample of ``docs`` (doc_id, text, lang), by the hash of the id.
 
     At most ``rows`` texts and ``size`` bytes are expected for each non-null
     language; every language is learned, from one text if need be, and where all
     its texts have over LONGEST_SAMPLED bytes from the middles of LONG_TEXTS.
+    The driver holds the names of all languages, and the sample of those that
+    are fitted together.
     """
     named = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "lang")
     sample, totals = sample_by(named, "lang", rows, size)
-    picked = sample.select(F.xxhash64("doc_id", F.lit(17)).alias("h"), "lang", "text").collect()
-    held: dict[str, list[str]] = {}
-    for row in sorted(picked, key=lambda r: r["h"]):
-        held.setdefault(row["lang"], []).append(row["text"])
-    for lang in set(totals) - set(held):
-        held[lang] = [r["text"] for r in named.where((F.col("lang") == lang) & (F.octet_length("text") <= LONGEST_SAMPLED)).limit(1).collect()]
-    every = {r["lang"] for r in named.where("lang is not null").select("lang").distinct().collect()}
+    every = sorted(r["lang"] for r in named.where("lang is not null").select("lang").distinct().collect())
     # A character has four bytes at most.
     piece = max(1, size // (4 * LONG_TEXTS))
     middle = F.substring("text", F.greatest(F.lit(1), F.floor((F.char_length("text") - piece) / 2).cast("int")), F.lit(piece))
-    for lang in every - set(totals):
-        pieces = named.where(F.col("lang") == lang).select(F.xxhash64("doc_id", F.lit(17)).alias("h"), middle.alias("text"))
-        held[lang] = [r["text"] for r in pieces.orderBy("h", "text").limit(LONG_TEXTS).collect()]
-    return fit(held)
+    for first in range(0, len(every), together):
+        some = every[first : first + together]
+        picked = sample.where(F.col("lang").isin(some)).select(F.xxhash64("doc_id", F.lit(17)).alias("h"), "lang", "text").collect()
+        held: dict[str, list[str]] = {}
+        for row in sorted(picked, key=lambda r: r["h"]):
+            held.setdefault(row["lang"], []).append(row["text"])
+        for lang in set(some) & set(totals) - set(held):
+            held[lang] = [r["text"] for r in named.where((F.col("lang") == lang) & (F.octet_length("text") <= LONGEST_SAMPLED)).limit(1).collect()]
+        for lang in set(some) - set(totals):
+            pieces = named.where(F.col("lang") == lang).select(F.xxhash64("doc_id", F.lit(17)).alias("h"), middle.alias("text"))
+            held[lang] = [r["text"] for r in pieces.orderBy("h", "text").limit(LONG_TEXTS).collect()]
+        yield fit(held)

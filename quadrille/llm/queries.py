@@ -59,8 +59,8 @@ GROUP BY d.doc_id
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    model = language_id.fit_on(docs.where(F.col("doc_id").isNotNull() & ~in_fold(F.col("doc_id"), 4, 2)))
-    found = language_id.identify(docs, model)
+    models = language_id.fit_on(docs.where(F.col("doc_id").isNotNull() & ~in_fold(F.col("doc_id"), 4, 2)))
+    found = language_id.identify(docs, models)
     return found.select("doc_id", in_fold(F.col("doc_id"), 4, 2).alias("held_out"), "lang_pred", "score")
 
 

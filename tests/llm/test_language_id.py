@@ -68,8 +68,19 @@ def test_predictions_and_cases(spark):
 
 def test_fit_learns_every_language_from_bounded_samples(spark):
     docs = spark.createDataFrame([(i, f"text number {i}", "a" if i % 50 else "b") for i in range(400)] + [(900, "c", None)], "doc_id int, text string, lang string")
-    assert fit_on(docs, rows=20).langs == ["a", "b"]
-    assert fit_on(docs.where(F.lit(False))).langs == []
+    assert [m.langs for m in fit_on(docs, rows=20)] == [["a", "b"]]
+    assert [m.langs for m in fit_on(docs, rows=20, together=1)] == [["a"], ["b"]]
+    assert list(fit_on(docs.where(F.lit(False)))) == []
+
+
+def test_languages_are_scored_alike_in_one_table_or_several(spark):
+    langs = {k: TRAIN[v] + [f"only {k}"] for k, v in zip("edcba", ["xx", "yy", "zz", "xx", "yy"], strict=True)}
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(["the mat", "der hund Saß", "only c", "q ß 日", "123", None] * 3)], "doc_id int, text string")
+    whole = sorted(identify(docs, fit(langs)).collect(), key=lambda r: r["doc_id"])
+    parts = sorted(identify(docs, [fit({k: v}) for k, v in langs.items()]).collect(), key=lambda r: r["doc_id"])
+    for a, b in zip(whole, parts, strict=True):
+        assert a["lang_pred"] == b["lang_pred"] and a["score"] == pytest.approx(b["score"], rel=1e-4)
+        assert a["bits_per_byte"] == pytest.approx(b["bits_per_byte"], rel=1e-5)
 
 
 def test_held_out_accuracy(spark, sf_dir):
@@ -86,7 +97,7 @@ def test_language_of_long_texts_alone(spark):
     given += [(9, "der schnelle braune fuchs springt über den faulen hund " * 22_000, "de")]
     given += [(10, "über den faulen hund springt der fuchs", None), (11, "over the lazy dog jumps the fox", None)]
     docs = spark.createDataFrame(given, "doc_id bigint, text string, lang string")
-    model = fit_on(docs)
-    assert model.langs == ["de", "en"]
+    model = list(fit_on(docs))
+    assert [m.langs for m in model] == [["de", "en"]]
     found = {r["doc_id"]: r["lang_pred"] for r in identify(docs, model).collect()}
     assert found == {**dict.fromkeys(range(5), "en"), 9: "de", 10: "de", 11: "en"}
