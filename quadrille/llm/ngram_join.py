@@ -5,13 +5,14 @@ document a prefix that any linked document must meet.  Then
 
 1. documents with equal sets form classes, and classes with identical prefixes
    and sizes form groups; only groups have postings;
-2. the postings of each shingle are read in one sorted stream, and each group
-   is tied to the shingle's pivot, the group in which it comes earliest;
+2. the postings of each shingle are read in one sorted stream (those of common
+   shingles, which may be any number, are aggregated and joined instead), and
+   each group is tied to the shingle's pivot, the group in which it comes earliest;
 3. those pairs, and the classes of a group against its first, are verified on
    whole sets: the links that hold large groups of copies together cost one
    pair per copy and shingle;
-4. the exact rest: pairs of groups that share a prefix shingle, pass the size
-   and position bounds and aren't yet in one component are expanded to their
+4. the exact rest: pairs of groups that share a prefix shingle and a bucket of
+   sizes (or neighbouring ones), pass the size and position bounds and aren't yet in one component are expanded to their
    classes and verified.
 
 Components of the links of 3 and 4 are those of all links: a pair left out is
@@ -108,7 +109,8 @@ class _Order:
         self.maybe = np.zeros(1 << 22, bool)
         self.maybe[(last >> np.uint64(42)).astype(np.int64)] = True
 
-    def prefix(self, s: np.ndarray) -> np.ndarray:
+    def prefix(self, s: np.ndarray) -> tuple[np.ndarray, int]:
+        """The prefix of a set, and how many of it aren't common."""
         size = len(s) - -(-LEAST[0] * len(s) // LEAST[1]) + 1
         late = self.maybe[(s >> np.uint64(42)).astype(np.int64)]
         some = np.flatnonzero(late)
@@ -116,7 +118,10 @@ class _Order:
             at = np.minimum(np.searchsorted(self.last, s[some]), len(self.last) - 1)
             late[some] = self.last[at] == s[some]
             s = np.concatenate([s[~late], s[late]])
-        return s[:size]
+        return s[:size], min(size, len(late) - int(late.sum()))
+
+
+_SETS = "doc_id bigint, n bigint, d1 bigint, d2 bigint, p1 bigint, p2 bigint, own bigint, prefix array<bigint>"
 
 
 def _describe(size: int, shared):
@@ -124,10 +129,11 @@ def _describe(size: int, shared):
         order = _Order(shared.value)
         for batch in batches:
             for first, sets in shingle_sets(batch.column(1), size):
-                heads = [order.prefix(s) if len(s) else s for s in sets]
+                heads, own = zip(*[order.prefix(s) if len(s) else (s, 0) for s in sets], strict=True)
                 n = np.array([len(s) for s in sets], np.int64)
                 keys = np.array([digest(s) for s in sets], np.int64).reshape(-1, 2)
-                groups = np.array([digest(np.append(p, np.uint64(k)))[0] for p, k in zip(heads, n.tolist(), strict=True)], np.int64)
+                groups = np.array([digest(np.append(p, np.uint64(k))) for p, k in zip(heads, n.tolist(), strict=True)], np.int64)
+                groups = groups.reshape(-1, 2)
                 edges = np.concatenate([[0], np.cumsum([len(p) for p in heads])]).astype(np.int32)
                 tokens = np.concatenate(heads).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
@@ -136,10 +142,12 @@ def _describe(size: int, shared):
                         pa.array(n),
                         pa.array(keys[:, 0]),
                         pa.array(keys[:, 1]),
-                        pa.array(groups),
+                        pa.array(groups[:, 0]),
+                        pa.array(groups[:, 1]),
+                        pa.array(np.array(own, np.int64)),
                         pa.ListArray.from_arrays(pa.array(edges), pa.array(tokens)),
                     ],
-                    ["doc_id", "n", "d1", "d2", "grp", "prefix"],
+                    [f.split()[0] for f in _SETS.split(", ")],
                 )
 
     return describe
@@ -224,7 +232,8 @@ def link_components(
     smallest id reachable by links.  Texts that are null or have no words have
     size 0 and are alone.  Rows with a null id link nothing: their ids come back
     null.  Rows repeated with one id and text are one document and each get
-    their row.  Ids are integers; other columns are ignored; an empty table
+    their row; an id that has several texts links by each of them.  Of ties the
+    smallest id names the class.  Texts of any length are read whole.  Ids are integers; other columns are ignored; an empty table
     gives an empty result.
     """
     spark = docs.sparkSession
@@ -233,23 +242,39 @@ def link_components(
 
     late = spark.sparkContext.broadcast(common_shingles(given, shingle))
     sets = scratch.save(
-        given.mapInArrow(_describe(shingle, late), "doc_id bigint, n bigint, d1 bigint, d2 bigint, grp bigint, prefix array<bigint>"),
+        given.mapInArrow(_describe(shingle, late), _SETS),
         "sets",
     )
     real = sets.where("n > 0 and doc_id is not null")
+    # Sets and groups are told apart by 128 bits of their digests.  A group's name is one
+    # half of them, or where groups share that a hash of both; the written list of such
+    # halves is all but empty and its size known to the optimiser.
+    key = F.struct("p2", "n")
+    clashes = scratch.save(real.groupBy("p1").agg((F.min(key) != F.max(key)).alias("c")).where("c").select(F.col("p1").alias("__p1")), "clashes")
+    real = real.join(clashes, F.col("p1") == F.col("__p1"), "left")
+    real = real.withColumn("grp", F.when(F.col("__p1").isNull(), F.col("p1")).otherwise(F.xxhash64("p1", "p2", "n")))
     classes = scratch.save(real.groupBy("d1", "d2", "n", "grp").agg(F.min("doc_id").alias("cls")), "classes")
 
     # Postings of groups, and what pairs they propose.
-    groups = real.groupBy("grp", "n").agg(F.any_value("prefix").alias("prefix"))
-    postings = groups.select("grp", "n", F.posexplode("prefix").alias("pos", "token")).select(
-        "token", "grp", F.expr("shiftleft(cast(pos as bigint), 32) | n").alias("meta")
-    )
-    shared = scratch.save(
-        postings.repartition("token")
+    groups = real.groupBy("grp", "n").agg(F.any_value(F.struct("own", "prefix")).alias("of"))
+    postings = groups.select("grp", "n", F.col("of.own").alias("own"), F.posexplode("of.prefix").alias("pos", "token"))
+    postings = postings.select("token", "grp", F.expr("shiftleft(cast(pos as bigint), 32) | n").alias("meta"), (F.col("pos") >= F.col("own")).alias("common"))
+    rare = (
+        postings.where("not common").drop("common").repartition("token")
         .sortWithinPartitions("token", "meta", "grp")
-        .mapInArrow(_pivots, "token bigint, grp bigint, n bigint, pos bigint, pivot bigint, near boolean"),
-        "shared",
+        .mapInArrow(_pivots, "token bigint, grp bigint, n bigint, pos bigint, pivot bigint, near boolean")
+    )
+    # A common shingle's postings may be any number: its pivot comes from an aggregation,
+    # which has a row per task, and the join back to them is one that can be split.
+    common = postings.where("common").drop("common")
+    pivots = common.groupBy("token").agg(F.min(F.struct("meta", "grp")).alias("p"), F.min("grp").alias("lo"), F.max("grp").alias("hi"))
+    pivots = pivots.where("lo <> hi").select("token", F.col("p.grp").alias("pivot"), F.col("p.meta").alias("pm"))
+    low, high = "({0} & 4294967295)", "({0} >> 32)"
+    near = f"7 * least({low.format('meta')} - {high.format('meta')}, {low.format('pm')} - {high.format('pm')}) >= 3 * ({low.format('meta')} + {low.format('pm')})"
+    common = common.join(pivots, "token").select(
+        "token", "grp", F.expr(low.format("meta")).alias("n"), F.expr(high.format("meta")).alias("pos"), "pivot", F.expr(near).alias("near")
     )
+    shared = scratch.save(rare.unionByName(common), "shared")
     firsts = classes.groupBy("grp").agg(F.min("cls").alias("head"), F.count("*").alias("width"))
     heads = scratch.save(firsts, "heads")
     star = (
@@ -308,8 +333,11 @@ def link_components(
         .withColumn("nth", F.row_number().over(order) - 1)
         .withColumn("before", F.lag("token").over(order))
     )
-    still = scratch.save(still, "open")
-    x, y = still.alias("x"), still.alias("y")
+    # Sizes of linked sets differ by a third at most, so partners are in the same bucket of sizes or the next.
+    bucket = F.floor(F.log("n") / float(np.log(LEAST[1] / LEAST[0]) * (1 + 1e-9)))
+    still = scratch.save(still.withColumn("bucket", bucket), "open")
+    x = still.alias("x")
+    y = still.withColumn("own_bucket", F.col("bucket")).withColumn("bucket", F.explode(F.array("bucket", F.col("bucket") - 1))).alias("y")
     # Two sets meet in shingles that both prefixes hold, which are open, and beyond
     # the prefix that ends first.  Each bit that one group's signature has alone is
     # at least one open shingle that the other lacks.  No link follows if a bound
@@ -320,12 +348,12 @@ def link_components(
         return f"{a}.held - " + " - ".join(f"bit_count({a}.s{k} & ~{b}.s{k})" for k in range(4))
 
     near = (
-        "x.token = y.token and x.grp < y.grp and (x.lo <> x.hi or y.lo <> y.hi or x.lo <> y.lo)"
+        "x.token = y.token and x.bucket = y.bucket and (y.own_bucket > x.bucket or x.grp < y.grp) and (x.lo <> x.hi or y.lo <> y.hi or x.lo <> y.lo)"
         f" and 7 * (least({held('x', 'y')}, {held('y', 'x')}) + greatest(x.beyond, y.beyond)) >= 3 * (x.n + y.n)"
         " and 7 * (least(x.nth, y.nth) + least(x.n - x.pos, y.n - y.pos)) >= 3 * (x.n + y.n)"
         " and not coalesce(x.before = y.before, false)"
     )
-    rest = x.join(y, F.expr(near)).select(F.col("x.grp").alias("p"), F.col("y.grp").alias("q")).distinct()
+    rest = x.join(y, F.expr(near)).select(F.least("x.grp", "y.grp").alias("p"), F.greatest("x.grp", "y.grp").alias("q")).distinct()
     # The same bound with the shingles that the two really share.
     p, q = (own.select(F.col("grp").alias(k), F.struct("n", "tokens", "beyond").alias(f"of_{k}")) for k in "pq")
     rest = (
