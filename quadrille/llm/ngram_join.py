@@ -274,7 +274,7 @@ def link_components(
     common = common.join(pivots, "token").select(
         "token", "grp", F.expr(low.format("meta")).alias("n"), F.expr(high.format("meta")).alias("pos"), "pivot", F.expr(near).alias("near")
     )
-    shared = scratch.save(rare.unionByName(common), "shared")
+    shared = scratch.save(rare, "shared").unionByName(scratch.save(common, "shared-common"))
     firsts = classes.groupBy("grp").agg(F.min("cls").alias("head"), F.count("*").alias("width"))
     heads = scratch.save(firsts, "heads")
     star = (
