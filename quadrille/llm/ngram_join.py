@@ -268,7 +268,8 @@ def link_components(
     # which has a row per task, and the join back to them is one that can be split.
     common = postings.where("common").drop("common")
     pivots = common.groupBy("token").agg(F.min(F.struct("meta", "grp")).alias("p"), F.min("grp").alias("lo"), F.max("grp").alias("hi"))
-    pivots = pivots.where("lo <> hi").select("token", F.col("p.grp").alias("pivot"), F.col("p.meta").alias("pm"))
+    # Written, so that the join's two sides are dealt out for it alone and can be split.
+    pivots = scratch.save(pivots.where("lo <> hi").select("token", F.col("p.grp").alias("pivot"), F.col("p.meta").alias("pm")), "pivots")
     low, high = "({0} & 4294967295)", "({0} >> 32)"
     near = f"7 * least({low.format('meta')} - {high.format('meta')}, {low.format('pm')} - {high.format('pm')}) >= 3 * ({low.format('meta')} + {low.format('pm')})"
     common = common.join(pivots, "token").select(
