@@ -55,9 +55,9 @@ class Scratch:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def save(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` and return the written table."""
-        df.write.parquet(self.path(name))
+    def save(self, df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+        """Write ``df``, in folders by the values of a column if one is given, and return the written table."""
+        (df.write.partitionBy(by) if by else df.write).parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, name: str) -> None:
