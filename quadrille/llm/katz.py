@@ -15,11 +15,13 @@ Every token goes, as a packed record of its n-gram, to the partition that owns a
 suffix of it: its word, or for a frequent word the last two words, and so on.
 All n-grams that end in that suffix meet there, so a token's counts of every
 order are settled in one place, in a partition of about ``part_tokens`` tokens.
+Where the word that the suffix begins with is rare, it owns the token itself.
 Suffixes frequent enough to make a partition uneven are counted ahead, exactly,
-in tables of fixed greatest size.  A partition gives, in tables written by kind,
-sums per document, discounted counts per history, and the histories at which a
-document backs off; discounts, backoff weights and the recursion down the
-histories follow from these tables by aggregation and joins.
+in tables of fixed greatest size.  A partition gives, in a written table, sums
+per document, counts of counts per history, and the histories at which a document
+backs off.  Discounts and backoff weights follow by aggregation, into tables that
+are partitioned by the length of the histories, and the recursion down the
+histories of every token by joins with these.
 
 A chunk of texts packs its tokens by one sort, and only into partitions that get
 some, so that its cost doesn't depend on how many there are.
@@ -60,6 +62,8 @@ class Tokens(NamedTuple):
     words: np.ndarray
     doc: np.ndarray
     sizes: np.ndarray
+    #: Of each token in its text.
+    nth: np.ndarray
 
 
 def _tokens(column: pa.Array, order: int) -> Iterator[Tokens]:
@@ -72,12 +76,17 @@ def _tokens(column: pa.Array, order: int) -> Iterator[Tokens]:
             inner = np.ones(len(word), bool)
             inner[np.cumsum(sizes) - 1] = False
             word[inner] = hashes(t.data, w.starts, w.ends)
-            place = np.arange(len(word)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            back = np.full((order, len(word)), START)
-            for k in range(order):
-                late = np.flatnonzero(place >= k)
-                back[k, late] = word[late - k]
-            yield Tokens(at + t.first, back, np.repeat(np.arange(rows), sizes), sizes)
+            nth = np.arange(len(word)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            yield Tokens(at + t.first, _back(word, nth, order, START), np.repeat(np.arange(rows), sizes), sizes, nth)
+
+
+def _back(values: np.ndarray, nth: np.ndarray, order: int, start) -> np.ndarray:
+    """Values of the tokens, of the tokens before them, and so on; ``start`` ahead of a text."""
+    out = np.full((order, len(values)), start, values.dtype)
+    out[0] = values
+    for k in range(1, order):
+        np.copyto(out[k, k:], values[:-k], where=nth[k:] >= k)
+    return out
 
 
 def _grams(back: np.ndarray) -> list[np.ndarray]:
@@ -253,6 +262,13 @@ def _opened(open_: list, keys: np.ndarray) -> np.ndarray:
     return out
 
 
+def _differs(values: np.ndarray) -> np.ndarray:
+    """Whether each differs from the one before it."""
+    out = np.ones(len(values), bool)
+    np.not_equal(values[1:], values[:-1], out=out[1:])
+    return out
+
+
 def _binary(data: np.ndarray, edges: np.ndarray) -> pa.Array:
     """Slices ``edges[i]:edges[i + 1]`` of an array, as bytes."""
     data = np.ascontiguousarray(data)
@@ -279,26 +295,37 @@ def _pack(shared, order: int, parts: int):
                 opened = _opened(open_, own[t.doc[here]])
 
                 rest = np.flatnonzero(at[-1] < 0)
-                depth = sum((a[rest] >= 0).astype(np.int64) for a in at)
-                owner = mix(np.choose(depth, [g[rest] for g in grams]) * _MUL)
+                place = _back(at[0], t.nth, order, _place(hot[0].ids, np.array([START]))[0])
+                # The first suffix that isn't frequent owns the token, or its first word where that is rare.
+                owner = np.empty(len(rest), U64)
+                depth = sum((a[rest] >= 0).astype(np.int8) for a in at)
+                for k, g in enumerate(grams):
+                    own_k = np.flatnonzero(depth == k)
+                    i = rest[own_k]
+                    owner[own_k] = np.where(place[k, i] < 0, t.words[k, i], g[i])
+                owner = mix(owner * _MUL)
                 part = (((owner >> U64(32)) * U64(parts)) >> U64(32)).astype(np.int64)
-                place = np.stack([_place(hot[0].ids, x) if k else at[0][rest] for k, x in enumerate(t.words[:, rest])], 1)
-                bits = ((place >= 0) << np.arange(order)).sum(1).astype(np.uint8)
-                by = np.lexsort((bits, part))
-                rest, part, place, bits = rest[by], part[by], place[by], bits[by]
-                starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else np.zeros(0, np.int64)
+                pair = part * rows + t.doc[rest]
+                by = np.argsort(pair)
+                rest, part, pair = rest[by], part[by], pair[by]
+                place = place[:, rest].T
+                starts = np.flatnonzero(_differs(part))
                 edges = np.append(starts, len(part))
-                nth = np.repeat(np.arange(len(starts)), np.diff(edges))
                 # Documents of each partition, numbered there.
-                pairs, number = np.unique(nth * rows + t.doc[rest], return_inverse=True)
-                first = np.searchsorted(pairs, np.arange(len(starts) + 1) * rows)
+                opens = _differs(pair)
+                pairs, number = pair[opens], np.cumsum(opens) - 1
+                first = np.append(number[starts], len(pairs))
+                number -= np.repeat(first[:-1], np.diff(edges))
                 inside = place >= 0
+                bits = np.zeros(len(rest), np.uint8)
+                for k in range(order):
+                    bits |= inside[:, k].astype(np.uint8) << np.uint8(k)
                 count = np.concatenate([[0], np.cumsum(inside.sum(1))])
                 columns = {
                     "bits": _binary(bits, edges),
                     "places": _binary(place[inside].astype(np.uint16), count[edges]),
                     "words": _binary(t.words[:, rest].T[~inside], edges * order - count[edges]),
-                    "number": _binary((number - first[nth]).astype(np.uint16), edges),
+                    "number": _binary(number.astype(np.uint16), edges),
                     "keys": _binary(own[pairs % rows], first),
                     "train": _binary(learn[pairs % rows], first),
                 }
@@ -354,7 +381,8 @@ def _unpack(table: pa.Table, hot: list[Level], order: int) -> tuple:
             inside = (bits[:, None] >> np.arange(order)) & 1 > 0
             back = np.empty(inside.shape, U64)
             back[inside] = hot[0].ids[np.frombuffer(get["places"], np.uint16)]
-            back[~inside] = np.frombuffer(get["words"], U64)
+            np.logical_not(inside, out=inside)
+            back[inside] = np.frombuffer(get["words"], U64)
             held["back"].append(back.T)
             held["doc"].append(np.frombuffer(get["number"], np.uint16).astype(np.int64) + shift)
             held["keys"].append(np.frombuffer(get["keys"], np.int64))
@@ -431,7 +459,7 @@ class Discounts(NamedTuple):
     unknown: float
 
 
-def _hot_tables(given: DataFrame, order: int, most: int) -> tuple[list[Level], list[int]]:
+def _hot_tables(given: DataFrame, order: int, most: int, scratch: Scratch) -> tuple[list[Level], list[int]]:
     """Tables of the frequent suffixes of every length, and (documents, tokens of training; all tokens)."""
     spark = given.sparkSession
     hot: list[Level] = []
@@ -444,6 +472,7 @@ def _hot_tables(given: DataFrame, order: int, most: int) -> tuple[list[Level], l
             hot.append(Level(ids, np.zeros(len(ids), np.int64), np.zeros(len(ids), U64), np.zeros(len(ids), np.int64)))
         found = texts_and_fold.mapInArrow(_count(spark.sparkContext.broadcast(hot), order, most), _KEYS)
         found = found.groupBy("kind", "id").agg(F.sum("n").alias("n"), F.min("history").alias("history"), F.min("shorter").alias("shorter"))
+        found = scratch.save(found, f"frequent-{turn}")
         # Of the proposals only the commonest reach the driver; the other kinds are bounded.
         some = found.where(F.col("kind") != PROPOSED).unionByName(
             found.where(F.col("kind") == PROPOSED).orderBy(F.desc("n"), "id").limit(most - 2)
@@ -490,7 +519,7 @@ def score_katz(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.coalesce(train if train is not None else F.lit(True), F.lit(False)).alias("train")
     )
     given = every.where("doc_id is not null")
-    tables, (trained, n_tokens, all_tokens) = _hot_tables(given, order, hot)
+    tables, (trained, n_tokens, all_tokens) = _hot_tables(given, order, hot, scratch)
 
     # A row goes by its id, or where that is repeated by a hash of id and text.
     repeated = scratch.save(given.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "repeated")
@@ -500,7 +529,7 @@ def score_katz(
     shared = spark.sparkContext.broadcast(tables)
     packed = keyed.select(own.alias("key"), "doc_id", "text", "train").mapInArrow(_pack(shared, order, parts), "part int, " + ", ".join(f"{n} binary" for n in _PACK))
     kinds = "kind int, id bigint, other bigint, size bigint, x double, base double, known bigint, " + ", ".join(f"{n} bigint" for n in _columns(order))
-    solved = scratch.save(packed.groupBy("part").applyInArrow(_resolve(shared, order), kinds), "solved", "kind")
+    solved = scratch.save(packed.groupBy("part").applyInArrow(_resolve(shared, order), kinds), "solved")
 
     # Discounts from the numbers of n-grams by count; the tables hold the rest of them.
     sums = [F.sum(f"s{k}").alias(f"s{k}") for k in range(K + 2)]
