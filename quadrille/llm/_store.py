@@ -8,10 +8,12 @@ again starts a new plan whose joins the adaptive optimiser can split.
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -31,6 +33,23 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def lean(batches: Iterator) -> Iterator:
+    """Arrow batches; after each the worker gives back the memory that it doesn't need any more.
+
+    Workers live on between stages, and an executor's limit holds for them and the JVM together.
+    """
+    try:
+        trim = ctypes.CDLL(None).malloc_trim
+    except (OSError, AttributeError):  # not glibc
+        trim = None
+    for batch in batches:
+        yield batch
+        del batch
+        pa.default_memory_pool().release_unused()
+        if trim:
+            trim(0)
+
+
 def in_turn(shared: list) -> Iterator:
     """Values of broadcasts, one after the other; a worker holds one of them at a time."""
     for b in shared:

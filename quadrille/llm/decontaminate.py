@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quadrille.llm._bytes import ALNUM, hashes, texts, words
-from quadrille.llm._store import in_turn
+from quadrille.llm._store import in_turn, lean
 
 #: Words of benchmark text in one broadcast.
 SLICE_WORDS = 1_000_000
@@ -267,7 +267,7 @@ def find_overlaps(
     slices = _slices(benchmark, item_id_col, item_text_col, window, slice_words)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in lean(batches):
             for first, found in judge(batch.column(1), lambda: in_turn(slices), window, shard_bytes):
                 ids = batch.column(0).slice(first, found.num_rows)
                 yield from found.add_column(0, "doc_id", ids).combine_chunks().to_batches()
@@ -304,7 +304,7 @@ def drop_contaminated(
     part, whole = LEAST_SHARE
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in lean(batches):
             bad = np.zeros(batch.num_rows, bool)
             for first, found in judge(batch.column(place), lambda: in_turn(slices), window, shard_bytes):
                 n_words, n_hit = (found.column(k).to_numpy() for k in ("n_words", "n_hit"))

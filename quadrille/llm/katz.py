@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from quadrille.llm._bytes import NOT_SPACE, U64, hashes, mix, texts, words
 from quadrille.llm._marks import marks, with_mark
-from quadrille.llm._store import Scratch
+from quadrille.llm._store import Scratch, lean
 
 #: Counts up to K are discounted by Good-Turing, greater ones by this factor.
 K, LARGE = 5, 0.995
@@ -173,7 +173,7 @@ def _count(shared, order: int, most: int):
         sums, seen = np.zeros(size, np.int64), np.zeros(size, bool)
         history, shorter = np.zeros(size, U64), np.zeros(size, np.int64)
         docs = tokens = every = 0
-        for batch in batches:
+        for batch in lean(batches):
             train = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
             for t in _tokens(batch.column(0), min(order, len(hot) + 1)):
                 learn = train[t.first : t.first + len(t.sizes)]
@@ -280,7 +280,7 @@ def _pack(shared, order: int, parts: int):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot, turn = shared.value, 0
         names = ["part", *_PACK]
-        for batch in batches:
+        for batch in lean(batches):
             keys, ids = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             train = batch.column(3).to_numpy(zero_copy_only=False).astype(bool)
             for t in _tokens(batch.column(2), order):

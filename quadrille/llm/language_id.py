@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from quadrille.llm._bytes import PAD, Texts, texts
 from quadrille.llm._sampling import LONGEST_SAMPLED, sample_by
-from quadrille.llm._store import in_turn
+from quadrille.llm._store import in_turn, lean
 
 ORDER = 3
 #: Bounds of the fitting sample, for each language.
@@ -156,7 +156,7 @@ def identify(docs: DataFrame, models: Model | Iterable[Model], *, id_col: str =
     by_name = np.argsort(np.array(langs, object), kind="stable") if langs else np.zeros(0, int)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in lean(batches):
             lettered = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
             sizes = batch.column(3).to_numpy()
             bits = np.zeros((batch.num_rows, len(langs)))

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from quadrille.llm._bytes import NOT_SPACE, chain, digest, hashes, texts, words
 from quadrille.llm._components import connected_components
 from quadrille.llm._marks import marks, with_mark
-from quadrille.llm._store import Scratch
+from quadrille.llm._store import Scratch, lean
 
 #: Link when 100 * intersection >= 75 * union, that is 7 * intersection >= 3 * (sum of sizes).
 LEAST = (75, 100)
@@ -73,7 +73,7 @@ def _common(size: int):
                 top = top[np.argpartition(-total[top], most)[:most]]
             tokens, counts, waiting, n = both[top], total[top], [], 0
 
-        for batch in batches:
+        for batch in lean(batches):
             for _, sets in shingle_sets(batch.column(0), size):
                 waiting += sets
                 n += sum(map(len, sets))
@@ -127,7 +127,7 @@ _SETS = "doc_id bigint, n bigint, d1 bigint, d2 bigint, p1 bigint, p2 bigint, ow
 def _describe(size: int, shared):
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = _Order(shared.value)
-        for batch in batches:
+        for batch in lean(batches):
             for first, sets in shingle_sets(batch.column(1), size):
                 heads, own = zip(*[order.prefix(s) if len(s) else (s, 0) for s in sets], strict=True)
                 n = np.array([len(s) for s in sets], np.int64)
@@ -160,7 +160,7 @@ def _pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     position * 2**32 + size; ``near`` says whether the bounds allow a link to the pivot.
     """
     first, known = None, False  # the open run's first posting; whether it has been given
-    for batch in batches:
+    for batch in lean(batches):
         token, grp, meta = (batch.column(k).to_numpy() for k in range(3))
         if not len(token):
             continue
@@ -185,7 +185,7 @@ def _pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _verify(size: int):
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in lean(batches):
             left = [s for _, sets in shingle_sets(batch.column(2), size) for s in sets]
             right = [s for _, sets in shingle_sets(batch.column(3), size) for s in sets]
             met = np.array([len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(left, right, strict=True)], np.int64)
@@ -197,7 +197,7 @@ def _verify(size: int):
 
 
 def _only(batches: Iterator[pa.RecordBatch], bits: np.ndarray) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in lean(batches):
         spot = batch.column(2).to_numpy()
         ok = (bits[spot >> 6] >> (spot & 63).astype(np.uint64)) & np.uint64(1)
         yield batch.select([0, 1]).filter(pa.array(ok.astype(bool)))

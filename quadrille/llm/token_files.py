@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quadrille.llm._bytes import NOT_SPACE, hashes, texts, words
-from quadrille.llm._store import Scratch, running_sums
+from quadrille.llm._store import Scratch, lean, running_sums
 
 _PIECES = "path string, block bigint, piece bigint, start bigint, n bigint, closed boolean, last boolean, head array<bigint>"
 
@@ -48,7 +48,7 @@ def _pieces(width: int, end_id: int, header: int):
     """Rows of (path, block, offset, size) -> the pieces of each block, in the order of its ids."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in lean(batches):
             for path, block, offset, size in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
                 ids = np.frombuffer(_read(path, offset, size), f"<u{width}")
                 if len(ids) * width != size:
@@ -174,7 +174,7 @@ def write_word_ids(docs: DataFrame, folder: str, *, id_col: str = "doc_id", text
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in lean(batches):
             ids, missing = batch.column(0).fill_null(0).to_numpy(), batch.column(0).is_null().to_numpy(zero_copy_only=False)
             for t in texts(batch.column(1)):
                 w = words(t, NOT_SPACE)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from quadrille.llm._bytes import ASCII_LOWER, PAD, Texts, eights, texts
 from quadrille.llm._sampling import sample_by
-from quadrille.llm._store import Scratch
+from quadrille.llm._store import Scratch, lean
 
 SIZES = (4, 5, 6)
 #: Bounds of the fitting sample, for each label, and of the model.
@@ -170,7 +170,7 @@ def score_toxicity(docs: DataFrame, model: Model, *, id_col: str = "doc_id", tex
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in lean(batches):
             for first, found in scores(batch.column(1), shared.value):
                 ids = batch.column(0).slice(first, len(found))
                 yield pa.RecordBatch.from_arrays(
@@ -188,7 +188,7 @@ def drop_toxic(docs: DataFrame, model: Model, *, text_col: str = "text") -> Data
     place = docs.columns.index(text_col)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in lean(batches):
             parts = [found < 0.5 for _, found in scores(batch.column(place), shared.value)]
             if parts:
                 yield batch.filter(pa.array(np.concatenate(parts)))
