@@ -248,7 +248,7 @@ def find_overlaps(
     item_id_col: str = "item_id",
     item_text_col: str = "text",
     window: int = 13,
-    shard_bytes: int = 3 << 20,
+    shard_bytes: int = 2 << 20,
     slice_words: int = SLICE_WORDS,
 ) -> DataFrame:
     """One row per document: doc_id, n_words, n_hit, items, longest, longest_item, longest_at.
@@ -292,7 +292,7 @@ def drop_contaminated(
     item_id_col: str = "item_id",
     item_text_col: str = "text",
     window: int = 13,
-    shard_bytes: int = 3 << 20,
+    shard_bytes: int = 2 << 20,
     slice_words: int = SLICE_WORDS,
 ) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with all their columns.
