@@ -7,6 +7,7 @@
 from __future__ import annotations
 
 import argparse
+import json
 import sys
 from collections.abc import Sequence
 
@@ -41,7 +42,9 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     args = parser.parse_args(argv)
     spark = spark or SparkSession.builder.appName("quadrille").getOrCreate()
     whole, cells = collection(spark, args)
-    print(whole.first()["json"])
+    text = whole.first()["json"]
+    # Regular grids are indented by one; both are unescaped.
+    print(json.dumps(json.loads(text), ensure_ascii=False, indent=1) if args.kind == "regular" else text)
     print(f"wrote {cells.count()} cells", file=sys.stderr)
 
 

@@ -51,10 +51,11 @@ ANCHORS_NS = {
     -1: "cottage grove", -2: "stony island", -3: "yates", -4: "burley",
 }
 ANCHORS_EW = {
-    0: "madison", 1: "roosevelt", 2: "cermak", 3: "31st", 4: "pershing", 5: "47th", 6: "garfield", 7: "63rd", 8: "71st",
-    9: "79th", 10: "87th", 11: "95th", 12: "103rd", 13: "111th", 14: "119th", 15: "127th", 16: "135th",
-    -1: "chicago", -2: "north", -3: "fullerton", -4: "belmont", -5: "irving park", -6: "lawrence", -7: "bryn mawr",
-    -8: "devon", -9: "touhy", -10: "howard",
+    0: "madison", -1: "chicago", -2: "north", -3: "fullerton", -4: "belmont", -5: "irving park",
+    -6: "lawrence", -7: "bryn mawr", -8: "devon", -9: "touhy", -10: "howard",
+    1: "roosevelt", 2: "cermak", 3: "31st", 4: "pershing", 5: "47th", 6: "garfield", 7: "63rd",
+    8: "71st", 9: "79th", 10: "87th", 11: "95th", 12: "103rd", 13: "111th", 14: "119th",
+    15: "127th", 16: "135th",
 }
 #: Miles south (north end, south end) of the run that is fitted.
 FIT_WINDOWS = {"stony island": (None, 12.0), "cottage grove": (4.0, 11.0)}

@@ -12,13 +12,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quadrille.constants import AREA_TOLERANCE
+from quadrille.constants import AREA_TOLERANCE, MILE_LAT, MILE_LON
 from quadrille.functions.coords import cell_id, center_out, ordinate
-from quadrille.functions.geometry import MULTIPOLYGON, square_miles
+from quadrille.functions.geometry import MULTIPOLYGON, bounds, square_miles
 from quadrille.operators.lines import EW, NS
+from quadrille.sources.geojson import polygon_edges
 
 EDGE_DEGREES = 1e-5
 #: Pieces thinner than this are what rounding leaves of an exact cut.
@@ -122,7 +123,7 @@ def boundary_distance(face: np.ndarray, outline: np.ndarray) -> float:
     return best
 
 
-FACE = "part int, strip int, lon double, lat double, area double, near double, ring array<array<double>>"
+FACE = "part bigint, strip int, lon double, lat double, area double, near double, ring array<array<double>>"
 
 
 def _strip_faces(ns: list[tuple[float, float]], ew: list[tuple[float, float]]):
@@ -131,6 +132,7 @@ def _strip_faces(ns: list[tuple[float, float]], ew: list[tuple[float, float]]):
             for row in frame.itertuples():
                 outline = np.array([list(p) for p in row.ring], float)
                 outline = _tidy(outline[:-1] if (outline[0] == outline[-1]).all() else outline)
+                others = [np.array([list(p) for p in r], float)[:-1] for r in (row.others if row.others is not None else ())]
                 pieces = [outline]
                 for k, want in ((row.strip - 1, 1), (row.strip, 0)):
                     if 0 <= k < len(ns):
@@ -143,23 +145,36 @@ def _strip_faces(ns: list[tuple[float, float]], ew: list[tuple[float, float]]):
                     if len(p) < 3 or area(p) <= SLIVER:
                         continue
                     lon, lat = inner_point([p])
-                    out.append((row.part, row.strip, lon, lat, area(p), boundary_distance(p, outline), [*p.tolist(), p[0].tolist()]))
+                    near = min(boundary_distance(p, r) for r in (outline, *others))
+                    out.append((row.part, row.strip, lon, lat, area(p), near, [*p.tolist(), p[0].tolist()]))
                 yield pd.DataFrame(out, columns=[f.split()[0] for f in FACE.split(", ")])
 
     return faces
 
 
+def _close_parts(outlines: DataFrame) -> DataFrame:
+    """(part, others): the rings of the parts whose boxes come near a part's own, by the squares that boxes reach."""
+    box = bounds(F.col("ring"))
+    reach = lambda lo, hi, mile: F.sequence(F.floor((lo - EDGE_DEGREES) / mile), F.floor((hi + EDGE_DEGREES) / mile))
+    rows = outlines.select("part", F.explode(reach(box["south"], box["north"], F.lit(MILE_LAT))).alias("row"), "ring")
+    squares = rows.select("part", "row", F.explode(reach(box["west"], box["east"], F.lit(MILE_LON))).alias("column"))
+    near = squares.join(squares.withColumnRenamed("part", "other"), ["row", "column"]).where("part <> other").select("part", "other").distinct()
+    rings = outlines.select(F.col("part").alias("other"), F.col("ring").alias("r"))
+    return near.join(rings, "other").groupBy("part").agg(F.collect_list("r").alias("others"))
+
+
 def overlay_faces(outlines: DataFrame, lines: DataFrame) -> DataFrame:
     """Faces of outlines (part, ring: simple, without holes) cut by lines (axis, idx, slope, intercept).
 
     One row per face: part, strip, lon, lat (its inner point), area in square
-    degrees, near (distance to the outline), ring.
+    degrees, near (distance to the outline of any part), ring.
     """
     given = lines.select("axis", "slope", "intercept").collect()
     mean = outlines.select(F.explode("ring").alias("p")).agg(F.avg(F.col("p")[0]).alias("x"), F.avg(F.col("p")[1]).alias("y")).first()
     at = {NS: mean["y"] or 0.0, EW: mean["x"] or 0.0}
     by = {a: sorted(((r["slope"], r["intercept"]) for r in given if r["axis"] == a), key=lambda l: l[0] * at[a] + l[1]) for a in (NS, EW)}
-    strips = outlines.select("part", "ring", F.explode(F.sequence(F.lit(0), F.lit(len(by[NS])))).alias("strip"))
+    parts = outlines.select("part", "ring").join(_close_parts(outlines), "part", "left")
+    strips = parts.select("part", "ring", "others", F.explode(F.sequence(F.lit(0), F.lit(len(by[NS])))).alias("strip"))
     # Each task takes a strip of a part; what a strip needs of the outline it cuts itself.
     return strips.repartition("part", "strip").mapInPandas(_strip_faces(by[NS], by[EW]), FACE)
 
@@ -199,14 +214,113 @@ def cell_attributes(cells: DataFrame) -> DataFrame:
     return cells.withColumn("chi_id", cell_id(F.col("chi_ordinate"))).withColumn("center", center_out(F.col("lat"), F.col("lon")))
 
 
+def _snapped(x: str, y: str, snap: float) -> Column:
+    at = lambda c: F.round(F.col(c) / F.lit(snap)).cast("long")
+    return F.struct(at(x).alias("x"), at(y).alias("y"))
+
+
+def through_vertices(edges: DataFrame, owner: str, seam: float) -> DataFrame:
+    """``edges`` (owner, x1, y1, x2, y2), each led through the vertices of other owners that lie within ``seam`` of it.
+
+    Neighbours whose borders have different vertices, or a seam between them,
+    have the same edges afterwards.  Edges and vertices meet by the squares,
+    a hundredth of a degree wide, that an edge's box reaches.
+    """
+    wide = 0.01
+    square = lambda c: F.floor(F.col(c) / wide)
+    given = edges.withColumn("edge", F.xxhash64(owner, "x1", "y1", "x2", "y2"))
+    reach = lambda a, b: F.sequence(F.floor((F.least(a, b) - seam) / wide), F.floor((F.greatest(a, b) + seam) / wide))
+    filed = given.withColumn("column", F.explode(reach("x1", "x2"))).withColumn("row", F.explode(reach("y1", "y2")))
+    vertices = edges.select(F.col(owner).alias("of"), F.col("x1").alias("x"), F.col("y1").alias("y")).distinct()
+    vertices = vertices.withColumn("column", square("x")).withColumn("row", square("y"))
+    dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
+    length = dx * dx + dy * dy
+    along = ((F.col("x") - F.col("x1")) * dx + (F.col("y") - F.col("y1")) * dy) / F.nullif(length, F.lit(0.0))
+    off = F.abs((F.col("x") - F.col("x1")) * dy - (F.col("y") - F.col("y1")) * dx) / F.sqrt(length)
+    met = filed.join(vertices, ["column", "row"]).where(F.col(owner) != F.col("of")).withColumn("t", along)
+    margin = F.lit(seam) / F.sqrt(length)
+    met = met.where((F.col("t") > margin) & (F.col("t") < 1 - margin) & (off <= seam))
+    stops = met.groupBy("edge").agg(F.array_sort(F.collect_set(F.struct("t", "x", "y"))).alias("stops"))
+    ends = lambda a, b: F.array(F.struct(F.col(a).alias("x"), F.col(b).alias("y")))
+    between = F.transform(F.coalesce("stops", F.array().cast("array<struct<t:double,x:double,y:double>>")), lambda s: F.struct(s["x"].alias("x"), s["y"].alias("y")))
+    path = given.join(stops, "edge", "left").withColumn("path", F.concat(ends("x1", "y1"), between, ends("x2", "y2")))
+    step = lambda i: F.struct(
+        *[F.get("path", i)[c].alias(f"{c}1") for c in "xy"], *[F.get("path", i + 1)[c].alias(f"{c}2") for c in "xy"]
+    )
+    return path.select(owner, F.inline(F.transform(F.sequence(F.lit(0), F.size("path") - 2), step))).select(owner, "x1", "y1", "x2", "y2")
+
+
 def dissolve(edges: DataFrame, snap: float = 1e-7) -> DataFrame:
     """Undirected edges of adjoining polygons that only one of them has, snapped to a grid: the outline's edges.
 
-    Works where neighbours share vertices.  Gaps wider than ``snap`` stay, unlike
-    with true buffering, which this doesn't attempt.
+    Works where neighbours share vertices; :func:`through_vertices` makes them.
     """
-    at = lambda c: F.round(F.col(c) / F.lit(snap)).cast("long")
-    a, b = F.struct(at("x1").alias("x"), at("y1").alias("y")), F.struct(at("x2").alias("x"), at("y2").alias("y"))
+    a, b = _snapped("x1", "y1", snap), _snapped("x2", "y2", snap)
     keyed = edges.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"), "x1", "y1", "x2", "y2").where("a <> b")
     once = keyed.groupBy("a", "b").agg(F.count("*").alias("n"), F.first(F.struct("x1", "y1", "x2", "y2")).alias("e")).where("n % 2 = 1")
     return once.select("e.*")
+
+
+def chain(ends: np.ndarray, snap: float) -> list[np.ndarray]:
+    """Simple closed rings of undirected edges (x1, y1, x2, y2); rings may touch where more than two edges meet."""
+    points, at = np.unique(np.round(ends.reshape(-1, 2) / snap).astype(np.int64), axis=0, return_inverse=True)
+    places = np.empty((len(points), 2))
+    at = at.reshape(-1)
+    places[at] = ends.reshape(-1, 2)
+    pairs = at.reshape(-1, 2)
+    out_of: dict[int, list[int]] = {}
+    for e, (a, b) in enumerate(pairs.tolist()):
+        out_of.setdefault(a, []).append(e)
+        out_of.setdefault(b, []).append(e)
+    used, rings = np.zeros(len(pairs), bool), []
+    for first in range(len(pairs)):
+        if used[first]:
+            continue
+        used[first] = True
+        path = pairs[first].tolist()
+        where = {path[0]: 0}
+        while path:
+            now = path[-1]
+            if now in where:
+                # Back at a vertex of the path: what lies between is a ring.
+                rings.append(places[path[where[now] + 1 :]])
+                for v in path[where[now] + 1 : -1]:
+                    where.pop(v)
+                path = path[: where[now] + 1]
+            else:
+                where[now] = len(path) - 1
+            ways = [e for e in out_of[now] if not used[e]]
+            if not ways:
+                break
+            used[ways[0]] = True
+            path.append(int(pairs[ways[0]][0] if pairs[ways[0]][1] == now else pairs[ways[0]][1]))
+    return rings
+
+
+def _inside(point: np.ndarray, ring: np.ndarray) -> bool:
+    a, b = ring, np.roll(ring, -1, 0)
+    over = (a[:, 1] > point[1]) != (b[:, 1] > point[1])
+    a, b = a[over], b[over]
+    return bool((point[0] < a[:, 0] + (point[1] - a[:, 1]) * (b[:, 0] - a[:, 0]) / (b[:, 1] - a[:, 1])).sum() % 2)
+
+
+def outline_parts(polygons: DataFrame, seam: float = 1e-5, snap: float = 1e-7) -> DataFrame:
+    """(part, ring): the outer rings of the union of adjoining polygons (part, polygon), largest first.
+
+    Borders that neighbours share go, seams up to ``seam`` wide are closed, and
+    holes are filled.  Polygons may touch but not overlap.  Edges are cancelled
+    where they are; what is left, the outline, is one row a ring, and chained by
+    one task.
+    """
+    edges = through_vertices(polygon_edges(polygons, "part", fill_holes=True), "part", seam)
+
+    def rings(frame: pd.DataFrame) -> pd.DataFrame:
+        found = sorted((r for r in chain(frame[["x1", "y1", "x2", "y2"]].to_numpy(float), snap) if len(r) > 2), key=area, reverse=True)
+        outer: list[np.ndarray] = []
+        for ring in found:
+            # A ring within a larger one is a hole, or fills one.
+            if not any(_inside((ring[0] + ring[1]) / 2, r) for r in outer):
+                outer.append(ring)
+        return pd.DataFrame({"part": range(len(outer)), "ring": [[*r.tolist(), r[0].tolist()] for r in outer]})
+
+    return dissolve(edges, snap).withColumn("all", F.lit(0)).groupBy("all").applyInPandas(rings, "part bigint, ring array<array<double>>")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quadrille.constants import OHARE, PREFIX
 from quadrille.functions.coords import band, miles_south, miles_west
 from quadrille.operators.lattice import cells_meeting
+from quadrille.sources.geojson import polygon_edges
 
 
 def region_label(region: Column, n_origin: Column, w_origin: Column, lat: Column, lon: Column) -> Column:
@@ -45,3 +46,18 @@ def airport_members(areas: DataFrame) -> DataFrame:
     ident = F.coalesce(some("community_area_id"), some("community_area_number"), F.lit(""))
     named = F.lower(F.coalesce(F.col("name"), F.lit(""))).contains(OHARE["like"])
     return areas.where(((ident == OHARE["area_id"]) | named) & F.col("geometry").isNotNull())
+
+
+def airport_region(areas: DataFrame, order: int = 1) -> tuple[DataFrame, DataFrame]:
+    """(regions, edges) of the airport, as :func:`label_regions` takes them; both empty without a member.
+
+    ``areas``: community_area_id, community_area_number, name, geometry (a
+    polygon).  Members are joined side by side: an edge that two of them share
+    counts for both, and so cancels out.
+    """
+    members = airport_members(areas)
+    some = members.limit(1).select(
+        F.lit(order).alias("region_order"), F.lit(OHARE["name"]).alias("region"), F.lit(OHARE["n_origin"]).alias("n_origin"), F.lit(OHARE["w_origin"]).alias("w_origin")
+    )
+    edges = polygon_edges(members.select(F.lit(order).alias("region_order"), F.col("geometry").alias("polygon")), "region_order")
+    return some, edges

@@ -56,9 +56,10 @@ def street_lines(centerlines: DataFrame, extend: int = EXTEND) -> DataFrame:
 def street_grid(boundary: DataFrame, centerlines: DataFrame, extend: int = EXTEND) -> DataFrame:
     """Cells bounded by the lines of real roads, clipped to a boundary (part, polygon).
 
-    Holes of the boundary are filled; its parts must not overlap.
+    Adjoining parts of the boundary are one, and its holes are filled; parts must
+    not overlap.
     """
-    outlines = boundary.select("part", F.get("polygon", F.lit(0)).alias("ring"))
+    outlines = overlay.outline_parts(boundary)
     cells = overlay.merge_faces(overlay.overlay_faces(outlines, street_lines(centerlines, extend)))
     cells = overlay.cell_attributes(overlay.area_flags(cells))
     named = roads.nearest_roads(cells, roads.road_records(roads.road_vertices(centerlines)))

@@ -7,6 +7,7 @@ large one once with :func:`to_lines` and read the lines afterwards.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,7 +57,7 @@ def read_centerlines(spark: SparkSession, path: str) -> DataFrame:
 def read_boundary(spark: SparkSession, path: str) -> DataFrame:
     """(part, polygon) of every polygon in a boundary file, however it is wrapped."""
     found = read_features(spark, path).select("seq", F.posexplode(polygons_of(F.col("geometry"))).alias("n", "polygon"))
-    return found.select((F.col("seq") * 100_000 + F.col("n")).cast("int").alias("part"), "polygon")
+    return found.select((F.col("seq").cast("long") * 100_000 + F.col("n")).alias("part"), "polygon")
 
 
 def polygon_edges(polygons: DataFrame, owner: str, fill_holes: bool = False) -> DataFrame:
@@ -67,14 +68,27 @@ def polygon_edges(polygons: DataFrame, owner: str, fill_holes: bool = False) ->
     return polygons.select(owner, F.explode(rings).alias("r")).select(owner, F.inline(ring_edges(F.col("r"))))
 
 
+def shape_json(geometry: Column, kind: str) -> Column:
+    """A polygon, or a multipolygon, as JSON text; a multipolygon of one part is written as that polygon."""
+    text = lambda k, c: F.concat(F.lit(f'{{"type":"{k}","coordinates":'), F.to_json(c), F.lit("}"))
+    if kind == "Polygon":
+        return text(kind, geometry)
+    return F.when(F.size(geometry) == 1, text("Polygon", F.get(geometry, F.lit(0)))).otherwise(text(kind, geometry))
+
+
 def feature_json(cells: DataFrame, properties: list[str], kind: str = "Polygon") -> DataFrame:
     """(chi_id, json): one GeoJSON feature per cell; nulls are kept, text is not escaped."""
-    feature = F.struct(
-        F.lit("Feature").alias("type"),
-        F.struct(F.lit(kind).alias("type"), F.col("geometry").alias("coordinates")).alias("geometry"),
-        F.struct(*properties).alias("properties"),
-    )
-    return cells.select("chi_id", F.to_json(feature, {"ignoreNullFields": "false"}).alias("json"))
+    held = F.to_json(F.struct(*properties), {"ignoreNullFields": "false"})
+    text = F.concat(F.lit('{"type":"Feature","geometry":'), shape_json(F.col("geometry"), kind), F.lit(',"properties":'), held, F.lit("}"))
+    return cells.select("chi_id", text.alias("json"))
+
+
+def read_published(spark: SparkSession, root: str, version: str, name: str = "grid.geojson") -> DataFrame:
+    """Features of a published version, ``root/version/name``; a version that isn't there is an error."""
+    try:
+        return read_features(spark, f"{root.rstrip('/')}/{version}/{name}")
+    except AnalysisException as missing:
+        raise ValueError(f"Could not load the grid: no version {version} under {root}") from missing
 
 
 def to_lines(features: DataFrame, path: str) -> None:

@@ -174,7 +174,7 @@ def test_distance_of_faces_is_that_of_a_small_outline(gap):
     cut = overlay._strip_faces([(0.0, 1.0), (0.0, 3.0)], [(0.0, 1.0), (0.0, 2.0)])
     near = []
     for ring in (small, large):
-        frame = pd.DataFrame({"part": [0], "ring": [ring.tolist()], "strip": [1]})
+        frame = pd.DataFrame({"part": [0], "ring": [ring.tolist()], "others": [None], "strip": [1]})
         faces = [(min(y for _, y in r), n) for r, n in next(cut(iter([frame])))[["ring", "near"]].itertuples(index=False)]
         near.append([n for _, n in sorted(faces)])
     assert near[1] == pytest.approx(near[0], abs=1e-12)
@@ -186,6 +186,60 @@ def test_dissolve_cancels_shared_edges(spark):
     assert overlay.dissolve(geojson.polygon_edges(cells, "chi_id")).count() == 12
 
 
+def rings_of(spark, polygons, **options):
+    rows = [(i, [[[float(v) for v in p] for p in [*r, r[0]]] for r in rings]) for i, rings in enumerate(polygons)]
+    given = spark.createDataFrame(rows, "part bigint, polygon array<array<array<double>>>")
+    return given, [np.array(r["ring"])[:-1] for r in overlay.outline_parts(given, **options).orderBy("part").collect()]
+
+
+def box(x, y, w, h):
+    return [(x, y), (x + w, y), (x + w, y + h), (x, y + h)]
+
+
+def test_outline_of_adjoining_polygons(spark):
+    # Borders with other vertices, a hole between them, a part of its own, and one that touches in a point.
+    given = [[box(0, 0, 0.02, 0.01)], [box(0, 0.01, 0.01, 0.01)], [box(0.01, 0.01, 0.01, 0.01)], [box(0.05, 0, 0.01, 0.01)], [box(0.02, 0.02, 0.01, 0.01)]]
+    _, found = rings_of(spark, given)
+    assert sorted(round(overlay.area(r), 12) for r in found) == [0.0001, 0.0001, 0.0004]
+    ring = [[box(0, 0, 0.03, 0.01)], [box(0, 0.02, 0.03, 0.01)], [box(0, 0.01, 0.01, 0.01)], [box(0.02, 0.01, 0.01, 0.01)]]
+    _, found = rings_of(spark, ring)
+    assert [round(overlay.area(r), 12) for r in found] == [0.0009]
+    # A hole with an island, and a seam between neighbours.
+    _, found = rings_of(spark, [[box(0, 0, 0.03, 0.03), box(0.01, 0.01, 0.01, 0.01)], [box(0.01, 0.01, 0.01, 0.01)]])
+    assert [round(overlay.area(r), 12) for r in found] == [0.0009]
+    _, found = rings_of(spark, [[box(0, 0, 0.01, 0.01)], [box(0.010004, 0.002, 0.01, 0.005)]], seam=1e-5)
+    assert len(found) == 1 and overlay.area(found[0]) == pytest.approx(0.00015, rel=1e-2)
+
+
+def test_adjoining_parts_are_flagged_like_their_union(spark, sf_dir):
+    west, south, wide, high, cut = -87.86, 41.70, 0.30, 0.30, -87.7234
+    whole = box(west, south, wide, high)
+    parts = [[(west, south), (cut, south), (cut, 41.8), (cut, south + high), (west, south + high)], box(cut, south, west + wide - cut, high)]
+    out = []
+    for polygons in ([whole], parts):
+        given, _ = rings_of(spark, [[r] for r in polygons])
+        cells = grids.street_grid(given, inputs.centerlines(spark, sf_dir)).select("chi_id", "edge", "flag", F.round("area_sqmi", 2).alias("a"))
+        out.append(sorted(map(tuple, cells.collect())))
+    assert out[0] == out[1] and {r[1] for r in out[0]} == {True, False}
+
+
+def test_distance_to_another_part(spark):
+    lines_ = spark.createDataFrame([("ns", 0, 0.0, 0.5), ("ew", 0, 0.0, 0.5)], "axis string, idx int, slope double, intercept double")
+    gap = 5e-6
+    rows = [(0, [list(map(float, p)) for p in [*box(0, 0, 1, 1), (0, 0)]]), (1, [list(map(float, p)) for p in [*box(1 + gap, 0.2, 0.1, 0.1), (1 + gap, 0.2)]])]
+    outlines = spark.createDataFrame(rows, "part bigint, ring array<array<double>>")
+    assert overlay._close_parts(outlines).count() == 2
+    assert overlay.overlay_faces(outlines, lines_).where("near > 0").count() == 0
+
+
+def test_published_versions(spark, tmp_path):
+    (tmp_path / "v7").mkdir()
+    write(tmp_path / "v7" / "grid.geojson", {"type": "FeatureCollection", "features": [{"type": "Feature", "properties": {"chi_id": "1S1W"}, "geometry": SQUARE}]})
+    assert geojson.read_published(spark, str(tmp_path), "v7").first()["properties"]["chi_id"] == "1S1W"
+    with pytest.raises(ValueError, match="Could not load the grid"):
+        geojson.read_published(spark, str(tmp_path), "v8")
+
+
 LINE = {"type": "LineString", "coordinates": [[-87.6, 41.8], [-87.6, 41.9]]}
 MULTI = {"type": "MultiLineString", "coordinates": [[[0, 1], [2, 3]], [[4, 5]]]}
 SQUARE = {"type": "Polygon", "coordinates": [[[0, 0], [1, 0], [1, 1], [0, 0]], [[0.1, 0.1], [0.2, 0.1], [0.2, 0.2], [0.1, 0.1]]]}
