@@ -6,7 +6,7 @@ import textwrap
 
 from quadrille import constants as C
 from quadrille.inputs import BOX, CATEGORY, CITY, CORNER_X, CORNER_Y, HEXAGON, PLACE_LAT, PLACE_NAME, POINT, REGIONS, ROAD_LAT, ROAD_LON, ROAD_SEQ, ROADS
-from quadrille.queries import FACES, FITS, LOOKUPS, PRETTY
+from quadrille.queries import CONVEX, CUTS, FACES, FITS, LOOKUPS, PRETTY
 
 
 def _d(x: float | None) -> str:
@@ -245,6 +245,9 @@ _CLIPPED = [
     ("ew", 0, "madison", None, None, 8.0), ("ew", 7, "63rd", None, None, -50.0),
 ]
 
+_WINDOWED = [("ns", i, b, *C.FIT_WINDOWS.get(b, (None, None)), None) for i, b in C.ANCHORS_NS.items()]
+_WINDOWED += [("ew", i, b, None, None, C.WEST_CAPS.get(b, C.WEST_CAP)) for i, b in C.ANCHORS_EW.items()]
+
 COMPLETE = f"""fits(axis, idx, slope, intercept) AS ({_values(FITS)}),
 every AS (SELECT axis, unnest(range(min(idx), max(idx) + 1)) AS idx FROM fits GROUP BY axis),
 around AS (
@@ -270,6 +273,42 @@ _SEARCHES = ("5S3W", " damen ", "43rd", "χ:2s", "Dam43", "no such cell", " ")
 _PIXEL = "printf('%.1f,%.1f', 8e0 + ({x} - min_x) * sx, height - 8e0 - ({y} - min_y) * sx)"
 _CORNERS = [("w", "s"), ("e", "s"), ("e", "n"), ("w", "n"), ("w", "s")]
 
+
+
+def _clipped(source: str, out: str, side: str) -> str:
+    """Rings of ``source`` clipped, edge after edge, to where ``side`` of a point isn't negative."""
+    a, b = "r[i]", "r[i % len(r) + 1]"
+    at = lambda p: side.format(x=f"{p}.x", y=f"{p}.y")
+    t = f"(({at(a)}) / (({at(a)}) - ({at(b)})))"
+    cross = f"{{'x': {a}.x + {t} * ({b}.x - {a}.x), 'y': {a}.y + {t} * ({b}.y - {a}.y)}}"
+    kept = f"CASE WHEN {at(a)} >= 0 AND {at(b)} >= 0 THEN [{b}] WHEN {at(a)} >= 0 THEN [{cross}] WHEN {at(b)} >= 0 THEN [{cross}, {b}] ELSE [] END"
+    return f"{out} AS (SELECT * REPLACE (flatten(list_transform(range(1, len(r) + 1), lambda i : {kept})) AS r) FROM {source})"
+
+
+_NS_COUNT, _EW_COUNT = len(CUTS["ns"]), len(CUTS["ew"])
+_RING_AREA = "abs(list_sum(list_transform(range(1, len({r}) + 1), lambda i : ({r}[i].x - {r}[1].x) * ({r}[i % len({r}) + 1].y - {r}[1].y) - ({r}[i % len({r}) + 1].x - {r}[1].x) * ({r}[i].y - {r}[1].y)))) / 2"
+#: The convex outline clipped to each strip and row by half-planes.  A face is inner if
+#: clipping a far larger square gives the same area.
+OVERLAY_CONVEX = f"""WITH ns(k, m, c) AS ({_values([(i, *l) for i, l in enumerate(CUTS["ns"])])}), ew(k, m, c) AS ({_values([(i, *l) for i, l in enumerate(CUTS["ew"])])}),
+rings AS (
+  SELECT true AS city, [{", ".join(f"{{'x': {_d(x)}, 'y': {_d(y)}}}" for x, y in CONVEX)}] AS r
+  UNION ALL SELECT false, [{", ".join(f"{{'x': {_d(x)}, 'y': {_d(y)}}}" for x, y in ((-90.0, 39.0), (-85.0, 39.0), (-85.0, 44.0), (-90.0, 44.0)))}]
+),
+strips AS (
+  SELECT city, r, i AS strip, j, coalesce(a.m, 0e0) AS am, coalesce(a.c, -1e3) AS ac, coalesce(b.m, 0e0) AS bm, coalesce(b.c, 1e3) AS bc,
+         coalesce(s.m, 0e0) AS sm, coalesce(s.c, -1e3) AS sc, coalesce(n.m, 0e0) AS nm, coalesce(n.c, 1e3) AS nc
+  FROM rings, range({_NS_COUNT + 1}) AS x(i), range({_EW_COUNT + 1}) AS y(j)
+  LEFT JOIN ns AS a ON a.k = i - 1 LEFT JOIN ns AS b ON b.k = i LEFT JOIN ew AS s ON s.k = j - 1 LEFT JOIN ew AS n ON n.k = j
+),
+{_clipped("strips", "c1", "{x} - (am * {y} + ac)")}, {_clipped("c1", "c2", "(bm * {y} + bc) - {x}")},
+{_clipped("c2", "c3", "{y} - (sm * {x} + sc)")}, {_clipped("c3", "c4", "(nm * {x} + nc) - {y}")},
+areas AS (SELECT city, strip, j, {_RING_AREA.format(r="r")} AS area FROM c4 WHERE len(r) > 2),
+faces AS (
+  SELECT f.strip, f.area, round(f.area / ({ML} * {MO}), 3) AS area_sqmi, NOT (abs(f.area - w.area) < 1e-13 AND f.strip BETWEEN 1 AND {_NS_COUNT - 1} AND f.j BETWEEN 1 AND {_EW_COUNT - 1}) AS edge
+  FROM areas AS f JOIN areas AS w ON w.strip = f.strip AND w.j = f.j AND NOT w.city WHERE f.city AND f.area > 1e-16
+)
+SELECT CAST(strip AS INTEGER) AS strip, round(area, 10) AS area, area_sqmi, edge, NOT edge AND (area_sqmi < 0.9e0 OR area_sqmi > 1.1e0) AS flag FROM faces"""
+
 ORACLE_SQL: dict[str, str] = {
     "miles_bands": f"""WITH {POINTS} SELECT event_id, round({_south("lat")}, 6) AS south, round({_west("lon")}, 6) AS west,
 {_band(_south("lat"))} AS ns_band, {_band(_west("lon"))} AS ew_band FROM points""",
@@ -378,7 +417,7 @@ FROM named_full""",
     "label_text": f"WITH {_named('simple')} SELECT chi_id, label AS token FROM named_simple",
     "point_strings": f"""WITH {FRAME}, boxes AS (SELECT chi_id, {_BOX} FROM cells)
 SELECT chi_id, {" || ' ' || ".join(_PIXEL.format(x=x, y=y) for x, y in _CORNERS)} AS points FROM boxes, frame""",
-    "outer_ring_parts": f"WITH {CELLS} SELECT chi_id, CAST(2 AS BIGINT) AS rings FROM cells",
+    "outer_ring_parts": f"WITH {CELLS} SELECT chi_id, CAST(abs(kw) % 3 + 1 AS BIGINT) AS rings, round(lon + {MO} / 2, 6) AS east FROM cells",
     "version_join": f"""WITH {_named("simple")}, {_named("full", cells=False)}
 SELECT coalesce(a.chi_id, b.chi_id) AS chi_id, a.name AS name_a, a.label AS label_a, b.name AS name_b, b.label AS label_b
 FROM (SELECT * FROM named_simple WHERE ks > -5) AS a FULL JOIN (SELECT * FROM named_full WHERE ks < 12) AS b ON a.chi_id = b.chi_id""",
@@ -392,5 +431,58 @@ SELECT street_name, CAST(sum(CASE WHEN ({ROAD_SEQ}) % 3 = 1 THEN 2 ELSE 1 END) A
 FROM lineitem JOIN roads ON r = l_partkey % 40 WHERE ({ROAD_SEQ}) % 3 = 1 OR (({ROAD_SEQ}) % 3 = 0 AND ({ROAD_SEQ}) % 7 <> 0) GROUP BY street_name""",
     "boundary_edges": f"""WITH {NATIONS} SELECT n_nationkey, count(*) * CASE WHEN n_nationkey % 2 = 0 THEN 2 ELSE 1 END AS edges, round(min(y1), 6) AS south
 FROM edges GROUP BY n_nationkey""",
-    "dissolved_outline": "SELECT CAST(20 AS BIGINT) AS edges",
+    "dissolved_outline": f"""WITH {CELLS}, inside AS ({LATTICE_POLYGON}),
+kept AS (SELECT ks, kw FROM cells WHERE chi_id IN (SELECT chi_id FROM inside)),
+sides AS (
+  SELECT 2 * ks AS y1, 2 * ks + 2 AS y2, 2 * kw AS x1, 2 * kw AS x2 FROM kept UNION ALL SELECT 2 * ks, 2 * ks + 2, 2 * kw + 2, 2 * kw + 2 FROM kept
+  UNION ALL SELECT 2 * ks, 2 * ks, 2 * kw, 2 * kw + 2 FROM kept UNION ALL SELECT 2 * ks + 2, 2 * ks + 2, 2 * kw, 2 * kw + 2 FROM kept
+),
+once AS (SELECT x1, x2, y1, y2 FROM sides GROUP BY ALL HAVING count(*) = 1)
+SELECT round({LON0} - x2 / 2 * {MO}, 6) AS x_low, round({LON0} - x1 / 2 * {MO}, 6) AS x_high,
+       round({LAT0} - y2 / 2 * {ML}, 6) AS y_low, round({LAT0} - y1 / 2 * {ML}, 6) AS y_high FROM once""",
+    "outline_rings": f"""WITH {CELLS}, k AS (
+  SELECT CASE WHEN ks <= 5 THEN 0 ELSE 1 END AS block, lat, lon FROM cells
+  WHERE (ks BETWEEN 0 AND 5 AND kw BETWEEN 0 AND 3) OR (ks BETWEEN 8 AND 9 AND kw BETWEEN -4 AND 6)
+)
+SELECT CAST(1 - (CASE WHEN count(*) = 24 THEN 1 ELSE 0 END) AS BIGINT) AS part, CAST(count(DISTINCT round(lat, 6)) * 2 + count(DISTINCT round(lon, 6)) * 2 + 1 AS BIGINT) AS vertices,
+       CAST(count(*) AS DOUBLE) AS area_sqmi, round(min(lon) - {MO} / 2, 6) AS west, round(min(lat) - {ML} / 2, 6) AS south,
+       round(max(lon) + {MO} / 2, 6) AS east, round(max(lat) + {ML} / 2, 6) AS north FROM k GROUP BY block""",
+    "overlay_convex": OVERLAY_CONVEX,
+    "overlay_merged": f"""WITH {CELLS} SELECT 'χ:' || chi_id AS chi_ordinate, round({MO} * {ML}, 10) AS area,
+  round(CASE WHEN ks % 2 = 0 THEN lat - 3 * {ML} / 8 ELSE lat - {ML} / 4 END, 6) AS lat, kw = 0 AS edge, false AS flag, CAST(2 AS BIGINT) AS parts FROM cells""",
+    "airport_labels": f"""WITH {_named("simple")}, {NATIONS}, own AS (SELECT * FROM edges WHERE n_nationkey % 5 = 2 OR n_nationkey = 13 OR n_nationkey = 76),
+boxes AS (SELECT *, {_BOX} FROM cells),
+met AS (
+  SELECT chi_id FROM boxes AS c WHERE
+    EXISTS (SELECT 1 FROM own AS e WHERE (x1 BETWEEN c.w AND c.e AND y1 BETWEEN c.s AND c.n) OR {" OR ".join(_segments_cross(p, q) for p, q in _SIDES)})
+    OR (SELECT count(*) FROM own AS e WHERE {_LEFT_OF.format(x="c.lon", y="c.lat")}) % 2 = 1
+),
+k AS (
+  SELECT chi_id, 'OHare-' || CAST(9 - CASE WHEN ks >= 0 THEN ks + 1 ELSE -ks END + 1 AS BIGINT) || chr(CAST(65 + 17 - CASE WHEN kw >= 0 THEN kw + 1 ELSE -kw END AS INTEGER)) AS own
+  FROM cells WHERE chi_id IN (SELECT chi_id FROM met)
+)
+SELECT c.chi_id, CASE WHEN starts_with(name, 'χ:') THEN coalesce(own, name) ELSE name END AS name,
+       CASE WHEN starts_with(name, 'χ:') THEN coalesce(own, label) ELSE label END AS label
+FROM named_simple AS c LEFT JOIN k ON k.chi_id = c.chi_id""",
+    "fit_lines_windows": _fit_sql(_WINDOWED, True),
+    "anchor_windows": f"SELECT axis, CAST(idx AS INTEGER) AS idx, base, north, south, cap FROM ({_values(_WINDOWED)}) AS t(axis, idx, base, north, south, cap)",
+    "geojson_features": f"""WITH {_named("full")}
+SELECT chi_id, 'χ:' || chi_id AS chi_ordinate, name, label, round(lon, 6) AS lon, round(lat, 6) AS lat, 'Feature' AS kind, 'Polygon' AS shape,
+       CAST(5 AS BIGINT) AS vertices, round(lon - {MO} / 2, 6) AS west FROM named_full""",
+    "geojson_collection": f"""WITH {_named("simple")}
+SELECT CAST(row_number() OVER (ORDER BY chi_id) - 1 AS INTEGER) AS seq, chi_id, name, label, CAST(1 AS BIGINT) AS polygons FROM named_simple""",
+    "collection_head": f"""WITH {CELLS} SELECT 'FeatureCollection' AS kind, CAST(1 AS BIGINT) AS cell_miles, count(*) AS cells FROM cells WHERE ks > 3
+UNION ALL SELECT 'FeatureCollection', 2, 0""",
+    "shapes_of_parts": f"""WITH {CELLS} SELECT chi_id, CASE WHEN ks % 3 = 0 THEN 'MultiPolygon' ELSE 'Polygon' END AS kind,
+CAST(CASE WHEN ks % 3 = 0 THEN 2 ELSE 1 END AS BIGINT) AS parts FROM cells""",
+    "boundary_read": f"""WITH {NATIONS}
+SELECT CAST(n_nationkey AS BIGINT) * 100000 AS part, count(*) AS filled, count(*) + CASE WHEN n_nationkey % 3 = 0 THEN 3 ELSE 0 END AS edges,
+       round((abs(sum(x1 * y2 - x2 * y1)) / 2 - CASE WHEN n_nationkey % 3 = 0 THEN 2e-4 ELSE 0e0 END) / ({ML} * {MO}), 3) AS area_sqmi
+FROM edges GROUP BY n_nationkey""",
+    "centerlines_read": f"""WITH roads(r, street_name, class) AS ({_values(ROADS)})
+SELECT street_name, class, count(*) AS vertices, round(min({ROAD_LON}), 6) AS west, round(max({ROAD_LON}), 6) AS east
+FROM lineitem JOIN roads ON r = l_partkey % 40 GROUP BY street_name, class""",
+    "grid_csv_read": f"""WITH {_named("full")}
+SELECT 'χ:' || chi_id AS chi_ordinate, chi_id, name, label, name AS name_canon, label AS label_canon, round(lat, 6) AS center_lat, round(lon, 6) AS center_lon,
+       CASE WHEN ks % 2 = 0 THEN 1.05e0 ELSE 0.875e0 END AS area_sqmi, kw % 3 = 0 AS edge, kw % 3 <> 0 AND ks % 2 <> 0 AS flag FROM named_full""",
 }

@@ -10,16 +10,35 @@ from pyspark.sql import functions as F
 from quadrille import constants as C
 from quadrille import inputs
 from quadrille.functions.coords import band, miles_south, miles_west
-from quadrille.functions.geometry import MULTIPOLYGON, outer_rings, polygon_area, square_miles
+from quadrille.functions.geometry import MULTIPOLYGON, bounds, outer_rings, polygon_area, ring_area, square_miles
 from quadrille.functions.names import FULL, SIMPLE, base_road_name, name_and_label, pretty_road_name, short_token
 from quadrille.operators import explore, lines, overlay, roads
 from quadrille.operators.lattice import clip_lattice, extent_of, lattice, with_rings
 from quadrille.operators.locate import cover_index, locate
 from quadrille.operators.places import assign_places, category_counts, featured_places, summarise_places
-from quadrille.operators.regions import airport_members, label_regions
+from quadrille.operators.regions import airport_members, airport_region, label_regions
 from quadrille.plans import grids
-from quadrille.sources.geojson import feature_collection, feature_json, lines_of, polygon_edges, polygons_of
-from quadrille.sources.tables import flat_grid
+from quadrille.sources.geojson import (
+    feature_collection,
+    feature_json,
+    lines_of,
+    polygon_edges,
+    polygons_of,
+    read_boundary,
+    read_centerlines,
+    read_published,
+)
+from quadrille.sources.shared import new_path
+from quadrille.sources.tables import flat_grid, read_grid_csv, write_grid_csv
+
+#: A convex outline, and lines that cut it: lon = slope * lat + intercept ("ns"), lat = slope * lon + intercept ("ew").
+CONVEX = [(-87.90, 41.70), (-87.70, 41.66), (-87.55, 41.75), (-87.57, 41.95), (-87.75, 42.02), (-87.88, 41.90)]
+CUTS = {
+    "ns": [(0.02, -88.665 + 0.03 * k) for k in range(8)],
+    "ew": [(-0.015, 40.43 + 0.025 * k) for k in range(9)],
+}
+#: A triangle within the hexagon of a nation, by offsets from its corner.
+HOLE = [(0.01, 0.01), (0.03, 0.01), (0.01, 0.03)]
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -364,8 +383,13 @@ def point_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def outer_ring_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shapes = F.array("geometry", "geometry").cast(MULTIPOLYGON)
-    return _cells(spark).select("chi_id", F.size(outer_rings(shapes)).cast("long").alias("rings"))
+    """As many parts as the step west has thirds, each with a hole: their outer rings."""
+    part = F.array("ring", F.reverse("ring"))
+    shapes = F.array_repeat(part, (F.abs("kw") % 3 + 1).cast("int")).cast(MULTIPOLYGON)
+    rings = outer_rings(shapes)
+    return _cells(spark).withColumn("ring", F.get("geometry", F.lit(0))).select(
+        "chi_id", F.size(rings).cast("long").alias("rings"), F.round(F.element_at(rings, -1)[1][0], 6).alias("east")
+    )
 
 
 @query
@@ -394,22 +418,163 @@ def overlay_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("chi_id", "name", "label", "name_canon", "label_canon", "area_sqmi", "edge", "flag")
 
 
+@query
+def overlay_convex(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faces of a convex outline cut by slanted lines: their areas, and which of them reach the outline."""
+    ring = [list(p) for p in [*CONVEX, CONVEX[0]]]
+    outline = spark.createDataFrame([(0, ring)], "part bigint, ring array<array<double>>")
+    cuts = spark.createDataFrame([(a, i, m, c) for a, ls in CUTS.items() for i, (m, c) in enumerate(ls)], "axis string, idx int, slope double, intercept double")
+    flagged = overlay.area_flags(overlay.overlay_faces(outline, cuts))
+    return flagged.select("strip", F.round("area", 10).alias("area"), "area_sqmi", "edge", "flag")
+
+
+@query
+def overlay_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faces of lattice squares halved by a line in their middle, merged again by ordinate."""
+    south = F.col("lat") - F.lit(C.MILE_LAT / 2)
+    lower = F.when(F.col("ks") % 2 == 0, F.col("lat") - F.lit(C.MILE_LAT / 4)).otherwise(F.col("lat"))
+    halves = F.explode(F.array(F.struct(south.alias("s"), lower.alias("n")), F.struct(lower.alias("s"), (south + F.lit(C.MILE_LAT)).alias("n"))))
+    w, e = F.col("lon") - F.lit(C.MILE_LON / 2), F.col("lon") + F.lit(C.MILE_LON / 2)
+    cut = _cells(spark).select("ks", "kw", w.alias("w"), e.alias("e"), halves.alias("h")).select("*", "h.*")
+    corner = lambda x, y: F.array(F.col(x), F.col(y))
+    ring = F.array(corner("w", "s"), corner("e", "s"), corner("e", "n"), corner("w", "n"), corner("w", "s"))
+    faces = cut.select(
+        F.lit(0).cast("long").alias("part"),
+        F.lit(0).alias("strip"),
+        ((F.col("w") + F.col("e")) / 2).alias("lon"),
+        ((F.col("s") + F.col("n")) / 2).alias("lat"),
+        ((F.col("e") - F.col("w")) * (F.col("n") - F.col("s"))).alias("area"),
+        F.when(F.col("kw") == 0, F.lit(0.0)).otherwise(F.lit(1.0)).alias("near"),
+        ring.alias("ring"),
+    )
+    merged = overlay.area_flags(overlay.merge_faces(faces))
+    return merged.select("chi_ordinate", F.round("area", 10).alias("area"), F.round("lat", 6).alias("lat"), "edge", "flag", F.size("geometry").cast("long").alias("parts"))
+
+
 @query
 def dissolved_outline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cells = _cells(spark).where("ks between 0 and 5 and kw between 0 and 3").select("chi_id", F.col("geometry").alias("polygon"))
+    """The outline of every cell that meets the city."""
+    edges = inputs.ring_edges(spark, {0: inputs.CITY}, "part").drop("part")
+    cells = with_rings(clip_lattice(lattice(spark), edges)).select("chi_id", F.col("geometry").alias("polygon"))
     kept = overlay.dissolve(polygon_edges(cells, "chi_id"))
-    return kept.agg(F.count("*").alias("edges"))
+    return kept.select(
+        *[F.round(f(f"{c}1", f"{c}2"), 6).alias(f"{c}_{n}") for c in "xy" for n, f in (("low", F.least), ("high", F.greatest))]
+    )
+
+
+@query
+def outline_rings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lattice's cells of two blocks apart, as the rings of their union; a hole in one is filled."""
+    blocks = "(ks between 0 and 5 and kw between 0 and 3 and not (ks = 2 and kw = 1)) or (ks between 8 and 9 and kw between -4 and 6)"
+    cells = _cells(spark).where(blocks).select(F.monotonically_increasing_id().alias("part"), F.col("geometry").alias("polygon"))
+    found = overlay.outline_parts(cells)
+    box = bounds(F.col("ring"))
+    return found.select("part", F.size("ring").cast("long").alias("vertices"), square_miles(ring_area(F.col("ring"))).alias("area_sqmi"), *[F.round(box[k], 6).alias(k) for k in box])
+
+
+@query
+def airport_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Community areas of the airport, as a region, to the labels of its cells."""
+    key = F.col("n_nationkey")
+    areas = inputs.nation_polygons(spark, sf_dir).select(
+        F.when(key % 5 == 2, F.lit(76)).otherwise(key).alias("community_area_id"), F.lit(None).cast("int").alias("community_area_number"),
+        F.when(key == 13, F.lit("Near O'Hare")).alias("name"), "geometry",
+    )
+    return label_regions(_named(spark), *airport_region(areas)).select("chi_id", "name", "label")
+
+
+@query
+def fit_lines_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fits within the anchors' own windows and caps."""
+    found = lines.fit_lines(_vertices(spark, sf_dir, False), lines.anchors(spark))
+    return found.select("axis", "idx", F.round("slope", 5).alias("slope"), F.round("intercept", 3).alias("intercept"))
+
+
+@query
+def anchor_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.anchors(spark)
 
 
 @query
 def geojson_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feature_json(grids.regular_grid(spark), ["chi_id", "chi_ordinate", "name", "label", "center"])
+    """Fields of the features back from their text."""
+    given = feature_json(grids.regular_grid(spark), ["chi_id", "chi_ordinate", "name", "label", "center"])
+    held = "struct<chi_id:string, chi_ordinate:string, name:string, label:string, center:array<double>>"
+    f = F.from_json("json", f"struct<type:string, geometry:struct<type:string, coordinates:array<array<array<double>>>>, properties:{held}>")
+    parsed = given.select(f.alias("f"))
+    ring = F.get("f.geometry.coordinates", F.lit(0))
+    return parsed.select(
+        "f.properties.chi_id", "f.properties.chi_ordinate", "f.properties.name", "f.properties.label",
+        F.get("f.properties.center", F.lit(0)).alias("lon"), F.get("f.properties.center", F.lit(1)).alias("lat"),
+        F.col("f.type").alias("kind"), F.col("f.geometry.type").alias("shape"), F.size(ring).cast("long").alias("vertices"), F.round(ring[0][0], 6).alias("west"),
+    )
 
 
 @query
 def geojson_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cells = feature_json(grids.regular_grid(spark, dialect=SIMPLE), ["chi_id", "chi_ordinate", "name", "label", "center"])
-    return feature_collection(cells, {"system": "square mile grid", "cell_miles": 1})
+    """A whole collection, written as a published version and read again: features in order, and the head."""
+    cells = feature_json(grids.regular_grid(spark, dialect=SIMPLE), ["chi_id", "name", "label"])
+    root = new_path(spark, "published")
+    feature_collection(cells, {"cell_miles": 1}).select(F.col("json").alias("value")).write.text(f"{root}/v1/grid.geojson")
+    held = F.col("properties")
+    return read_published(spark, root, "v1").select("seq", *[held[k].alias(k) for k in ("chi_id", "name", "label")], F.size(polygons_of(F.col("geometry"))).cast("long").alias("polygons"))
+
+
+@query
+def collection_head(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cells = feature_json(grids.regular_grid(spark, dialect=SIMPLE).where("ks > 3"), ["chi_id"])
+    whole = feature_collection(cells, {"cell_miles": 1}).unionByName(feature_collection(cells.where("false"), {"cell_miles": 2}))
+    field = lambda path, kind="string": F.get_json_object("json", path).cast(kind)
+    return whole.select(field("$.type").alias("kind"), field("$.properties.cell_miles", "long").alias("cell_miles"), field("$.properties.count", "long").alias("cells"))
+
+
+@query
+def shapes_of_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells of one part are polygons, others multipolygons."""
+    shapes = F.when(F.col("ks") % 3 == 0, F.array("geometry", "geometry")).otherwise(F.array("geometry")).cast(MULTIPOLYGON)
+    written = feature_json(_cells(spark).withColumn("geometry", shapes), ["chi_id"], "MultiPolygon")
+    shape = F.struct(F.get_json_object("json", "$.geometry.type").alias("type"), F.get_json_object("json", "$.geometry.coordinates").alias("coordinates"))
+    return written.select("chi_id", shape["type"].alias("kind"), F.size(polygons_of(shape)).cast("long").alias("parts"))
+
+
+@query
+def boundary_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Polygons, some with a hole, written as an enveloped collection and read as a boundary, holes filled or not."""
+    x, y = F.expr(inputs.CORNER_X), F.expr(inputs.CORNER_Y)
+    hole = F.array(*[F.array(x + F.lit(dx), y + F.lit(dy)) for dx, dy in [*HOLE, HOLE[0]]])
+    given = inputs.nation_polygons(spark, sf_dir).withColumn("geometry", F.when(F.col("n_nationkey") % 3 == 0, F.concat("geometry", F.array(hole))).otherwise(F.col("geometry")))
+    cells = feature_json(given.withColumn("chi_id", F.lpad(F.col("n_nationkey").cast("string"), 2, "0")), ["n_nationkey"])
+    path = new_path(spark, "boundary")
+    whole = feature_collection(cells, {})
+    whole.select(F.concat(F.lit('{"data":'), "json", F.lit("}")).alias("value")).write.text(path)
+    found = read_boundary(spark, path)
+    count = lambda fill: polygon_edges(found, "part", fill_holes=fill).groupBy("part").agg(F.count("*").alias("filled" if fill else "edges"))
+    areas = found.select("part", square_miles(polygon_area(F.col("polygon"))).alias("area_sqmi"))
+    return areas.join(count(True), "part").join(count(False), "part")
+
+
+@query
+def centerlines_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Roads written as a collection of lines, and read as centerlines."""
+    given = inputs.centerlines(spark, sf_dir).groupBy("street_name", "class").agg(F.array_sort(F.flatten(F.collect_list("points"))).alias("points"))
+    kind = F.when(F.length("street_name") % 2 == 0, "LineString").otherwise("MultiLineString")
+    text = F.when(kind == "LineString", F.to_json("points")).otherwise(F.to_json(F.array("points")))
+    held = F.to_json(F.struct(F.col("street_name").alias("STREET_NAME"), F.col("class").alias("CLASS")))
+    feature = F.concat(F.lit('{"type":"Feature","properties":'), held, F.lit(',"geometry":{"type":"'), kind, F.lit('","coordinates":'), text, F.lit("}}"))
+    path = new_path(spark, "roads")
+    feature_collection(given.select(F.col("street_name").alias("chi_id"), feature.alias("json")), {}).select(F.col("json").alias("value")).write.text(path)
+    found = read_centerlines(spark, path)
+    lon = F.transform("points", lambda p: p[0])
+    return found.select("street_name", "class", F.size("points").cast("long").alias("vertices"), F.round(F.array_min(lon), 6).alias("west"), F.round(F.array_max(lon), 6).alias("east"))
+
+
+@query
+def grid_csv_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A flat table of the second version, written and read again."""
+    cells = _named(spark, FULL).withColumns({"name_canon": F.col("name"), "label_canon": F.col("label"), "edge": F.col("kw") % 3 == 0})
+    path = new_path(spark, "table")
+    write_grid_csv(cells.withColumn("area_sqmi", F.when(F.col("ks") % 2 == 0, 1.05).otherwise(0.875)), path, 2)
+    return read_grid_csv(spark, path, 2)
 
 
 @query
