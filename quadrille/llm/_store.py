@@ -1,38 +1,27 @@
 """Tables written to the shared folder to cut lineage.
 
-The folder is the session's ``spark.checkpoint.dir``.  Only when that is unset
-(tests, notebooks in local mode) is a temporary folder made and set, once for
-the session.  A written table survives the loss of executors, and reading it
-again starts a new plan whose joins the adaptive optimiser can split.
+The folder is the session's ``spark.checkpoint.dir``.  Only when that is unset in
+local mode (tests, notebooks) is a temporary folder made and set, once for the
+session; elsewhere it is an error.  A written table survives the loss of
+executors, and reading it again starts a new plan whose joins the adaptive
+optimiser can split.
 """
 
 from __future__ import annotations
 
 import ctypes
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quadrille.sources.shared import new_path
+
 #: Rows that Spark hands to Python at once: texts are long, and default batches of them are large.
 ARROW_ROWS = 2000
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        jvm_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        found = jvm_dir.get() if jvm_dir.isDefined() else None
-    if not found:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="quadrille-"))
-        found = spark.sparkContext._jsc.sc().getCheckpointDir().get()
-    return found.rstrip("/")
-
-
 def lean(batches: Iterator) -> Iterator:
     """Arrow batches; after each the worker gives back the memory that it doesn't need any more.
 
@@ -69,7 +58,7 @@ class Scratch:
         self.spark = spark
         if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) not in range(1, ARROW_ROWS + 1):
             spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
-        self.root = f"{shared_dir(spark)}/quadrille-{label}-{uuid.uuid4().hex}"
+        self.root = new_path(spark, label)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"

@@ -302,7 +302,10 @@ def link_components(
         left = wanted.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
         right = wanted.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
         both = candidates.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-        return scratch.save(both.mapInArrow(_verify(shingle), "a bigint, b bigint").distinct(), name)
+        found = scratch.save(both.mapInArrow(_verify(shingle), "a bigint, b bigint").distinct(), name)
+        # Copies of texts don't outlive their use.
+        scratch.drop(f"{name}-texts")
+        return found
 
     links = verified(pairs, "links")
     found = scratch.save(connected_components(links, scratch, "cc"), "components")

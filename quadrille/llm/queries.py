@@ -101,9 +101,10 @@ def op5_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = Scratch(spark, "tokens").path("ids")
-    write_word_ids(_table(spark, sf_dir, "documents"), folder)
-    found = count_tokens(spark, folder, header=ID_DIGITS, one_stream=True)
+    scratch = Scratch(spark, "tokens")
+    write_word_ids(_table(spark, sf_dir, "documents"), scratch.path("ids"))
+    found = count_tokens(spark, scratch.path("ids"), header=ID_DIGITS, one_stream=True)
+    scratch.drop("ids")  # their pieces are written by now
     return found.select(told_id().alias("doc_id"), (F.col("n_tokens") - ID_DIGITS).alias("n_tokens"))
 
 

@@ -110,7 +110,7 @@ def count_tokens(
     next.  A file whose size is no multiple of ``width`` raises an error; empty
     files hold nothing.  Files of any size are read in ranges of ``block`` ids,
     a document may span any number of them, and memory depends on ``block``
-    alone.  ``folder`` is on a file system that pyarrow opens by its uri (local
+    alone.  The files are read once, before this returns.  ``folder`` is on a file system that pyarrow opens by its uri (local
     and shared folders, S3, GCS, HDFS).
     """
     scratch = Scratch(spark, "token-blocks")

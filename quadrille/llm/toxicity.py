@@ -163,8 +163,9 @@ def scores(column: pa.Array, model: Model) -> Iterator[tuple[int, np.ndarray]]:
 def score_toxicity(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, score, predicted.
 
-    Null and empty texts get the score of a text without any known n-gram.
-    Other columns are ignored; repeated rows each get a row; an empty table
+    Null and empty texts get the score of a text without any known n-gram; texts
+    of any length are scored whole; a score of exactly 0.5 predicts 1.  Other
+    columns are ignored, null ids come back null, repeated rows each get a row; an empty table
     gives an empty result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -183,7 +184,7 @@ def score_toxicity(docs: DataFrame, model: Model, *, id_col: str = "doc_id", tex
 
 
 def drop_toxic(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that score under 0.5, with all their columns."""
+    """The rows of ``docs`` that score under 0.5, with all their columns; cases as in :func:`score_toxicity`."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index(text_col)
 

@@ -66,3 +66,30 @@ def test_held_out_auc(spark, sf_dir):
     auc = (rank[ones].sum() - ones.sum() * (ones.sum() + 1) / 2) / (ones.sum() * (~ones).sum())
     assert auc > 0.95
     assert (found["score"][~ones] >= 0.5).mean() < 0.02
+
+
+def test_fit_against_plain_newton():
+    """The kept n-grams' log-count ratios from their definition, and the regression's optimum in double precision."""
+    texts, labels = toy(240)
+    weight = np.where(labels == 1, 0.4, 1.7)
+    model = fit(pa.array(texts), labels, weight, features=80)
+    sets = []
+    for t in texts:
+        data = t.lower().encode()
+        sets.append({int.from_bytes(data[i : i + n], "little") | n << 56 for n in SIZES for i in range(len(data) - n + 1)})
+    keys = [int(k) for k in model.keys]
+    assert 10 < len(keys) <= 80 and all(any(k in s for s in sets) for k in keys)
+    w = weight / weight.mean()
+    held = np.array([[k in s for k in keys] for s in sets], float)
+    p, q = (1 + (w * (labels == k)) @ held for k in (1, 0))
+    ones, zeros = w[labels == 1].sum(), w[labels == 0].sum()
+    ratio = np.log((p / (ones + 2)) / (q / (zeros + 2)))
+    x = np.column_stack([held * ratio, np.ones(len(texts))])
+    penalty = np.append(np.full(len(keys), 2.0), 1e-6)
+    beta = np.zeros(len(penalty))
+    for _ in range(200):
+        mu = 1 / (1 + np.exp(-x @ beta))
+        slope = x.T @ (w * (mu - labels)) + penalty * beta
+        beta -= 0.5 * np.linalg.solve((x * (w * mu * (1 - mu))[:, None]).T @ x + np.diag(penalty), slope)
+    assert model.bias == pytest.approx(beta[-1], abs=0.02)
+    assert model.weights == pytest.approx(beta[:-1] * ratio, abs=0.02)
