@@ -19,27 +19,49 @@ from quadrille.llm.source_mix import mix_sources
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier scores at 0.5 or more go."""
+    """Documents that the classifier scores at 0.5 or more go.
+
+    Whole texts of any length are scored.  Null and empty texts have the score of
+    no feature at all; rows with a null id are scored and never learned from;
+    repeated rows are judged alike; an empty table stays empty.
+    """
     return toxicity.drop_toxic(docs, toxicity_model(spark, docs, sf_dir))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the row with the smallest id stays."""
+    """Of equal texts, the row with the smallest id stays.
+
+    Null counts as empty, null ids sort last, and of rows equal in id and text
+    one stays, whatever their other columns hold; an empty table stays empty.
+    """
     return drop_exact_duplicates(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near duplicates, the row with the smallest id stays."""
+    """Of each component of near duplicates, the row with the smallest id stays.
+
+    Texts without words and rows with a null id link nothing and stay, as do all
+    rows that repeat the id that stays; an empty table stays empty.
+    """
     return drop_near_duplicates(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with enough words in benchmark windows go."""
+    """Documents of which a twentieth of the words or more are in benchmark windows go.
+
+    Texts without words stay, and so does everything if the benchmark has no
+    words; repeated rows are judged alike; an empty table stays empty.
+    """
     return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """How often the mix takes each document that is left."""
+    """How often the mix takes each document that is left: one row per row.
+
+    Null and empty texts are taken 0 times, null sources are one source, the
+    last, and rows repeated with one id are taken by themselves; an empty table
+    gives an empty result.
+    """
     return mix_sources(docs)
 
 
