@@ -43,8 +43,6 @@ LEAST = (75, 100)
 #: Shingles that the order puts last, and how many of them one task proposes.
 COMMON, COMMON_PER_TASK, COMMON_MIN = 1 << 18, 1 << 14, 8
 _FLUSH = 1 << 20
-#: Bits of the filter by which rows without a candidate stay out of a shuffle.
-FILTER_BITS = 26
 
 
 def shingle_sets(column: pa.Array, size: int) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -196,28 +194,10 @@ def _verify(size: int):
     return verify
 
 
-def _only(batches: Iterator[pa.RecordBatch], bits: np.ndarray) -> Iterator[pa.RecordBatch]:
-    for batch in lean(batches):
-        spot = batch.column(2).to_numpy()
-        ok = (bits[spot >> 6] >> (spot & 63).astype(np.uint64)) & np.uint64(1)
-        yield batch.select([0, 1]).filter(pa.array(ok.astype(bool)))
-
-
 def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose id is in ``ids``; a filter of fixed size keeps most others out of the shuffle."""
-    spark = docs.sparkSession
-    spot = F.xxhash64("doc_id").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
-    marks = (
-        ids.select(spot.alias("spot"))
-        .groupBy(F.expr("spot >> 6").alias("word"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, cast(spot & 63 as int))")).alias("bits"))
-        .toArrow()
-    )
-    bits = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
-    bits[marks.column(0).to_numpy()] = marks.column(1).to_numpy().view(np.uint64)
-    shared = spark.sparkContext.broadcast(bits)
-    rows = docs.withColumn("spot", spot).mapInArrow(lambda batches: _only(batches, shared.value), "doc_id bigint, text string")
-    return rows.join(ids, "doc_id", "left_semi")
+    flagged = with_mark(docs, F.col("doc_id"), marks(ids, F.col("doc_id")), "__maybe")
+    return flagged.where("__maybe").drop("__maybe").join(ids, "doc_id", "left_semi")
 
 
 def link_components(
