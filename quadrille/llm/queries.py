@@ -13,7 +13,10 @@ from quadrille.llm._store import Scratch
 from quadrille.llm.decontaminate import LEAST_SHARE, find_overlaps
 from quadrille.llm.exact_dedup import mark_exact_duplicates
 from quadrille.llm.katz import score_katz
+from quadrille.llm.line_dedup import mark_common_lines
 from quadrille.llm.ngram_join import link_components
+from quadrille.llm.prefix_trie import build_trie, end_hashes, ordered_turns, shared_starts
+from quadrille.llm.resampling import resample
 from quadrille.llm.secret_scan import BASE_RULES, Rule, scan_secrets, span_text
 from quadrille.llm.secret_scan import RULES as ALL_RULES
 from quadrille.llm.source_mix import mix_sources
@@ -310,6 +313,120 @@ FROM d LEFT JOIN grouped ON grouped.doc_id = d.doc_id
 """
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mark_common_lines(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+_LOWER = "translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_KEY = _LOWER.format(text=r"trim(line, E' \t\n\x0B\x0C\r')")
+OP11_SQL = rf"""
+WITH
+d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+x AS (SELECT r, doc_id, unnest(l) AS line, unnest(range(len(l))) AS i FROM d),
+k AS (SELECT r, doc_id, i, line, {_KEY} AS key FROM x),
+common AS (SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT r) >= 10)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(common.key) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (common.key IS NULL), '')) AS kept_sha256
+FROM k LEFT JOIN common ON common.key = k.key GROUP BY r
+"""
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark, "turns")
+    turns = scratch.save(ordered_turns(_table(spark, sf_dir, "conversations")), "turns")
+    trie = build_trie(shared_starts(turns))
+    empty = F.sha2(F.lit(""), 256)
+    return trie.nodes.join(end_hashes(trie.ends), "digest", "left").select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", F.col("saved").alias("saved_tokens"), F.coalesce("ends_sha256", empty).alias("ends_sha256")
+    )
+
+
+#: The unsigned crc32 of a list of bytes: eight shifts for each entry of the table, one look at it for each byte.
+_CRC_TABLE = """crc_table AS MATERIALIZED (
+  SELECT list(list_reduce(list_prepend(b, range(8)), lambda c, step : CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY b) AS crc FROM range(256) AS t(b)
+)"""
+
+
+def _crc(octets: str) -> str:
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {octets}), lambda c, b : xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+OP12_SQL = f"""
+WITH
+{_CRC_TABLE},
+ids AS (SELECT DISTINCT conv_id AS c FROM conversations WHERE conv_id IS NOT NULL),
+taken AS (SELECT c, c - c % 5 AS start, {_crc("list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x : CAST(ascii(x) AS BIGINT))")} % 9 AS h FROM ids, crc_table),
+said AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+turns AS (
+  SELECT conv_id AS c, strlen(text) AS bytes, strlen(role) || ':' || strlen(text) || ':' || role || text AS said,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(strlen(role) || ':' || role || text)) AS pos
+  FROM said
+),
+rows AS (
+  SELECT taken.c, 0 AS pos, 0 AS bytes, '' AS said FROM taken
+  UNION ALL SELECT taken.c, pos, bytes, said FROM taken JOIN turns ON turns.c = taken.start AND pos <= h
+  UNION ALL SELECT taken.c, pos, bytes, said FROM taken JOIN turns ON turns.c = taken.c AND pos > h
+),
+paths AS (
+  SELECT c, bytes, row_number() OVER w - 1 AS depth, count(*) OVER (PARTITION BY c) - 1 AS n, string_agg(said, '') OVER w AS key
+  FROM rows WINDOW w AS (PARTITION BY c ORDER BY pos ROWS UNBOUNDED PRECEDING)
+),
+linked AS (SELECT *, lag(key) OVER (PARTITION BY c ORDER BY depth) AS up FROM paths),
+nodes AS (
+  SELECT key, depth, any_value(up) AS up, any_value(bytes) AS bytes, min(c) AS c, count(*) AS n_convs,
+         coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (depth = n), '') AS ends
+  FROM linked GROUP BY key, depth
+),
+children AS (SELECT up AS key, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY up),
+counted AS (SELECT nodes.*, coalesce(children.n, 0) AS n_children FROM nodes LEFT JOIN children ON children.key = nodes.key),
+sums AS (
+  SELECT above.key, above.depth, count(*) FILTER (below.n_children = 0) AS n_leaves, sum((below.n_convs - 1) * below.bytes) AS saved
+  FROM counted AS below JOIN paths AS above ON above.c = below.c AND above.depth <= below.depth GROUP BY above.key, above.depth
+)
+SELECT counted.c AS conv_id, counted.depth, parent.c AS parent_conv_id, counted.n_convs, counted.n_children, n_leaves,
+       CAST(saved AS BIGINT) AS saved_tokens, sha256(counted.ends) AS ends_sha256
+FROM counted JOIN sums ON sums.key = counted.key AND sums.depth = counted.depth
+LEFT JOIN counted AS parent ON parent.key = counted.up AND parent.depth = counted.depth - 1
+"""
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+_OCTETS = "list_transform(range(0, strlen(f)), lambda i : CAST(('0x' || substr(hex(encode(f)), 2 * i + 1, 2)) AS BIGINT))"
+OP13_SQL = rf"""
+WITH
+{_CRC_TABLE},
+d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER.format(text="coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT row_number() OVER () AS r, regexp_extract_all({_LOWER.format(text="coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+runs AS (
+  SELECT true AS own, r, unnest(list_concat(w, [w[i] || ' ' || w[i + 1] for i in range(1, len(w))], [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] for i in range(1, len(w) - 1)])) AS f FROM d
+  UNION ALL
+  SELECT false, r, unnest(list_concat(w, [w[i] || ' ' || w[i + 1] for i in range(1, len(w))], [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] for i in range(1, len(w) - 1)])) FROM b
+),
+named AS (SELECT f, {_crc(_OCTETS)} % 10000 AS bucket FROM (SELECT DISTINCT f FROM runs), crc_table),
+counts AS (SELECT bucket, count(*) FILTER (own) AS s, count(*) FILTER (NOT own) AS t FROM runs JOIN named USING (f) GROUP BY bucket),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((t + 1.0::DOUBLE) * ((SELECT sum(s) FROM counts) + 10000)::DOUBLE / ((s + 1.0::DOUBLE) * ((SELECT sum(t) FROM counts) + 10000)::DOUBLE))) AS BIGINT) AS gain
+  FROM counts
+),
+weights AS (SELECT r, CAST(sum(gain) AS BIGINT) AS weight, count(*) AS n_features FROM runs JOIN named USING (f) JOIN gains USING (bucket) WHERE own GROUP BY r),
+scored AS (
+  SELECT d.r, doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM d LEFT JOIN weights ON weights.r = d.r
+),
+ranked AS (
+  SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, weight DESC) AS rank FROM scored WHERE n_words >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= (SELECT 5 * count(*) // 100 FROM scored WHERE n_words >= 20) THEN rank END AS rank
+FROM scored LEFT JOIN ranked ON ranked.r = scored.r
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_language_id": op2_language_id,
@@ -321,6 +438,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_source_mix": op9_source_mix,
     "op10_secret_scan": op10_secret_scan,
+    "op11_line_dedup": op11_line_dedup,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_resampling": op13_resampling,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_ngram_join": OP1_SQL,
@@ -329,4 +449,7 @@ ORACLE_SQL: dict[str, str] = {
     "op7_decontaminate": OP7_SQL,
     "op8_url_filter": OP8_SQL,
     "op10_secret_scan": OP10_SQL,
+    "op11_line_dedup": OP11_SQL,
+    "op12_prefix_trie": OP12_SQL,
+    "op13_resampling": OP13_SQL,
 }
