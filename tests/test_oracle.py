@@ -3,6 +3,7 @@
 import math
 
 import duckdb
+import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
@@ -14,7 +15,7 @@ def rows(frame):
     columns = sorted(frame.columns)
 
     def cell(v):
-        if v is None or (isinstance(v, float) and math.isnan(v)):
+        if v is None or v is pd.NA or (isinstance(v, float) and math.isnan(v)):
             return ""
         if isinstance(v, float):
             return f"{v:.9g}" if v else "0"
