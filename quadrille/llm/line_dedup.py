@@ -177,22 +177,27 @@ def _cleaned(rows: DataFrame, least_docs: int, least_length: int, batches: int,
     common = scratch.save(own.common(), "common")
     own.close(delete=runs is None)
     # Equal texts lose equal lines, so that one list of line numbers does for all copies.
-    hits = lines.join(common, KEY, "left_semi").groupBy("text_hi", "text_lo").agg(F.collect_set("pos").alias("gone"))
+    hits = lines.join(common, KEY, "left_semi").groupBy("text_hi", "text_lo").agg(F.array_sort(F.collect_set("pos")).alias("gone"))
     hits = scratch.save(hits, "hits")
     scratch.drop("lines")
     hi, lo = _hash(F.col("text"))
     flagged = with_mark(rows.withColumn("hi", hi).withColumn("lo", lo), F.col("hi"), marks(hits, F.col("text_hi")), "maybe")
-    untouched = flagged.where("not maybe").select("row", "text", F.lit(None).cast("array<int>").alias("gone"))
     met = flagged.where("maybe").join(hits, (F.col("hi") == F.col("text_hi")) & (F.col("lo") == F.col("text_lo")), "left").select("row", "text", "gone")
-    split = untouched.unionByName(met).withColumn("lines", F.split("text", "\n", -1))
-    stays = F.array_except(F.sequence(F.lit(1), F.size("lines")), "gone")
-    kept = F.array_join(F.transform(stays, lambda i: F.element_at("lines", i)), "\n")
-    return split.select(
+    whole = flagged.where("not maybe").select("row", "text").unionByName(met.where("gone IS NULL").select("row", "text"))
+    feeds = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit("")))
+    whole = whole.select("row", (feeds + 1).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_dropped"), F.col("text").alias("kept"))
+    cut = met.where("gone IS NOT NULL").select("row", F.split("text", "\n", -1).alias("lines"), "gone")
+    # What stays lies between the lines that go.
+    before = lambda i: F.when(i == 0, 0).otherwise(F.get("gone", i - 1))
+    between = F.transform("gone", lambda to, i: F.slice("lines", before(i) + 1, to - before(i) - 1))
+    last = F.slice("lines", F.element_at("gone", -1) + 1, F.size("lines"))
+    cut = cut.select(
         "row",
         F.size("lines").cast("long").alias("n_lines"),
-        F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long").alias("n_dropped"),
-        F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept).alias("kept"),
+        F.size("gone").cast("long").alias("n_dropped"),
+        F.array_join(F.concat(F.flatten(between), last), "\n").alias("kept"),
     )
+    return whole.unionByName(cut)
 
 
 def mark_common_lines(
