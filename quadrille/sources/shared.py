@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -26,3 +26,20 @@ def shared_dir(spark: SparkSession) -> str:
 def new_path(spark: SparkSession, label: str) -> str:
     """A path there that nothing else has."""
     return f"{shared_dir(spark)}/quadrille-{label}-{uuid.uuid4().hex}"
+
+
+class Written:
+    """Tables of one run, under a folder of their own; a written table cuts the lineage and survives lost executors."""
+
+    def __init__(self, spark: SparkSession, label: str) -> None:
+        self.spark, self.root = spark, new_path(spark, label)
+
+    def save(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.root}/{name}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, name: str) -> None:
+        """Delete a table that nothing will read again."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
