@@ -68,3 +68,6 @@ AREA_TOLERANCE = (0.9, 1.1)
 NAME_MILES, SPAN_MILES, BROAD_MILES, WIDE_MILES = 0.6, 0.2, 1.0, 1.6
 OHARE = {"name": "OHare", "n_origin": 9, "w_origin": 17, "area_id": "76", "like": "hare"}
 FEATURED = 8
+
+#: Degrees that a boundary is grown and shrunk by, to close the seams of its parts.
+CLOSE_DEGREES = 0.0006

@@ -43,11 +43,16 @@ _EDGE = "struct<ax:double,ay:double,bx:double,by:double>"
 def segments(polygons: DataFrame, grid: float = GRID) -> DataFrame:
     """(.., ax, ay, bx, by) of all rings of ``polygon``, in grid steps and with the smaller end first; other columns stay."""
     held = [c for c in polygons.columns if c != "polygon"]
-    edges = polygons.select(*held, F.explode("polygon").alias("ring")).select(*held, F.inline(ring_edges(F.col("ring"))))
+    return snapped(polygons.select(*held, F.explode("polygon").alias("ring")).select(*held, F.inline(ring_edges(F.col("ring")))), grid)
+
+
+def snapped(edges: DataFrame, grid: float = GRID) -> DataFrame:
+    """(.., ax, ay, bx, by) of edges (.., x1, y1, x2, y2) in degrees; those shorter than a step go."""
+    held = [c for c in edges.columns if c not in ("x1", "y1", "x2", "y2")]
     at = lambda c: F.round(F.col(c) / F.lit(grid)) + F.lit(0.0)
     a, b = (F.struct(at(f"x{k}").alias("x"), at(f"y{k}").alias("y")) for k in (1, 2))
-    ends = edges.select(*held, F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).where("a <> b")
-    return ends.select(*held, F.col("a.x").alias("ax"), F.col("a.y").alias("ay"), F.col("b.x").alias("bx"), F.col("b.y").alias("by"))
+    ends = edges.select(*held, F.least(a, b).alias("__from"), F.greatest(a, b).alias("__to")).where("__from <> __to")
+    return ends.select(*held, *[F.col(f"{p}.{c}").alias(f"{n}{c}") for p, n in (("__from", "a"), ("__to", "b")) for c in "xy"])
 
 
 def _tile(value: Column, off: float, tile: float) -> Column:
@@ -234,7 +239,8 @@ def rings_of(edges: DataFrame, key: list[str], written: Written) -> DataFrame:
     angle = lambda x1, y1, x2, y2: F.atan2(F.col(y2) - F.col(y1), F.col(x2) - F.col(x1)).alias("angle")
     away = edges.select(*key, F.col("ax").alias("x"), F.col("ay").alias("y"), angle("ax", "ay", "bx", "by"), F.col("id").alias("to"), F.lit(None).cast("long").alias("from"))
     back = edges.select(*key, F.col("bx").alias("x"), F.col("by").alias("y"), angle("bx", "by", "ax", "ay"), F.lit(None).cast("long").alias("to"), F.col("id").alias("from"))
-    around = Window.partitionBy(*key, "x", "y").orderBy("angle")
+    # Where both directions of an edge are given, turning back is the last choice.
+    around = Window.partitionBy(*key, "x", "y").orderBy("angle", F.col("to").isNotNull())
     before, whole = around.rowsBetween(Window.unboundedPreceding, -1), around.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     turned = F.coalesce(F.last("to", ignorenulls=True).over(before), F.last("to", ignorenulls=True).over(whole))
     links = away.unionByName(back).select("from", turned.alias("to")).where("from IS NOT NULL")
@@ -268,11 +274,13 @@ def nested(rings: DataFrame, key: list[str], written: Written, tile: float, grid
     whole = whole.select(*key, "ring", turn.alias("turn"), F.concat(F.transform("p", at), F.array(at(F.get("p", 0)))).alias("points"))
     whole = written.save(whole, "rings")
     # A ring's first edge tells which other rings are around all of it, for they don't cross.
-    first = rings.where("seq = 0").select(*key, F.col("ring").alias("inner"), ((F.col("ax") + F.col("bx")) / 2).alias("x"), ((F.col("ay") + F.col("by")) / 2).alias("y"), (F.col("ay") == F.col("by")).alias("level"))
+    first = rings.where("seq = 0").select(*key, F.col("ring").alias("inner"), ((F.col("ax") + F.col("bx")) / 2).alias("x"), ((F.col("ay") + F.col("by")) / 2).alias("y"), (F.col("ay") == F.col("by")).alias("level"), F.least("ax", "bx").alias("west"), F.greatest("ax", "bx").alias("east"))
     first = first.withColumn("column", _tile(F.col("x"), _OFF_X, tile)).withColumn("row", _tile(F.col("y"), _OFF_Y, tile))
     shells = whole.where("turn > 0").select(*key, "ring", F.col("turn").alias("size"))
     index = tile_index(rings.join(shells, [*key, "ring"], "left_semi").select(*key, "ring", *ENDS), [*key, "ring"], tile)
     around = first.join(index, [*key, "column", "row"]).where((F.col("ring") != F.col("inner")) & _inside(F.col("x"), F.col("y"), tile, F.col("level")))
+    # A ring that has this edge as well, the other way round, is beside it.
+    around = around.where(~F.exists("edges", lambda g: (F.least(g["ax"], g["bx"]) == F.col("west")) & (F.greatest(g["ax"], g["bx"]) == F.col("east")) & (g["ay"] + g["by"] == 2 * F.col("y"))))
     around = around.select(*key, "inner", "ring").join(shells, [*key, "ring"])
     if fill_holes:
         outer = whole.where("turn > 0").join(around.select(*key, F.col("inner").alias("ring")).distinct(), [*key, "ring"], "left_anti")
@@ -295,14 +303,57 @@ def dissolved(polygons: DataFrame, key: list[str], *, fill_holes: bool = False,
     unique and not dense.  Null or empty polygons and those without area add
     nothing; without any, the result is empty.
     """
-    written = Written(polygons.sparkSession, "arrangement")
-    step = tile / grid
     signed = polygons if "sign" in polygons.columns else polygons.withColumn("sign", F.lit(1))
-    edges = noded(segments(signed.select(*key, "owner", "sign", "polygon"), grid), key, written, step)
-    rings = written.save(rings_of(borders(edges, key, written, step), key, written), "placed")
+    return dissolved_edges(segments(signed.select(*key, "owner", "sign", "polygon"), grid), key, fill_holes=fill_holes, grid=grid, tile=tile)
+
+
+def dissolved_edges(edges: DataFrame, key: list[str], *, fill_holes: bool = False, grid: float = GRID, tile: float = TILE) -> DataFrame:
+    """As :func:`dissolved`, of the polygons' edges (key, owner, sign, ends) as :func:`segments` returns them."""
+    written, step = Written(edges.sparkSession, "arrangement"), tile / grid
+    cut = noded(edges, key, written, step)
+    rings = written.save(rings_of(borders(cut, key, written, step), key, written), "placed")
     return nested(rings, key, written, step, grid, fill_holes)
 
 
+def polygonized(lines: DataFrame, key: list[str], *, grid: float = GRID, tile: float = TILE) -> DataFrame:
+    """(key, part, polygon): the faces that lines (key, x1, y1, x2, y2) enclose, each with its holes.
+
+    Lines may cross, touch, overlap and repeat.  The area outside of all is no face.
+    A line that ends in the open stays in the ring of its face, there and back.
+    """
+    written, step = Written(lines.sparkSession, "faces"), tile / grid
+    cut = noded(snapped(lines.select(*key, "x1", "y1", "x2", "y2"), grid).distinct(), key, written, step).distinct()
+    back = cut.select(*key, F.col("bx").alias("ax"), F.col("by").alias("ay"), F.col("ax").alias("bx"), F.col("ay").alias("by"))
+    rings = written.save(rings_of(cut.unionByName(back), key, written), "placed")
+    return nested(rings, key, written, step, grid, False)
+
+
+def meeting(first: DataFrame, second: DataFrame, grid: float = GRID, tile: float = TILE) -> DataFrame:
+    """(a, b): pairs of polygons (a, polygon) and (b, polygon) that have a point in common; borders count.
+
+    Either their borders meet, which edges tell that share a tile, or one lies within
+    the other, which a vertex of it tells.  Each pair is returned once.
+    """
+    step = tile / grid
+    one, two = (segments(p.select(c, "polygon"), grid) for p, c in ((first, "a"), (second, "b")))
+    other = [F.col(c).alias(f"{c}2") for c in ENDS]
+    pairs = filed(one, step, 1.0).join(filed(two, step, 1.0).select("b", "column", "row", *other), ["column", "row"])
+
+    def side(px: str, py: str, qx: str, qy: str, x: str, y: str) -> Column:
+        """On which side of an edge a point lies: 1, 0 or -1."""
+        return F.signum((F.col(qx) - F.col(px)) * (F.col(y) - F.col(py)) - (F.col(qy) - F.col(py)) * (F.col(x) - F.col(px)))
+
+    across = (side("ax", "ay", "bx", "by", "ax2", "ay2") * side("ax", "ay", "bx", "by", "bx2", "by2") <= 0) & (
+        side("ax2", "ay2", "bx2", "by2", "ax", "ay") * side("ax2", "ay2", "bx2", "by2", "bx", "by") <= 0
+    )
+    boxes = [F.greatest(f"a{c}", f"b{c}") >= F.least(f"a{c}2", f"b{c}2") for c in "xy"] + [F.greatest(f"a{c}2", f"b{c}2") >= F.least(f"a{c}", f"b{c}") for c in "xy"]
+    crossing = pairs.where(across & boxes[0] & boxes[1] & boxes[2] & boxes[3]).select("a", "b")
+    vertex = lambda p, c: p.select(c, F.get(F.get("polygon", 0), 0).alias("v")).where("v IS NOT NULL").select(c, F.col("v")[0].alias("x"), F.col("v")[1].alias("y"))
+    within = covering(vertex(first, "a"), second, ["b"], grid, tile).select("a", "b")
+    around = covering(vertex(second, "b"), first, ["a"], grid, tile).select("a", "b")
+    return crossing.unionByName(within).unionByName(around).distinct()
+
+
 def repaired(polygons: DataFrame, key: list[str], **settings) -> DataFrame:
     """(key, part, polygon): each polygon (key, polygon) by itself, as simple rings that don't cross, by the even-odd rule.
 
@@ -350,26 +401,33 @@ def _pieces(polygons: DataFrame, key: list[str], distance: float, quarter: int)
     return both
 
 
-def offset(polygons: DataFrame, key: list[str], distance: float, *, quarter: int = 8, fill_holes: bool = False, grid: float = GRID, tile: float = TILE) -> DataFrame:
-    """(key, part, polygon) of dissolved polygons grown by ``distance`` degrees, or shrunk by a negative one.
-
-    ``polygons`` (key, polygon) must be simple, with outer rings counter-clockwise
-    and holes clockwise, as :func:`dissolved` returns them.  Corners are rounded, by
-    ``quarter`` steps for a right angle.
-    """
-    pieces = _pieces(polygons, key, distance, quarter).withColumn("sign", F.lit(1 if distance > 0 else -1))
-    all_of = polygons.select(*key, "polygon", F.lit(1).alias("sign")).unionByName(pieces)
+def _grown(polygons: DataFrame, key: list[str], distance: float, quarter: int, fill_holes: bool, grid: float, tile: float) -> DataFrame:
+    """The union of ``polygons`` and of their pieces on each side given: (distance, sign)."""
+    sides = [(distance, 1), (-distance, 1)] if distance > 0 else [(distance, -1)]
+    all_of = polygons.select(*key, "polygon", F.lit(1).alias("sign"))
+    for d, sign in sides:
+        all_of = all_of.unionByName(_pieces(polygons, key, d, quarter).withColumn("sign", F.lit(sign)))
     written = Written(polygons.sparkSession, "offset")
     all_of = written.save(all_of.withColumn("owner", F.monotonically_increasing_id()), "pieces")
     return dissolved(all_of, key, fill_holes=fill_holes, grid=grid, tile=tile)
 
 
+def offset(polygons: DataFrame, key: list[str], distance: float, *, quarter: int = 8, fill_holes: bool = False, grid: float = GRID, tile: float = TILE) -> DataFrame:
+    """(key, part, polygon): the union of ``polygons`` (key, polygon) grown by ``distance`` degrees, or shrunk by a negative one.
+
+    To be shrunk, polygons must be simple and apart, with outer rings
+    counter-clockwise and holes clockwise, as :func:`dissolved` returns them; to be grown
+    they may overlap and run either way.  Corners are rounded, by ``quarter`` steps for
+    a right angle.
+    """
+    return _grown(polygons, key, distance, quarter, fill_holes, grid, tile)
+
+
 def closed(polygons: DataFrame, key: list[str], distance: float, *, quarter: int = 8, fill_holes: bool = False, grid: float = GRID, tile: float = TILE) -> DataFrame:
-    """(key, part, polygon): the union of ``polygons`` (key, owner, polygon) without gaps, inlets and holes narrower than twice ``distance``.
+    """(key, part, polygon): the union of ``polygons`` (key, polygon) without gaps, inlets and holes narrower than twice ``distance``.
 
     Grown by ``distance`` and shrunk by it again; wider openings stay, and so does the
     outline, but for inner corners, which are rounded.
     """
-    settings = {"grid": grid, "tile": tile}
-    wide = offset(dissolved(polygons, key, **settings).drop("part"), key, distance, quarter=quarter, fill_holes=fill_holes, **settings)
-    return offset(wide.drop("part"), key, -distance, quarter=quarter, fill_holes=fill_holes, **settings)
+    wide = offset(polygons, key, distance, quarter=quarter, fill_holes=fill_holes, grid=grid, tile=tile)
+    return offset(wide.drop("part"), key, -distance, quarter=quarter, fill_holes=fill_holes, grid=grid, tile=tile)

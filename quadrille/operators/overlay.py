@@ -12,12 +12,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quadrille.constants import AREA_TOLERANCE, MILE_LAT, MILE_LON
 from quadrille.functions.coords import cell_id, center_out, ordinate
-from quadrille.functions.geometry import MULTIPOLYGON, bounds, square_miles
+from quadrille.functions.geometry import MULTIPOLYGON, bounds, ring_area, square_miles
+from quadrille.operators.arrangement import closed, dissolved_edges, snapped
 from quadrille.operators.lines import EW, NS
 from quadrille.sources.geojson import polygon_edges
 
@@ -130,9 +131,9 @@ def _strip_faces(ns: list[tuple[float, float]], ew: list[tuple[float, float]]):
     def faces(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for row in frame.itertuples():
-                outline = np.array([list(p) for p in row.ring], float)
+                outline, *others = (np.array([list(p) for p in r], float) for r in row.rings)
                 outline = _tidy(outline[:-1] if (outline[0] == outline[-1]).all() else outline)
-                others = [np.array([list(p) for p in r], float)[:-1] for r in (row.others if row.others is not None else ())]
+                others = [r[:-1] for r in others]
                 pieces = [outline]
                 for k, want in ((row.strip - 1, 1), (row.strip, 0)):
                     if 0 <= k < len(ns):
@@ -174,7 +175,9 @@ def overlay_faces(outlines: DataFrame, lines: DataFrame) -> DataFrame:
     at = {NS: mean["y"] or 0.0, EW: mean["x"] or 0.0}
     by = {a: sorted(((r["slope"], r["intercept"]) for r in given if r["axis"] == a), key=lambda l: l[0] * at[a] + l[1]) for a in (NS, EW)}
     parts = outlines.select("part", "ring").join(_close_parts(outlines), "part", "left")
-    strips = parts.select("part", "ring", "others", F.explode(F.sequence(F.lit(0), F.lit(len(by[NS])))).alias("strip"))
+    # One list, its own ring first: lists that are empty in all rows of a batch crash the worker's reader.
+    rings = F.concat(F.array("ring"), F.coalesce("others", F.array().cast("array<array<array<double>>>")))
+    strips = parts.select("part", rings.alias("rings"), F.explode(F.sequence(F.lit(0), F.lit(len(by[NS])))).alias("strip"))
     # Each task takes a strip of a part; what a strip needs of the outline it cuts itself.
     return strips.repartition("part", "strip").mapInPandas(_strip_faces(by[NS], by[EW]), FACE)
 
@@ -261,66 +264,21 @@ def dissolve(edges: DataFrame, snap: float = 1e-7) -> DataFrame:
     return once.select("e.*")
 
 
-def chain(ends: np.ndarray, snap: float) -> list[np.ndarray]:
-    """Simple closed rings of undirected edges (x1, y1, x2, y2); rings may touch where more than two edges meet."""
-    points, at = np.unique(np.round(ends.reshape(-1, 2) / snap).astype(np.int64), axis=0, return_inverse=True)
-    places = np.empty((len(points), 2))
-    at = at.reshape(-1)
-    places[at] = ends.reshape(-1, 2)
-    pairs = at.reshape(-1, 2)
-    out_of: dict[int, list[int]] = {}
-    for e, (a, b) in enumerate(pairs.tolist()):
-        out_of.setdefault(a, []).append(e)
-        out_of.setdefault(b, []).append(e)
-    used, rings = np.zeros(len(pairs), bool), []
-    for first in range(len(pairs)):
-        if used[first]:
-            continue
-        used[first] = True
-        path = pairs[first].tolist()
-        where = {path[0]: 0}
-        while path:
-            now = path[-1]
-            if now in where:
-                # Back at a vertex of the path: what lies between is a ring.
-                rings.append(places[path[where[now] + 1 :]])
-                for v in path[where[now] + 1 : -1]:
-                    where.pop(v)
-                path = path[: where[now] + 1]
-            else:
-                where[now] = len(path) - 1
-            ways = [e for e in out_of[now] if not used[e]]
-            if not ways:
-                break
-            used[ways[0]] = True
-            path.append(int(pairs[ways[0]][0] if pairs[ways[0]][1] == now else pairs[ways[0]][1]))
-    return rings
-
-
-def _inside(point: np.ndarray, ring: np.ndarray) -> bool:
-    a, b = ring, np.roll(ring, -1, 0)
-    over = (a[:, 1] > point[1]) != (b[:, 1] > point[1])
-    a, b = a[over], b[over]
-    return bool((point[0] < a[:, 0] + (point[1] - a[:, 1]) * (b[:, 0] - a[:, 0]) / (b[:, 1] - a[:, 1])).sum() % 2)
-
-
-def outline_parts(polygons: DataFrame, seam: float = 1e-5, snap: float = 1e-7) -> DataFrame:
-    """(part, ring): the outer rings of the union of adjoining polygons (part, polygon), largest first.
-
-    Borders that neighbours share go, seams up to ``seam`` wide are closed, and
-    holes are filled.  Polygons may touch but not overlap.  Edges are cancelled
-    where they are; what is left, the outline, is one row a ring, and chained by
-    one task.
+def outline_parts(polygons: DataFrame, seam: float = 1e-5, snap: float = 1e-9, close: float = 0.0) -> DataFrame:
+    """(part, ring): the outer rings of the union of polygons (part, polygon), largest first.
+
+    Polygons may adjoin, overlap and cross themselves; holes are filled.  Seams up to
+    ``seam`` wide are closed by leading edges through near vertices.  With ``close``,
+    gaps, inlets and holes narrower than twice that are closed as well, and inner
+    corners rounded, by growing the union and shrinking it again.
     """
-    edges = through_vertices(polygon_edges(polygons, "part", fill_holes=True), "part", seam)
-
-    def rings(frame: pd.DataFrame) -> pd.DataFrame:
-        found = sorted((r for r in chain(frame[["x1", "y1", "x2", "y2"]].to_numpy(float), snap) if len(r) > 2), key=area, reverse=True)
-        outer: list[np.ndarray] = []
-        for ring in found:
-            # A ring within a larger one is a hole, or fills one.
-            if not any(_inside((ring[0] + ring[1]) / 2, r) for r in outer):
-                outer.append(ring)
-        return pd.DataFrame({"part": range(len(outer)), "ring": [[*r.tolist(), r[0].tolist()] for r in outer]})
-
-    return dissolve(edges, snap).withColumn("all", F.lit(0)).groupBy("all").applyInPandas(rings, "part bigint, ring array<array<double>>")
+    key = ["all"]
+    if close > 0:
+        found = closed(polygons.select(F.lit(0).alias("all"), "polygon"), key, close, fill_holes=True)
+    else:
+        led = through_vertices(polygon_edges(polygons, "part", fill_holes=True), "part", seam).withColumnRenamed("part", "owner")
+        edges = snapped(led.withColumn("sign", F.lit(1)).withColumn("all", F.lit(0)), snap)
+        found = dissolved_edges(edges, key, fill_holes=True, grid=snap)
+    rings = found.select(F.get("polygon", 0).alias("ring"))
+    # As many numbers as there are parts, which are few beside their vertices.
+    return rings.withColumn("part", F.row_number().over(Window.orderBy(ring_area(F.col("ring")).desc(), F.col("ring"))).cast("long") - 1).select("part", "ring")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quadrille.constants import OHARE, PREFIX
 from quadrille.functions.coords import band, miles_south, miles_west
+from quadrille.operators.arrangement import meeting
 from quadrille.operators.lattice import cells_meeting
 from quadrille.sources.geojson import polygon_edges
 
@@ -35,6 +36,20 @@ def label_regions(cells: DataFrame, regions: DataFrame, edges: DataFrame) -> Dat
     return joined.select(*[F.col(f"__{c}").alias(c) if c in ("name", "label") else F.col(c) for c in cells.columns])
 
 
+def label_shapes(cells: DataFrame, regions: DataFrame, polygons: DataFrame) -> DataFrame:
+    """As :func:`label_regions`, for cells of any shape.
+
+    ``cells``: chi_id, lat, lon (its center), name, label, geometry (a multipolygon);
+    ``polygons``: region_order and a polygon of the region.
+    """
+    unnamed = cells.where(F.startswith("name", F.lit(PREFIX))).select(F.col("chi_id").alias("a"), F.explode("geometry").alias("polygon"))
+    met = meeting(unnamed, polygons.select(F.col("region_order").alias("b"), "polygon")).groupBy(F.col("a").alias("chi_id")).agg(F.min("b").alias("region_order"))
+    label = region_label(F.col("region"), F.col("n_origin"), F.col("w_origin"), F.round("lat", 6), F.round("lon", 6))
+    own = met.join(regions, "region_order").join(cells.select("chi_id", "lat", "lon"), "chi_id").select("chi_id", label.alias("own"))
+    joined = cells.join(own, "chi_id", "left")
+    return joined.select(*[F.coalesce("own", c).alias(c) if c in ("name", "label") else F.col(f"`{c}`") for c in cells.columns])
+
+
 def airport_members(areas: DataFrame) -> DataFrame:
     """Community areas of the airport: by id (the first of two that isn't missing) or by name, with a geometry."""
     kinds = dict(areas.dtypes)

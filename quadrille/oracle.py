@@ -485,4 +485,43 @@ FROM lineitem JOIN roads ON r = l_partkey % 40 GROUP BY street_name, class""",
     "grid_csv_read": f"""WITH {_named("full")}
 SELECT 'χ:' || chi_id AS chi_ordinate, chi_id, name, label, name AS name_canon, label AS label_canon, round(lat, 6) AS center_lat, round(lon, 6) AS center_lon,
        CASE WHEN ks % 2 = 0 THEN 1.05e0 ELSE 0.875e0 END AS area_sqmi, kw % 3 = 0 AS edge, kw % 3 <> 0 AND ks % 2 <> 0 AS flag FROM named_full""",
+    "boundary_repaired": """SELECT CAST(row_number() OVER (ORDER BY n_nationkey) - 1 AS BIGINT) AS place, CAST(CASE WHEN n_nationkey % 3 = 1 THEN 1 ELSE 2 END AS BIGINT) AS parts,
+       round((n_nationkey % 7 * 1000 + 12000)::DOUBLE * (n_nationkey % 4 * 2000 + 8000) / CASE WHEN n_nationkey % 3 = 0 THEN 2 ELSE 1 END / 1e6, 3) AS area FROM nation""",
+    "boundary_union": """WITH b AS (
+  SELECT s_nationkey AS n, s_suppkey * 7919 % 61 AS w, s_suppkey * 104729 % 53 AS s, s_suppkey * 7919 % 61 + s_suppkey % 13 + 4 AS e, s_suppkey * 104729 % 53 + s_suppkey % 11 + 4 AS t FROM supplier
+),
+squares AS (SELECT DISTINCT n, x, y FROM (SELECT n, s, t, unnest(range(w, e)) AS x FROM b) AS c, LATERAL (SELECT unnest(range(c.s, c.t)) AS y) AS r)
+SELECT n AS s_nationkey, CAST(count(*) AS DOUBLE) AS area FROM squares GROUP BY n""",
+    "boundary_closed": """WITH k AS (SELECT n_nationkey, (n_nationkey % 4 + 1) * 500 AS gap FROM nation)
+SELECT n_nationkey, CAST(CASE WHEN n_nationkey % 2 = 0 AND gap > 1200 THEN 2 ELSE 1 END AS BIGINT) AS parts,
+       CAST(CASE WHEN n_nationkey % 2 = 0 THEN 144 + CASE WHEN gap < 1200 THEN gap * 9 // 1000 ELSE 0 END ELSE 144 - CASE WHEN gap < 1200 THEN 0 ELSE gap * 10 // 1000 END END AS DOUBLE) AS area FROM k""",
+    "lines_polygonized": """WITH
+x AS (SELECT n, v, lead(v) OVER (PARTITION BY n ORDER BY v) AS after FROM (SELECT DISTINCT s_nationkey AS n, s_suppkey * 7919 % 97 AS v FROM supplier)),
+y AS (SELECT n, v, lead(v) OVER (PARTITION BY n ORDER BY v) AS after FROM (SELECT DISTINCT s_nationkey AS n, s_suppkey * 104729 % 89 AS v FROM supplier))
+SELECT x.n AS s_nationkey, round((x.v * 1000 - 87900000)::DOUBLE / 1e6, 6) AS west, CAST((x.after - x.v) * (y.after - y.v) AS DOUBLE) AS area, CAST(1 AS BIGINT) AS rings
+FROM x JOIN y ON x.n = y.n WHERE x.after IS NOT NULL AND y.after IS NOT NULL""",
+    "region_pip_long": """WITH
+coast AS (SELECT event_id AS i, event_id * 7919 % 1000 + 500 AS y, lead(event_id * 7919 % 1000 + 500) OVER (ORDER BY event_id) AS after FROM events),
+spots AS (SELECT l_orderkey, l_linenumber, l_orderkey * 31 + l_linenumber * 7919 AS n FROM lineitem),
+p AS (SELECT l_orderkey, l_linenumber, n * 17 % (SELECT count(*) * 20 FROM events) AS x, n % 1700 - 100 AS y FROM spots)
+SELECT l_orderkey, l_linenumber FROM p JOIN coast ON i = x // 20
+WHERE p.y >= 0 AND CASE WHEN after IS NULL THEN x % 20 = 0 AND p.y <= coast.y ELSE p.y * 20 <= coast.y * (20 - x % 20) + after * (x % 20) END""",
+    "shapes_meeting": """WITH
+s AS (SELECT s_suppkey AS a, s_suppkey * 7919 % 400 * 1000 - 87900000 AS x, s_suppkey * 104729 % 320 * 1000 + 41640000 AS y, s_suppkey % 9 * 4000 + 2000 AS w, s_suppkey % 7 * 5000 + 2000 AS h FROM supplier),
+n AS (SELECT n_nationkey AS b, n_nationkey % 5 * 70000 - 87900000 AS x, n_nationkey // 5 * 60000 + 41650000 AS y FROM nation),
+sv AS (SELECT a, 1 AS i, x, y FROM s UNION ALL SELECT a, 2, x + w, y + h FROM s UNION ALL SELECT a, 3, x - w, y + h * 2 FROM s),
+nv AS (SELECT b, o.i, x + dx AS x, y + dy AS y FROM n, (VALUES (1, 0, 0), (2, 80000, 0), (3, 80000, 70000), (4, 40000, 30000), (5, 20000, 70000), (6, 0, 50000)) AS o(i, dx, dy)),
+se AS (SELECT p.a, p.x AS x1, p.y AS y1, q.x AS x2, q.y AS y2 FROM sv AS p JOIN sv AS q ON p.a = q.a AND q.i = p.i % 3 + 1),
+ne AS (SELECT p.b, p.x AS u1, p.y AS v1, q.x AS u2, q.y AS v2 FROM nv AS p JOIN nv AS q ON p.b = q.b AND q.i = p.i % 6 + 1),
+crossing AS (
+  SELECT DISTINCT a, b FROM se JOIN ne ON greatest(x1, x2) >= least(u1, u2) AND greatest(u1, u2) >= least(x1, x2) AND greatest(y1, y2) >= least(v1, v2) AND greatest(v1, v2) >= least(y1, y2)
+  WHERE sign(CAST((x2 - x1) * (v1 - y1) - (y2 - y1) * (u1 - x1) AS DOUBLE)) * sign(CAST((x2 - x1) * (v2 - y1) - (y2 - y1) * (u2 - x1) AS DOUBLE)) <= 0
+    AND sign(CAST((u2 - u1) * (y1 - v1) - (v2 - v1) * (x1 - u1) AS DOUBLE)) * sign(CAST((u2 - u1) * (y2 - v1) - (v2 - v1) * (x2 - u1) AS DOUBLE)) <= 0
+),
+within AS (
+  SELECT a, b FROM (SELECT * FROM sv WHERE i = 1) AS p JOIN ne ON (v1 > y) <> (v2 > y) AND x < u1 + (y - v1)::DOUBLE * (u2 - u1) / (v2 - v1) GROUP BY a, b HAVING count(*) % 2 = 1
+  UNION ALL
+  SELECT a, b FROM (SELECT * FROM nv WHERE i = 1) AS p JOIN se ON (y1 > y) <> (y2 > y) AND x < x1 + (y - y1)::DOUBLE * (x2 - x1) / (y2 - y1) GROUP BY a, b HAVING count(*) % 2 = 1
+)
+SELECT a AS s_suppkey, b AS n_nationkey FROM crossing UNION SELECT a, b FROM within""",
 }

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadrille.constants import DEFAULT_EXTENT, EXTEND
+from quadrille.constants import CLOSE_DEGREES, DEFAULT_EXTENT, EXTEND
 from quadrille.functions.coords import cell_id, center_out, ordinate
 from quadrille.operators import lines, overlay, roads
+from quadrille.operators.arrangement import dissolved
 from quadrille.operators.lattice import clip_lattice, extent_of, lattice, with_rings
 from quadrille.operators.regions import label_regions
 from quadrille.sources.geojson import polygon_edges
@@ -53,13 +54,14 @@ def street_lines(centerlines: DataFrame, extend: int = EXTEND) -> DataFrame:
     return lines.extend_lines(fitted, extend)
 
 
-def street_grid(boundary: DataFrame, centerlines: DataFrame, extend: int = EXTEND) -> DataFrame:
+def street_grid(boundary: DataFrame, centerlines: DataFrame, extend: int = EXTEND, close: float = CLOSE_DEGREES) -> DataFrame:
     """Cells bounded by the lines of real roads, clipped to a boundary (part, polygon).
 
-    Adjoining parts of the boundary are one, and its holes are filled; parts must
-    not overlap.
+    Parts of the boundary that adjoin or overlap are one; gaps, inlets and holes
+    narrower than twice ``close`` are closed, and other holes filled.  With 0 only
+    seams are closed, and the outline keeps its corners.
     """
-    outlines = overlay.outline_parts(boundary)
+    outlines = overlay.outline_parts(boundary, close=close)
     cells = overlay.merge_faces(overlay.overlay_faces(outlines, street_lines(centerlines, extend)))
     cells = overlay.cell_attributes(overlay.area_flags(cells))
     named = roads.nearest_roads(cells, roads.road_records(roads.road_vertices(centerlines)))
@@ -78,5 +80,6 @@ def ordinate_counts(points: DataFrame, lat: str = "lat", lon: str = "lon") -> Da
 
 
 def boundary_edges(boundary: DataFrame) -> DataFrame:
-    """Edges of a boundary (part, polygon)."""
-    return polygon_edges(boundary, "part").drop("part")
+    """Edges of the union of a boundary's polygons (part, polygon), which may overlap and cross themselves."""
+    whole = dissolved(boundary.select(F.lit(0).alias("all"), F.monotonically_increasing_id().alias("owner"), "polygon"), ["all"])
+    return polygon_edges(whole, "part").drop("part")

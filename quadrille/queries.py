@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadrille import constants as C
@@ -13,6 +13,7 @@ from quadrille.functions.coords import band, miles_south, miles_west
 from quadrille.functions.geometry import MULTIPOLYGON, bounds, outer_rings, polygon_area, ring_area, square_miles
 from quadrille.functions.names import FULL, SIMPLE, base_road_name, name_and_label, pretty_road_name, short_token
 from quadrille.operators import explore, lines, overlay, roads
+from quadrille.operators.arrangement import closed, covering, dissolved, meeting, polygonized, repaired
 from quadrille.operators.lattice import clip_lattice, extent_of, lattice, with_rings
 from quadrille.operators.locate import cover_index, locate
 from quadrille.operators.places import assign_places, category_counts, featured_places, summarise_places
@@ -414,7 +415,7 @@ def named_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 def overlay_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     ring = [list(p) for p in [*inputs.CITY, inputs.CITY[0]]]
     boundary = spark.createDataFrame([(0, [ring])], "part int, polygon array<array<array<double>>>")
-    found = grids.street_grid(boundary, inputs.centerlines(spark, sf_dir))
+    found = grids.street_grid(boundary, inputs.centerlines(spark, sf_dir), close=0.0)
     return found.select("chi_id", "name", "label", "name_canon", "label_canon", "area_sqmi", "edge", "flag")
 
 
@@ -597,3 +598,103 @@ def boundary_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     shape = F.struct(F.when(many, "MultiPolygon").otherwise("Polygon").alias("type"), text.alias("coordinates"))
     parts = given.select("n_nationkey", F.explode(polygons_of(shape)).alias("polygon"))
     return polygon_edges(parts, "n_nationkey").groupBy("n_nationkey").agg(F.count("*").alias("edges"), F.round(F.min("y1"), 6).alias("south"))
+
+
+def _ring(corners: list[tuple[Column | float, Column | float]]) -> Column:
+    """A closed ring of corners in millionths of a degree."""
+    at = lambda v: (v if isinstance(v, Column) else F.lit(v)).cast("double") / F.lit(1e6)
+    return F.array(*[F.array(at(x), at(y)) for x, y in [*corners, corners[0]]])
+
+
+def _box(x: Column, y: Column, w: Column | int, h: Column | int) -> list[tuple[Column, Column]]:
+    return [(x, y), (x + w, y), (x + w, y + h), (x, y + h)]
+
+
+@query
+def boundary_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bow-ties, spikes and holes that cross the outer ring, read as a boundary and repaired: areas and parts."""
+    key = F.col("n_nationkey")
+    x, y, w, h = key % 5 * 40_000 - 87_900_000, F.floor(key / 5) * 40_000 + 41_700_000, key % 7 * 1_000 + 12_000, key % 4 * 2_000 + 8_000
+    bow = F.array(_ring([(x, y), (x + w, y + h), (x + w, y), (x, y + h)]))
+    spiked = F.array(_ring([(x, y), (x + w, y), (x + w, y + 3_000), (x + w + 9_000, y + 3_500), (x + w, y + 3_000), (x + w, y + h), (x, y + h), (x - 500, y + h), (x, y + h)]))
+    crossed = F.array(_ring(_box(x, y, w, h)), _ring(_box(x + w / 2, y + h / 4, w, h / 2)))
+    shape = F.when(key % 3 == 0, bow).when(key % 3 == 1, spiked).otherwise(crossed)
+    given = inputs.table(spark, sf_dir, "nation").select("n_nationkey", shape.alias("geometry"), F.lpad(key.cast("string"), 2, "0").alias("chi_id"))
+    path = new_path(spark, "repaired")
+    feature_collection(feature_json(given, ["n_nationkey"]), {}).select(F.col("json").alias("value")).write.text(path)
+    read = read_boundary(spark, path).select((F.col("part") / 100_000).cast("long").alias("place"), "polygon")
+    found = repaired(read, ["place"]).groupBy("place").agg(F.count("*").alias("parts"), F.sum(polygon_area(F.col("polygon"))).alias("area"))
+    return found.select("place", "parts", F.round(F.col("area") * 1e6, 3).alias("area"))
+
+
+@query
+def boundary_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boxes of a nation's suppliers, many of them overlapping or in line: the area of their union."""
+    key = F.col("s_suppkey")
+    box = _box(key * 7919 % 61 * 1_000 - 87_900_000, key * 104729 % 53 * 1_000 + 41_700_000, key % 13 * 1_000 + 4_000, key % 11 * 1_000 + 4_000)
+    boxes = inputs.table(spark, sf_dir, "supplier").select("s_nationkey", key.alias("owner"), F.array(_ring(box)).alias("polygon"))
+    found = dissolved(boxes, ["s_nationkey"]).groupBy("s_nationkey").agg(F.sum(polygon_area(F.col("polygon"))).alias("area"))
+    return found.select("s_nationkey", F.round(F.col("area") * 1e6, 3).alias("area"))
+
+
+@query
+def boundary_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of blocks with a gap, or one block with an inlet: narrow ones close, wider ones stay."""
+    key = F.col("n_nationkey")
+    gap = (key % 4 + 1) * 500
+    x, y = key % 5 * 40_000 - 87_900_000, F.floor(key / 5) * 40_000 + 41_700_000
+    pair = F.array(F.array(_ring(_box(x, y, 8_000, 9_000))), F.array(_ring(_box(x + 8_000 + gap, y, 8_000, 9_000))))
+    inlet = F.array(F.array(_ring([(x, y), (x + 16_000, y), (x + 16_000, y + 4_000), (x + 6_000, y + 4_000), (x + 6_000, y + 4_000 + gap), (x + 16_000, y + 4_000 + gap), (x + 16_000, y + 9_000), (x, y + 9_000)])))
+    given = inputs.table(spark, sf_dir, "nation").select("n_nationkey", F.explode(F.when(key % 2 == 0, pair).otherwise(inlet)).alias("polygon"))
+    found = closed(given, ["n_nationkey"], C.CLOSE_DEGREES).groupBy("n_nationkey").agg(F.count("*").alias("parts"), F.sum(polygon_area(F.col("polygon"))).alias("area"))
+    return found.select("n_nationkey", "parts", F.round(F.col("area") * 1e6, 0).alias("area"))
+
+
+@query
+def lines_polygonized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streets along and across a nation, one of each for every supplier: the blocks that they enclose."""
+    key = F.col("s_suppkey")
+    x, y = key * 7919 % 97 * 1_000 - 87_900_000, key * 104729 % 89 * 1_000 + 41_700_000
+    at = lambda *v: [F.lit(c).cast("double") / F.lit(1e6) if isinstance(c, int) else c.cast("double") / F.lit(1e6) for c in v]
+    ends = lambda v: F.struct(*[c.alias(n) for n, c in zip(("x1", "y1", "x2", "y2"), at(*v), strict=True)])
+    both = F.array(ends((x, 41_690_000, x, 41_800_000)), ends((-87_910_000, y, -87_800_000, y)))
+    streets = inputs.table(spark, sf_dir, "supplier").select("s_nationkey", F.inline(both))
+    found = polygonized(streets, ["s_nationkey"])
+    west = F.round(bounds(F.get("polygon", F.lit(0)))["west"], 6)
+    return found.select("s_nationkey", west.alias("west"), F.round(polygon_area(F.col("polygon")) * 1e6, 3).alias("area"), F.size("polygon").cast("long").alias("rings"))
+
+
+#: Millionths of a degree from one vertex of the long polygon to the next.
+STEP = 20
+
+
+@query
+def region_pip_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items inside a polygon with a vertex for every event, over a jagged coast."""
+    height = F.col("event_id") * 7919 % 1_000 + 500
+    coast = inputs.table(spark, sf_dir, "events").select((F.col("event_id") * STEP).alias("x"), height.alias("y"))
+    corner = lambda x, y: F.array(x.cast("double") / F.lit(1e6), y.cast("double") / F.lit(1e6))
+    whole = coast.agg(F.min("x").alias("west"), F.max("x").alias("east"), F.array_sort(F.collect_list(F.struct("x", "y"))).alias("p"))
+    ends = F.array(corner(F.col("east"), F.lit(0)), corner(F.col("west"), F.lit(0)))
+    ring = F.concat(F.transform("p", lambda q: corner(q["x"], q["y"])), ends, F.array(corner(F.get("p", F.lit(0))["x"], F.get("p", F.lit(0))["y"])))
+    wide = inputs.table(spark, sf_dir, "events").count() * STEP
+    spot = F.col("l_orderkey") * 31 + F.col("l_linenumber") * 7919
+    points = inputs.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", (spot * 17 % wide).cast("double").alias("px"), (spot % 1_700 - 100).cast("double").alias("py")
+    )
+    points = points.select("l_orderkey", "l_linenumber", (F.col("px") / F.lit(1e6)).alias("x"), (F.col("py") / F.lit(1e6)).alias("y"))
+    found = covering(points, whole.select(F.lit(0).alias("region"), F.array(ring).alias("polygon")), ["region"], grid=1e-6, tile=0.0005)
+    return found.select("l_orderkey", "l_linenumber")
+
+
+@query
+def shapes_meeting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Triangles of suppliers and concave shapes of nations that have a point in common."""
+    key = F.col("s_suppkey")
+    x, y, w, h = key * 7919 % 400 * 1_000 - 87_900_000, key * 104729 % 320 * 1_000 + 41_640_000, key % 9 * 4_000 + 2_000, key % 7 * 5_000 + 2_000
+    given = inputs.table(spark, sf_dir, "supplier").select(key.alias("a"), F.array(_ring([(x, y), (x + w, y + h), (x - w, y + h * 2)])).alias("polygon"))
+    nation = F.col("n_nationkey")
+    nx, ny = nation % 5 * 70_000 - 87_900_000, F.floor(nation / 5) * 60_000 + 41_650_000
+    notch = [(0, 0), (80_000, 0), (80_000, 70_000), (40_000, 30_000), (20_000, 70_000), (0, 50_000)]
+    nations = inputs.table(spark, sf_dir, "nation").select(nation.alias("b"), F.array(_ring([(nx + dx, ny + dy) for dx, dy in notch])).alias("polygon"))
+    return meeting(given, nations).select(F.col("a").alias("s_suppkey"), F.col("b").alias("n_nationkey"))

@@ -174,7 +174,7 @@ def test_distance_of_faces_is_that_of_a_small_outline(gap):
     cut = overlay._strip_faces([(0.0, 1.0), (0.0, 3.0)], [(0.0, 1.0), (0.0, 2.0)])
     near = []
     for ring in (small, large):
-        frame = pd.DataFrame({"part": [0], "ring": [ring.tolist()], "others": [None], "strip": [1]})
+        frame = pd.DataFrame({"part": [0], "rings": [[ring.tolist()]], "strip": [1]})
         faces = [(min(y for _, y in r), n) for r, n in next(cut(iter([frame])))[["ring", "near"]].itertuples(index=False)]
         near.append([n for _, n in sorted(faces)])
     assert near[1] == pytest.approx(near[0], abs=1e-12)
