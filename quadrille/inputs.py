@@ -9,6 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quadrille.functions.coords import miles_south, miles_west
+from quadrille.sources.geojson import polygon_edges
+
 POINT = {
     "lat": "4.162e1 + CAST((event_id * 7919) % 10007 AS DOUBLE) / 1.0007e4 * 4.4e-1",
     "lon": "-8.795e1 + CAST((event_id * 104729) % 10009 AS DOUBLE) / 1.0009e4 * 4.5e-1",
@@ -36,6 +39,31 @@ ROAD_LAT = f"CASE WHEN l_partkey % 2 = 0 THEN 4.164e1 + 4e-1 * {_RUN} ELSE 4.165
 ROAD_LON = f"CASE WHEN l_partkey % 2 = 0 THEN -8.79e1 + {_R} * 9e-3 + {_U} * 2e-3 + {_T} * 1e-3 ELSE -8.79e1 + 3.6e-1 * {_RUN} END"
 ROAD_SEQ = "l_orderkey * 10 + l_linenumber"
 
+#: Lines of a few indices by nation, the others missing.
+FIT = {
+    "axis": "CASE WHEN n_nationkey % 2 = 0 THEN 'ns' ELSE 'ew' END",
+    "idx": "n_nationkey - n_nationkey % 2 - 11",
+    "slope": "CAST(n_nationkey * 7 % 11 AS DOUBLE) * 1e-3 - 5e-3",
+    "intercept": "CASE WHEN n_nationkey % 2 = 0 THEN -8.8e1 + CAST(n_nationkey AS DOUBLE) * 3e-2 ELSE 4.1e1 + CAST(n_nationkey AS DOUBLE) * 1e-2 END",
+}
+FITTED = "n_nationkey % 5 <> 3"
+#: Area and distance of a face by supplier, some of them on the bounds of the tolerances.
+FACE = {
+    "face_id": "CAST(s_suppkey AS INTEGER)",
+    "sqmi": "8.5e-1 + CAST(s_suppkey * 37 % 300 AS DOUBLE) / 1e3",
+    "near": "CASE s_suppkey % 3 WHEN 0 THEN 1e-5 WHEN 1 THEN 5e-1 ELSE CAST(s_suppkey % 7 AS DOUBLE) / 1e5 END",
+}
+#: Where customers ask: within, outside, on borders, nowhere.
+LOOKUP = {
+    "lat": "CASE c_custkey % 7 WHEN 0 THEN 4.188197e1 WHEN 1 THEN NULL ELSE 4.1e1 + CAST(c_custkey * 7919 % 10007 AS DOUBLE) / 1.0007e4 END",
+    "lon": "CASE c_custkey % 5 WHEN 0 THEN -8.762768e1 ELSE -8.8e1 + CAST(c_custkey * 104729 % 10009 AS DOUBLE) / 1.0009e4 END",
+}
+#: Roads by part: plain, lettered, numbered, and two whose tokens are fixed.
+PART_ROAD = """CASE p_partkey % 4 WHEN 0 THEN p_name WHEN 1 THEN 'Avenue ' || upper(left(p_name, 1)) WHEN 2 THEN CAST(p_partkey % 150 AS VARCHAR(9)) || 'th ' || p_name
+ELSE CASE WHEN p_partkey % 3 = 0 THEN 'Division' ELSE 'Diversey' END END"""
+#: Lines that cut the convex outline, by nation.
+CUT = {"ns": (8, 0.02, "-8.8665e1 + 3e-2 * CAST(n_nationkey AS DOUBLE)"), "ew": (9, -0.015, "4.043e1 + 2.5e-2 * CAST(n_nationkey AS DOUBLE)")}
+
 #: A concave hexagon, by offsets from a nation's corner.
 HEXAGON = [(0.0, 0.0), (0.08, 0.0), (0.08, 0.07), (0.04, 0.03), (0.02, 0.07), (0.0, 0.05)]
 CORNER_X = "-8.79e1 + CAST(n_nationkey % 5 AS DOUBLE) * 7e-2"
@@ -56,6 +84,17 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", *[F.expr(e).alias(c) for c, e in POINT.items()])
 
 
+def point_extent(spark: SparkSession, sf_dir: str) -> tuple[float, float, float, float]:
+    """South, north, west, east of the points."""
+    return tuple(points(spark, sf_dir).agg(F.min("lat"), F.max("lat"), F.min("lon"), F.max("lon")).first())
+
+
+def seen(cells: DataFrame, sf_dir: str) -> DataFrame:
+    """The cells (ks, kw) of square miles that have a point."""
+    spots = points(cells.sparkSession, sf_dir).select(F.floor(miles_south(F.col("lat"))).alias("ks"), F.floor(miles_west(F.col("lon"))).alias("kw"))
+    return cells.join(spots.distinct(), ["ks", "kw"], "left_semi")
+
+
 def places(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         F.col("event_id").cast("string").alias("poi_id"),
@@ -84,6 +123,10 @@ def nation_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "nation").select("n_nationkey", F.array(ring).alias("geometry"))
 
 
+def nation_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return polygon_edges(nation_polygons(spark, sf_dir).withColumnRenamed("geometry", "polygon"), "n_nationkey").drop("n_nationkey")
+
+
 def box_ring(south: float, north: float, west: float, east: float) -> list[tuple[float, float]]:
     return [(west, south), (east, south), (east, north), (west, north)]
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 import textwrap
 
 from quadrille import constants as C
-from quadrille.inputs import BOX, CATEGORY, CITY, CORNER_X, CORNER_Y, HEXAGON, PLACE_LAT, PLACE_NAME, POINT, REGIONS, ROAD_LAT, ROAD_LON, ROAD_SEQ, ROADS
-from quadrille.queries import CONVEX, CUTS, FACES, FITS, LOOKUPS, PRETTY
+from quadrille.inputs import CATEGORY, CITY, CORNER_X, CORNER_Y, CUT, FACE, FIT, FITTED, HEXAGON, LOOKUP, PART_ROAD, PLACE_LAT, PLACE_NAME, POINT, REGIONS, ROAD_LAT, ROAD_LON, ROAD_SEQ, ROADS
+from quadrille.queries import CONVEX, PRETTY
 
 
 def _d(x: float | None) -> str:
@@ -57,6 +57,11 @@ CELLS = f"""cells AS (
   FROM range(-14, 20) AS a(ks), range(-9, 19) AS b(kw)
 )"""
 
+#: Those of its cells that have a point.
+SEEN = f"""{POINTS}, spots AS (SELECT DISTINCT CAST(floor({_south("lat")}) AS BIGINT) AS ks, CAST(floor({_west("lon")}) AS BIGINT) AS kw FROM points),
+{CELLS.replace("cells AS (", "every_cell AS (", 1)},
+cells AS (SELECT * FROM every_cell SEMI JOIN spots USING (ks, kw))"""
+
 
 def _bands(dialect: str) -> str:
     rows = []
@@ -93,8 +98,8 @@ def _by_band(cells: str, dialect: str, out: str) -> str:
 )"""
 
 
-def _named(dialect: str, cells: bool = True) -> str:
-    return f"""{CELLS + ", " if cells else ""}{_bands(dialect)}, {_by_band("cells", dialect, f"banded_{dialect}")},
+def _named(dialect: str, cells: str = CELLS) -> str:
+    return f"""{cells + ", " if cells else ""}{_bands(dialect)}, {_by_band("cells", dialect, f"banded_{dialect}")},
 named_{dialect} AS (SELECT ks, kw, lat, lon, chi_id, {_naming("av", "st", "chi_id", dialect)} FROM banded_{dialect})"""
 
 
@@ -127,17 +132,18 @@ def _segments_cross(p: tuple[str, str], q: tuple[str, str]) -> str:
 
 
 _SIDES = [(("c.w", "c.s"), ("c.e", "c.s")), (("c.e", "c.s"), ("c.e", "c.n")), (("c.e", "c.n"), ("c.w", "c.n")), (("c.w", "c.n"), ("c.w", "c.s"))]
-LATTICE_POLYGON = f"""WITH {CELLS}, edges(x1, y1, x2, y2) AS ({_values(_edges(CITY))}),
-boxes AS (SELECT chi_id, lat, lon, {_BOX} FROM cells)
-SELECT chi_id FROM boxes AS c WHERE
-  EXISTS (SELECT 1 FROM edges AS e WHERE (x1 BETWEEN c.w AND c.e AND y1 BETWEEN c.s AND c.n) OR {" OR ".join(_segments_cross(p, q) for p, q in _SIDES)})
-  OR (SELECT count(*) FROM edges AS e WHERE {_LEFT_OF.format(x="c.lon", y="c.lat")}) % 2 = 1"""
-
+CITY_EDGES = f"edges(x1, y1, x2, y2) AS ({_values(_edges(CITY))})"
 _HEX = _values([(i, *p, *HEXAGON[(i + 1) % len(HEXAGON)]) for i, p in enumerate(HEXAGON)])
 NATIONS = f"""hexagon(i, px, py, qx, qy) AS ({_HEX}),
 edges AS (
   SELECT n_nationkey, {CORNER_X} + px AS x1, {CORNER_Y} + py AS y1, {CORNER_X} + qx AS x2, {CORNER_Y} + qy AS y2 FROM nation, hexagon
 )"""
+LATTICE_POLYGON = f"""WITH {CELLS}, {NATIONS},
+boxes AS (SELECT chi_id, lat, lon, {_BOX} FROM cells)
+SELECT chi_id FROM boxes AS c WHERE
+  EXISTS (SELECT 1 FROM edges AS e WHERE (x1 BETWEEN c.w AND c.e AND y1 BETWEEN c.s AND c.n) OR {" OR ".join(_segments_cross(p, q) for p, q in _SIDES)})
+  OR (SELECT count(*) FROM edges AS e WHERE {_LEFT_OF.format(x="c.lon", y="c.lat")}) % 2 = 1"""
+
 PLACES = f"""placed AS (
   SELECT CAST(event_id AS VARCHAR) AS poi_id, {CATEGORY} AS category, {PLACE_NAME} AS name, {_ordinate(PLACE_LAT, POINT["lon"])} AS ord
   FROM events WHERE ({PLACE_LAT}) IS NOT NULL
@@ -248,7 +254,7 @@ _CLIPPED = [
 _WINDOWED = [("ns", i, b, *C.FIT_WINDOWS.get(b, (None, None)), None) for i, b in C.ANCHORS_NS.items()]
 _WINDOWED += [("ew", i, b, None, None, C.WEST_CAPS.get(b, C.WEST_CAP)) for i, b in C.ANCHORS_EW.items()]
 
-COMPLETE = f"""fits(axis, idx, slope, intercept) AS ({_values(FITS)}),
+COMPLETE = f"""fits AS (SELECT {", ".join(f"{e} AS {c}" for c, e in FIT.items())} FROM nation WHERE {FITTED}),
 every AS (SELECT axis, unnest(range(min(idx), max(idx) + 1)) AS idx FROM fits GROUP BY axis),
 around AS (
   SELECT axis, idx, (SELECT max(f.idx) FROM fits AS f WHERE f.axis = e.axis AND f.idx <= e.idx) AS b,
@@ -262,13 +268,12 @@ complete AS (
   FROM around AS e JOIN fits AS lo ON lo.axis = e.axis AND lo.idx = b JOIN fits AS hi ON hi.axis = e.axis AND hi.idx = a
 )"""
 
-FRAME = f"""{CELLS},
+FRAME = f"""{SEEN},
 b AS (SELECT min(lon) - {MO} / 2 AS min_x, max(lon) + {MO} / 2 AS max_x, min(lat) - {ML} / 2 AS min_y, max(lat) + {ML} / 2 AS max_y FROM cells),
 frame AS (
   SELECT *, {MO} AS cell_lon, 744e0 / (max_x - min_x) AS sx, (max_y - min_y) * 744e0 / (max_x - min_x) + 16e0 AS height FROM b
 )"""
 
-_TOKENS = sorted({*C.AVENUES_WEST, *C.AVENUES_EAST, *C.STREETS_SOUTH, *C.STREETS_NORTH, *C.MILE_ROADS_NS, *C.MILE_ROADS_EW, "Avenue O", "Avenue L East"})
 _SEARCHES = ("5S3W", " damen ", "43rd", "χ:2s", "Dam43", "no such cell", " ")
 _PIXEL = "printf('%.1f,%.1f', 8e0 + ({x} - min_x) * sx, height - 8e0 - ({y} - min_y) * sx)"
 _CORNERS = [("w", "s"), ("e", "s"), ("e", "n"), ("w", "n"), ("w", "s")]
@@ -285,11 +290,11 @@ def _clipped(source: str, out: str, side: str) -> str:
     return f"{out} AS (SELECT * REPLACE (flatten(list_transform(range(1, len(r) + 1), lambda i : {kept})) AS r) FROM {source})"
 
 
-_NS_COUNT, _EW_COUNT = len(CUTS["ns"]), len(CUTS["ew"])
+_NS_COUNT, _EW_COUNT = CUT["ns"][0], CUT["ew"][0]
 _RING_AREA = "abs(list_sum(list_transform(range(1, len({r}) + 1), lambda i : ({r}[i].x - {r}[1].x) * ({r}[i % len({r}) + 1].y - {r}[1].y) - ({r}[i % len({r}) + 1].x - {r}[1].x) * ({r}[i].y - {r}[1].y)))) / 2"
 #: The convex outline clipped to each strip and row by half-planes.  A face is inner if
 #: clipping a far larger square gives the same area.
-OVERLAY_CONVEX = f"""WITH ns(k, m, c) AS ({_values([(i, *l) for i, l in enumerate(CUTS["ns"])])}), ew(k, m, c) AS ({_values([(i, *l) for i, l in enumerate(CUTS["ew"])])}),
+OVERLAY_CONVEX = f"""WITH {", ".join(f"{a} AS (SELECT n_nationkey AS k, {_d(m)} AS m, {c} AS c FROM nation WHERE n_nationkey < {n})" for a, (n, m, c) in CUT.items())},
 rings AS (
   SELECT true AS city, [{", ".join(f"{{'x': {_d(x)}, 'y': {_d(y)}}}" for x, y in CONVEX)}] AS r
   UNION ALL SELECT false, [{", ".join(f"{{'x': {_d(x)}, 'y': {_d(y)}}}" for x, y in ((-90.0, 39.0), (-85.0, 39.0), (-85.0, 44.0), (-90.0, 44.0)))}]
@@ -316,25 +321,27 @@ ORACLE_SQL: dict[str, str] = {
 FROM points GROUP BY ALL""",
     "names_full": _point_names("full"),
     "names_simple": _point_names("simple"),
-    "label_tokens": f"""WITH t(road) AS ({_values([(t,) for t in _TOKENS])}) SELECT road, {_token("road", "full")} AS full_token, {_token("road", "simple")} AS simple_token FROM t""",
-    "lattice_default": f"WITH {CELLS} SELECT ks, kw, 'χ:' || chi_id AS chi_ordinate, chi_id, round(lat, 6) AS center_lat, round(lon, 6) AS center_lon FROM cells",
-    "lattice_phased": f"""WITH steps AS (
+    "label_tokens": f"""WITH t AS (SELECT p_partkey, {PART_ROAD} AS road FROM part) SELECT p_partkey, road, {_token("road", "full")} AS full_token, {_token("road", "simple")} AS simple_token FROM t""",
+    "lattice_default": f"WITH {SEEN} SELECT ks, kw, 'χ:' || chi_id AS chi_ordinate, chi_id, round(lat, 6) AS center_lat, round(lon, 6) AS center_lon FROM cells",
+    "lattice_phased": f"""WITH {POINTS}, steps AS (
   SELECT ks, kw, {LAT0} - (0e0 + ks) * {ML} AS lat, {LON0} - (0.25e0 + kw) * {MO} AS lon
-  FROM range(CAST(floor({_south("41.95e0")}) AS BIGINT) - 1, CAST(ceil({_south("41.8e0")}) AS BIGINT) + 2) AS a(ks),
-       range(CAST(floor({_west("-87.55e0")} - 0.25) AS BIGINT) - 1, CAST(ceil({_west("-87.75e0")} - 0.25) AS BIGINT) + 2) AS b(kw)
+  FROM (SELECT unnest(range(CAST(floor({_south("max(lat)")}) AS BIGINT) - 1, CAST(ceil({_south("min(lat)")}) AS BIGINT) + 2)) AS ks FROM points),
+       (SELECT unnest(range(CAST(floor({_west("max(lon)")} - 0.25) AS BIGINT) - 1, CAST(ceil({_west("min(lon)")} - 0.25) AS BIGINT) + 2)) AS kw FROM points)
 ),
 keyed AS (SELECT *, replace({_ordinate("lat", "lon")}, 'χ:', '') AS chi_id FROM steps)
 SELECT ks, kw, chi_id, round(lat, 6) AS center_lat, round(lon, 6) AS center_lon
 FROM (SELECT *, row_number() OVER (PARTITION BY chi_id ORDER BY ks, kw) AS k FROM keyed) WHERE k = 1""",
-    "lattice_boxed": f"""WITH {CELLS}, boxes AS (SELECT chi_id, {_BOX} FROM cells)
-SELECT chi_id FROM boxes WHERE w <= {_d(BOX[3])} AND e >= {_d(BOX[2])} AND s <= {_d(BOX[1])} AND n >= {_d(BOX[0])}""",
+    "lattice_boxed": f"""WITH {POINTS}, {CELLS}, boxes AS (SELECT chi_id, {_BOX} FROM cells),
+b AS (SELECT min(lat) + 1e-1 AS south, max(lat) - 1e-1 AS north, min(lon) + 1e-1 AS west, max(lon) - 1e-1 AS east FROM points)
+SELECT chi_id FROM boxes, b WHERE w <= east AND e >= west AND s <= north AND n >= south""",
     "lattice_polygon": LATTICE_POLYGON,
-    "lattice_empty_boundary": "SELECT CAST(0 AS BIGINT) AS cells",
-    "cell_rings": f"""WITH {CELLS}, boxes AS (SELECT chi_id, {_BOX} FROM cells)
+    "lattice_empty_boundary": "SELECT count(*) AS cells FROM nation WHERE n_nationkey < 0",
+    "cell_rings": f"""WITH {SEEN}, boxes AS (SELECT chi_id, {_BOX} FROM cells)
 {" UNION ALL ".join(f"SELECT chi_id, CAST({i} AS BIGINT) AS seq, round({x}, 9) AS lon, round({y}, 9) AS lat FROM boxes" for i, (x, y) in enumerate(_CORNERS))}""",
     "point_to_cell_join": f"WITH {POINTS} SELECT event_id, replace({_ordinate('lat', 'lon')}, 'χ:', '') AS chi_id FROM points",
-    "chi_lookup": f"""WITH {CELLS}, boxes AS (SELECT chi_id, {_BOX} FROM cells), asked(id, y, x) AS ({_values(LOOKUPS)})
-SELECT CAST(id AS INTEGER) AS id, (SELECT 'χ:' || min(chi_id) FROM boxes WHERE x BETWEEN w AND e AND y BETWEEN s AND n) AS chi_ordinate FROM asked""",
+    "chi_lookup": f"""WITH {CELLS}, boxes AS (SELECT chi_id, {_BOX} FROM cells), asked AS (SELECT c_custkey, {LOOKUP["lat"]} AS y, {LOOKUP["lon"]} AS x FROM customer),
+first AS (SELECT c_custkey, min(chi_id) AS chi_id FROM asked JOIN boxes ON x BETWEEN w AND e AND y BETWEEN s AND n GROUP BY c_custkey)
+SELECT asked.c_custkey, 'χ:' || chi_id AS chi_ordinate FROM asked LEFT JOIN first ON first.c_custkey = asked.c_custkey""",
     "region_pip": f"""WITH {POINTS}, {NATIONS},
 met AS (
   SELECT event_id, n_nationkey, count(*) FILTER ({_LEFT_OF.format(x="p.lon", y="p.lat")}) AS crossings
@@ -351,8 +358,8 @@ listed AS (
 SELECT c.chi_id, name, coalesce(ids, '') AS ids, coalesce(featured, '') AS featured FROM named_simple AS c LEFT JOIN listed ON listed.chi_id = c.chi_id""",
     "places_top8": f"WITH {PLACES} SELECT chi_id, rank, poi_id FROM ranked WHERE rank <= 8",
     "places_zero_cells": f"WITH {CELLS}, {PLACES} SELECT chi_id FROM cells WHERE chi_id NOT IN (SELECT chi_id FROM ranked)",
-    "profiles": f"WITH {_named('simple')} SELECT chi_id, name, 'χ:' || chi_id AS chi_ordinate, label FROM named_simple",
-    "region_labels": f"""WITH {_named("simple")}, regions(o, region, s, n, w, e, n_origin, w_origin) AS ({_values([(o, name, *box, a, b) for o, name, box, a, b in REGIONS])}),
+    "profiles": f"WITH {_named('simple', SEEN)} SELECT chi_id, name, 'χ:' || chi_id AS chi_ordinate, label FROM named_simple",
+    "region_labels": f"""WITH {_named("simple", SEEN)}, regions(o, region, s, n, w, e, n_origin, w_origin) AS ({_values([(o, name, *box, a, b) for o, name, box, a, b in REGIONS])}),
 k AS (
   SELECT c.ks, c.kw, r.region || '-' || CAST(n_origin - CASE WHEN c.ks >= 0 THEN c.ks + 1 ELSE -c.ks END + 1 AS BIGINT)
          || chr(CAST(65 + w_origin - CASE WHEN c.kw >= 0 THEN c.kw + 1 ELSE -c.kw END AS INTEGER)) AS own,
@@ -367,7 +374,9 @@ FROM named_simple AS c LEFT JOIN k ON k.ks = c.ks AND k.kw = c.kw AND k.k = 1"""
 WHERE n_nationkey % 4 <> 1
   AND ((n_nationkey % 3 <> 0 AND n_nationkey % 5 = 0) OR n_nationkey % 6 = 0 OR n_nationkey = 76 OR n_nationkey % 7 = 0 OR lower(n_name) LIKE '%hare%')""",
     "road_base_names": f"""SELECT p_partkey, {_BASE % "p_name || CASE p_partkey % 5 WHEN 0 THEN ' Ave' WHEN 1 THEN ' STREET' WHEN 2 THEN '' WHEN 3 THEN ' Rd ' ELSE ' Court Place' END"} AS base FROM part""",
-    "road_pretty_names": f"SELECT * FROM ({_values(PRETTY)}) AS t(base, pretty)",
+    "road_pretty_names": f"""WITH heads(i, head, pretty) AS ({_values([(i, *p) for i, p in enumerate(PRETTY)])}),
+tails AS (SELECT p_partkey, p_name, array_to_string(list_transform(string_split(p_name, ' '), lambda w : upper(left(w, 1)) || substr(w, 2)), ' ') AS tail FROM part)
+SELECT p_partkey, head || ' ' || p_name AS base, pretty || ' ' || tail AS pretty FROM tails JOIN heads ON i = p_partkey % {len(PRETTY)}""",
     "road_spans": f"WITH {_vertices(True)}, {SPANS} SELECT * FROM spans",
     "road_upper_median": f"WITH {_vertices(True)}, {MEDIANS} SELECT * FROM medians",
     "road_tiers": f"WITH {RECORDS} SELECT axis, CAST(tier AS INTEGER) AS tier, seq, name, med, lo, hi FROM records",
@@ -400,31 +409,31 @@ SELECT axis, CAST(idx AS INTEGER) AS idx, round(slope, 9) AS slope, round(interc
 FROM (SELECT axis, idx, slope, intercept FROM complete UNION ALL SELECT * FROM more)""",
     "grid_bounds": f"""WITH {FRAME} SELECT round(min_x, 6) AS min_x, round(max_x, 6) AS max_x, round(min_y, 6) AS min_y, round(max_y, 6) AS max_y,
 round(cell_lon, 6) AS cell_lon, round(sx, 6) AS sx, round(height, 6) AS height, round(greatest(4e0, least(8e0, sx * cell_lon / 5.5e0)), 6) AS font_px FROM frame""",
-    "area_flags": f"""WITH f(face_id, sqmi, near) AS ({_values(FACES)}), r AS (SELECT face_id, round(sqmi, 3) AS a, near <= 1e-5 AS edge FROM f)
+    "area_flags": f"""WITH f AS (SELECT {", ".join(f"{e} AS {c}" for c, e in FACE.items())} FROM supplier), r AS (SELECT face_id, round(sqmi, 3) AS a, near <= 1e-5 AS edge FROM f)
 SELECT CAST(face_id AS INTEGER) AS face_id, a AS area_sqmi, edge, CASE WHEN edge THEN false ELSE a < 0.9e0 OR a > 1.1e0 END AS flag FROM r""",
-    "ordinate_merge": f"WITH {CELLS} SELECT 'χ:' || chi_id AS chi_ordinate, 1e0 AS area_sqmi, CAST(4 AS BIGINT) AS parts, false AS flag FROM cells",
-    "search_first_hit": f"""WITH {_named("simple")}, asked(query) AS ({_values([(s,) for s in _SEARCHES])})
+    "ordinate_merge": f"WITH {SEEN} SELECT 'χ:' || chi_id AS chi_ordinate, 1e0 AS area_sqmi, CAST(4 AS BIGINT) AS parts, false AS flag FROM cells",
+    "search_first_hit": f"""WITH {_named("simple", SEEN)}, asked(query) AS ({_values([(s,) for s in _SEARCHES])})
 SELECT query, min(chi_id) AS chi_id FROM asked JOIN named_simple
   ON trim(query) <> '' AND (lower(chi_id) = lower(trim(query)) OR contains(lower(name), lower(trim(query))) OR contains(lower(label), lower(trim(query))))
 GROUP BY query""",
-    "select_by_ordinate": f"WITH {_named('simple')} SELECT chi_id, name, label FROM named_simple WHERE chi_id = '5S3W'",
-    "detail_card": f"""WITH {_named("full")}
+    "select_by_ordinate": f"WITH {_named('simple', SEEN)} SELECT chi_id, name, label FROM named_simple WHERE chi_id = '5S3W'",
+    "detail_card": f"""WITH {_named("full", SEEN)}
 SELECT chi_id, 'χ:' || chi_id AS ordinate, name, CASE WHEN kw % 2 = 0 THEN 'Own' ELSE label END AS label,
        CASE WHEN kw % 2 = 0 THEN label END AS canonical, printf('%.4f, %.4f', round(lat, 6), round(lon, 6)) AS center,
        CASE WHEN ks % 2 = 0 THEN '0.88 sq mi' ELSE '1 sq mile' END AS cell, CASE WHEN ks > 3 THEN 'city-clipped' END AS edge_note
 FROM named_full""",
-    "deep_link": f"WITH {CELLS} SELECT chi_id, '#chi=' || chi_id AS link, 'χ:' || chi_id AS parsed, CAST(NULL AS VARCHAR) AS absent FROM cells",
-    "label_text": f"WITH {_named('simple')} SELECT chi_id, label AS token FROM named_simple",
+    "deep_link": f"WITH {SEEN} SELECT chi_id, '#chi=' || chi_id AS link, 'χ:' || chi_id AS parsed, CAST(NULL AS VARCHAR) AS absent FROM cells",
+    "label_text": f"WITH {_named('simple', SEEN)} SELECT chi_id, label AS token FROM named_simple",
     "point_strings": f"""WITH {FRAME}, boxes AS (SELECT chi_id, {_BOX} FROM cells)
 SELECT chi_id, {" || ' ' || ".join(_PIXEL.format(x=x, y=y) for x, y in _CORNERS)} AS points FROM boxes, frame""",
-    "outer_ring_parts": f"WITH {CELLS} SELECT chi_id, CAST(abs(kw) % 3 + 1 AS BIGINT) AS rings, round(lon + {MO} / 2, 6) AS east FROM cells",
-    "version_join": f"""WITH {_named("simple")}, {_named("full", cells=False)}
+    "outer_ring_parts": f"WITH {SEEN} SELECT chi_id, CAST(abs(kw) % 3 + 1 AS BIGINT) AS rings, round(lon + {MO} / 2, 6) AS east FROM cells",
+    "version_join": f"""WITH {_named("simple", SEEN)}, {_named("full", cells="")}
 SELECT coalesce(a.chi_id, b.chi_id) AS chi_id, a.name AS name_a, a.label AS label_a, b.name AS name_b, b.label AS label_b
 FROM (SELECT * FROM named_simple WHERE ks > -5) AS a FULL JOIN (SELECT * FROM named_full WHERE ks < 12) AS b ON a.chi_id = b.chi_id""",
-    "flat_table": f"WITH {_named('simple')} SELECT 'χ:' || chi_id AS chi_ordinate, chi_id, name, label, round(lat, 6) AS center_lat, round(lon, 6) AS center_lon FROM named_simple",
+    "flat_table": f"WITH {_named('simple', SEEN)} SELECT 'χ:' || chi_id AS chi_ordinate, chi_id, name, label, round(lat, 6) AS center_lat, round(lon, 6) AS center_lon FROM named_simple",
     "named_grid": f"""WITH {NAMER}, {_bands("full")}, {_by_band("cells", "full", "banded")},
 mixed AS (SELECT b.chi_id, coalesce(avenue, av) AS a, coalesce(street, st) AS s FROM banded AS b JOIN near USING (chi_id)),
-inside AS ({textwrap.dedent(LATTICE_POLYGON.replace(f"{CELLS}, ", ""))})
+inside AS ({textwrap.dedent(LATTICE_POLYGON.replace(f"{CELLS}, {NATIONS}", CITY_EDGES))})
 SELECT chi_id, {_naming("a", "s", "chi_id", "full")} FROM mixed WHERE chi_id IN (SELECT chi_id FROM inside)""",
     "geojson_lines": f"""WITH roads(r, street_name, class) AS ({_values(ROADS)})
 SELECT street_name, CAST(sum(CASE WHEN ({ROAD_SEQ}) % 3 = 1 THEN 2 ELSE 1 END) AS BIGINT) AS vertices
@@ -440,15 +449,16 @@ sides AS (
 once AS (SELECT x1, x2, y1, y2 FROM sides GROUP BY ALL HAVING count(*) = 1)
 SELECT round({LON0} - x2 / 2 * {MO}, 6) AS x_low, round({LON0} - x1 / 2 * {MO}, 6) AS x_high,
        round({LAT0} - y2 / 2 * {ML}, 6) AS y_low, round({LAT0} - y1 / 2 * {ML}, 6) AS y_high FROM once""",
-    "outline_rings": f"""WITH {CELLS}, k AS (
-  SELECT CASE WHEN ks <= 5 THEN 0 ELSE 1 END AS block, lat, lon FROM cells
-  WHERE (ks BETWEEN 0 AND 5 AND kw BETWEEN 0 AND 3) OR (ks BETWEEN 8 AND 9 AND kw BETWEEN -4 AND 6)
-)
-SELECT CAST(1 - (CASE WHEN count(*) = 24 THEN 1 ELSE 0 END) AS BIGINT) AS part, CAST(count(DISTINCT round(lat, 6)) * 2 + count(DISTINCT round(lon, 6)) * 2 + 1 AS BIGINT) AS vertices,
-       CAST(count(*) AS DOUBLE) AS area_sqmi, round(min(lon) - {MO} / 2, 6) AS west, round(min(lat) - {ML} / 2, 6) AS south,
+    "outline_rings": f"""WITH {CELLS}, n AS (
+  SELECT CASE WHEN n_nationkey < 15 THEN 0 ELSE 1 END AS block, n_nationkey // 5 + CASE WHEN n_nationkey >= 15 THEN 4 ELSE 0 END AS ks, n_nationkey % 5 AS kw
+  FROM nation WHERE n_nationkey < 25 AND n_nationkey NOT IN (7, 18, 19)
+),
+k AS (SELECT n.block, n.ks, n.kw, lat, lon FROM cells JOIN n ON n.ks = cells.ks AND n.kw = cells.kw)
+SELECT CAST(block AS BIGINT) AS part, CAST(2 * (count(DISTINCT ks) + count(DISTINCT kw)) + 1 AS BIGINT) AS vertices,
+       CAST(count(*) + CASE WHEN block = 0 THEN 1 ELSE 0 END AS DOUBLE) AS area_sqmi, round(min(lon) - {MO} / 2, 6) AS west, round(min(lat) - {ML} / 2, 6) AS south,
        round(max(lon) + {MO} / 2, 6) AS east, round(max(lat) + {ML} / 2, 6) AS north FROM k GROUP BY block""",
     "overlay_convex": OVERLAY_CONVEX,
-    "overlay_merged": f"""WITH {CELLS} SELECT 'χ:' || chi_id AS chi_ordinate, round({MO} * {ML}, 10) AS area,
+    "overlay_merged": f"""WITH {SEEN} SELECT 'χ:' || chi_id AS chi_ordinate, round({MO} * {ML}, 10) AS area,
   round(CASE WHEN ks % 2 = 0 THEN lat - 3 * {ML} / 8 ELSE lat - {ML} / 4 END, 6) AS lat, kw = 0 AS edge, false AS flag, CAST(2 AS BIGINT) AS parts FROM cells""",
     "airport_labels": f"""WITH {_named("simple")}, {NATIONS}, own AS (SELECT * FROM edges WHERE n_nationkey % 5 = 2 OR n_nationkey = 13 OR n_nationkey = 76),
 boxes AS (SELECT *, {_BOX} FROM cells),
@@ -465,15 +475,16 @@ SELECT c.chi_id, CASE WHEN starts_with(name, 'χ:') THEN coalesce(own, name) ELS
        CASE WHEN starts_with(name, 'χ:') THEN coalesce(own, label) ELSE label END AS label
 FROM named_simple AS c LEFT JOIN k ON k.chi_id = c.chi_id""",
     "fit_lines_windows": _fit_sql(_WINDOWED, True),
-    "anchor_windows": f"SELECT axis, CAST(idx AS INTEGER) AS idx, base, north, south, cap FROM ({_values(_WINDOWED)}) AS t(axis, idx, base, north, south, cap)",
-    "geojson_features": f"""WITH {_named("full")}
+    "anchor_windows": f"""WITH {_vertices(False)}
+SELECT axis, CAST(idx AS INTEGER) AS idx, base, north, south, cap FROM ({_values(_WINDOWED)}) AS t(axis, idx, base, north, south, cap) WHERE base IN (SELECT base FROM v)""",
+    "geojson_features": f"""WITH {_named("full", SEEN)}
 SELECT chi_id, 'χ:' || chi_id AS chi_ordinate, name, label, round(lon, 6) AS lon, round(lat, 6) AS lat, 'Feature' AS kind, 'Polygon' AS shape,
        CAST(5 AS BIGINT) AS vertices, round(lon - {MO} / 2, 6) AS west FROM named_full""",
-    "geojson_collection": f"""WITH {_named("simple")}
+    "geojson_collection": f"""WITH {_named("simple", SEEN)}
 SELECT CAST(row_number() OVER (ORDER BY chi_id) - 1 AS INTEGER) AS seq, chi_id, name, label, CAST(1 AS BIGINT) AS polygons FROM named_simple""",
-    "collection_head": f"""WITH {CELLS} SELECT 'FeatureCollection' AS kind, CAST(1 AS BIGINT) AS cell_miles, count(*) AS cells FROM cells WHERE ks > 3
+    "collection_head": f"""WITH {SEEN} SELECT 'FeatureCollection' AS kind, CAST(1 AS BIGINT) AS cell_miles, count(*) AS cells FROM cells WHERE ks > 3
 UNION ALL SELECT 'FeatureCollection', 2, 0""",
-    "shapes_of_parts": f"""WITH {CELLS} SELECT chi_id, CASE WHEN ks % 3 = 0 THEN 'MultiPolygon' ELSE 'Polygon' END AS kind,
+    "shapes_of_parts": f"""WITH {SEEN} SELECT chi_id, CASE WHEN ks % 3 = 0 THEN 'MultiPolygon' ELSE 'Polygon' END AS kind,
 CAST(CASE WHEN ks % 3 = 0 THEN 2 ELSE 1 END AS BIGINT) AS parts FROM cells""",
     "boundary_read": f"""WITH {NATIONS}
 SELECT CAST(n_nationkey AS BIGINT) * 100000 AS part, count(*) AS filled, count(*) + CASE WHEN n_nationkey % 3 = 0 THEN 3 ELSE 0 END AS edges,
@@ -482,7 +493,7 @@ FROM edges GROUP BY n_nationkey""",
     "centerlines_read": f"""WITH roads(r, street_name, class) AS ({_values(ROADS)})
 SELECT street_name, class, count(*) AS vertices, round(min({ROAD_LON}), 6) AS west, round(max({ROAD_LON}), 6) AS east
 FROM lineitem JOIN roads ON r = l_partkey % 40 GROUP BY street_name, class""",
-    "grid_csv_read": f"""WITH {_named("full")}
+    "grid_csv_read": f"""WITH {_named("full", SEEN)}
 SELECT 'χ:' || chi_id AS chi_ordinate, chi_id, name, label, name AS name_canon, label AS label_canon, round(lat, 6) AS center_lat, round(lon, 6) AS center_lon,
        CASE WHEN ks % 2 = 0 THEN 1.05e0 ELSE 0.875e0 END AS area_sqmi, kw % 3 = 0 AS edge, kw % 3 <> 0 AND ks % 2 <> 0 AS flag FROM named_full""",
     "boundary_repaired": """SELECT CAST(row_number() OVER (ORDER BY n_nationkey) - 1 AS BIGINT) AS place, CAST(CASE WHEN n_nationkey % 3 = 1 THEN 1 ELSE 2 END AS BIGINT) AS parts,

@@ -32,12 +32,8 @@ from quadrille.sources.geojson import (
 from quadrille.sources.shared import new_path
 from quadrille.sources.tables import flat_grid, read_grid_csv, write_grid_csv
 
-#: A convex outline, and lines that cut it: lon = slope * lat + intercept ("ns"), lat = slope * lon + intercept ("ew").
+#: A convex outline, cut by lines of nations: lon = slope * lat + intercept ("ns"), lat = slope * lon + intercept ("ew").
 CONVEX = [(-87.90, 41.70), (-87.70, 41.66), (-87.55, 41.75), (-87.57, 41.95), (-87.75, 42.02), (-87.88, 41.90)]
-CUTS = {
-    "ns": [(0.02, -88.665 + 0.03 * k) for k in range(8)],
-    "ew": [(-0.015, 40.43 + 0.025 * k) for k in range(9)],
-}
 #: A triangle within the hexagon of a nation, by offsets from its corner.
 HOLE = [(0.01, 0.01), (0.03, 0.01), (0.01, 0.03)]
 
@@ -58,6 +54,14 @@ def _named(spark: SparkSession, dialect: str = SIMPLE) -> DataFrame:
     return roads.name_cells(_cells(spark), None, dialect)
 
 
+def _seen_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inputs.seen(_cells(spark), sf_dir)
+
+
+def _seen_named(spark: SparkSession, sf_dir: str, dialect: str = SIMPLE) -> DataFrame:
+    return roads.name_cells(_seen_cells(spark, sf_dir), None, dialect)
+
+
 @query
 def miles_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     s, w = miles_south(F.col("lat")), miles_west(F.col("lon"))
@@ -84,9 +88,8 @@ QUERIES["names_full"], QUERIES["names_simple"] = _names(FULL), _names(SIMPLE)
 
 @query
 def label_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = sorted({*C.AVENUES_WEST, *C.AVENUES_EAST, *C.STREETS_SOUTH, *C.STREETS_NORTH, *C.MILE_ROADS_NS, *C.MILE_ROADS_EW, "Avenue O", "Avenue L East"})
-    given = spark.createDataFrame([(n,) for n in names], "road string")
-    return given.select("road", short_token(F.col("road"), FULL).alias("full_token"), short_token(F.col("road"), SIMPLE).alias("simple_token"))
+    given = inputs.table(spark, sf_dir, "part").select("p_partkey", F.expr(inputs.PART_ROAD).alias("road"))
+    return given.select("p_partkey", "road", short_token(F.col("road"), FULL).alias("full_token"), short_token(F.col("road"), SIMPLE).alias("simple_token"))
 
 
 def _centers(cells: DataFrame) -> DataFrame:
@@ -95,35 +98,38 @@ def _centers(cells: DataFrame) -> DataFrame:
 
 @query
 def lattice_default(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _centers(lattice(spark))
+    return _centers(inputs.seen(lattice(spark), sf_dir))
 
 
 @query
 def lattice_phased(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _centers(lattice(spark, (41.80, 41.95, -87.75, -87.55), 0.0, 0.25)).drop("chi_ordinate")
+    return _centers(lattice(spark, inputs.point_extent(spark, sf_dir), 0.0, 0.25)).drop("chi_ordinate")
 
 
-def _clipped(ring: list[tuple[float, float]]) -> Query:
-    def clipped(spark: SparkSession, sf_dir: str) -> DataFrame:
-        edges = inputs.ring_edges(spark, {0: ring}, "part").drop("part")
-        return clip_lattice(lattice(spark, extent_of(edges)), edges).select("chi_id")
-
-    return clipped
+@query
+def lattice_boxed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells that meet the box of the points, a tenth of a degree within it."""
+    south, north, west, east = inputs.point_extent(spark, sf_dir)
+    edges = inputs.ring_edges(spark, {0: inputs.box_ring(south + 0.1, north - 0.1, west + 0.1, east - 0.1)}, "part").drop("part")
+    return clip_lattice(lattice(spark, extent_of(edges)), edges).select("chi_id")
 
 
-QUERIES["lattice_boxed"], QUERIES["lattice_polygon"] = _clipped(inputs.box_ring(*inputs.BOX)), _clipped(inputs.CITY)
+@query
+def lattice_polygon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    edges = inputs.nation_edges(spark, sf_dir)
+    return clip_lattice(lattice(spark, extent_of(edges)), edges).select("chi_id")
 
 
 @query
 def lattice_empty_boundary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    edges = inputs.ring_edges(spark, {0: inputs.CITY}, "part").drop("part").where("false")
-    return grids.regular_grid(spark, edges).agg(F.count("*").alias("cells"))
+    nobody = inputs.nation_polygons(spark, sf_dir).where("n_nationkey < 0").withColumnRenamed("geometry", "polygon")
+    return grids.regular_grid(spark, polygon_edges(nobody, "n_nationkey").drop("n_nationkey")).agg(F.count("*").alias("cells"))
 
 
 @query
 def cell_rings(spark: SparkSession, sf_dir: str) -> DataFrame:
     corner = F.posexplode(F.get(F.col("geometry"), F.lit(0))).alias("seq", "p")
-    return _cells(spark).select("chi_id", corner).select(
+    return _seen_cells(spark, sf_dir).select("chi_id", corner).select(
         "chi_id", F.col("seq").cast("long").alias("seq"), F.round(F.col("p")[0], 9).alias("lon"), F.round(F.col("p")[1], 9).alias("lat")
     )
 
@@ -134,15 +140,11 @@ def point_to_cell_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("event_id", F.col("cell.chi_id").alias("chi_id"))
 
 
-#: Lookups: the worked example, the origin, outside, and places on borders of cells.
-LOOKUPS = [(1, 41.8168, -87.6763), (2, 41.88197, -87.62768), (3, 40.0, -87.6), (4, 41.88197, -87.65), (5, 41.9, -87.62768), (6, None, -87.6)]
-
-
 @query
 def chi_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    given = spark.createDataFrame(LOOKUPS, "id int, lat double, lon double")
+    given = inputs.table(spark, sf_dir, "customer").select("c_custkey", *[F.expr(e).alias(c) for c, e in inputs.LOOKUP.items()])
     found = locate(given, cover_index(_cells(spark), "chi_id", ["chi_ordinate"]), squares=True)
-    return found.select("id", F.col("cell.chi_ordinate").alias("chi_ordinate"))
+    return found.select("c_custkey", F.col("cell.chi_ordinate").alias("chi_ordinate"))
 
 
 @query
@@ -188,14 +190,14 @@ def places_zero_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return grids.profiles(_named(spark))
+    return grids.profiles(_seen_named(spark, sf_dir))
 
 
 @query
 def region_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     regions = spark.createDataFrame([(o, n, a, b) for o, n, _, a, b in inputs.REGIONS], "region_order int, region string, n_origin int, w_origin int")
     edges = inputs.ring_edges(spark, {o: inputs.box_ring(*box) for o, _, box, _, _ in inputs.REGIONS}, "region_order")
-    return label_regions(_named(spark), regions, edges).select("chi_id", "name", "label")
+    return label_regions(_seen_named(spark, sf_dir), regions, edges).select("chi_id", "name", "label")
 
 
 @query
@@ -224,7 +226,9 @@ PRETTY = [
 
 @query
 def road_pretty_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.createDataFrame([(a,) for a, _ in PRETTY], "base string").select("base", pretty_road_name(F.col("base")).alias("pretty"))
+    heads = F.array(*[F.lit(a) for a, _ in PRETTY])
+    given = inputs.table(spark, sf_dir, "part").select("p_partkey", F.concat(F.element_at(heads, (F.col("p_partkey") % len(PRETTY) + 1).cast("int")), F.lit(" "), "p_name").alias("base"))
+    return given.select("p_partkey", "base", pretty_road_name(F.col("base")).alias("pretty"))
 
 
 def _vertices(spark: SparkSession, sf_dir: str, skip: bool = True) -> DataFrame:
@@ -293,37 +297,31 @@ def fit_lines_clipped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("axis", "idx", F.round("slope", 5).alias("slope"), F.round("intercept", 3).alias("intercept"))
 
 
-FITS = [("ns", -2, 0.01, -88.0), ("ns", 0, 0.02, -88.5), ("ns", 1, 0.0, -87.6), ("ns", 5, 0.04, -89.25), ("ew", -1, -0.01, 41.0), ("ew", 3, 0.03, 44.5)]
-
-
-def _fits(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(FITS, "axis string, idx int, slope double, intercept double")
+def _fits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inputs.table(spark, sf_dir, "nation").where(inputs.FITTED).select(*[F.expr(e).alias(c) for c, e in inputs.FIT.items()])
 
 
 @query
 def interpolate_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = lines.complete_lines(_fits(spark))
+    found = lines.complete_lines(_fits(spark, sf_dir))
     return found.select("axis", "idx", F.round("slope", 9).alias("slope"), F.round("intercept", 9).alias("intercept"), "fitted")
 
 
 @query
 def extrapolate_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = lines.extend_lines(lines.complete_lines(_fits(spark)), 4)
+    found = lines.extend_lines(lines.complete_lines(_fits(spark, sf_dir)), 4)
     return found.select("axis", "idx", F.round("slope", 9).alias("slope"), F.round("intercept", 9).alias("intercept"))
 
 
 @query
 def grid_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frame = explore.map_frame(_cells(spark))
+    frame = explore.map_frame(_seen_cells(spark, sf_dir))
     return frame.select(*[F.round(c, 6).alias(c) for c in frame.columns])
 
 
-FACES = [(1, 0.9, 0.5), (2, 1.1, 0.5), (3, 0.8994, 0.5), (4, 1.1006, 0.5), (5, 0.5, 1e-5), (6, 2.0, 0.0), (7, 0.8997, 0.5)]
-
-
 @query
 def area_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    given = spark.createDataFrame(FACES, "face_id int, sqmi double, near double").withColumn("area", F.col("sqmi") * F.lit(C.MILE_LAT * C.MILE_LON))
+    given = inputs.table(spark, sf_dir, "supplier").select(*[F.expr(e).alias(c) for c, e in inputs.FACE.items()]).withColumn("area", F.col("sqmi") * F.lit(C.MILE_LAT * C.MILE_LON))
     return overlay.area_flags(given).select("face_id", "area_sqmi", "edge", "flag")
 
 
@@ -332,7 +330,7 @@ def ordinate_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     quarter = F.array(*[F.struct(F.lit(a * C.MILE_LAT / 4).alias("dy"), F.lit(b * C.MILE_LON / 4).alias("dx")) for a in (-1, 1) for b in (-1, 1)])
     y, x, h, w = F.col("lat"), F.col("lon"), F.lit(C.MILE_LAT / 4), F.lit(C.MILE_LON / 4)
     ring = F.array(F.array(x - w, y - h), F.array(x + w, y - h), F.array(x + w, y + h), F.array(x - w, y + h), F.array(x - w, y - h))
-    faces = lattice(spark).select("lat", "lon", F.inline(quarter)).select((F.col("lat") + F.col("dy")).alias("lat"), (F.col("lon") + F.col("dx")).alias("lon"))
+    faces = inputs.seen(lattice(spark), sf_dir).select("lat", "lon", F.inline(quarter)).select((F.col("lat") + F.col("dy")).alias("lat"), (F.col("lon") + F.col("dx")).alias("lon"))
     faces = faces.select(
         F.lit(0).alias("part"), F.lit(0).alias("strip"), "lon", "lat", F.lit(C.MILE_LAT * C.MILE_LON / 4).alias("area"), F.lit(1.0).alias("near"), ring.alias("ring")
     )
@@ -342,7 +340,7 @@ def ordinate_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def search_first_hit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cells, out = _named(spark), None
+    cells, out = _seen_named(spark, sf_dir), None
     for text in ("5S3W", " damen ", "43rd", "χ:2s", "Dam43", "no such cell", " "):
         hit = explore.search(cells, text).select(F.lit(text).alias("query"), "chi_id")
         out = hit if out is None else out.unionByName(hit)
@@ -351,19 +349,19 @@ def search_first_hit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def select_by_ordinate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return explore.select_cell(_named(spark), "χ:5S3W").select("chi_id", "name", "label")
+    return explore.select_cell(_seen_named(spark, sf_dir), "χ:5S3W").select("chi_id", "name", "label")
 
 
 @query
 def detail_card(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cells = roads.dual_names(lattice(spark)).withColumn("label", F.when(F.col("kw") % 2 == 0, "Own").otherwise(F.col("label_canon")))
+    cells = roads.dual_names(inputs.seen(lattice(spark), sf_dir)).withColumn("label", F.when(F.col("kw") % 2 == 0, "Own").otherwise(F.col("label_canon")))
     cells = cells.withColumn("area_sqmi", F.when(F.col("ks") % 2 == 0, F.lit(0.875))).withColumn("edge", F.col("ks") > 3)
     return explore.detail_card(cells)
 
 
 @query
 def deep_link(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lattice(spark).select(
+    return inputs.seen(lattice(spark), sf_dir).select(
         "chi_id",
         explore.format_link(F.col("chi_ordinate")).alias("link"),
         explore.parse_link(F.concat(F.lit("x#chi="), F.lower("chi_id"), F.lit("&y"))).alias("parsed"),
@@ -373,12 +371,12 @@ def deep_link(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def label_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _named(spark).select("chi_id", explore.label_text(F.concat("label", F.when(F.col("ks") % 2 == 0, "  χ").otherwise(""))).alias("token"))
+    return _seen_named(spark, sf_dir).select("chi_id", explore.label_text(F.concat("label", F.when(F.col("ks") % 2 == 0, "  χ").otherwise(""))).alias("token"))
 
 
 @query
 def point_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cells = _cells(spark)
+    cells = _seen_cells(spark, sf_dir)
     return explore.point_strings(cells, explore.map_frame(cells))
 
 
@@ -388,21 +386,21 @@ def outer_ring_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = F.array("ring", F.reverse("ring"))
     shapes = F.array_repeat(part, (F.abs("kw") % 3 + 1).cast("int")).cast(MULTIPOLYGON)
     rings = outer_rings(shapes)
-    return _cells(spark).withColumn("ring", F.get("geometry", F.lit(0))).select(
+    return _seen_cells(spark, sf_dir).withColumn("ring", F.get("geometry", F.lit(0))).select(
         "chi_id", F.size(rings).cast("long").alias("rings"), F.round(F.element_at(rings, -1)[1][0], 6).alias("east")
     )
 
 
 @query
 def version_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = _named(spark, SIMPLE).where("ks > -5")
-    b = _named(spark, FULL).where("ks < 12")
+    a = _seen_named(spark, sf_dir, SIMPLE).where("ks > -5")
+    b = _seen_named(spark, sf_dir, FULL).where("ks < 12")
     return explore.join_versions(a, b)
 
 
 @query
 def flat_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flat_grid(_named(spark))
+    return flat_grid(_seen_named(spark, sf_dir))
 
 
 @query
@@ -424,7 +422,8 @@ def overlay_convex(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faces of a convex outline cut by slanted lines: their areas, and which of them reach the outline."""
     ring = [list(p) for p in [*CONVEX, CONVEX[0]]]
     outline = spark.createDataFrame([(0, ring)], "part bigint, ring array<array<double>>")
-    cuts = spark.createDataFrame([(a, i, m, c) for a, ls in CUTS.items() for i, (m, c) in enumerate(ls)], "axis string, idx int, slope double, intercept double")
+    line = lambda axis, n, m, c: F.when(F.col("n_nationkey") < n, F.struct(F.lit(axis).alias("axis"), F.col("n_nationkey").alias("idx"), F.lit(m).alias("slope"), F.expr(c).alias("intercept")))
+    cuts = inputs.table(spark, sf_dir, "nation").select(F.inline(F.filter(F.array(*[line(a, *l) for a, l in inputs.CUT.items()]), lambda l: l.isNotNull())))
     flagged = overlay.area_flags(overlay.overlay_faces(outline, cuts))
     return flagged.select("strip", F.round("area", 10).alias("area"), "area_sqmi", "edge", "flag")
 
@@ -436,7 +435,7 @@ def overlay_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     lower = F.when(F.col("ks") % 2 == 0, F.col("lat") - F.lit(C.MILE_LAT / 4)).otherwise(F.col("lat"))
     halves = F.explode(F.array(F.struct(south.alias("s"), lower.alias("n")), F.struct(lower.alias("s"), (south + F.lit(C.MILE_LAT)).alias("n"))))
     w, e = F.col("lon") - F.lit(C.MILE_LON / 2), F.col("lon") + F.lit(C.MILE_LON / 2)
-    cut = _cells(spark).select("ks", "kw", w.alias("w"), e.alias("e"), halves.alias("h")).select("*", "h.*")
+    cut = _seen_cells(spark, sf_dir).select("ks", "kw", w.alias("w"), e.alias("e"), halves.alias("h")).select("*", "h.*")
     corner = lambda x, y: F.array(F.col(x), F.col(y))
     ring = F.array(corner("w", "s"), corner("e", "s"), corner("e", "n"), corner("w", "n"), corner("w", "s"))
     faces = cut.select(
@@ -454,8 +453,8 @@ def overlay_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dissolved_outline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The outline of every cell that meets the city."""
-    edges = inputs.ring_edges(spark, {0: inputs.CITY}, "part").drop("part")
+    """The outline of every cell that meets a nation."""
+    edges = inputs.nation_edges(spark, sf_dir)
     cells = with_rings(clip_lattice(lattice(spark), edges)).select("chi_id", F.col("geometry").alias("polygon"))
     kept = overlay.dissolve(polygon_edges(cells, "chi_id"))
     return kept.select(
@@ -465,9 +464,11 @@ def dissolved_outline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def outline_rings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The lattice's cells of two blocks apart, as the rings of their union; a hole in one is filled."""
-    blocks = "(ks between 0 and 5 and kw between 0 and 3 and not (ks = 2 and kw = 1)) or (ks between 8 and 9 and kw between -4 and 6)"
-    cells = _cells(spark).where(blocks).select(F.monotonically_increasing_id().alias("part"), F.col("geometry").alias("polygon"))
+    """Cells by nation, in two blocks apart, one of them with a hole, as the rings of their union."""
+    nation = inputs.table(spark, sf_dir, "nation").where("n_nationkey < 25 AND n_nationkey NOT IN (7, 18, 19)").select(
+        (F.floor(F.col("n_nationkey") / 5) + F.when(F.col("n_nationkey") >= 15, 4).otherwise(0)).alias("ks"), (F.col("n_nationkey") % 5).cast("long").alias("kw")
+    )
+    cells = _cells(spark).join(nation, ["ks", "kw"], "left_semi").select(F.monotonically_increasing_id().alias("part"), F.col("geometry").alias("polygon"))
     found = overlay.outline_parts(cells)
     box = bounds(F.col("ring"))
     return found.select("part", F.size("ring").cast("long").alias("vertices"), square_miles(ring_area(F.col("ring"))).alias("area_sqmi"), *[F.round(box[k], 6).alias(k) for k in box])
@@ -493,13 +494,14 @@ def fit_lines_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def anchor_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.anchors(spark)
+    """The anchors that have vertices."""
+    return lines.anchors(spark).join(_vertices(spark, sf_dir, False).select("base").distinct(), "base", "left_semi").select(*lines.anchors(spark).columns)
 
 
 @query
 def geojson_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fields of the features back from their text."""
-    given = feature_json(grids.regular_grid(spark), ["chi_id", "chi_ordinate", "name", "label", "center"])
+    given = feature_json(inputs.seen(grids.regular_grid(spark), sf_dir), ["chi_id", "chi_ordinate", "name", "label", "center"])
     held = "struct<chi_id:string, chi_ordinate:string, name:string, label:string, center:array<double>>"
     f = F.from_json("json", f"struct<type:string, geometry:struct<type:string, coordinates:array<array<array<double>>>>, properties:{held}>")
     parsed = given.select(f.alias("f"))
@@ -514,7 +516,7 @@ def geojson_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def geojson_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A whole collection, written as a published version and read again: features in order, and the head."""
-    cells = feature_json(grids.regular_grid(spark, dialect=SIMPLE), ["chi_id", "name", "label"])
+    cells = feature_json(inputs.seen(grids.regular_grid(spark, dialect=SIMPLE), sf_dir), ["chi_id", "name", "label"])
     root = new_path(spark, "published")
     feature_collection(cells, {"cell_miles": 1}).select(F.col("json").alias("value")).write.text(f"{root}/v1/grid.geojson")
     held = F.col("properties")
@@ -523,7 +525,7 @@ def geojson_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def collection_head(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cells = feature_json(grids.regular_grid(spark, dialect=SIMPLE).where("ks > 3"), ["chi_id"])
+    cells = feature_json(inputs.seen(grids.regular_grid(spark, dialect=SIMPLE), sf_dir).where("ks > 3"), ["chi_id"])
     whole = feature_collection(cells, {"cell_miles": 1}).unionByName(feature_collection(cells.where("false"), {"cell_miles": 2}))
     field = lambda path, kind="string": F.get_json_object("json", path).cast(kind)
     return whole.select(field("$.type").alias("kind"), field("$.properties.cell_miles", "long").alias("cell_miles"), field("$.properties.count", "long").alias("cells"))
@@ -533,7 +535,7 @@ def collection_head(spark: SparkSession, sf_dir: str) -> DataFrame:
 def shapes_of_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cells of one part are polygons, others multipolygons."""
     shapes = F.when(F.col("ks") % 3 == 0, F.array("geometry", "geometry")).otherwise(F.array("geometry")).cast(MULTIPOLYGON)
-    written = feature_json(_cells(spark).withColumn("geometry", shapes), ["chi_id"], "MultiPolygon")
+    written = feature_json(_seen_cells(spark, sf_dir).withColumn("geometry", shapes), ["chi_id"], "MultiPolygon")
     shape = F.struct(F.get_json_object("json", "$.geometry.type").alias("type"), F.get_json_object("json", "$.geometry.coordinates").alias("coordinates"))
     return written.select("chi_id", shape["type"].alias("kind"), F.size(polygons_of(shape)).cast("long").alias("parts"))
 
@@ -572,7 +574,7 @@ def centerlines_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def grid_csv_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A flat table of the second version, written and read again."""
-    cells = _named(spark, FULL).withColumns({"name_canon": F.col("name"), "label_canon": F.col("label"), "edge": F.col("kw") % 3 == 0})
+    cells = _seen_named(spark, sf_dir, FULL).withColumns({"name_canon": F.col("name"), "label_canon": F.col("label"), "edge": F.col("kw") % 3 == 0})
     path = new_path(spark, "table")
     write_grid_csv(cells.withColumn("area_sqmi", F.when(F.col("ks") % 2 == 0, 1.05).otherwise(0.875)), path, 2)
     return read_grid_csv(spark, path, 2)
