@@ -74,6 +74,11 @@ class Scratch:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def plainly_named(docs: DataFrame) -> DataFrame:
+    """``docs`` with columns c0, c1 and so on, which no operator uses inside."""
+    return docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
+
+
 def running_sums(scratch: Scratch, rows: DataFrame, order: list[Column], value: Column, name: str) -> DataFrame:
     """``rows`` with a column ``before``: the sum of ``value`` over all rows ahead of each in the order, which must be total.
 

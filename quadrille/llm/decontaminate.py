@@ -2,10 +2,12 @@
 
 Documents are cut into shards of whole texts.  A shard's words are indexed by a
 suffix array (prefix doubling, which sorts again only what is still tied), once,
-in the order of as many words as a window has.  Every benchmark window, and with
-it every benchmark suffix of that many words, is found by binary search in each
-shard; each match is then extended to the longest verbatim run, with its place
-in the document.
+in the order of as many words as a window has.  Every distinct benchmark window,
+and with it every benchmark suffix of that many words, is found by binary search
+in each shard.  A place in a document has one window of each length at most, so
+that matches are at most so many as words, however often text repeats.  The
+longest verbatim runs lie in what is hit; the hit stretches of documents and
+items are sorted as suffixes together, to any depth, and neighbours compared.
 
 Benchmark words, as hashes, go to all executors in slices of a fixed greatest
 size.  A shard is searched for the slices one after the other; a worker holds
@@ -35,15 +37,19 @@ class Tests(NamedTuple):
     """Distinct windows of a benchmark slice and the items that they come from."""
 
     ids: list[str]
-    #: Item words end to end; per window its first word there, and its length.
+    #: Item words end to end, and for each the end of its item.
     words: np.ndarray
+    ends: np.ndarray
+    #: Per window its first word, its length, its item, and the number of its words among all windows' (its kind).
     starts: np.ndarray
     sizes: np.ndarray
-    #: Word number at which the window's item ends.
-    stops: np.ndarray
     item: np.ndarray
-    #: Windows with equal words share a group.
-    group: np.ndarray
+    kind: np.ndarray
+    #: Per kind its first window, and the set of its items: set k has items ``set_items[set_bounds[k] : set_bounds[k + 1]]``.
+    first: np.ndarray
+    set_of: np.ndarray
+    set_bounds: np.ndarray
+    set_items: np.ndarray
 
 
 def build_tests(ids: list[str], column: pa.Array, window: int) -> Tests:
@@ -54,25 +60,36 @@ def build_tests(ids: list[str], column: pa.Array, window: int) -> Tests:
         pool.append(hashes(t.data, w.starts, w.ends))
         bounds += (w.bounds[1:] + bounds[-1]).tolist()
     pool = np.concatenate(pool) if pool else np.zeros(0, np.uint64)
-    starts, sizes, stops, item = [], [], [], []
+    ends = np.repeat(np.array(bounds[1:], np.int64), np.diff(bounds)) if len(bounds) > 1 else np.zeros(0, np.int64)
+    starts, sizes, item = [], [], []
     for i, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
         if b > a:
             n = max(1, b - a - window + 1)
             starts.append(np.arange(a, a + n))
             sizes.append(np.full(n, min(window, b - a)))
-            stops.append(np.full(n, b))
             item.append(np.full(n, i))
     if not starts:
         none = np.zeros(0, np.int64)
-        return Tests(ids, pool, none, none, none, none, none)
-    starts, sizes, stops, item = (np.concatenate(x).astype(np.int64) for x in (starts, sizes, stops, item))
+        return Tests(ids, pool, ends, none, none, none, none, none, none, np.zeros(1, np.int64), none)
+    starts, sizes, item = (np.concatenate(x).astype(np.int64) for x in (starts, sizes, item))
     table = np.zeros((len(starts), window + 1), np.uint64)
     table[:, window] = sizes
     for k in range(window):
         has = sizes > k
         table[has, k] = pool[starts[has] + k]
-    _, group = np.unique(table, axis=0, return_inverse=True)
-    return Tests(ids, pool, starts, sizes, stops, item, group.reshape(-1))
+    _, first, kind = np.unique(table, axis=0, return_index=True, return_inverse=True)
+    kind = kind.reshape(-1)
+    pairs = np.unique(np.stack([kind, item], 1), axis=0)
+    cuts = np.flatnonzero(np.diff(pairs[:, 0])) + 1
+    known: dict[bytes, int] = {}
+    set_of, set_items = np.zeros(len(first), np.int64), []
+    for k, held in enumerate(np.split(pairs[:, 1], cuts)):
+        number = known.setdefault(held.tobytes(), len(known))
+        set_of[k] = number
+        if number == len(set_items):
+            set_items.append(held)
+    set_bounds = np.cumsum([0, *(len(x) for x in set_items)])
+    return Tests(ids, pool, ends, starts, sizes, item, kind, first, set_of, set_bounds, np.concatenate(set_items))
 
 
 def suffix_array(h: np.ndarray, ends: np.ndarray, depth: int) -> np.ndarray:
@@ -133,33 +150,109 @@ def _search(t: Tests, h: np.ndarray, ends: np.ndarray, order: np.ndarray, pick:
 
 
 class Found(NamedTuple):
-    """Matches in a shard: window number, word position, and words of the longest run from there."""
+    """Matches in a shard: the number of the window's words, and the word position."""
 
-    window: np.ndarray
+    kind: np.ndarray
     at: np.ndarray
-    length: np.ndarray
 
 
 def find(t: Tests, h: np.ndarray, ends: np.ndarray, order: np.ndarray) -> Found:
-    """Matches of the windows in a shard with its suffix array, which is as deep as a window is long at least."""
-    none = np.zeros(0, np.int64)
+    """Matches of the distinct windows in a shard with its suffix array, which is as deep as a window is long at least."""
     if not len(t.starts) or not len(h):
-        return Found(none, none, none)
-    _, pick = np.unique(t.group, return_index=True)  # one window of each group is searched
-    low, high = _search(t, h, ends, order, pick, False), _search(t, h, ends, order, pick, True)
-    count = (high - low)[t.group]
-    window = np.repeat(np.arange(len(t.starts)), count)
-    first = np.repeat(np.cumsum(count) - count, count)
-    at = order[np.repeat(low[t.group], count) + np.arange(len(window)) - first]
-    length = t.sizes[window].copy()
-    rest = np.arange(len(window))
-    while len(rest):
-        q, p = t.starts[window[rest]] + length[rest], at[rest] + length[rest]
-        ok = (q < t.stops[window[rest]]) & (p < ends[at[rest]])
-        rest, q, p = rest[ok], q[ok], p[ok]
-        rest = rest[t.words[q] == h[p]]
-        length[rest] += 1
-    return Found(window, at, length)
+        return Found(np.zeros(0, np.int64), np.zeros(0, np.int64))
+    low, high = _search(t, h, ends, order, t.first, False), _search(t, h, ends, order, t.first, True)
+    count = high - low
+    kind = np.repeat(np.arange(len(count)), count)
+    ahead = np.arange(len(kind)) - np.repeat(np.cumsum(count) - count, count)
+    return Found(kind, order[low[kind] + ahead])
+
+
+def _stretches(starts: np.ndarray, size: int, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(positions that ``size`` words from ``starts`` cover, in order; for each where its stretch ends, as an index of these)."""
+    edge = np.zeros(len(ends) + 1, np.int64)
+    np.add.at(edge, starts, 1)
+    np.add.at(edge, starts + size, -1)
+    at = np.flatnonzero(np.cumsum(edge)[:-1] > 0)
+    last = np.ones(len(at), bool)
+    last[:-1] = (at[1:] != at[:-1] + 1) | (ends[at[1:]] != ends[at[:-1]])
+    stops = np.flatnonzero(last) + 1
+    return at, stops[np.searchsorted(stops, np.arange(len(at)), "right")]
+
+
+def longest_runs(t: Tests, h: np.ndarray, ends: np.ndarray, doc: np.ndarray, found: Found, window: int) -> dict[int, tuple[int, int, int]]:
+    """By document: (words of the longest verbatim run, its word position, its item).
+
+    The first place in the document with so long a run, and the first item with it.
+    Time is that of sorting what is hit, not of the pairs of places.
+    """
+    best: dict[int, tuple[int, int, int]] = {}
+    sizes = t.sizes[t.first]
+    for size in np.unique(sizes[found.kind][sizes[found.kind] < window]):  # whole items
+        of = sizes[found.kind] == size
+        for at, k in sorted(zip(found.at[of].tolist(), found.kind[of].tolist(), strict=True)):
+            held = (int(size), at, int(t.item[t.first[k]]))
+            if best.get(int(doc[at]), (0,))[0] < size:
+                best[int(doc[at])] = held
+    full = sizes[found.kind] == window
+    if not full.any():
+        return best
+    d_at, d_stop = _stretches(np.unique(found.at[full]), window, ends)
+    known = np.zeros(len(t.first), bool)
+    known[found.kind[full]] = True
+    i_at, i_stop = _stretches(t.starts[known[t.kind]], window, t.ends)
+    split, joined = len(d_at), np.concatenate([h[d_at], t.words[i_at]])
+    stop = np.concatenate([d_stop, i_stop + split])
+    order = suffix_array(joined, stop, len(joined))
+    word, stop, order = joined.tolist(), stop.tolist(), order.tolist()
+    rank = [0] * len(order)
+    for r, i in enumerate(order):
+        rank[i] = r
+    # How many words a suffix has in common with the one before it in the order.
+    common, shared = [0] * len(order), 0
+    for i, r in enumerate(rank):
+        if i and stop[i - 1] != stop[i]:
+            shared = 0
+        if r == 0:
+            shared = 0
+            continue
+        j = order[r - 1]
+        most = min(stop[i] - i, stop[j] - j)
+        while shared < most and word[i + shared] == word[j + shared]:
+            shared += 1
+        common[r] = shared
+        shared = max(0, shared - 1)
+    # The nearest suffix of an item on either side.
+    run, near = [0] * split, 0
+    for r, i in enumerate(order):
+        near = min(near, common[r])
+        if i >= split:
+            near = len(order)
+        else:
+            run[i] = near
+    near = 0
+    for r in range(len(order) - 1, -1, -1):
+        i = order[r]
+        if i >= split:
+            near = len(order)
+        else:
+            run[i] = max(run[i], near)
+        near = min(near, common[r])
+    top: dict[int, tuple[int, int]] = {}
+    for i, d in enumerate(doc[d_at].tolist()):
+        if run[i] >= window and run[i] > top.get(d, (0, 0))[0]:
+            top[d] = (run[i], i)
+    for d, (size, i) in top.items():
+        # The suffixes with as many words in common are together in the order.
+        low = high = rank[i]
+        while common[low] >= size:
+            low -= 1
+        while high + 1 < len(order) and common[high + 1] >= size:
+            high += 1
+        place = min(j for j in order[low : high + 1] if j >= split) - split
+        item = int(t.item[np.searchsorted(t.starts, i_at[place], "right") - 1])
+        if best.get(d, (0,))[0] < size:
+            best[d] = (size, int(d_at[i]), item)
+    return best
 
 
 RESULT = pa.schema(
@@ -174,8 +267,11 @@ RESULT = pa.schema(
 )
 
 
-def judge(column: pa.Array, slices: Callable[[], Iterator[Tests]], window: int, shard_bytes: int) -> Iterator[tuple[int, pa.Table]]:
-    """(first row, results of the rows of a shard), shard by shard; ``slices`` starts the benchmark anew for each."""
+def judge(column: pa.Array, slices: Callable[[], Iterator[Tests]], window: int, shard_bytes: int, runs: bool = True) -> Iterator[tuple[int, pa.Table]]:
+    """(first row, results of the rows of a shard), shard by shard; ``slices`` starts the benchmark anew for each.
+
+    Without ``runs`` the longest runs are left out.
+    """
     for t in texts(column, shard_bytes):
         w = words(t, ALNUM)
         h = hashes(t.data, w.starts, w.ends)
@@ -188,18 +284,18 @@ def judge(column: pa.Array, slices: Callable[[], Iterator[Tests]], window: int,
         order = suffix_array(h, ends, window)
         for tests in slices():
             found = find(tests, h, ends, order)
-            if not len(found.window):
+            if not len(found.kind):
                 continue
             np.add.at(edge, found.at, 1)
-            np.add.at(edge, found.at + tests.sizes[found.window], -1)
-            for d, i in np.unique(np.stack([doc[found.at], tests.item[found.window]], 1), axis=0).tolist():
-                items[d].add(tests.ids[i])
-            by = np.lexsort((found.at, -found.length, doc[found.at]))
-            top, first = np.unique(doc[found.at][by], return_index=True)
-            for d, k in zip(top.tolist(), by[first].tolist(), strict=True):
-                at = found.at[k] - w.bounds[d]
-                if (found.length[k], -at) > (best[d], -best_at[d]):
-                    best[d], best_item[d], best_at[d] = found.length[k], tests.ids[tests.item[found.window[k]]], at
+            np.add.at(edge, found.at + tests.sizes[tests.first[found.kind]], -1)
+            for d, k in np.unique(np.stack([doc[found.at], tests.set_of[found.kind]], 1), axis=0).tolist():
+                items[d].update(tests.ids[i] for i in tests.set_items[tests.set_bounds[k] : tests.set_bounds[k + 1]])
+            if not runs:
+                continue
+            for d, (size, at, item) in longest_runs(tests, h, ends, doc, found, window).items():
+                at -= w.bounds[d]
+                if (size, -at) > (best[d], -best_at[d]):
+                    best[d], best_item[d], best_at[d] = size, tests.ids[item], at
         hit = np.zeros(len(h) + 1, np.int64)
         np.cumsum(np.cumsum(edge)[:-1] > 0, out=hit[1:])
         n_hit = hit[w.bounds[1:]] - hit[w.bounds[:-1]]
@@ -306,7 +402,7 @@ def drop_contaminated(
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in lean(batches):
             bad = np.zeros(batch.num_rows, bool)
-            for first, found in judge(batch.column(place), lambda: in_turn(slices), window, shard_bytes):
+            for first, found in judge(batch.column(place), lambda: in_turn(slices), window, shard_bytes, runs=False):
                 n_words, n_hit = (found.column(k).to_numpy() for k in ("n_words", "n_hit"))
                 bad[first : first + found.num_rows] = (n_hit > 0) & (whole * n_hit >= part * n_words)
             yield batch.filter(pa.array(~bad))

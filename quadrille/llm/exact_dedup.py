@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quadrille.llm._marks import marks, with_mark
-from quadrille.llm._store import Scratch
+from quadrille.llm._store import Scratch, plainly_named
 
 SPACES = r"[\x20\x09-\x0D]+"
 
@@ -98,19 +98,22 @@ def drop_exact_duplicates(
 
     Same rules as :func:`mark_exact_duplicates`: null texts count as empty, null
     ids sort last, and rows equal in id and text leave exactly one row, whatever
-    their other columns hold.  Texts of any length are compared whole.
+    their other columns hold, and whatever their names.  Texts of any length are
+    compared whole.
 
     Rows whose id no dropped row has pass without a shuffle, by a filter of
     fixed size; the losers of verified frequent digests go map-side; what is
     left meets the dropped pairs of id and digest in a join.
     """
+    names = docs.columns
+    id_col, text_col, docs = f"c{names.index(id_col)}", f"c{names.index(text_col)}", plainly_named(docs)
     marked, winners, scratch = _marked(docs, id_col, text_col, heavy_k, heavy_min, tracked)
     key = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     lost = marked.where("not kept").select(
         F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__lost"), F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("__again")
     )
     lost = scratch.save(lost, "lost")
-    own = [F.col(f"`{c}`") for c in docs.columns]
+    own = [F.col(c) for c in docs.columns]
     flagged = with_mark(docs, key(f"`{id_col}`"), marks(lost, key("__id")), "__maybe")
     sure = flagged.where("not __maybe").select(*own)
     rest = flagged.where("__maybe").withColumn("__digest", text_digest(F.col(f"`{text_col}`")))
@@ -124,4 +127,4 @@ def drop_exact_duplicates(
     rest = rest.withColumn("__own", pair("__digest", f"`{id_col}`")).join(pairs, F.col("__own") == F.col("__pair"), "left")
     nth = F.row_number().over(Window.partitionBy("__own").orderBy("__own"))
     rest = rest.withColumn("__nth", nth).where(F.col("__again").isNull() | (F.col("__again") & (F.col("__nth") == 1)))
-    return sure.unionByName(rest.select(*own))
+    return sure.unionByName(rest.select(*own)).toDF(*names)

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from quadrille.llm._bytes import NOT_SPACE, chain, digest, hashes, texts, words
 from quadrille.llm._components import connected_components
 from quadrille.llm._marks import marks, with_mark
-from quadrille.llm._store import Scratch, lean
+from quadrille.llm._store import Scratch, lean, plainly_named
 
 #: Link when 100 * intersection >= 75 * union, that is 7 * intersection >= 3 * (sum of sizes).
 LEAST = (75, 100)
@@ -380,8 +380,11 @@ def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: s
     """The rows of ``docs`` with the smallest id of their component, with the columns of ``docs``.
 
     Cases as in :func:`link_components`: texts without words and rows without an
-    id all stay, and so do rows repeated with the id that stays.
+    id all stay, and so do rows repeated with the id that stays.  Other columns may
+    have any names.
     """
+    names = docs.columns
+    id_col, text_col, docs = f"c{names.index(id_col)}", f"c{names.index(text_col)}", plainly_named(docs)
     gone = (
         link_components(docs, id_col=id_col, text_col=text_col)
         .where("component_id <> doc_id")
@@ -392,4 +395,4 @@ def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: s
     # Rows whose id surely isn't among them pass without a shuffle.
     flagged = with_mark(docs, F.col(f"`{id_col}`").cast("long"), marks(gone, F.col("__gone")), "__maybe")
     rest = flagged.where("__maybe").join(gone, F.col(f"`{id_col}`") == F.col("__gone"), "left_anti")
-    return flagged.where("not __maybe").unionByName(rest).drop("__maybe")
+    return flagged.where("not __maybe").unionByName(rest).drop("__maybe").toDF(*names)

@@ -17,12 +17,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quadrille.llm._bytes import ASCII_LOWER, PAD, Texts, eights, texts
-from quadrille.llm._sampling import sample_by
+from quadrille.llm._sampling import LONGEST_SAMPLED, sample_by
 from quadrille.llm._store import Scratch, lean
 
 SIZES = (4, 5, 6)
 #: Bounds of the fitting sample, for each label, and of the model.
 SAMPLE_ROWS, SAMPLE_BYTES, FEATURES = 2500, 8 << 20, 1024
+#: Characters of a text over LONGEST_SAMPLED bytes that are learned from.
+LONG_PIECE = 1 << 16
 _BUCKETS = 20
 _KEY = np.uint64(0x9E3779B97F4A7C15)
 
@@ -202,15 +204,18 @@ def fit_on(docs: DataFrame, labels: DataFrame, *, rows: int = SAMPLE_ROWS, size:
 
     For each label at most ``rows`` texts and ``size`` bytes are expected, by
     the hash of the id.  Null labels are left out; of several labels for one id
-    the greatest holds.  Without both labels in the sample, the model is the
-    prior alone.
+    the greatest holds.  Of texts over LONGEST_SAMPLED bytes the middle LONG_PIECE
+    characters are learned from.  Without both labels in the sample, the model is
+    the prior alone.
     """
     marks = labels.where(F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     totals = {r["toxic"]: r["n"] for r in marks.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     share = F.coalesce(*[F.when(F.col("toxic") == k, F.lit(int(min(1.0, rows / n) * 2**31))) for k, n in totals.items()], F.lit(0))
     # About ``rows`` ids for each label: a broadcast of fixed size.
     marks = marks.where(F.pmod(F.xxhash64("doc_id", F.lit(29)), F.lit(2**31)) < share)
+    middle = F.substring("text", F.greatest(F.lit(1), F.floor((F.char_length("text") - LONG_PIECE) / 2).cast("int")), F.lit(LONG_PIECE))
     known = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(marks), "doc_id")
+    known = known.withColumn("text", F.when(F.octet_length("text") > LONGEST_SAMPLED, middle).otherwise(F.col("text")))
     known = Scratch(docs.sparkSession, "toxicity").save(known, "sample")
     sample, _ = sample_by(known, "toxic", rows, size)
     picked = sample.select(F.xxhash64("doc_id", F.lit(17)).alias("h"), "text", "toxic").toArrow()

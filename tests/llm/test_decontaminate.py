@@ -77,3 +77,46 @@ def test_suffix_array_is_sorted():
     order = suffix_array(h, ends, 200)
     suffixes = [tuple(h[i : ends[i]].tolist()) for i in order]
     assert suffixes == sorted(suffixes) and sorted(order) == list(range(200))
+
+
+def brute_longest(text, items):
+    """(words, place, item) of the longest run: first in the document, then in the benchmark."""
+    w, best = words(text), (0, None, None)
+    for p in range(len(w)):
+        for item_id, item in items:
+            iw = words(item)
+            size = min(13, len(iw))
+            for s in range(max(1, len(iw) - 12) if iw else 0):
+                n = 0
+                while p + n < len(w) and s + n < len(iw) and w[p + n] == iw[s + n]:
+                    n += 1
+                if n >= size and n > best[0]:
+                    best = (n, p, str(item_id))
+    return best
+
+
+def test_repeating_texts_against_brute_force(spark):
+    draw = random.Random(5)
+    items = [(0, "x " * 40), (1, "x y " * 20), (2, "x " * 15 + "z"), (3, "x"), (4, "y x " * 9 + "y y"), (5, "x " * 40), (6, "z " * 5)]
+    texts = ["x " * 100, "x y " * 40, "a " + "x " * 60 + "z z z z z z", "y " + "x " * 14 + "z", "x " * 12, "z " * 4 + "x", "q"]
+    texts += [" ".join(draw.choice("xxxxxyz") for _ in range(60)) for _ in range(15)] + [" ".join([draw.choice(["x", "x y", "x x z"]) * 3] * 6) for _ in range(6)]
+    docs = documents(spark, [(i, t, *rows()[0][2:]) for i, t in enumerate(texts)])
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    for options in ({}, {"slice_words": 30, "shard_bytes": 100}):
+        for r in find_overlaps(docs, bench, **options).collect():
+            text = texts[r["doc_id"]]
+            assert (r["n_words"], r["n_hit"], r["items"], r["longest"]) == brute(text, items), text
+            size, place, item = brute_longest(text, items)
+            assert (r["longest"], r["longest_at"], r["longest_item"]) == (size, -1 if place is None else place, item), text
+
+
+def test_many_equal_words_take_time_in_proportion(spark):
+    import time
+
+    docs = documents(spark, [(i, "word " * 100_000, *rows()[0][2:]) for i in range(3)])
+    bench = spark.createDataFrame([(i, "word " * 1_000) for i in range(5)], "item_id bigint, text string")
+    began = time.perf_counter()
+    found = find_overlaps(docs, bench).collect()
+    assert time.perf_counter() - began < 60
+    assert {(r["n_hit"], r["longest"], r["longest_at"], r["longest_item"], len(r["items"])) for r in found} == {(100_000, 1_000, 0, "0", 5)}
+    assert drop_contaminated(docs, bench).count() == 0

@@ -53,3 +53,18 @@ def test_awkward_and_empty_documents(spark, sf_dir, name):
         assert out.columns == docs.columns
     assert 0 < out.count() <= len(rows())
     assert stage(spark, docs.where(F.lit(False)), sf_dir).count() == 0
+
+
+INNER = "__maybe __at __again __won __nth __digest __own __gone __lost __id __word __bit __part __pair __best __source doc row sha c0 c1 text_hi grp".split()
+
+
+@pytest.mark.parametrize("stage", [s for s in corpus_pipeline.STAGES if s[0] != "mix"], ids=lambda s: s[0])
+def test_stages_keep_columns_of_any_name(spark, sf_dir, stage):
+    given = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60)
+    docs = given.select(*[F.concat(F.lit(f"{n}-"), F.col("doc_id").cast("string")).alias(n) for n in INNER], "*")
+    plain = {r["doc_id"] for r in stage[1](spark, given, sf_dir).collect()}
+    out = stage[1](spark, docs, sf_dir)
+    assert out.columns == docs.columns
+    found = out.collect()
+    assert {r["doc_id"] for r in found} == plain and len(found) == len(plain)
+    assert all(r[n] == f"{n}-{r['doc_id']}" for r in found for n in INNER)

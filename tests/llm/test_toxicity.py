@@ -6,6 +6,7 @@ import pyarrow as pa
 import pytest
 from corpus import SCHEMA, documents, rows
 
+from quadrille.llm import toxicity
 from quadrille.llm.toxicity import SIZES, drop_toxic, fit, fit_on, score_toxicity, scores
 
 
@@ -93,3 +94,13 @@ def test_fit_against_plain_newton():
         beta -= 0.5 * np.linalg.solve((x * (w * mu * (1 - mu))[:, None]).T @ x + np.diag(penalty), slope)
     assert model.bias == pytest.approx(beta[-1], abs=0.02)
     assert model.weights == pytest.approx(beta[:-1] * ratio, abs=0.02)
+
+
+def test_labels_of_long_texts_alone_are_learned(spark):
+    good, bad = "calm and kind words here " * 45_000, "vile hateful filth there " * 45_000
+    docs = spark.createDataFrame([(i, good if i % 2 else bad) for i in range(6)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, (i + 1) % 2) for i in range(6)], "doc_id bigint, toxic int")
+    model = toxicity.fit_on(docs, labels)
+    asked = spark.createDataFrame([(1, "kind words, calm words"), (2, "hateful filth, vile")], "doc_id bigint, text string")
+    found = {r["doc_id"]: r["score"] for r in toxicity.score_toxicity(asked, model).collect()}
+    assert found[1] < 0.5 < found[2]
