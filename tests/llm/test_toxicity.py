@@ -98,8 +98,8 @@ def test_fit_against_plain_newton():
 
 def test_labels_of_long_texts_alone_are_learned(spark):
     good, bad = "calm and kind words here " * 45_000, "vile hateful filth there " * 45_000
-    docs = spark.createDataFrame([(i, good if i % 2 else bad) for i in range(6)], "doc_id bigint, text string")
-    labels = spark.createDataFrame([(i, (i + 1) % 2) for i in range(6)], "doc_id bigint, toxic int")
+    docs = spark.createDataFrame([(i, good if i % 2 else bad) for i in range(16)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, (i + 1) % 2) for i in range(16)], "doc_id bigint, toxic int")
     model = toxicity.fit_on(docs, labels)
     asked = spark.createDataFrame([(1, "kind words, calm words"), (2, "hateful filth, vile")], "doc_id bigint, text string")
     found = {r["doc_id"]: r["score"] for r in toxicity.score_toxicity(asked, model).collect()}
