@@ -229,6 +229,15 @@ def borders(edges: DataFrame, key: list[str], written: Written, tile: float) ->
     return kept.select(*key, *ends)
 
 
+def _doubled(links: DataFrame, reach: int) -> DataFrame:
+    """Links (id, to, ring, ahead) that know the next ``reach`` edges, of twice as many."""
+    then = links.select(F.col("id").alias("to"), F.col("to").alias("to2"), F.col("ring").alias("ring2"), F.col("ahead").alias("ahead2"))
+    less = F.col("ring2") < F.col("ring")
+    return links.join(then, "to").select(
+        "id", F.col("to2").alias("to"), F.least("ring", "ring2").alias("ring"), F.when(less, F.col("ahead2") + F.lit(reach)).otherwise(F.col("ahead")).alias("ahead"), less.alias("new")
+    )
+
+
 def rings_of(edges: DataFrame, key: list[str], written: Written) -> DataFrame:
     """(key, ends, ring, seq): directed edges by the ring that they are on and their place there.
 
@@ -247,14 +256,10 @@ def rings_of(edges: DataFrame, key: list[str], written: Written) -> DataFrame:
     # Doubling: the least edge number among the next 2, 4, 8 .. edges, and how far ahead it is.
     now, turn = written.save(links.select(F.col("from").alias("id"), "to", F.col("from").alias("ring"), F.lit(0).cast("long").alias("ahead"), F.lit(True).alias("new")), "links-0"), 0
     while not now.where("new").isEmpty():
-        then = now.select(F.col("id").alias("to"), F.col("to").alias("to2"), F.col("ring").alias("ring2"), F.col("ahead").alias("ahead2"))
-        less = F.col("ring2") < F.col("ring")
-        both = now.join(then, "to").select(
-            "id", F.col("to2").alias("to"), F.least("ring", "ring2").alias("ring"), F.when(less, F.col("ahead2") + F.lit(1 << turn)).otherwise(F.col("ahead")).alias("ahead"), less.alias("new")
-        )
+        # Twice between writings; the state stands when the second changes nothing.
+        now = written.save(_doubled(_doubled(now, 1 << 2 * turn), 2 << 2 * turn), f"links-{turn + 1}")
+        written.drop(f"links-{turn}")
         turn += 1
-        now = written.save(both, f"links-{turn}")
-        written.drop(f"links-{turn - 1}")
     sizes = now.groupBy("ring").agg(F.count("*").alias("n"))
     placed = now.join(sizes, "ring").select("id", "ring", ((F.col("n") - F.col("ahead")) % F.col("n")).alias("seq"))
     return edges.join(placed, "id").drop("id")

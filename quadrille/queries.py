@@ -22,12 +22,14 @@ from quadrille.plans import grids
 from quadrille.sources.geojson import (
     feature_collection,
     feature_json,
+    joined_collection,
     lines_of,
     polygon_edges,
     polygons_of,
     read_boundary,
     read_centerlines,
     read_published,
+    write_collection,
 )
 from quadrille.sources.shared import new_path
 from quadrille.sources.tables import flat_grid, read_grid_csv, write_grid_csv
@@ -518,7 +520,8 @@ def geojson_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A whole collection, written as a published version and read again: features in order, and the head."""
     cells = feature_json(inputs.seen(grids.regular_grid(spark, dialect=SIMPLE), sf_dir), ["chi_id", "name", "label"])
     root = new_path(spark, "published")
-    feature_collection(cells, {"cell_miles": 1}).select(F.col("json").alias("value")).write.text(f"{root}/v1/grid.geojson")
+    write_collection(cells, {"cell_miles": 1}, f"{root}/parts")
+    joined_collection(spark, f"{root}/parts", f"{root}/v1/grid.geojson")
     held = F.col("properties")
     return read_published(spark, root, "v1").select("seq", *[held[k].alias(k) for k in ("chi_id", "name", "label")], F.size(polygons_of(F.col("geometry"))).cast("long").alias("polygons"))
 

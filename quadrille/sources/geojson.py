@@ -8,7 +8,7 @@ large one once with :func:`to_lines` and read the lines afterwards.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quadrille.functions.geometry import MULTIPOLYGON, POLYGON, RING
@@ -110,3 +110,44 @@ def feature_collection(features: DataFrame, properties: dict) -> DataFrame:
         F.lit("]}"),
     )
     return rows.select(text.alias("json"))
+
+
+def write_collection(features: DataFrame, properties: dict, path: str) -> None:
+    """Writes the text of :func:`feature_collection` as part files which, in the order of their names, make up one document.
+
+    Features (chi_id, json) are sorted in ranges, so no task holds them all; the head
+    with their number and the tail are rows like others.  An existing folder is an
+    error; equal ids stay side by side.
+    """
+    import json
+
+    spark = features.sparkSession
+    whole = features.agg(F.count("*").alias("n"), F.min(F.struct("chi_id", "json")).alias("first")).first()
+    head = json.dumps(properties, ensure_ascii=False)[1:-1]
+    ends = [(0, "", f'{{"type":"FeatureCollection","properties":{{{head}{", " if head else ""}"count":{whole["n"]}}},"features":['), (3, "", "]}")]
+    # The first feature has no comma; of rows equal to it only one is the first.
+    is_first = F.lit(False)
+    if whole["n"]:
+        of = Window.partitionBy("chi_id", "json").orderBy("json")
+        known = F.struct("chi_id", "json") == F.struct(F.lit(whole["first"]["chi_id"]).alias("chi_id"), F.lit(whole["first"]["json"]).alias("json"))
+        is_first = known & (F.row_number().over(of) == 1)
+    rows = features.select("chi_id", "json", is_first.alias("lead"))
+    rows = rows.select(F.when(F.col("lead"), 1).otherwise(2).alias("part"), "chi_id", F.concat(F.when(F.col("lead"), "").otherwise(","), "json").alias("value"))
+    lines = spark.createDataFrame(ends, "part int, chi_id string, value string").unionByName(rows)
+    lines.repartitionByRange("part", "chi_id", "value").sortWithinPartitions("part", "chi_id", "value").select("value").write.text(path)
+
+
+def joined_collection(spark: SparkSession, path: str, to: str) -> None:
+    """One file ``to`` of the part files in ``path``, in order; bytes are streamed from file to file, none are kept."""
+    hadoop, conf = spark._jvm.org.apache.hadoop, spark._jsc.hadoopConfiguration()
+    source, target = hadoop.fs.Path(path), hadoop.fs.Path(to)
+    fs, out_fs = source.getFileSystem(conf), target.getFileSystem(conf)
+    parts = sorted(str(s.getPath()) for s in fs.listStatus(source) if s.getPath().getName().startswith("part-"))
+    out = out_fs.create(target, False)
+    try:
+        for part in parts:
+            stream = fs.open(hadoop.fs.Path(part))
+            hadoop.io.IOUtils.copyBytes(stream, out, conf, False)
+            stream.close()
+    finally:
+        out.close()

@@ -325,3 +325,14 @@ def test_command_line(spark, tmp_path, capsys):
     inner = [f["properties"] for f in found["features"] if not f["properties"]["edge"]]
     assert len(inner) > 30 and all(abs(p["area_sqmi"] - 1) < 0.01 and not p["flag"] for p in inner)
     assert {p["chi_id"]: p["label_canon"] for p in inner}["5S3W"] == "Dam43"
+
+
+def test_collection_in_parts_is_the_same_document(spark, tmp_path):
+    import json
+
+    features = spark.createDataFrame([(f"{i:03d}", f'{{"id": "{i:03d}"}}') for i in [*range(200), 0, 0, 7]], "chi_id string, json string").repartition(5)
+    for name, given in (("some", features), ("none", features.limit(0))):
+        geojson.write_collection(given, {"cell_miles": 1}, str(tmp_path / name / "parts"))
+        geojson.joined_collection(spark, str(tmp_path / name / "parts"), str(tmp_path / name / "grid.json"))
+        found = json.loads((tmp_path / name / "grid.json").read_text())
+        assert found == json.loads(geojson.feature_collection(given, {"cell_miles": 1}).first()["json"])
