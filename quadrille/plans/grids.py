@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadrille.constants import CLOSE_DEGREES, DEFAULT_EXTENT, EXTEND
+from quadrille.constants import DEFAULT_EXTENT, EXTEND
 from quadrille.functions.coords import cell_id, center_out, ordinate
 from quadrille.operators import lines, overlay, roads
 from quadrille.operators.arrangement import dissolved
@@ -54,12 +54,12 @@ def street_lines(centerlines: DataFrame, extend: int = EXTEND) -> DataFrame:
     return lines.extend_lines(fitted, extend)
 
 
-def street_grid(boundary: DataFrame, centerlines: DataFrame, extend: int = EXTEND, close: float = CLOSE_DEGREES) -> DataFrame:
+def street_grid(boundary: DataFrame, centerlines: DataFrame, extend: int = EXTEND, close: float = 0.0) -> DataFrame:
     """Cells bounded by the lines of real roads, clipped to a boundary (part, polygon).
 
-    Parts of the boundary that adjoin or overlap are one; gaps, inlets and holes
-    narrower than twice ``close`` are closed, and other holes filled.  With 0 only
-    seams are closed, and the outline keeps its corners.
+    Parts of the boundary that adjoin or overlap are one, seams are closed, and
+    holes filled.  With ``close`` (the published method has CLOSE_DEGREES) gaps, inlets
+    and holes narrower than twice that are closed first, which rounds inner corners.
     """
     outlines = overlay.outline_parts(boundary, close=close)
     cells = overlay.merge_faces(overlay.overlay_faces(outlines, street_lines(centerlines, extend)))

@@ -336,3 +336,13 @@ def test_collection_in_parts_is_the_same_document(spark, tmp_path):
         geojson.joined_collection(spark, str(tmp_path / name / "parts"), str(tmp_path / name / "grid.json"))
         found = json.loads((tmp_path / name / "grid.json").read_text())
         assert found == json.loads(geojson.feature_collection(given, {"cell_miles": 1}).first()["json"])
+
+
+def test_closed_street_grid_has_no_seams(spark, sf_dir):
+    # Two parts with a gap of 0.001 degrees: one outline, and the gap's area is in the cells.
+    west = [[-87.86, 41.70], [-87.7234, 41.70], [-87.7234, 42.00], [-87.86, 42.00], [-87.86, 41.70]]
+    east = [[-87.7224, 41.70], [-87.56, 41.70], [-87.56, 42.00], [-87.7224, 42.00], [-87.7224, 41.70]]
+    given = spark.createDataFrame([(0, [west]), (1, [east])], "part bigint, polygon array<array<array<double>>>")
+    areas = [grids.street_grid(given, inputs.centerlines(spark, sf_dir), close=c).agg(F.sum("area")).first()[0] for c in (0.0, 0.0006)]
+    assert areas[0] == pytest.approx(0.299 * 0.3, rel=1e-6)
+    assert areas[1] == pytest.approx(0.3 * 0.3, rel=1e-4)
