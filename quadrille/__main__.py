@@ -28,7 +28,7 @@ def collection(spark: SparkSession, args: argparse.Namespace) -> tuple[DataFrame
         cells = grids.regular_grid(spark, edges, dialect="simple")
         head = {"system": "square mile grid", "origin": "State & Madison", "cell_miles": 1}
         return geojson.feature_collection(geojson.feature_json(cells, REGULAR), head), cells
-    cells = grids.street_grid(geojson.read_boundary(spark, args.boundary), geojson.read_centerlines(spark, args.centerlines), close=CLOSE_DEGREES)
+    cells = grids.street_grid(geojson.read_boundary(spark, args.boundary), geojson.read_centerlines(spark, args.centerlines), close=CLOSE_DEGREES, dissolve=True)
     head = {"system": "square mile grid", "origin": "State & Madison", "aligned": "mile_roads", "edges": "straight_fit"}
     return geojson.feature_collection(geojson.feature_json(cells, STREETS, "MultiPolygon"), head), cells
 

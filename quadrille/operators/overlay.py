@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from quadrille.constants import AREA_TOLERANCE, MILE_LAT, MILE_LON
 from quadrille.functions.coords import cell_id, center_out, ordinate
-from quadrille.functions.geometry import MULTIPOLYGON, bounds, ring_area, square_miles
-from quadrille.operators.arrangement import closed, dissolved_edges, snapped
+from quadrille.functions.geometry import MULTIPOLYGON, bounds, polygon_area, ring_area, square_miles
+from quadrille.operators.arrangement import closed, dissolved, dissolved_edges, snapped
 from quadrille.operators.lines import EW, NS
 from quadrille.sources.geojson import polygon_edges
 
@@ -205,6 +205,18 @@ def merge_faces(faces: DataFrame) -> DataFrame:
     )
 
 
+def dissolve_faces(faces: DataFrame) -> DataFrame:
+    """(chi_ordinate, geometry): the faces of each ordinate as one shape, without the lines between them.
+
+    Faces that share a border become one part; parts that touch in a point, or not at
+    all, are parts of one multipolygon, largest first.
+    """
+    keyed = faces.select(ordinate(F.col("lat"), F.col("lon")).alias("chi_ordinate"), F.xxhash64("part", "strip", "lon", "lat").alias("owner"), F.array("ring").alias("polygon"))
+    parts = dissolved(keyed, ["chi_ordinate"]).select("chi_ordinate", polygon_area(F.col("polygon")).alias("size"), "polygon")
+    sorted_parts = F.sort_array(F.collect_list(F.struct("size", "polygon")), asc=False)
+    return parts.groupBy("chi_ordinate").agg(F.transform(sorted_parts, lambda p: p["polygon"]).alias("geometry"))
+
+
 def area_flags(cells: DataFrame, edge_degrees: float = EDGE_DEGREES) -> DataFrame:
     """Adds area_sqmi, edge (within reach of the outline) and flag (an inner cell whose area is off)."""
     lo, hi = AREA_TOLERANCE

@@ -460,6 +460,7 @@ SELECT CAST(block AS BIGINT) AS part, CAST(2 * (count(DISTINCT ks) + count(DISTI
     "overlay_convex": OVERLAY_CONVEX,
     "overlay_merged": f"""WITH {SEEN} SELECT 'χ:' || chi_id AS chi_ordinate, round({MO} * {ML}, 10) AS area,
   round(CASE WHEN ks % 2 = 0 THEN lat - 3 * {ML} / 8 ELSE lat - {ML} / 4 END, 6) AS lat, kw = 0 AS edge, false AS flag, CAST(2 AS BIGINT) AS parts FROM cells""",
+    "overlay_dissolved": f"""WITH {SEEN} SELECT 'χ:' || chi_id AS chi_ordinate, CAST(1 AS BIGINT) AS parts, CAST(7 AS BIGINT) AS vertices, round({MO} * {ML}, 8) AS area FROM cells""",
     "airport_labels": f"""WITH {_named("simple")}, {NATIONS}, own AS (SELECT * FROM edges WHERE n_nationkey % 5 = 2 OR n_nationkey = 13 OR n_nationkey = 76),
 boxes AS (SELECT *, {_BOX} FROM cells),
 met AS (

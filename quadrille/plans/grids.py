@@ -12,6 +12,7 @@ from quadrille.operators.arrangement import dissolved
 from quadrille.operators.lattice import clip_lattice, extent_of, lattice, with_rings
 from quadrille.operators.regions import label_regions
 from quadrille.sources.geojson import polygon_edges
+from quadrille.sources.shared import Written
 
 
 def regular_grid(
@@ -54,15 +55,21 @@ def street_lines(centerlines: DataFrame, extend: int = EXTEND) -> DataFrame:
     return lines.extend_lines(fitted, extend)
 
 
-def street_grid(boundary: DataFrame, centerlines: DataFrame, extend: int = EXTEND, close: float = 0.0) -> DataFrame:
+def street_grid(boundary: DataFrame, centerlines: DataFrame, extend: int = EXTEND, close: float = 0.0, dissolve: bool = False) -> DataFrame:
     """Cells bounded by the lines of real roads, clipped to a boundary (part, polygon).
 
     Parts of the boundary that adjoin or overlap are one, seams are closed, and
     holes filled.  With ``close`` (the published method has CLOSE_DEGREES) gaps, inlets
     and holes narrower than twice that are closed first, which rounds inner corners.
+    With ``dissolve`` a cell's geometry has no lines between its faces.
     """
     outlines = overlay.outline_parts(boundary, close=close)
-    cells = overlay.merge_faces(overlay.overlay_faces(outlines, street_lines(centerlines, extend)))
+    faces = overlay.overlay_faces(outlines, street_lines(centerlines, extend))
+    if dissolve:
+        faces = Written(faces.sparkSession, "faces").save(faces, "faces")
+    cells = overlay.merge_faces(faces)
+    if dissolve:
+        cells = cells.drop("geometry").join(overlay.dissolve_faces(faces), "chi_ordinate")
     cells = overlay.cell_attributes(overlay.area_flags(cells))
     named = roads.nearest_roads(cells, roads.road_records(roads.road_vertices(centerlines)))
     return roads.dual_names(cells, named)

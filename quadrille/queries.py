@@ -430,9 +430,8 @@ def overlay_convex(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flagged.select("strip", F.round("area", 10).alias("area"), "area_sqmi", "edge", "flag")
 
 
-@query
-def overlay_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Faces of lattice squares halved by a line in their middle, merged again by ordinate."""
+def _halves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faces: lattice squares halved by a line in their middle."""
     south = F.col("lat") - F.lit(C.MILE_LAT / 2)
     lower = F.when(F.col("ks") % 2 == 0, F.col("lat") - F.lit(C.MILE_LAT / 4)).otherwise(F.col("lat"))
     halves = F.explode(F.array(F.struct(south.alias("s"), lower.alias("n")), F.struct(lower.alias("s"), (south + F.lit(C.MILE_LAT)).alias("n"))))
@@ -440,7 +439,7 @@ def overlay_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = _seen_cells(spark, sf_dir).select("ks", "kw", w.alias("w"), e.alias("e"), halves.alias("h")).select("*", "h.*")
     corner = lambda x, y: F.array(F.col(x), F.col(y))
     ring = F.array(corner("w", "s"), corner("e", "s"), corner("e", "n"), corner("w", "n"), corner("w", "s"))
-    faces = cut.select(
+    return cut.select(
         F.lit(0).cast("long").alias("part"),
         F.lit(0).alias("strip"),
         ((F.col("w") + F.col("e")) / 2).alias("lon"),
@@ -449,10 +448,23 @@ def overlay_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("kw") == 0, F.lit(0.0)).otherwise(F.lit(1.0)).alias("near"),
         ring.alias("ring"),
     )
-    merged = overlay.area_flags(overlay.merge_faces(faces))
+
+
+@query
+def overlay_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Halves of lattice squares, merged again by ordinate."""
+    merged = overlay.area_flags(overlay.merge_faces(_halves(spark, sf_dir)))
     return merged.select("chi_ordinate", F.round("area", 10).alias("area"), F.round("lat", 6).alias("lat"), "edge", "flag", F.size("geometry").cast("long").alias("parts"))
 
 
+@query
+def overlay_dissolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Halves of lattice squares, as one shape without the line between them."""
+    found = overlay.dissolve_faces(_halves(spark, sf_dir))
+    whole = F.get("geometry", F.lit(0))
+    return found.select("chi_ordinate", F.size("geometry").cast("long").alias("parts"), F.size(F.get(whole, F.lit(0))).cast("long").alias("vertices"), F.round(polygon_area(whole), 8).alias("area"))
+
+
 @query
 def dissolved_outline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The outline of every cell that meets a nation."""
