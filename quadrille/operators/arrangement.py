@@ -333,12 +333,8 @@ def polygonized(lines: DataFrame, key: list[str], *, grid: float = GRID, tile: f
     return nested(rings, key, written, step, grid, False)
 
 
-def meeting(first: DataFrame, second: DataFrame, grid: float = GRID, tile: float = TILE) -> DataFrame:
-    """(a, b): pairs of polygons (a, polygon) and (b, polygon) that have a point in common; borders count.
-
-    Either their borders meet, which edges tell that share a tile, or one lies within
-    the other, which a vertex of it tells.  Each pair is returned once.
-    """
+def _touching(first: DataFrame, second: DataFrame, grid: float, tile: float) -> DataFrame:
+    """(a, b), perhaps more than once: polygons whose borders have a point in common."""
     step = tile / grid
     one, two = (segments(p.select(c, "polygon"), grid) for p, c in ((first, "a"), (second, "b")))
     other = [F.col(c).alias(f"{c}2") for c in ENDS]
@@ -352,7 +348,33 @@ def meeting(first: DataFrame, second: DataFrame, grid: float = GRID, tile: float
         side("ax2", "ay2", "bx2", "by2", "ax", "ay") * side("ax2", "ay2", "bx2", "by2", "bx", "by") <= 0
     )
     boxes = [F.greatest(f"a{c}", f"b{c}") >= F.least(f"a{c}2", f"b{c}2") for c in "xy"] + [F.greatest(f"a{c}2", f"b{c}2") >= F.least(f"a{c}", f"b{c}") for c in "xy"]
-    crossing = pairs.where(across & boxes[0] & boxes[1] & boxes[2] & boxes[3]).select("a", "b")
+    return pairs.where(across & boxes[0] & boxes[1] & boxes[2] & boxes[3]).select("a", "b")
+
+
+def lying_within(first: DataFrame, second: DataFrame, margin: float = 1e-6, grid: float = GRID, tile: float = TILE) -> DataFrame:
+    """(a): the polygons (a, polygon) that, shrunk by ``margin``, lie within the union of polygons (polygon).
+
+    One that touches the union's border from within lies within; one that passes it by
+    more than the margin, or touches it from outside, does not, and neither does one of
+    which nothing is left.
+    """
+    whole = dissolved(second.select(F.lit(0).alias("b"), F.monotonically_increasing_id().alias("owner"), "polygon"), ["b"], grid=grid, tile=tile)
+    whole = Written(first.sparkSession, "within").save(whole.select("b", "polygon"), "whole")
+    inner = offset(repaired(first.select("a", "polygon"), ["a"], grid=grid, tile=tile).drop("part"), ["a"], -margin, grid=grid, tile=tile)
+    inner = Written(first.sparkSession, "within").save(inner, "inner")
+    vertex = F.get(F.get("polygon", 0), 0)
+    inside = covering(inner.select("a", "part", vertex[0].alias("x"), vertex[1].alias("y")), whole, ["b"], grid, tile).select("a", "part").distinct()
+    parts = inner.groupBy("a").agg(F.count("*").alias("n")).join(inside.groupBy("a").agg(F.count("*").alias("n_inside")), "a")
+    return parts.where("n = n_inside").select("a").join(_touching(inner, whole, grid, tile).select("a").distinct(), "a", "left_anti")
+
+
+def meeting(first: DataFrame, second: DataFrame, grid: float = GRID, tile: float = TILE) -> DataFrame:
+    """(a, b): pairs of polygons (a, polygon) and (b, polygon) that have a point in common; borders count.
+
+    Either their borders meet, which edges tell that share a tile, or one lies within
+    the other, which a vertex of it tells.  Each pair is returned once.
+    """
+    crossing = _touching(first, second, grid, tile)
     vertex = lambda p, c: p.select(c, F.get(F.get("polygon", 0), 0).alias("v")).where("v IS NOT NULL").select(c, F.col("v")[0].alias("x"), F.col("v")[1].alias("y"))
     within = covering(vertex(first, "a"), second, ["b"], grid, tile).select("a", "b")
     around = covering(vertex(second, "b"), first, ["a"], grid, tile).select("a", "b")

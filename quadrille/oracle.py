@@ -536,4 +536,11 @@ within AS (
   SELECT a, b FROM (SELECT * FROM nv WHERE i = 1) AS p JOIN se ON (y1 > y) <> (y2 > y) AND x < x1 + (y - y1)::DOUBLE * (x2 - x1) / (y2 - y1) GROUP BY a, b HAVING count(*) % 2 = 1
 )
 SELECT a AS s_suppkey, b AS n_nationkey FROM crossing UNION SELECT a, b FROM within""",
+    "faces_within": """WITH b AS (
+  SELECT s_suppkey, s_suppkey * 7919 % 110 - 5 AS w, s_suppkey * 104729 % 160 - 5 AS s, s_suppkey % 5 * 2 + 5 AS wide, s_suppkey % 3 * 5 + 5 AS high FROM supplier
+),
+-- Blocks 0 and 1 of a row are one shape, and so are 3 and 4.
+runs AS (SELECT n_nationkey // 5 * 30 AS low, CASE WHEN n_nationkey % 5 < 2 THEN 0 ELSE 60 END AS west, min(n_nationkey % 5) * 20 AS first, (max(n_nationkey % 5) + 1) * 20 AS after
+  FROM nation WHERE n_nationkey % 5 <> 2 GROUP BY 1, 2)
+SELECT s_suppkey FROM b JOIN runs ON w >= first AND w + wide <= after AND s >= low AND s + high <= low + 20""",
 }

@@ -13,7 +13,7 @@ from quadrille.functions.coords import band, miles_south, miles_west
 from quadrille.functions.geometry import MULTIPOLYGON, bounds, outer_rings, polygon_area, ring_area, square_miles
 from quadrille.functions.names import FULL, SIMPLE, base_road_name, name_and_label, pretty_road_name, short_token
 from quadrille.operators import explore, lines, overlay, roads
-from quadrille.operators.arrangement import closed, covering, dissolved, meeting, polygonized, repaired
+from quadrille.operators.arrangement import closed, covering, dissolved, lying_within, meeting, polygonized, repaired
 from quadrille.operators.lattice import clip_lattice, extent_of, lattice, with_rings
 from quadrille.operators.locate import cover_index, locate
 from quadrille.operators.places import assign_places, category_counts, featured_places, summarise_places
@@ -715,3 +715,15 @@ def shapes_meeting(spark: SparkSession, sf_dir: str) -> DataFrame:
     notch = [(0, 0), (80_000, 0), (80_000, 70_000), (40_000, 30_000), (20_000, 70_000), (0, 50_000)]
     nations = inputs.table(spark, sf_dir, "nation").select(nation.alias("b"), F.array(_ring([(nx + dx, ny + dy) for dx, dy in notch])).alias("polygon"))
     return meeting(given, nations).select(F.col("a").alias("s_suppkey"), F.col("b").alias("n_nationkey"))
+
+
+@query
+def faces_within(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boxes of suppliers that lie within the blocks of nations, which adjoin in rows; some touch their outline, some a corner alone."""
+    key, nation = F.col("s_suppkey"), F.col("n_nationkey")
+    blocks = inputs.table(spark, sf_dir, "nation").where("n_nationkey % 5 <> 2").select(
+        F.array(_ring(_box(nation % 5 * 20_000 - 87_900_000, F.floor(nation / 5) * 30_000 + 41_700_000, 20_000, 20_000))).alias("polygon")
+    )
+    box = _box(key * 7919 % 110 * 1_000 - 87_905_000, key * 104729 % 160 * 1_000 + 41_695_000, key % 5 * 2_000 + 5_000, key % 3 * 5_000 + 5_000)
+    boxes = inputs.table(spark, sf_dir, "supplier").select(key.alias("a"), F.array(_ring(box)).alias("polygon"))
+    return lying_within(boxes, blocks).select(F.col("a").alias("s_suppkey"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -18,7 +20,9 @@ def shared_dir(spark: SparkSession) -> str:
         master = spark.sparkContext.master
         if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError("spark.checkpoint.dir is unset: on a cluster it must name a folder that all executors share")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="quadrille-"))
+        made = tempfile.mkdtemp(prefix="quadrille-")
+        atexit.register(shutil.rmtree, made, ignore_errors=True)
+        spark.sparkContext.setCheckpointDir(made)
         found = spark.sparkContext._jsc.sc().getCheckpointDir().get()
     return found.rstrip("/")
 

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quadrille.functions.geometry import polygon_area
-from quadrille.operators.arrangement import closed, covering, dissolved, meeting, offset, polygonized, repaired
+from quadrille.operators.arrangement import closed, covering, dissolved, lying_within, meeting, offset, polygonized, repaired
 from quadrille.operators.regions import label_shapes
 
 SCHEMA = "g bigint, owner bigint, polygon array<array<array<double>>>"
@@ -183,3 +183,16 @@ def test_regions_label_cells_of_any_shape(spark):
     found = {r.chi_id: r for r in label_shapes(cells, regions, shapes).collect()}
     assert found["9N17W"].name.startswith("Far-") and found["9N17W"].label == found["9N17W"].name
     assert found["8N16W"].name == "Named" and found["1N1W"].name == "Other-" + found["1N1W"].name.split("-")[1]
+
+
+def test_faces_within_a_city(spark):
+    city = frame(spark, [([box(0, 0, 0.1, 0.1)],), ([box(0.1, 0, 0.1, 0.1)],)], "polygon array<array<array<double>>>")
+    given = frame(spark, [
+        (1, [box(0.01, 0.01, 0.02, 0.02)]),  # inside
+        (2, [box(0.08, 0.05, 0.05, 0.05)]),  # over the seam, along the border
+        (3, [box(0.2, 0.1, 0.01, 0.01)]),  # outside, touches a corner alone
+        (4, [box(0.15, 0.05, 0.06, 0.01)]),  # sticks out
+        (5, [box(-0.0000005, 0.01, 0.01, 0.01)]),  # sticks out by less than the margin
+        (6, [box(0.01, 0.01, 0.01, 0.000001)]),  # nothing is left of it
+    ], "a bigint, polygon array<array<array<double>>>")
+    assert {r.a for r in lying_within(given, city).collect()} == {1, 2, 5}
