@@ -71,7 +71,6 @@ CORNER_Y = "4.165e1 + CAST((n_nationkey - n_nationkey % 5) AS DOUBLE) * 1.2e-2"
 
 #: A concave outline over the middle of the extent, open.
 CITY = [(-87.82, 41.72), (-87.61, 41.70), (-87.56, 41.79), (-87.66, 41.83), (-87.59, 41.93), (-87.70, 42.01), (-87.74, 41.90), (-87.86, 41.95)]
-BOX = (41.7001, 41.9003, -87.7503, -87.5804)
 #: Order, name, box (south, north, west, east), bands that begin rows and columns.
 REGIONS = [(1, "Loop", (41.871, 41.9001, -87.6601, -87.6001), 3, 4), (2, "Park", (41.8301, 41.8899, -87.9201, -87.6401), 9, 17)]
 
