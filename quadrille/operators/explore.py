@@ -9,6 +9,8 @@ from quadrille.constants import PREFIX
 from quadrille.functions.geometry import bounds
 
 WIDTH, PAD = 760, 8
+#: Characters of the longest grams of the search index, and keys that share a gram.
+GRAM, SALTS = 3, 16
 
 
 def map_frame(cells: DataFrame, width: int = WIDTH, pad: int = PAD) -> DataFrame:
@@ -57,6 +59,53 @@ def search(cells: DataFrame, query: str) -> DataFrame:
     return first.where("c is not null").select("c.*")
 
 
+def _grams(text: Column, size: int) -> Column:
+    """The runs of ``size`` characters in a text; none in a shorter or null one."""
+    runs = F.transform(F.sequence(F.lit(1), F.length(text) - F.lit(size - 1)), lambda i: F.substring(text, i, F.lit(size)))
+    return F.when(F.length(text) >= size, runs).otherwise(F.array().cast("array<string>"))
+
+
+def search_index(cells: DataFrame, salts: int = SALTS) -> DataFrame:
+    """(whole, gram, salt, chi_id): what :func:`search_all` looks up; worth writing once for many searches.
+
+    Runs of one to three characters of a cell's name and label, each once, and its
+    own ordinate whole.  The cells of a gram lie under ``salts`` keys, so that the
+    commonest is no one task's.
+    """
+    texts = [F.lower("name"), F.lower("label")]
+    grams = F.array_distinct(F.flatten(F.array(*[_grams(t, k) for t in texts for k in range(1, GRAM + 1)])))
+    own = F.replace(F.lower("chi_ordinate"), F.lit(PREFIX), F.lit(""))
+    filed = F.transform(grams, lambda g: F.struct(F.lit(False).alias("whole"), g.alias("gram")))
+    both = F.concat(filed, F.array(F.struct(F.lit(True).alias("whole"), own.alias("gram"))))
+    return cells.select(F.inline(both), F.pmod(F.xxhash64("chi_id"), F.lit(salts)).cast("int").alias("salt"), "chi_id")
+
+
+def search_all(cells: DataFrame, queries: DataFrame, index: DataFrame | None = None, salts: int = SALTS) -> DataFrame:
+    """(query, and the columns of ``cells``): what :func:`search` finds for each distinct query; no row without a hit.
+
+    Each query's rarest gram names the cells to look at, by equi-join with the
+    index, and these are checked in full.  Blank and null queries find nothing.
+    ``index`` is a :func:`search_index` of the cells with as many salts.
+    """
+    index = search_index(cells, salts) if index is None else index
+    q = F.lower(F.regexp_replace("query", r"(?U)^\s+|\s+$", ""))
+    asked = queries.select("query").distinct().withColumn("q", q).where("q <> ''")
+    runs = F.when(F.length("q") < GRAM, F.array("q")).otherwise(_grams(F.col("q"), GRAM))
+    wanted = asked.select("query", F.explode(F.array_distinct(runs)).alias("gram"))
+    sizes = index.where("not whole").join(wanted.select("gram").distinct(), "gram", "left_semi").groupBy("gram").agg(F.count("*").alias("n"))
+    # A gram that no cell has is the rarest.
+    rarest = wanted.join(sizes, "gram", "left").groupBy("query").agg(F.min_by("gram", F.struct(F.coalesce("n", F.lit(0)), "gram")).alias("gram"))
+    looked = rarest.select("query", F.lit(False).alias("whole"), "gram").unionByName(asked.select("query", F.lit(True).alias("whole"), F.col("q").alias("gram")))
+    looked = looked.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    near = looked.join(index, ["whole", "gram", "salt"]).select("query", "chi_id").distinct().join(asked, "query")
+    held = cells.select("chi_id", F.struct(*cells.columns).alias("cell"))
+    met = near.join(held, "chi_id")
+    own = F.replace(F.lower("cell.chi_ordinate"), F.lit(PREFIX), F.lit("")) == F.col("q")
+    holds = [F.contains(F.lower(f"cell.{c}"), F.col("q")) for c in ("name", "label")]
+    met = met.where(own | holds[0] | holds[1])
+    return met.groupBy("query").agg(F.min_by("cell", "chi_id").alias("cell")).select("query", "cell.*")
+
+
 def select_cell(cells: DataFrame, ord_: str) -> DataFrame:
     return cells.where(F.col("chi_ordinate") == ord_)
 

@@ -11,6 +11,9 @@ from quadrille.functions.names import band_roads, base_road_name, name_and_label
 
 AVENUE, STREET = "avenue", "street"
 CANONICAL, BROAD = 0, 1
+#: Degrees by which coordinates are counted on the way to a median; it changes the cost and no row.
+MEDIAN_STEP = 0.001
+_FIRST, _LAST = -(1 << 62), 1 << 62
 
 
 def road_vertices(centerlines: DataFrame, skip_classes: bool = True) -> DataFrame:
@@ -40,29 +43,45 @@ def road_spans(vertices: DataFrame) -> DataFrame:
     )
 
 
-def road_summary(vertices: DataFrame) -> DataFrame:
+def road_summary(vertices: DataFrame, step: float = MEDIAN_STEP) -> DataFrame:
     """:func:`road_spans` with med_lon and med_lat: of an even number, the upper of the middle two.
 
-    One shuffle by road.  Medians come from sorts within each road, which spill,
-    and not from arrays of a road's vertices.
+    Medians are selected, not sorted for: equal values of a road are counted ahead
+    of the shuffle, then counted by steps of ``step`` degrees; running sums over a
+    road's steps name the one with the middle, and only its values are ranked.  So a
+    road with most of all vertices is spread over tasks by its steps.  A null
+    coordinate comes first and NaN last; a null median means a null in the middle.
     """
-    road = Window.partitionBy("base")
-    ranked = vertices.select(
-        "*",
-        F.count("*").over(road).alias("__n"),
-        F.row_number().over(road.orderBy("lon")).alias("__lon"),
-        F.row_number().over(road.orderBy("lat")).alias("__lat"),
+    sides = F.array(*[F.struct(F.lit(a).alias("axis"), F.col(a).alias("v")) for a in ("lon", "lat")])
+    place = F.when(F.col("v").isNull(), F.lit(_FIRST)).when(F.isnan("v"), F.lit(_LAST)).otherwise(F.floor(F.col("v") / F.lit(step)))
+    values = (
+        vertices.select("base", "seq", F.inline(sides))
+        .withColumn("step", place.cast("long"))
+        .groupBy("base", "axis", "step", "v")
+        .agg(F.count("*").alias("n"), F.min("seq").alias("seq"))
     )
-    middle = F.expr("__n div 2 + 1")
-    return ranked.groupBy("base").agg(
+    side = Window.partitionBy("base", "axis")
+    before = F.coalesce(F.sum("n").over(side.orderBy("step").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    steps = values.groupBy("base", "axis", "step").agg(F.sum("n").alias("n"), F.min("seq").alias("seq"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    steps = steps.select(
+        "base",
+        "axis",
+        "step",
+        F.col("n").alias("inside"),
+        before.alias("before"),
+        F.sum("n").over(side).alias("total"),
+        *[f(c).over(side).alias(c) for f, c in ((F.min, "seq"), (F.min, "lo"), (F.max, "hi"))],
+    )
+    picked = steps.withColumn("middle", F.expr("total div 2 + 1")).where("before < middle and middle <= before + inside")
+    found = picked.join(values.drop("seq"), ["base", "axis", "step"])
+    upto = F.col("before") + F.sum("n").over(Window.partitionBy("base", "axis", "step").orderBy("v"))
+    found = found.withColumn("med", F.when(upto >= F.col("middle"), F.col("v")))
+    of = lambda f, c, axis: f(F.when(F.col("axis") == axis, F.col(c)))
+    return found.groupBy("base").agg(
         F.min("seq").alias("seq"),
-        F.count("*").alias("n"),
-        F.min("lat").alias("lat_lo"),
-        F.max("lat").alias("lat_hi"),
-        F.min("lon").alias("lon_lo"),
-        F.max("lon").alias("lon_hi"),
-        F.max(F.when(F.col("__lon") == middle, F.col("lon"))).alias("med_lon"),
-        F.max(F.when(F.col("__lat") == middle, F.col("lat"))).alias("med_lat"),
+        F.max("total").alias("n"),
+        *[of(f, c, axis).alias(f"{axis}_{c}") for axis in ("lat", "lon") for f, c in ((F.min, "lo"), (F.max, "hi"))],
+        *[of(F.min, "med", axis).alias(f"med_{axis}") for axis in ("lon", "lat")],
     )
 
 
@@ -127,14 +146,12 @@ def nearest_roads(
     """
     reach = max(name_miles, wide_miles)
     avenue = F.col("axis") == AVENUE
-    # One row per road: whether both axes have a canonical one is a property of them all.
-    everything = Window.partitionBy()
-    has = [F.max((F.col("tier") == CANONICAL) & (F.col("axis") == a)).over(everything) for a in (AVENUE, STREET)]
+    # Whether both axes have a canonical road: one row.
+    usable = records.where(F.col("tier") == CANONICAL).agg(F.count_distinct("axis").alias("axes")).where("axes = 2").select("axes")
     lo, hi = (F.col(c) + F.lit(sign * span_miles) * F.when(avenue, F.lit(C.MILE_LAT)).otherwise(F.lit(C.MILE_LON)) for c, sign in (("lo", -1), ("hi", 1)))
     row = lambda x: F.when(avenue, miles_south(x)).otherwise(miles_west(x))
     filed = (
-        records.withColumn("usable", has[0] & has[1])
-        .where("usable")
+        records.join(F.broadcast(usable), F.lit(True), "left_semi")
         .withColumn("lo", lo)
         .withColumn("hi", hi)
         .withColumn("row", F.explode(F.sequence(F.floor(row(F.col("hi")) - F.lit(1e-6)), F.floor(row(F.col("lo")) + F.lit(1e-6)))))

@@ -342,11 +342,8 @@ def ordinate_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def search_first_hit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cells, out = _seen_named(spark, sf_dir), None
-    for text in ("5S3W", " damen ", "43rd", "χ:2s", "Dam43", "no such cell", " "):
-        hit = explore.search(cells, text).select(F.lit(text).alias("query"), "chi_id")
-        out = hit if out is None else out.unionByName(hit)
-    return out
+    asked = spark.createDataFrame([(t,) for t in ("5S3W", " damen ", "43rd", "χ:2s", "Dam43", "no such cell", " ")], "query string")
+    return explore.search_all(_seen_named(spark, sf_dir), asked).select("query", "chi_id")
 
 
 @query

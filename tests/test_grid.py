@@ -1,4 +1,5 @@
 import json
+import math
 import random
 
 import numpy as np
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quadrille import constants as C
 from quadrille import inputs
-from quadrille.operators import lines, overlay, roads
+from quadrille.operators import explore, lines, overlay, roads
 from quadrille.operators.lattice import clip_lattice, extent_of, lattice, with_rings
 from quadrille.operators.locate import cover_index, locate
 from quadrille.operators.places import summarise_places
@@ -346,3 +347,57 @@ def test_closed_street_grid_has_no_seams(spark, sf_dir):
     areas = [grids.street_grid(given, inputs.centerlines(spark, sf_dir), close=c).agg(F.sum("area")).first()[0] for c in (0.0, 0.0006)]
     assert areas[0] == pytest.approx(0.299 * 0.3, rel=1e-6)
     assert areas[1] == pytest.approx(0.3 * 0.3, rel=1e-4)
+
+
+def test_medians_of_any_spread(spark):
+    """Upper medians by steps of any width: ties, nulls, NaN, even numbers, one road with most vertices."""
+    rng = random.Random(7)
+    nan = float("nan")
+    roads_of = {
+        "one": [(5.0, -3.0)],
+        "even": [(1.0, 4.0), (2.0, 3.0), (3.0, 2.0), (4.0, 1.0)],
+        "same": [(1.5, 2.5)] * 9,
+        "null": [(None, 1.0), (None, 2.0), (3.0, None)],
+        "nan": [(nan, 1.0), (nan, nan), (1.0, 3.0)],
+        "none": [(None, None)],
+        "hot": [(round(rng.gauss(-87.6, 0.05), 4), round(rng.choice([41.8, 41.9, rng.gauss(41.8, 0.1)]), 4)) for _ in range(3000)],
+    }
+    rows = [(b, i, x, y) for b, points in roads_of.items() for i, (x, y) in enumerate(points)]
+    vertices = spark.createDataFrame(rows, "base string, seq long, lon double, lat double").repartition(5)
+
+    def middle(values):
+        ordered = sorted(values, key=lambda v: (v is not None, v is not None and math.isnan(v), 0 if v is None or math.isnan(v) else v))
+        return ordered[len(ordered) // 2]
+
+    for step in (1e-5, 0.001, 0.37, 1000.0):
+        found = {r["base"]: r for r in roads.road_summary(vertices, step).collect()}
+        assert set(found) == set(roads_of)
+        for base, points in roads_of.items():
+            assert repr(found[base]["med_lon"]) == repr(middle([p[0] for p in points])), (step, base)
+            assert repr(found[base]["med_lat"]) == repr(middle([p[1] for p in points])), (step, base)
+            assert found[base]["n"] == len(points) and found[base]["seq"] == 0
+    spans = {r["base"]: r for r in roads.road_spans(vertices).collect()}
+    for base, r in found.items():
+        assert all(repr(r[c]) == repr(spans[base][c]) for c in spans[base].asDict())
+    assert roads.road_summary(vertices.limit(0)).collect() == []
+
+
+def test_search_by_index(spark):
+    """Searches of many queries find what one scan a query finds."""
+    rng = random.Random(3)
+    words = ["Damen", "Ashland", "43rd", "Oak", "Ave", "St", "É", "N", "ax"]
+    rows = [(f"{i}N{i % 3}W", f"χ:{i}N{i % 3}W", " & ".join(rng.choices(words, k=rng.randint(1, 3))), f"Lab {rng.choice(words)} χ") for i in range(60)]
+    rows += [("none", None, None, None), ("a-blank", "χ:", "", "")]
+    cells = spark.createDataFrame(rows, "chi_id string, chi_ordinate string, name string, label string")
+    asked = ["damen", " Damen\t", "43", "é", "&", "n & a", "7n1w", "χ:7n", "no such", "", "  ", "ave & ave", "lab", "aveave", "x"]
+    queries = spark.createDataFrame([(q,) for q in [*asked, "damen", None]], "query string")
+    want = {q: [r.asDict() for r in explore.search(cells, q).collect()] for q in asked}
+    for index in (None, explore.search_index(cells, 3)):
+        found = explore.search_all(cells, queries, index, explore.SALTS if index is None else 3)
+        assert found.columns == ["query", *cells.columns]
+        got = [r.asDict() for r in found.collect()]
+        assert len(got) == len({r["query"] for r in got})
+        held = {r.pop("query"): r for r in got}
+        assert {q: r for q, (r,) in ((q, w) for q, w in want.items() if w)} == held
+    assert explore.search_all(cells.limit(0), queries).collect() == []
+    assert explore.search_all(cells, queries.limit(0)).collect() == []
