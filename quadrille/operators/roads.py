@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quadrille import constants as C
 from quadrille.functions.coords import miles_south, miles_west, ordinate
 from quadrille.functions.names import band_roads, base_road_name, name_and_label, named, pretty_road_name
+from quadrille.sources.shared import Written
 
 AVENUE, STREET = "avenue", "street"
 CANONICAL, BROAD = 0, 1
@@ -46,34 +47,33 @@ def road_spans(vertices: DataFrame) -> DataFrame:
 def road_summary(vertices: DataFrame, step: float = MEDIAN_STEP) -> DataFrame:
     """:func:`road_spans` with med_lon and med_lat: of an even number, the upper of the middle two.
 
-    Medians are selected, not sorted for: equal values of a road are counted ahead
-    of the shuffle, then counted by steps of ``step`` degrees; running sums over a
-    road's steps name the one with the middle, and only its values are ranked.  So a
-    road with most of all vertices is spread over tasks by its steps.  A null
-    coordinate comes first and NaN last; a null median means a null in the middle.
+    Medians are selected, not sorted for: coordinates are counted by steps of
+    ``step`` degrees, ahead of the shuffle; running sums over a road's steps name the
+    one with the middle, which is written, one row a road and side, and only that
+    step's values are then counted and ranked.  So a road with most of all vertices
+    is no one task's.  A null coordinate comes first and NaN last; a null median
+    means a null in the middle.
     """
     sides = F.array(*[F.struct(F.lit(a).alias("axis"), F.col(a).alias("v")) for a in ("lon", "lat")])
     place = F.when(F.col("v").isNull(), F.lit(_FIRST)).when(F.isnan("v"), F.lit(_LAST)).otherwise(F.floor(F.col("v") / F.lit(step)))
-    values = (
-        vertices.select("base", "seq", F.inline(sides))
-        .withColumn("step", place.cast("long"))
-        .groupBy("base", "axis", "step", "v")
-        .agg(F.count("*").alias("n"), F.min("seq").alias("seq"))
-    )
+    values = vertices.select("base", "seq", F.inline(sides)).withColumn("step", place.cast("long"))
+    steps = values.groupBy("base", "axis", "step").agg(F.count("*").alias("inside"), F.min("seq").alias("seq"), F.min("v").alias("lo"), F.max("v").alias("hi"))
     side = Window.partitionBy("base", "axis")
-    before = F.coalesce(F.sum("n").over(side.orderBy("step").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    steps = values.groupBy("base", "axis", "step").agg(F.sum("n").alias("n"), F.min("seq").alias("seq"), F.min("v").alias("lo"), F.max("v").alias("hi"))
     steps = steps.select(
         "base",
         "axis",
         "step",
-        F.col("n").alias("inside"),
-        before.alias("before"),
-        F.sum("n").over(side).alias("total"),
+        "inside",
+        F.coalesce(F.sum("inside").over(side.orderBy("step").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"),
+        F.sum("inside").over(side).alias("total"),
         *[f(c).over(side).alias(c) for f, c in ((F.min, "seq"), (F.min, "lo"), (F.max, "hi"))],
     )
     picked = steps.withColumn("middle", F.expr("total div 2 + 1")).where("before < middle and middle <= before + inside")
-    found = picked.join(values.drop("seq"), ["base", "axis", "step"])
+    # Read again, its size is known: Spark broadcasts it only if it is small.
+    picked = Written(vertices.sparkSession, "medians").save(picked, "picked")
+    counted = values.select("base", "axis", "step", "v").join(picked.select("base", "axis", "step"), ["base", "axis", "step"], "left_semi")
+    counted = counted.groupBy("base", "axis", "step", "v").agg(F.count("*").alias("n"))
+    found = picked.join(counted, ["base", "axis", "step"])
     upto = F.col("before") + F.sum("n").over(Window.partitionBy("base", "axis", "step").orderBy("v"))
     found = found.withColumn("med", F.when(upto >= F.col("middle"), F.col("v")))
     of = lambda f, c, axis: f(F.when(F.col("axis") == axis, F.col(c)))
@@ -146,6 +146,7 @@ def nearest_roads(
     """
     reach = max(name_miles, wide_miles)
     avenue = F.col("axis") == AVENUE
+    records = Written(cells.sparkSession, "namer").save(records, "records")
     # Whether both axes have a canonical road: one row.
     usable = records.where(F.col("tier") == CANONICAL).agg(F.count_distinct("axis").alias("axes")).where("axes = 2").select("axes")
     lo, hi = (F.col(c) + F.lit(sign * span_miles) * F.when(avenue, F.lit(C.MILE_LAT)).otherwise(F.lit(C.MILE_LON)) for c, sign in (("lo", -1), ("hi", 1)))
