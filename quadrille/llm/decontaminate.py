@@ -9,27 +9,30 @@ that matches are at most so many as words, however often text repeats.  The
 longest verbatim runs lie in what is hit; the hit stretches of documents and
 items are sorted as suffixes together, to any depth, and neighbours compared.
 
-Benchmark words, as hashes, go to all executors in slices of a fixed greatest
-size.  A shard is searched for the slices one after the other; a worker holds
-one of them at a time, and so does the driver, so a benchmark of any size works
-in the same memory.  Documents are not shuffled, and a shard's memory does not
+Benchmark words, as hashes, are written by tasks to the shared folder in slices of a
+fixed greatest size.  A shard is searched for the slices one after the other; a worker
+reads and holds one of them at a time, and the driver none, so a benchmark of any
+size works in the same memory.  Documents are not shuffled, and a shard's memory does not
 depend on the corpus.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quadrille.llm._bytes import ALNUM, hashes, texts, words
-from quadrille.llm._store import in_turn, lean
+from quadrille.llm._store import Scratch, lean
+from quadrille.llm.token_files import _opened as opened
 
-#: Words of benchmark text in one broadcast.
+#: Words of benchmark text in one slice.
 SLICE_WORDS = 1_000_000
 
 
@@ -312,27 +315,60 @@ def judge(column: pa.Array, slices: Callable[[], Iterator[Tests]], window: int,
         )
 
 
-def _slices(benchmark: DataFrame, id_col: str, text_col: str, window: int, slice_words: int) -> list:
-    """Broadcasts of the benchmark, each of at most ``slice_words`` words or of one item."""
-    spark = benchmark.sparkSession
-    out, ids, held, size = [], [], [], 0
+class Slices(NamedTuple):
+    """The files of a benchmark's slices, in order, and how many slices they hold."""
 
-    def close() -> None:
-        nonlocal ids, held, size
-        if ids:
-            out.append(spark.sparkContext.broadcast(build_tests(ids, pa.array(held, pa.string()), window)))
+    paths: list[str]
+    count: int
+
+    def in_turn(self) -> Callable[[], Iterator[Tests]]:
+        """What starts the slices anew; only a slice that is the one of its benchmark is kept."""
+        kept: list[Tests] = []
+
+        def read() -> Iterator[Tests]:
+            if kept:
+                yield kept[0]
+                return
+            for path in self.paths:
+                system, at = opened(path)
+                with system.open_input_file(at) as file:
+                    for batch in pq.ParquetFile(file).iter_batches(1, columns=["tests"]):
+                        found = pickle.loads(batch.column(0)[0].as_buffer())
+                        if self.count == 1:
+                            kept.append(found)
+                        yield found
+
+        return read
+
+
+def _slices(benchmark: DataFrame, id_col: str, text_col: str, window: int, slice_words: int) -> Slices:
+    """The benchmark by ids, written in slices, each of at most ``slice_words`` words or of one item."""
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, held, size = [], [], 0
 
+        def close() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([pickle.dumps(build_tests(ids, pa.array(held, pa.string()), window), 5)], pa.binary())], ["tests"])
+
+        for batch in lean(batches):
+            for item, text in zip(batch.column(0), batch.column(1), strict=True):
+                text = text.as_py()
+                more = len(text) // 2 + 1
+                if ids and size + more > slice_words:
+                    yield close()
+                    ids, held, size = [], [], 0
+                ids.append(item.as_py())
+                held.append(text)
+                size += more
+        if ids:
+            yield close()
+
+    scratch = Scratch(benchmark.sparkSession, "benchmark")
     rows = benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("null")).alias("i"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    for row in rows.toLocalIterator():
-        more = len(row["t"]) // 2 + 1
-        if size + more > slice_words:
-            close()
-        ids.append(row["i"])
-        held.append(row["t"])
-        size += more
-    close()
-    return out
+    size = rows.agg(F.sum(F.expr("length(t) div 2 + 1")).alias("n")).first()["n"] or 0
+    dealt = rows.repartitionByRange(max(1, -(-size // slice_words)), "i").sortWithinPartitions("i", "t")
+    saved = scratch.save(dealt.mapInArrow(build, "tests binary"), "slices")
+    return Slices(sorted(saved.inputFiles()), saved.count())
 
 
 def find_overlaps(
@@ -355,16 +391,18 @@ def find_overlaps(
     with its item and its word position (null and -1 without one).  Null and
     empty texts have no words and no hits.  Items without words have no
     windows; a null item id reads ``null``.  Items with equal texts all count.
-    Of equally long runs the one first in the document, then in the benchmark, is
-    given.  Texts of any length are read whole, a long one as a shard of its own.
+    Of equally long runs the one first in the document is given, and of its items
+    that with the least id as text.  Texts of any length are read whole, a long one
+    as a shard of its own.
     Repeated rows each get a row; other columns are ignored; empty tables give
     an empty result, or one without hits.
     """
     slices = _slices(benchmark, item_id_col, item_text_col, window, slice_words)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        read = slices.in_turn()
         for batch in lean(batches):
-            for first, found in judge(batch.column(1), lambda: in_turn(slices), window, shard_bytes):
+            for first, found in judge(batch.column(1), read, window, shard_bytes):
                 ids = batch.column(0).slice(first, found.num_rows)
                 yield from found.add_column(0, "doc_id", ids).combine_chunks().to_batches()
 
@@ -400,9 +438,10 @@ def drop_contaminated(
     part, whole = LEAST_SHARE
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        read = slices.in_turn()
         for batch in lean(batches):
             bad = np.zeros(batch.num_rows, bool)
-            for first, found in judge(batch.column(place), lambda: in_turn(slices), window, shard_bytes, runs=False):
+            for first, found in judge(batch.column(place), read, window, shard_bytes, runs=False):
                 n_words, n_hit = (found.column(k).to_numpy() for k in ("n_words", "n_hit"))
                 bad[first : first + found.num_rows] = (n_hit > 0) & (whole * n_hit >= part * n_words)
             yield batch.filter(pa.array(~bad))

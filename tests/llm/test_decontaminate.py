@@ -4,7 +4,7 @@ import re
 import numpy as np
 from corpus import SCHEMA, documents, lower, rows
 
-from quadrille.llm.decontaminate import drop_contaminated, find_overlaps, suffix_array
+from quadrille.llm.decontaminate import _slices, drop_contaminated, find_overlaps, suffix_array
 
 
 def words(text):
@@ -120,3 +120,20 @@ def test_many_equal_words_take_time_in_proportion(spark):
     assert time.perf_counter() - began < 60
     assert {(r["n_hit"], r["longest"], r["longest_at"], r["longest_item"], len(r["items"])) for r in found} == {(100_000, 1_000, 0, "0", 5)}
     assert drop_contaminated(docs, bench).count() == 0
+
+
+def test_slices_are_written_in_the_order_of_ids(spark):
+    text = " ".join(f"w{k}" for k in range(20))
+    bench = spark.createDataFrame([(i, text if i % 2 else f"{text} x{i}") for i in range(9, 0, -1)], "item_id bigint, text string")
+    docs = documents(spark, [(1, f"a {text} b", *rows()[0][2:])])
+    for words_ in (10, 100, 1000):
+        slices = _slices(bench, "item_id", "text", 13, words_)
+        read = slices.in_turn()
+        for _ in range(2):
+            held = list(read())
+            assert len(held) == slices.count and [i for t in held for i in t.ids] == [str(i) for i in range(1, 10)]
+        found = find_overlaps(docs, bench, slice_words=words_).first()
+        assert (found["longest"], found["longest_item"], found["longest_at"]) == (20, "1", 1)
+        assert found["items"] == [str(i) for i in range(1, 10)]
+    none = _slices(bench.limit(0), "item_id", "text", 13, 10)
+    assert none.count == 0 and list(none.in_turn()()) == []
