@@ -1,8 +1,9 @@
 """GeoJSON in and out.
 
 ``coordinates`` is read as raw JSON text, so any geometry type fits one schema,
-and parsed by type.  A multi-line FeatureCollection is one split: convert a
-large one once with :func:`to_lines` and read the lines afterwards.
+and parsed by type.  A multi-line FeatureCollection is one split: write a large
+one with :func:`write_collection` or :func:`to_lines`, one feature a line, and read
+it with :func:`read_feature_lines`.
 """
 
 from __future__ import annotations
@@ -34,6 +35,30 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
     return whole.select("file", F.posexplode(features).alias("seq", "f")).where("f is not null").select("file", "seq", "f.geometry", "f.properties")
 
 
+def read_feature_lines(spark: SparkSession, path: str) -> DataFrame:
+    """As :func:`read_features`, of a collection with one feature a line, in as many tasks as the files have splits.
+
+    ``path`` is what :func:`write_collection`, :func:`joined_collection` or :func:`to_lines`
+    wrote: part files go by name.  ``seq`` (long) grows with the position, across all
+    files, and is not dense.  A line that is no feature, head or tail is an error.
+    """
+    place = [F.col(f"_metadata.{c}").alias(c) for c in ("file_path", "file_block_start")]
+    lines = spark.read.text(path).select("value", *place, F.monotonically_increasing_id().alias("id"))
+    # One row a split: its rank and the line's number in its task make up the position.
+    order = Window.orderBy("file_path", "file_block_start")
+    splits = lines.select("file_path", "file_block_start").distinct().withColumn("nth", F.row_number().over(order).cast("long"))
+    seq = F.shiftleft("nth", 33).bitwiseOR(F.col("id").bitwiseAND(F.lit((1 << 33) - 1)))
+    text = F.trim(F.col("value"))
+    body = F.rtrim(F.ltrim(text, F.lit(", ")), F.lit(", "))
+    # A head ends in the bracket that a tail begins with; a feature does neither.
+    frame = (text.startswith("{") & text.endswith("[")) | text.startswith("]") | (text == "")
+    f, wrong = F.from_json(body, FEATURE), F.raise_error(F.concat(F.lit("not one feature a line: "), "file_path"))
+    # Exploded, a line is parsed once, whatever is asked of it, and checked when it is known to be no frame.
+    held = F.explode(F.when(~frame, F.array(F.when(f["type"] == "Feature", f).otherwise(wrong))))
+    found = lines.join(F.broadcast(splits), ["file_path", "file_block_start"]).select(F.col("file_path").alias("file"), seq.alias("seq"), held.alias("f"))
+    return found.select("file", "seq", "f.geometry", "f.properties")
+
+
 def lines_of(geometry: Column) -> Column:
     """Vertices of a LineString, or of a MultiLineString end to end; null for anything else or malformed."""
     kind, text = geometry["type"], geometry["coordinates"]
@@ -46,9 +71,9 @@ def polygons_of(geometry: Column) -> Column:
     return F.when(kind == "Polygon", F.array(F.from_json(text, POLYGON))).when(kind == "MultiPolygon", F.from_json(text, MULTIPOLYGON))
 
 
-def read_centerlines(spark: SparkSession, path: str) -> DataFrame:
-    """(seq, street_name, class, points); features without usable lines have no row."""
-    found = read_features(spark, path)
+def read_centerlines(spark: SparkSession, path: str, by_line: bool = False) -> DataFrame:
+    """(seq, street_name, class, points); features without usable lines have no row.  ``by_line``: :func:`read_feature_lines`."""
+    found = read_feature_lines(spark, path) if by_line else read_features(spark, path)
     return found.select(
         "seq", F.col("properties")["STREET_NAME"].alias("street_name"), F.col("properties")["CLASS"].alias("class"), lines_of(F.col("geometry")).alias("points")
     ).where(F.size("points") > 0)
@@ -134,7 +159,9 @@ def write_collection(features: DataFrame, properties: dict, path: str) -> None:
     rows = features.select("chi_id", "json", is_first.alias("lead"))
     rows = rows.select(F.when(F.col("lead"), 1).otherwise(2).alias("part"), "chi_id", F.concat(F.when(F.col("lead"), "").otherwise(","), "json").alias("value"))
     lines = spark.createDataFrame(ends, "part int, chi_id string, value string").unionByName(rows)
-    lines.repartitionByRange("part", "chi_id", "value").sortWithinPartitions("part", "chi_id", "value").select("value").write.text(path)
+    # The driver samples the range keys, so they are no whole features.
+    ranges = lines.repartitionByRange("part", "chi_id", F.substring("value", 1, 64))
+    ranges.sortWithinPartitions("part", "chi_id", "value").select("value").write.text(path)
 
 
 def joined_collection(spark: SparkSession, path: str, to: str) -> None:

@@ -1,6 +1,7 @@
 import json
 import math
 import random
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -401,3 +402,56 @@ def test_search_by_index(spark):
         assert {q: r for q, (r,) in ((q, w) for q, w in want.items() if w)} == held
     assert explore.search_all(cells.limit(0), queries).collect() == []
     assert explore.search_all(cells, queries.limit(0)).collect() == []
+
+
+def test_collection_is_read_by_line(spark, tmp_path):
+    line = lambda i: json.dumps({"type": "LineString", "coordinates": [[i, 1.5], [i, 2.5]]})
+    text = lambda i, shape: f'{{"type":"Feature","properties":{{"STREET_NAME":"S, [{i}]","CLASS":"2"}},"geometry":{shape}}}'
+    given = [(f"{i:04d}", text(i, "null" if i == 7 else line(i))) for i in range(300)]
+    geojson.write_collection(spark.createDataFrame(given, "chi_id string, json string").repartition(5), {"made": "[here"}, str(tmp_path / "parts"))
+    geojson.joined_collection(spark, str(tmp_path / "parts"), str(tmp_path / "roads.json"))
+    whole = [tuple(r) for r in geojson.read_centerlines(spark, str(tmp_path / "roads.json")).orderBy("seq").select("street_name", "class", "points").collect()]
+    assert len(whole) == 299
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        for path in ("parts", "roads.json"):
+            found = geojson.read_centerlines(spark, str(tmp_path / path), by_line=True)
+            assert spark.read.text(str(tmp_path / path)).rdd.getNumPartitions() > 5
+            assert [tuple(r) for r in found.orderBy("seq").select("street_name", "class", "points").collect()] == whole
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    for bad in (json.dumps({"type": "FeatureCollection", "features": []}), '{"type":"FeatureCollection","features":[\n{"type":"Feature",\n"geometry":null}\n]}'):
+        (tmp_path / "bad.json").write_text(bad)
+        with pytest.raises(Exception, match="not one feature a line"):
+            geojson.read_centerlines(spark, str(tmp_path / "bad.json"), by_line=True).collect()
+    geojson.write_collection(spark.createDataFrame([], "chi_id string, json string"), {}, str(tmp_path / "none"))
+    assert geojson.read_centerlines(spark, str(tmp_path / "none"), by_line=True).count() == 0
+
+
+def test_roads_are_written_in_bounded_lines(spark, sf_dir):
+    from quadrille import queries
+    from quadrille.sources.shared import shared_dir
+
+    files = lambda: {p for p in Path(shared_dir(spark).removeprefix("file:")).glob("quadrille-roads-*/part-*")}
+    before = files()
+    found = queries.centerlines_read(spark, sf_dir).collect()
+    texts = [p.read_text().splitlines() for p in files() - before]
+    assert sum(r["vertices"] for r in found) == inputs.table(spark, sf_dir, "lineitem").count()
+    # No value holds a road, let alone all: the longest feature has the vertices of one line.
+    assert max(len(t) for lines in texts for t in lines) < 60 * queries.VERTICES < sum(len(t) for lines in texts for t in lines) / 10
+
+
+def test_one_road_with_all_vertices_at_one_place_is_many_lines(spark, tmp_path):
+    from quadrille import queries
+    from quadrille.sources.shared import shared_dir
+
+    rows = spark.range(1_500).select(F.lit(8).cast("long").alias("l_orderkey"), F.lit(40).cast("long").alias("l_partkey"), F.lit(3).alias("l_linenumber"))
+    rows.write.parquet(str(tmp_path / "lineitem.parquet"))
+    files = lambda: {p for p in Path(shared_dir(spark).removeprefix("file:")).glob("quadrille-roads-*/part-*")}
+    before = files()
+    found = queries.centerlines_read(spark, str(tmp_path)).collect()
+    assert [(r["street_name"], r["vertices"]) for r in found] == [("Racine Ave", 1_500)]
+    assert sum(t.count('"Feature"') for p in files() - before for t in p.read_text().splitlines()) == 8
