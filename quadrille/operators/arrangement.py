@@ -55,6 +55,21 @@ def snapped(edges: DataFrame, grid: float = GRID) -> DataFrame:
     return ends.select(*held, *[F.col(f"{p}.{c}").alias(f"{n}{c}") for p, n in (("__from", "a"), ("__to", "b")) for c in "xy"])
 
 
+def path_edges(vertices: DataFrame, width: float) -> DataFrame:
+    """(x1, y1, x2, y2) from each vertex (x, y) to the next one by x, then y.
+
+    Vertices are ordered within strips of ``width``; the last of a strip leads to the
+    first of the next one that has any.  One row a strip is ordered in one task, so
+    strips should hold many vertices, but not more than a task can sort.
+    """
+    place = F.struct("x", "y")
+    placed = vertices.select(F.floor(F.col("x") / F.lit(width)).alias("strip"), place.alias("p"))
+    inner = placed.select("p", F.lead("p").over(Window.partitionBy("strip").orderBy("p")).alias("q"))
+    strips = placed.groupBy("strip").agg(F.max("p").alias("p"), F.min("p").alias("first"))
+    between = strips.select("p", F.lead("first").over(Window.orderBy("strip")).alias("q"))
+    return inner.unionByName(between).where("q IS NOT NULL").select(*[F.col(f"{v}.{c}").alias(f"{c}{k}") for k, v in ((1, "p"), (2, "q")) for c in "xy"])
+
+
 def _tile(value: Column, off: float, tile: float) -> Column:
     return F.floor((value - F.lit(off)) / F.lit(tile))
 
@@ -192,8 +207,13 @@ def covering(points: DataFrame, polygons: DataFrame, owner: list[str], grid: flo
     with the polygon, and the index has a row for each tile, not a copy of the shape.
     Even-odd rule; points and vertices are rounded to the grid.
     """
+    return covering_edges(points, segments(polygons.select(*owner, "polygon"), grid), owner, grid, tile)
+
+
+def covering_edges(points: DataFrame, edges: DataFrame, owner: list[str], grid: float = GRID, tile: float = TILE) -> DataFrame:
+    """As :func:`covering`, of the polygons' edges (owner, ends) as :func:`segments` returns them: no polygon is one value."""
     step = tile / grid
-    edges = segments(polygons.select(*owner, "polygon"), grid).groupBy(*owner, *ENDS).agg(F.count("*").alias("n")).where("n % 2 = 1").drop("n")
+    edges = edges.select(*owner, *ENDS).groupBy(*owner, *ENDS).agg(F.count("*").alias("n")).where("n % 2 = 1").drop("n")
     index = tile_index(edges, owner, step)
     held = points.columns
     at = lambda c: F.round(F.col(c) / F.lit(grid))

@@ -1,11 +1,12 @@
 import math
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from quadrille.functions.geometry import polygon_area
-from quadrille.operators.arrangement import closed, covering, dissolved, lying_within, meeting, offset, polygonized, repaired
+from quadrille.operators.arrangement import closed, covering, covering_edges, dissolved, lying_within, meeting, offset, path_edges, polygonized, repaired, segments
 from quadrille.operators.regions import label_shapes
 
 SCHEMA = "g bigint, owner bigint, polygon array<array<array<double>>>"
@@ -196,3 +197,40 @@ def test_faces_within_a_city(spark):
         (6, [box(0.01, 0.01, 0.01, 0.000001)]),  # nothing is left of it
     ], "a bigint, polygon array<array<array<double>>>")
     assert {r.a for r in lying_within(given, city).collect()} == {1, 2, 5}
+
+
+def test_path_through_strips_with_gaps(spark):
+    draw = random.Random(11)
+    xs = [*range(-30, 40), *range(95, 97), 400, 1_000, 1_001]
+    given = [(x, draw.randrange(9)) for x in xs for _ in range(1 + (x % 7 == 0))]
+    draw.shuffle(given)
+    found = path_edges(spark.createDataFrame(given, "x long, y long").repartition(3), 10)
+    line = sorted(given)
+    assert sorted(tuple(r) for r in found.collect()) == sorted((*a, *b) for a, b in zip(line, line[1:], strict=False))
+    assert path_edges(spark.createDataFrame([(1, 2)], "x long, y long"), 10).count() == 0
+
+
+def test_edges_cover_as_their_polygons_do(spark):
+    outer = [[0.0, 0.0], [6.0, 0.0], [6.0, 5.0], [3.0, 2.0], [0.0, 5.0], [0.0, 0.0]]
+    shapes = frame(spark, [(0, [outer]), (1, [outer, [[1.0, 0.5], [2.0, 0.5], [2.0, 1.5], [1.0, 0.5]]])], "o int, polygon array<array<array<double>>>")
+    points = frame(spark, [(i, i % 29 / 4, i // 29 / 4) for i in range(29 * 25)], "i int, x double, y double")
+    by_edge = covering_edges(points, segments(shapes, 0.001), ["o"], 0.001, 0.7)
+    whole = {(r.i, r.o) for r in covering(points, shapes, ["o"], 0.001, 0.7).collect()}
+    assert {(r.i, r.o) for r in by_edge.collect()} == whole and len(whole) > 500
+
+
+def test_long_polygon_is_no_one_value(spark, sf_dir):
+    from quadrille import queries
+
+    plan = queries.region_pip_long(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    # An aggregate without keys may take ends and counts, but collects no vertices.
+    assert "collect_list" in plan and not [x for x in plan.splitlines() if re.search(r"Aggregate \[[^\]]*collect_list", x)]
+
+
+def test_long_polygon_over_strips(spark, sf_dir, monkeypatch):
+    from quadrille import queries
+
+    ids = ["l_orderkey", "l_linenumber"]
+    whole = sorted(tuple(r) for r in queries.region_pip_long(spark, sf_dir).select(*ids).collect())
+    monkeypatch.setattr(queries, "STRIP", 7)
+    assert sorted(tuple(r) for r in queries.region_pip_long(spark, sf_dir).select(*ids).collect()) == whole
